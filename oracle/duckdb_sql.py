@@ -174,23 +174,33 @@ cte("primary_line", """
     "raw_subway")
 
 
+def _chain(src: str, steps) -> str:
+    """Subquery (name, core) applying each step to the previous step's column."""
+    q = f"(SELECT name, name AS c0 FROM {src})"
+    for i, step in enumerate(steps):
+        q = f"(SELECT name, {step(f'c{i}')} AS c{i + 1} FROM {q})"
+    return f"(SELECT name, c{len(steps)} AS core FROM {q})"
+
+
 def _rule_sql(src: str) -> str:
     """Candidates (name, priority, station_key, line_code) for rules 1-5 and 7 over src(name)."""
     lk = "(SELECT canonical_station_name AS core_name, station_key, line_code FROM subway_registry)"
-    r2 = _strip_end(_strip_end(_cut_first("name", C.STATION_SUFFIXES), C.FACILITY_SUFFIXES), C.LINE_SUFFIXES)
-    to_first = "nullif(trim(regexp_extract(name, '^(.+?)\\s+TO\\s+', 1)), '')"
-    and_first = "nullif(trim(regexp_extract(name, '^(.+?)\\s+AND\\s+', 1)), '')"
-    btw_first = "nullif(trim(regexp_extract(name, '^BETWEEN\\s+(.+?)\\s+AND\\s+', 1)), '')"
-    r3 = _strip_end(_strip_end(to_first, C.STATION_SUFFIXES), C.LINE_SUFFIXES)
-    r4 = _strip_end(and_first, C.LINE_SUFFIXES)
-    r7 = _strip_end(_strip_end(btw_first, C.STATION_SUFFIXES), C.LINE_SUFFIXES)
+    station = lambda c: _strip_end(c, C.STATION_SUFFIXES)
+    line = lambda c: _strip_end(c, C.LINE_SUFFIXES)
+    first = lambda pat: (lambda c: f"nullif(trim(regexp_extract({c}, '{pat}', 1)), '')")
+    chains = {
+        2: [lambda c: _cut_first(c, C.STATION_SUFFIXES), lambda c: _strip_end(c, C.FACILITY_SUFFIXES), line],
+        3: [first("^(.+?)\\s+TO\\s+"), station, line],
+        4: [first("^(.+?)\\s+AND\\s+"), line],
+        7: [first("^BETWEEN\\s+(.+?)\\s+AND\\s+"), station, line],
+    }
     rules = [
         f"SELECT s.name, 1 AS priority, o.station_key, o.line_code FROM {src} s "
         f"JOIN station_overrides o ON o.raw_station_name = s.name",
     ]
-    for prio, expr in ((2, r2), (3, r3), (4, r4), (7, r7)):
+    for prio, steps in chains.items():
         rules.append(f"SELECT s.name, {prio}, l.station_key, l.line_code FROM "
-                     f"(SELECT name, {expr} AS core FROM {src}) s JOIN {lk} l ON l.core_name = s.core")
+                     f"{_chain(src, steps)} s JOIN {lk} l ON l.core_name = s.core")
     rules.append(
         f"SELECT name, 5, station_key, line_code FROM (SELECT s.name, l.station_key, l.line_code, "
         f"row_number() OVER (PARTITION BY s.name ORDER BY length(l.core_name) DESC, l.core_name) AS r "
@@ -459,4 +469,9 @@ def sql(final: str, *needs: str) -> str:
     for n in needs:
         visit(n)
     body = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
-    return f"WITH {body}\n{final}" if order else final
+    if not order:
+        return final
+    head = final.lstrip()
+    if head[:4].upper() == "WITH":
+        return f"WITH {body},\n{head[4:]}"
+    return f"WITH {body}\n{final}"
