@@ -250,3 +250,291 @@ SELECT station_key, station_id, station_name, station_type, latitude, longitude,
   "dim_station")
 q("r39c_reference_delay_codes", """
 SELECT delay_code_key, delay_code, delay_description, delay_category FROM dim_delay_codes""", "dim_delay_codes")
+
+# --- quality, calendar, geo, KPIs, joins / windows / reshape ----------------------
+from urbanlens import config as C  # noqa: E402
+
+AS_OF_KEY = P.AS_OF.strftime("%Y%m%d")
+_cats = ", ".join(f"'{c}'" for c in C.DELAY_CATEGORIES)
+_lines = ", ".join(f"'{c}'" for c in C.SUBWAY_LINES)
+lat_min, lat_max, lon_min, lon_max = C.CITY_BBOX
+
+q("d01_unique", """
+SELECT trip_sk, count(*) AS n_records FROM fct_bike_trips WHERE trip_sk IS NOT NULL
+GROUP BY trip_sk HAVING count(*) > 1""", "fct_bike_trips")
+q("d02_not_null", "SELECT delay_sk, transit_mode FROM fct_transit_delays WHERE delay_code_key IS NULL",
+  "fct_transit_delays")
+q("d03_accepted_values", f"""
+SELECT line_code, count(*) AS n_records FROM stg_subway
+WHERE line_code IS NOT NULL AND line_code NOT IN ({_lines}) GROUP BY line_code""", "stg_subway")
+q("d04_relationships", """
+SELECT trip_sk, end_station_key FROM fct_bike_trips f
+WHERE end_station_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_station s WHERE s.station_key = f.end_station_key)""",
+  "fct_bike_trips", "dim_station")
+q("d05_value_between", f"""
+SELECT trip_sk, duration_seconds FROM fct_bike_trips
+WHERE duration_seconds IS NOT NULL AND NOT (duration_seconds BETWEEN {C.TRIP_SECONDS_RANGE[0]} AND {C.TRIP_SECONDS_RANGE[1]})""",
+  "fct_bike_trips")
+q("d06_row_count", """
+SELECT n_rows FROM (SELECT count(*) AS n_rows FROM fct_daily_mobility) WHERE n_rows < 1 OR n_rows > 2000""",
+  "fct_daily_mobility")
+q("d07_freshness", f"""
+SELECT max_loaded_at, age_days,
+       CASE WHEN age_days > {C.FRESHNESS_ERROR_DAYS} THEN 'error' WHEN age_days > {C.FRESHNESS_WARN_DAYS} THEN 'warn'
+            ELSE 'pass' END AS status
+FROM (SELECT max(incident_timestamp) AS max_loaded_at,
+             CAST(date_diff('day', CAST(max(incident_timestamp) AS DATE), DATE '{P.FRESHNESS_AS_OF}') AS INTEGER) AS age_days
+      FROM fct_transit_delays)""", "fct_transit_delays")
+_anom = """
+SELECT {t} AS {tn}, value, round(baseline, 4) AS baseline, round(spread, 4) AS spread FROM (
+  SELECT {t}, value,
+         avg(value) OVER w AS baseline, stddev_samp(value) OVER w AS spread, count(value) OVER w AS trained_on
+  FROM ({src}) WINDOW w AS (ORDER BY {t} ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
+WHERE trained_on >= 14 AND spread > 0 AND abs(value - baseline) > {k} * spread"""
+q("d08_volume_anomaly", _anom.format(
+    t="date_key", tn="date_key", k="2.0",
+    src="SELECT date_key, CAST(total_delay_incidents AS DOUBLE) AS value FROM fct_daily_mobility "
+        "WHERE total_delay_incidents IS NOT NULL"), "fct_daily_mobility")
+q("d09_freshness_anomaly", _anom.format(
+    t="d", tn="delay_date", k="3.0",
+    src="SELECT d, CAST(gap AS DOUBLE) AS value FROM (SELECT d, date_diff('day', lag(d) OVER (ORDER BY d), d) AS gap "
+        "FROM (SELECT DISTINCT delay_date AS d FROM stg_subway)) WHERE gap IS NOT NULL"), "stg_subway")
+q("d11_negative_delays", """
+SELECT delay_sk, delay_minutes, transit_mode, date_key FROM fct_transit_delays WHERE delay_minutes < 0""",
+  "fct_transit_delays")
+q("d12_long_trips", """
+SELECT trip_sk, duration_seconds, date_key FROM fct_bike_trips WHERE duration_seconds >= 3600""", "fct_bike_trips")
+q("d13_future_dates", f"""
+SELECT 'fct_transit_delays' AS source_model, date_key FROM fct_transit_delays WHERE date_key > {AS_OF_KEY}
+UNION ALL SELECT 'fct_bike_trips', date_key FROM fct_bike_trips WHERE date_key > {AS_OF_KEY}
+UNION ALL SELECT 'fct_daily_mobility', date_key FROM fct_daily_mobility WHERE date_key > {AS_OF_KEY}""",
+  "fct_transit_delays", "fct_bike_trips", "fct_daily_mobility")
+_dod = """
+SELECT date_key, daily_activity_count, previous_day_count FROM (
+  SELECT date_key, daily_activity_count, lag(daily_activity_count) OVER (ORDER BY date_key) AS previous_day_count
+  FROM (SELECT date_key, coalesce(total_delay_incidents, 0) + coalesce(total_bike_trips, 0) AS daily_activity_count
+        FROM fct_daily_mobility))
+WHERE previous_day_count IS NOT NULL AND previous_day_count > 0
+  AND daily_activity_count::DOUBLE / previous_day_count < 0.5"""
+q("d14_day_over_day", _dod, "fct_daily_mobility")
+q("d15_mapping_coverage", """
+SELECT total_rows, mapped_rows, mapped_rows::DOUBLE / nullif(total_rows, 0) AS coverage_ratio FROM (
+  SELECT count(*) AS total_rows,
+         count(CASE WHEN canonical_station_name <> 'Unknown' THEN canonical_station_name END) AS mapped_rows
+  FROM delays_enriched WHERE transit_mode = 'subway')
+WHERE mapped_rows::DOUBLE / nullif(total_rows, 0) < 0.99""", "delays_enriched")
+q("d16_suite", f"""
+SELECT test_name, severity, failures,
+       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM (
+  SELECT 'unique_trip_sk' AS test_name, 'error' AS severity,
+         (SELECT count(*) FROM (SELECT trip_sk FROM fct_bike_trips WHERE trip_sk IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS failures
+  UNION ALL SELECT 'not_null_delay_code_key', 'warn', (SELECT count(*) FROM fct_transit_delays WHERE delay_code_key IS NULL)
+  UNION ALL SELECT 'accepted_delay_category', 'error',
+         (SELECT count(DISTINCT delay_category) FROM dim_delay_codes WHERE delay_category NOT IN ({_cats}))
+  UNION ALL SELECT 'relationship_station_key', 'error',
+         (SELECT count(*) FROM fct_transit_delays f WHERE station_key IS NOT NULL
+            AND station_key NOT IN (SELECT station_key FROM dim_station))
+  UNION ALL SELECT 'delay_minutes_range', 'error',
+         (SELECT count(*) FROM fct_transit_delays WHERE delay_minutes IS NOT NULL AND NOT (delay_minutes BETWEEN 0 AND 1440))
+  UNION ALL SELECT 'no_negative_delays', 'error', (SELECT count(*) FROM fct_transit_delays WHERE delay_minutes < 0)
+  UNION ALL SELECT 'trips_under_a_day', 'warn', (SELECT count(*) FROM fct_bike_trips WHERE duration_seconds >= 86400)
+  UNION ALL SELECT 'no_future_dates', 'error',
+         (SELECT count(*) FROM fct_transit_delays WHERE date_key > {AS_OF_KEY})
+         + (SELECT count(*) FROM fct_bike_trips WHERE date_key > {AS_OF_KEY})
+         + (SELECT count(*) FROM fct_daily_mobility WHERE date_key > {AS_OF_KEY})
+  UNION ALL SELECT 'day_over_day_stability', 'warn', (SELECT count(*) FROM ({_dod})))""",
+  "fct_bike_trips", "fct_transit_delays", "dim_delay_codes", "dim_station", "fct_daily_mobility")
+q("d17_seed_structure", """
+SELECT 'key_format' AS "check", station_key AS detail FROM station_mapping WHERE NOT regexp_matches(station_key, '^ST_\\d{3}$')
+UNION ALL SELECT 'one_name_per_key', station_key FROM station_mapping GROUP BY station_key
+  HAVING count(DISTINCT canonical_station_name) > 1
+UNION ALL SELECT 'description_words', delay_code FROM delay_codes
+  WHERE trim(delay_description) = '' OR len(string_split_regex(trim(delay_description), '\\s+')) > 10
+UNION ALL SELECT 'category_domain', delay_code FROM delay_codes WHERE delay_category NOT IN (""" + _cats + ")",
+  "station_mapping", "delay_codes")
+q("d18_bbox", f"""
+SELECT station_key, station_type FROM dim_station
+WHERE latitude IS NULL OR longitude IS NULL OR NOT (latitude BETWEEN {lat_min} AND {lat_max})
+   OR NOT (longitude BETWEEN {lon_min} AND {lon_max})""", "dim_station")
+q("k01_spine", "SELECT full_date FROM dim_date", "dim_date")
+q("k02_attributes", """
+SELECT date_key, full_date, day_of_week, day_of_week_num, month_num, month_name, quarter, year, is_weekend
+FROM dim_date""", "dim_date")
+q("k06_holidays", "SELECT holiday_name, holiday_date FROM holidays", "holidays")
+q("k07_contiguity", """
+SELECT count(*) AS n_rows, min(full_date) AS first_date, max(full_date) AS last_date,
+       CAST(date_diff('day', min(full_date), max(full_date)) + 1 AS INTEGER) AS expected_rows,
+       sum(CASE WHEN date_diff('day', prev, full_date) > 1 THEN 1 ELSE 0 END)::BIGINT AS gaps,
+       sum(CASE WHEN date_diff('day', prev, full_date) = 0 THEN 1 ELSE 0 END)::BIGINT AS duplicates
+FROM (SELECT full_date, lag(full_date) OVER (ORDER BY full_date) AS prev FROM dim_date)""", "dim_date")
+
+_hav = """(CASE WHEN {la1} = {la2} AND {lo1} = {lo2} THEN 0.0 ELSE 2 * 6371.0 * asin(sqrt(
+  pow(sin(radians({la2} - {la1}) / 2), 2) + cos(radians({la1})) * cos(radians({la2})) * pow(sin(radians({lo2} - {lo1}) / 2), 2))) END)"""
+_origin = f"(SELECT CAST(latitude AS DOUBLE) AS la0, CAST(longitude AS DOUBLE) AS lo0 FROM dim_station WHERE station_key = '{P.SUBWAY_STATION_KEY}')"
+_dist = _hav.format(la1="o.la0", lo1="o.lo0", la2="CAST(s.latitude AS DOUBLE)", lo2="CAST(s.longitude AS DOUBLE)")
+_near = f"""
+SELECT row_number() OVER (ORDER BY d, station_key) AS rank, station_key, station_name, station_type, round(d, 2) AS distance_km
+FROM (SELECT s.*, {_dist} AS d FROM dim_station s, {_origin} o
+      WHERE s.station_key <> '{P.SUBWAY_STATION_KEY}' AND s.latitude IS NOT NULL AND s.longitude IS NOT NULL)
+WHERE d IS NOT NULL ORDER BY d, station_key LIMIT {P.NEARBY_N}"""
+q("g01_haversine", f"""
+SELECT s.station_key, round({_dist}, 4) AS distance_km FROM dim_station s, {_origin} o WHERE s.latitude IS NOT NULL""",
+  "dim_station")
+q("g02_nearest", f"SELECT rank, station_key, station_name, distance_km FROM ({_near})", "dim_station")
+q("g03_bbox", f"""
+SELECT station_key FROM dim_station WHERE latitude BETWEEN {lat_min} AND {lat_max} AND longitude BETWEEN {lon_min} AND {lon_max}""",
+  "dim_station")
+q("g04_centroid", """
+SELECT station_type, round(avg(CAST(latitude AS DOUBLE)), 6) AS center_lat, round(avg(CAST(longitude AS DOUBLE)), 6) AS center_lon,
+       count(latitude) AS n_points FROM dim_station GROUP BY station_type""", "dim_station")
+q("g05_weight", f"""
+SELECT station_key, round(CASE WHEN max(distance_km) OVER () > 0
+  THEN greatest(60.0, least(80.0, 80.0 - distance_km / max(distance_km) OVER () * 20.0)) ELSE 80.0 END, 4) AS weight
+FROM ({_near})""", "dim_station")
+q("r41_nearby_table", f"""
+SELECT n.rank, n.station_key, n.station_name, n.station_type, n.distance_km,
+       coalesce(d.delay_count, 0) AS delay_count, coalesce(t.trip_count, 0) AS trip_count
+FROM ({_near}) n
+LEFT JOIN (SELECT station_key, count(*) AS delay_count FROM fct_transit_delays GROUP BY 1) d ON d.station_key = n.station_key
+LEFT JOIN (SELECT start_station_key AS station_key, count(*) AS trip_count FROM fct_bike_trips GROUP BY 1) t
+  ON t.station_key = n.station_key""", "dim_station", "fct_transit_delays", "fct_bike_trips")
+_keys = ", ".join(f"'{k}'" for k in P.COMPARE_SUBWAY_KEYS)
+q("r42_compare", f"""
+SELECT s.station_name, d.year, d.month_num, count(*) AS delay_count, sum(f.delay_minutes)::BIGINT AS total_delay_minutes
+FROM fct_transit_delays f JOIN dim_station s ON f.station_key = s.station_key JOIN dim_date d ON f.date_key = d.date_key
+WHERE f.station_key IN ({_keys}) GROUP BY s.station_name, d.year, d.month_num""",
+  "fct_transit_delays", "dim_station", "dim_date")
+
+_r12 = ORACLE["r12_station_delays"]
+_r13_body = f"""
+SELECT c.delay_category, c.delay_description, count(*) AS incident_count, sum(f.delay_minutes)::BIGINT AS total_delay_minutes
+FROM fct_transit_delays f JOIN dim_delay_codes c ON f.delay_code_key = c.delay_code_key
+WHERE f.date_key {RANGE} AND f.transit_mode IN {MODES} AND f.delay_code_key IS NOT NULL
+GROUP BY c.delay_category, c.delay_description"""
+_r12_body = f"""
+SELECT s.station_name, s.latitude, s.longitude, count(*) AS delay_count, sum(f.delay_minutes)::BIGINT AS total_delay_minutes
+FROM fct_transit_delays f JOIN dim_station s ON f.station_key = s.station_key
+WHERE f.date_key {RANGE} AND f.transit_mode IN {MODES} AND f.station_key IS NOT NULL
+GROUP BY s.station_name, s.latitude, s.longitude"""
+_r19_body = """
+SELECT m.date_key, w.weather_condition, w.mean_temp_c::DOUBLE AS mean_temp_c, m.total_bike_trips, m.total_delay_incidents
+FROM fct_daily_mobility m JOIN dim_weather w ON m.date_key = w.date_key
+WHERE w.mean_temp_c IS NOT NULL AND (m.total_bike_trips IS NOT NULL OR m.total_delay_incidents IS NOT NULL)"""
+q("r40_kpi_share", f"""
+SELECT CASE WHEN sum(total_delay_minutes) > 0 THEN round(sum(CASE WHEN station_name = '{P.SHARE_STATION_NAME}'
+  THEN total_delay_minutes ELSE 0 END)::DOUBLE / sum(total_delay_minutes) * 100, 1) ELSE 0.0 END AS station_share_pct
+FROM ({_r12_body})""", "fct_transit_delays", "dim_station")
+q("a11_category_share", f"""
+SELECT CASE WHEN sum(incident_count) > 0 THEN round(sum(CASE WHEN delay_category = '{P.SHARE_CATEGORY}'
+  THEN incident_count ELSE 0 END)::DOUBLE / sum(incident_count) * 100, 1) ELSE 0.0 END AS category_share_pct
+FROM ({_r13_body})""", "fct_transit_delays", "dim_delay_codes")
+q("a13_peak", f"""
+WITH h AS (
+  SELECT CAST(extract(hour FROM f.incident_timestamp) AS INTEGER) AS hour_of_day, d.day_of_week, d.day_of_week_num,
+         count(*) AS delay_count
+  FROM fct_transit_delays f JOIN dim_date d ON f.date_key = d.date_key
+  WHERE f.date_key {RANGE} AND f.transit_mode IN {MODES} GROUP BY 1, 2, 3),
+p AS (SELECT day_of_week, hour_of_day FROM h ORDER BY delay_count DESC, day_of_week_num, hour_of_day LIMIT 1)
+SELECT (SELECT sum(delay_count) FROM h)::BIGINT AS total_records,
+       CASE WHEN (SELECT sum(delay_count) FROM h) >= {C.PEAK_MIN_RECORDS} THEN left(p.day_of_week, 3) END AS peak_day,
+       CASE WHEN (SELECT sum(delay_count) FROM h) >= {C.PEAK_MIN_RECORDS} THEN p.hour_of_day END AS peak_hour
+FROM p""", "fct_transit_delays", "dim_date")
+q("a13b_busiest_month", f"""
+SELECT month_name || ' ' || CAST(year AS VARCHAR) AS busiest_period FROM (
+  SELECT d.year, d.month_num, d.month_name, count(*) AS trip_count
+  FROM fct_bike_trips f JOIN dim_date d ON f.date_key = d.date_key
+  WHERE f.start_station_key = '{P.BIKE_STATION_KEY}' AND f.date_key {RANGE} GROUP BY 1, 2, 3)
+ORDER BY trip_count DESC, year, month_num LIMIT 1""", "fct_bike_trips", "dim_date")
+q("a15_condition_mean", f"""
+SELECT weather_condition, round(avg(total_bike_trips), 0) AS avg_total_bike_trips,
+       CAST(CASE weather_condition WHEN 'Clear' THEN 1 WHEN 'Rain' THEN 2 WHEN 'Snow' THEN 3 END AS INTEGER) AS condition_order
+FROM ({_r19_body}) GROUP BY weather_condition""", "fct_daily_mobility", "dim_weather")
+for _k, _m in (("a16_impact", "total_bike_trips"), ("a16b_delay_impact", "total_delay_incidents")):
+    q(_k, f"""
+SELECT weather_condition, n_days, round(avg_value, 2) AS avg_value,
+       CASE WHEN base > 0 THEN round((avg_value - base) / base * 100, 1) END AS pct_change,
+       n_days < {C.LIMITED_SAMPLE_N} AS limited_sample
+FROM (SELECT *, max(CASE WHEN weather_condition = 'Clear' THEN avg_value END) OVER () AS base FROM (
+  SELECT weather_condition, avg({_m}) AS avg_value, count(*) AS n_days FROM ({_r19_body}) GROUP BY weather_condition))""",
+      "fct_daily_mobility", "dim_weather")
+q("a17_sweet_spot", f"""
+SELECT bin_lo AS peak_low_c, bin_lo + 5 AS peak_high_c FROM (
+  SELECT bin_lo, avg(total_bike_trips) AS m FROM (
+    SELECT CAST(ceil(mean_temp_c / 5) * 5 - 5 AS INTEGER) AS bin_lo, total_bike_trips FROM ({_r19_body})
+    WHERE total_bike_trips IS NOT NULL AND mean_temp_c > -30 AND mean_temp_c <= 40)
+  GROUP BY bin_lo) ORDER BY m DESC, bin_lo LIMIT 1""", "fct_daily_mobility", "dim_weather")
+q("a18_yoy", f"""
+WITH y AS (SELECT d.year, count(*) AS t FROM fct_transit_delays f JOIN dim_date d ON f.date_key = d.date_key
+           WHERE f.date_key {RANGE} AND f.transit_mode IN {MODES} GROUP BY d.year)
+SELECT min(year) AS first_period, max(year) AS last_period, arg_min(t, year) AS first_total, arg_max(t, year) AS last_total,
+       count(*) AS n_periods,
+       CASE WHEN count(*) >= 2 AND arg_min(t, year) > 0
+            THEN round((arg_max(t, year) - arg_min(t, year))::DOUBLE / arg_min(t, year) * 100, 0) END AS pct_change
+FROM y""", "fct_transit_delays", "dim_date")
+_r17_body = f"""
+SELECT d.year, sum(m.total_bike_trips)::BIGINT AS total_trips, sum(m.member_trips)::BIGINT AS member_trips,
+       sum(m.casual_trips)::BIGINT AS casual_trips, sum(m.total_bike_duration_seconds)::BIGINT AS total_duration_seconds
+FROM fct_daily_mobility m JOIN dim_date d ON m.date_key = d.date_key
+WHERE m.date_key {RANGE} AND m.total_bike_trips IS NOT NULL GROUP BY d.year"""
+q("a19_latest_share", f"""
+SELECT year, CASE WHEN total_trips > 0 THEN round(casual_trips::DOUBLE / total_trips * 100, 0) END AS share_pct
+FROM ({_r17_body}) ORDER BY year DESC LIMIT 1""", "fct_daily_mobility", "dim_date")
+q("a20_season_ratio", f"""
+SELECT CASE WHEN coalesce(avg(CASE WHEN month_num IN (1, 2) THEN total_trips END), 0) > 0
+  THEN round(coalesce(avg(CASE WHEN month_num IN (7, 8) THEN total_trips END), 0)
+             / avg(CASE WHEN month_num IN (1, 2) THEN total_trips END), 1) END AS season_ratio
+FROM (SELECT d.year, d.month_num, sum(m.total_bike_trips) AS total_trips
+      FROM fct_daily_mobility m JOIN dim_date d ON m.date_key = d.date_key
+      WHERE m.date_key {RANGE} AND m.total_bike_trips IS NOT NULL GROUP BY 1, 2)""", "fct_daily_mobility", "dim_date")
+q("a21_weighted_mean", f"""
+SELECT CASE WHEN sum(total_trips) > 0 THEN round(sum(total_duration_seconds)::DOUBLE / sum(total_trips) / 60, 0) END
+  AS avg_trip_minutes FROM ({_r17_body})""", "fct_daily_mobility", "dim_date")
+q("a22_pairs", """
+SELECT station AS raw_station_name, line, count(*) AS occurrences, min(year(CAST(date AS DATE))) AS first_year,
+       max(year(CAST(date AS DATE))) AS last_year
+FROM raw_subway WHERE station IS NOT NULL AND trim(station) <> '' GROUP BY station, line""", "raw_subway")
+q("a23_primary_line", "SELECT raw_station_name, primary_line, total_occurrences::BIGINT AS total_occurrences FROM primary_line",
+  "primary_line")
+q("a24_code_counts", "SELECT delay_code, occurrences FROM code_counts", "code_counts")
+q("a25_rollup_parent_share", f"""
+WITH c AS ({_r13_body}),
+r AS (SELECT delay_category, delay_description, sum(incident_count)::BIGINT AS value,
+             CAST(grouping(delay_category, delay_description) AS INTEGER) AS level
+      FROM c GROUP BY ROLLUP (delay_category, delay_description))
+SELECT delay_category, delay_description, level, value,
+       round(value::DOUBLE / CASE WHEN level = 0 THEN max(CASE WHEN level = 1 THEN value END) OVER (PARTITION BY delay_category)
+                             WHEN level = 1 THEN max(CASE WHEN level = 3 THEN value END) OVER () END * 100, 1) AS pct_of_parent
+FROM r""", "fct_transit_delays", "dim_delay_codes")
+q("a26_duplicates", """
+SELECT date, time, station, line, code, min_delay, count(*) AS n_rows FROM raw_subway
+GROUP BY date, time, station, line, code, min_delay HAVING count(*) > 1""", "raw_subway")
+q("a27_minmax", f"""
+SELECT station_name, round(CASE WHEN max(v) OVER () > min(v) OVER ()
+  THEN {C.MAP_RADIUS_MIN} + (v - min(v) OVER ()) / (max(v) OVER () - min(v) OVER ()) * {C.MAP_RADIUS_MAX - C.MAP_RADIUS_MIN}
+  ELSE {(C.MAP_RADIUS_MIN + C.MAP_RADIUS_MAX) / 2} END, 4) AS radius
+FROM (SELECT station_name, total_delay_minutes::DOUBLE AS v FROM ({_r12_body}))""", "fct_transit_delays", "dim_station")
+q("w01_dedup", """
+SELECT trip_id, trip_duration, start_station_id, start_time, start_station_name, end_station_id, end_time,
+       end_station_name, bike_id, user_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY trip_duration NULLS FIRST, start_station_id NULLS FIRST,
+    start_time NULLS FIRST, start_station_name NULLS FIRST, end_station_id NULLS FIRST, end_time NULLS FIRST,
+    end_station_name NULLS FIRST, bike_id NULLS FIRST, user_type NULLS FIRST) AS rn FROM raw_trips) WHERE rn = 1""",
+  "raw_trips")
+q("u06_unpivot", f"""
+SELECT year, 'Annual Member' AS user_type, member_trips AS trip_count FROM ({_r17_body})
+UNION ALL SELECT year, 'Casual Member', casual_trips FROM ({_r17_body})""", "fct_daily_mobility", "dim_date")
+q("j12_longest_contains", f"""
+SELECT name AS raw_station_name, station_key FROM (
+  SELECT s.name, l.station_key, row_number() OVER (PARTITION BY s.name ORDER BY length(l.canonical_station_name) DESC,
+         l.canonical_station_name) AS r
+  FROM (SELECT DISTINCT station AS name FROM raw_subway WHERE station IS NOT NULL) s
+  JOIN subway_registry l ON length(l.canonical_station_name) >= {C.MIN_SUBSTRING_MATCH}
+   AND contains(s.name, l.canonical_station_name)) WHERE r = 1""", "raw_subway", "subway_registry")
+q("j15_first_match", """
+SELECT n.station_name, s.station_key, s.station_type
+FROM (SELECT DISTINCT station AS station_name FROM raw_subway WHERE station IS NOT NULL) n
+LEFT JOIN (SELECT station_name, station_key, station_type FROM (
+             SELECT *, row_number() OVER (PARTITION BY station_name ORDER BY station_key NULLS FIRST) AS r FROM dim_station)
+           WHERE r = 1) s ON s.station_name = n.station_name""", "raw_subway", "dim_station")
+q("e01_resolve", "SELECT * FROM station_mapping", "station_mapping")
+q("e09_classify", "SELECT * FROM delay_codes", "delay_codes")

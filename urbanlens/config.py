@@ -166,3 +166,9 @@ class MobilityConfig:
 
 
 DEFAULT = MobilityConfig()
+
+# --- fixed values: map sizing -------------------------------------------------
+MAP_RADIUS_MIN = 50
+MAP_RADIUS_MAX = 500
+MAP_RADIUS_DEFAULT = 100
+NEARBY_WEIGHT_RANGE = (60.0, 80.0)

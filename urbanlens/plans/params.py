@@ -27,3 +27,12 @@ def station_key(station_type: str, station_id: str) -> str:
 SUBWAY_STATION_KEY = station_key("TTC_SUBWAY", SUBWAY_STATION_ID)
 BIKE_STATION_KEY = station_key("BIKE_SHARE", BIKE_STATION_ID)
 COMPARE_SUBWAY_KEYS = tuple(station_key("TTC_SUBWAY", s) for s in COMPARE_SUBWAY_IDS)
+
+# checks dated "today" take the date as a parameter so results are stable
+import datetime as _dt  # noqa: E402
+
+AS_OF = _dt.date(2024, 1, 15)
+FRESHNESS_AS_OF = _dt.date(2024, 3, 31)
+SHARE_STATION_NAME = "NATION_3"
+SHARE_CATEGORY = "Operations"
+NEARBY_N = 10

@@ -89,3 +89,197 @@ for _key, _fn in {
     "r39c_reference_delay_codes": R.reference_delay_codes,
 }.items():
     _wh_query(_key, _fn)
+
+
+# --- quality (D), calendar (K), geo (G), KPIs (A), joins / windows / reshape ----------
+from pyspark.sql import functions as F  # noqa: E402
+
+from urbanlens import config as C  # noqa: E402
+from urbanlens.operators import calendar as K  # noqa: E402
+from urbanlens.operators import dedup as W  # noqa: E402
+from urbanlens.operators import geo as G  # noqa: E402
+from urbanlens.operators import quality as Q  # noqa: E402
+from urbanlens.operators import resolve as E  # noqa: E402
+from urbanlens.plans import kpis as A  # noqa: E402
+from urbanlens.plans import staging as S  # noqa: E402
+from urbanlens.functions.geo import haversine_km  # noqa: E402
+
+# documented columns of the trip fact, used by the schema-change check
+TRIP_FACT_SCHEMA = (
+    ("trip_sk", "string"), ("date_key", "int"), ("start_station_key", "string"),
+    ("end_station_key", "string"), ("duration_seconds", "int"), ("user_type", "string"),
+    ("bike_id", "int"), ("start_time", "timestamp_ntz"), ("end_time", "timestamp_ntz"),
+    ("duration_bucket", "string"),
+)
+
+
+def _checks(wh: Warehouse) -> list[Q.Check]:
+    return [
+        Q.Check("unique_trip_sk", "error", Q.unique(wh.fct_bike_trips, "trip_sk")),
+        Q.Check("not_null_delay_code_key", "warn",
+                Q.not_null(wh.fct_transit_delays, "delay_code_key", ["delay_sk"])),
+        Q.Check("accepted_delay_category", "error",
+                Q.accepted_values(wh.dim_delay_codes, "delay_category", C.DELAY_CATEGORIES)),
+        Q.Check("relationship_station_key", "error",
+                Q.relationships(wh.fct_transit_delays, "station_key", wh.dim_station, "station_key")),
+        Q.Check("delay_minutes_range", "error",
+                Q.value_between(wh.fct_transit_delays, "delay_minutes", *C.DELAY_MINUTES_RANGE)),
+        Q.Check("no_negative_delays", "error", Q.negative_delays(wh.fct_transit_delays)),
+        Q.Check("trips_under_a_day", "warn", Q.long_trips(wh.fct_bike_trips)),
+        Q.Check("no_future_dates", "error", Q.future_dates(
+            {"fct_transit_delays": wh.fct_transit_delays, "fct_bike_trips": wh.fct_bike_trips,
+             "fct_daily_mobility": wh.fct_daily_mobility}, P.AS_OF)),
+        Q.Check("day_over_day_stability", "warn", Q.day_over_day_drops(wh.fct_daily_mobility)),
+    ]
+
+
+def _nearby(wh: Warehouse):
+    return G.nearest(wh.dim_station, P.SUBWAY_STATION_KEY, P.NEARBY_N)
+
+
+def _nearby_table(wh: Warehouse):
+    """Nearest stations with their activity (delays for subway, trips for bike)."""
+    near = _nearby(wh)
+    delays = wh.fct_transit_delays.groupBy("station_key").agg(F.count(F.lit(1)).alias("delay_count"))
+    trips = (wh.fct_bike_trips.groupBy(F.col("start_station_key").alias("station_key"))
+             .agg(F.count(F.lit(1)).alias("trip_count")))
+    return (near.join(delays, "station_key", "left").join(trips, "station_key", "left")
+            .select("rank", "station_key", "station_name", "station_type", "distance_km",
+                    F.coalesce("delay_count", F.lit(0)).alias("delay_count"),
+                    F.coalesce("trip_count", F.lit(0)).alias("trip_count")))
+
+
+def _compare(wh: Warehouse):
+    """Up to three stations in one job, grouped by station and month."""
+    keys = list(P.COMPARE_SUBWAY_KEYS)
+    f = wh.fct_transit_delays.filter(F.col("station_key").isin(keys))
+    s = wh.dim_station.select("station_key", "station_name")
+    d = wh.dim_date.select("date_key", "year", "month_num")
+    return (f.join(F.broadcast(s), "station_key").join(F.broadcast(d), "date_key")
+            .groupBy("station_name", "year", "month_num")
+            .agg(F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes")))
+
+
+def _pairs(wh: Warehouse):
+    """(name, line) profile with count and year span; blank names are rejected."""
+    raw = wh.raw_subway.withColumn("yr", F.year(F.col("date").cast("date")))
+    ok = F.col("station").isNotNull() & (F.trim("station") != "")
+    return (raw.filter(ok).groupBy(F.col("station").alias("raw_station_name"), F.col("line").alias("line"))
+            .agg(F.count(F.lit(1)).alias("occurrences"), F.min("yr").alias("first_year"),
+                 F.max("yr").alias("last_year")))
+
+
+def _unpivot(wh: Warehouse):
+    """Yearly member/casual columns -> (year, user_type, trip_count)."""
+    y = R.bike_yearly_summary(wh, rng).select("year", "member_trips", "casual_trips")
+    u = y.unpivot("year", ["member_trips", "casual_trips"], "measure", "trip_count")
+    return u.select("year", F.when(F.col("measure") == "member_trips", "Annual Member")
+                    .otherwise("Casual Member").alias("user_type"), "trip_count")
+
+
+def _first_match(wh: Warehouse):
+    """Each raw subway name's first station (by key) with that exact name."""
+    names = wh.raw_subway.select(F.col("station").alias("station_name")).filter(
+        F.col("station_name").isNotNull()).distinct()
+    st = W.keep_first(wh.dim_station.select("station_name", "station_key", "station_type"),
+                      ["station_name"], ["station_key"])
+    return names.join(F.broadcast(st), "station_name", "left")
+
+
+def _longest_contained(wh: Warehouse):
+    """Longest registry name contained in each distinct raw name (rule 5 alone)."""
+    names = wh.raw_subway.select(F.col("station").alias("name")).filter(F.col("name").isNotNull()).distinct()
+    lookup = wh.subway_registry.select(F.col("canonical_station_name").alias("core_name"),
+                                       "station_key", "line_code")
+    return E._longest_contained(names, lookup, 5).select(
+        F.col("name").alias("raw_station_name"), "station_key")
+
+
+def _haversine(wh: Warehouse):
+    """Distance from the chosen subway station to every station with coordinates."""
+    st = wh.dim_station
+    o = st.filter(F.col("station_key") == P.SUBWAY_STATION_KEY)
+    lat0, lon0 = o.select("latitude").scalar(), o.select("longitude").scalar()
+    return (st.filter(F.col("latitude").isNotNull())
+            .select("station_key", F.round(haversine_km(lat0, lon0, "latitude", "longitude"), 4)
+                    .alias("distance_km")))
+
+
+def _schema_check(wh: Warehouse):
+    exp = wh.spark.createDataFrame(list(TRIP_FACT_SCHEMA), "column_name string, data_type string")
+    return Q.schema_changes(wh.fct_bike_trips, exp)
+
+
+for _key, _fn in {
+    "d01_unique": lambda wh: Q.unique(wh.fct_bike_trips, "trip_sk"),
+    "d02_not_null": lambda wh: Q.not_null(wh.fct_transit_delays, "delay_code_key", ["delay_sk", "transit_mode"]),
+    "d03_accepted_values": lambda wh: Q.accepted_values(wh.stg_subway, "line_code", C.SUBWAY_LINES),
+    "d04_relationships": lambda wh: Q.relationships(wh.fct_bike_trips, "end_station_key", wh.dim_station,
+                                                    "station_key").select("trip_sk", "end_station_key"),
+    "d05_value_between": lambda wh: Q.value_between(wh.fct_bike_trips, "duration_seconds",
+                                                    *C.TRIP_SECONDS_RANGE, keep=["trip_sk"]),
+    "d06_row_count": lambda wh: Q.row_count_between(wh.fct_daily_mobility, 1, 2000),
+    "d07_freshness": lambda wh: Q.freshness(wh.fct_transit_delays, "incident_timestamp", P.FRESHNESS_AS_OF),
+    "d08_volume_anomaly": lambda wh: Q.volume_anomalies(
+        wh.fct_daily_mobility.filter(F.col("total_delay_incidents").isNotNull()),
+        "date_key", "total_delay_incidents", 14, 2.0).select(
+        "date_key", "value", F.round("baseline", 4).alias("baseline"), F.round("spread", 4).alias("spread")),
+    "d09_freshness_anomaly": lambda wh: Q.freshness_anomalies(wh.stg_subway, "delay_date", 14, 3.0).select(
+        "delay_date", "value", F.round("baseline", 4).alias("baseline"), F.round("spread", 4).alias("spread")),
+    "d10_schema_change": _schema_check,
+    "d11_negative_delays": lambda wh: Q.negative_delays(wh.fct_transit_delays),
+    "d12_long_trips": lambda wh: Q.long_trips(wh.fct_bike_trips, 3600),
+    "d13_future_dates": lambda wh: Q.future_dates(
+        {"fct_transit_delays": wh.fct_transit_delays, "fct_bike_trips": wh.fct_bike_trips,
+         "fct_daily_mobility": wh.fct_daily_mobility}, P.AS_OF),
+    "d14_day_over_day": lambda wh: Q.day_over_day_drops(wh.fct_daily_mobility),
+    "d15_mapping_coverage": lambda wh: Q.mapping_coverage(wh.delays_enriched, treat_as_unmapped=["Unknown"]),
+    "d16_suite": lambda wh: Q.run_suite(_checks(wh)),
+    "d17_seed_structure": lambda wh: Q.station_key_format(wh.station_mapping).unionByName(
+        Q.code_seed_structure(wh.delay_codes)),
+    "d18_bbox": lambda wh: Q.coordinates_in_bbox(wh.dim_station).select("station_key", "station_type"),
+    "k01_spine": lambda wh: wh.dim_date.select("full_date"),
+    "k02_attributes": lambda wh: K.spine_attributes(wh.dim_date.select("full_date")),
+    "k06_holidays": lambda wh: K.holidays(wh.dim_date.select("year").distinct()),
+    "k07_contiguity": lambda wh: K.contiguity(wh.dim_date),
+    "g01_haversine": _haversine,
+    "g02_nearest": lambda wh: _nearby(wh).select("rank", "station_key", "station_name", "distance_km"),
+    "g03_bbox": lambda wh: G.in_bbox(wh.dim_station).select("station_key"),
+    "g04_centroid": lambda wh: G.centroid(wh.dim_station, "station_type").select(
+        "station_type", F.round("center_lat", 6).alias("center_lat"),
+        F.round("center_lon", 6).alias("center_lon"), "n_points"),
+    "g05_weight": lambda wh: G.nearby_weight(_nearby(wh)).select(
+        "station_key", F.round("weight", 4).alias("weight")),
+    "r40_kpi_share": lambda wh: A.member_share(R.ttc_station_delays(wh, P.MODES, rng), "station_name",
+                                               P.SHARE_STATION_NAME, "total_delay_minutes", "station_share_pct"),
+    "a11_category_share": lambda wh: A.member_share(R.ttc_delay_causes(wh, P.MODES, rng), "delay_category",
+                                                    P.SHARE_CATEGORY, "incident_count", "category_share_pct"),
+    "a13_peak": lambda wh: A.peak_window(R.ttc_hourly_pattern(wh, P.MODES, rng)),
+    "a13b_busiest_month": lambda wh: A.busiest_period(
+        R.station_trip_timeline(wh, P.BIKE_STATION_KEY, rng), "trip_count"),
+    "a15_condition_mean": lambda wh: A.condition_means(R.weather_daily_metrics(wh), "total_bike_trips"),
+    "a16_impact": lambda wh: A.impact_vs_baseline(R.weather_daily_metrics(wh), "total_bike_trips"),
+    "a16b_delay_impact": lambda wh: A.impact_vs_baseline(R.weather_daily_metrics(wh), "total_delay_incidents"),
+    "a17_sweet_spot": lambda wh: A.temperature_sweet_spot(R.weather_daily_metrics(wh)),
+    "a18_yoy": lambda wh: A.first_last_change(R.ttc_monthly_trend(wh, P.MODES, rng), "year", "delay_count"),
+    "a19_latest_share": lambda wh: A.latest_share(R.bike_yearly_summary(wh, rng)),
+    "a20_season_ratio": lambda wh: A.season_ratio(R.bike_monthly_seasonality(wh, rng)),
+    "a21_weighted_mean": lambda wh: A.weighted_mean_minutes(R.bike_yearly_summary(wh, rng)),
+    "a22_pairs": _pairs,
+    "a23_primary_line": lambda wh: E.primary_lines(wh.raw_subway),
+    "a24_code_counts": lambda wh: E.code_counts((wh.raw_subway, "code"), (wh.raw_bus, "delay_code"),
+                                                (wh.raw_streetcar, "delay_code")),
+    "a25_rollup_parent_share": lambda wh: A.rollup_parent_share(R.ttc_delay_causes(wh, P.MODES, rng)),
+    "a26_duplicates": lambda wh: W.duplicate_keys(wh.raw_subway, S.SUBWAY_KEY),
+    "a27_minmax": lambda wh: G.minmax_scale(R.ttc_station_delays(wh, P.MODES, rng), "total_delay_minutes")
+    .select("station_name", F.round("radius", 4).alias("radius")),
+    "r41_nearby_table": _nearby_table,
+    "r42_compare": _compare,
+    "w01_dedup": lambda wh: W.keep_first(wh.raw_trips, ["trip_id"]),
+    "u06_unpivot": _unpivot,
+    "j12_longest_contains": _longest_contained,
+    "j15_first_match": _first_match,
+    "e01_resolve": lambda wh: wh.station_mapping,
+    "e09_classify": lambda wh: wh.delay_codes,
+}.items():
+    _wh_query(_key, _fn)
