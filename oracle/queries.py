@@ -538,3 +538,62 @@ LEFT JOIN (SELECT station_name, station_key, station_type FROM (
            WHERE r = 1) s ON s.station_name = n.station_name""", "raw_subway", "dim_station")
 q("e01_resolve", "SELECT * FROM station_mapping", "station_mapping")
 q("e09_classify", "SELECT * FROM delay_codes", "delay_codes")
+
+# --- sources, sinks, contracts, upsert, streaming ------------------------------------
+from urbanlens.plans import registry_sources as RS  # noqa: E402
+from urbanlens.sources.contracts import CONTRACTS  # noqa: E402
+
+q("s01_read_delimited", "SELECT * FROM raw_subway", "raw_subway")
+q("s03_xlsx", "SELECT * FROM raw_weather", "raw_weather")
+q("s06_decode", "SELECT * FROM raw_subway", "raw_subway")
+q("s07_station_feed", "SELECT * FROM bike_station_ref", "bike_station_ref")
+q("s08_zip", "SELECT * FROM raw_trips", "raw_trips")
+q("s10_path_year", """
+SELECT *, CAST(substr(date, 1, 4) AS INTEGER) AS path_year FROM raw_subway WHERE CAST(substr(date, 1, 4) AS INTEGER) >= 2020""",
+  "raw_subway")
+q("s14_copy_counts", """
+SELECT count(*) AS rows_parsed, sum(CASE WHEN trip_id IS NULL THEN 1 ELSE 0 END)::BIGINT AS empty_key_rows,
+       count(*)::BIGINT AS rows_loaded, 0::BIGINT AS errors_seen,
+       CAST(NULL AS VARCHAR) AS first_error FROM raw_trips""", "raw_trips")
+_stg_trip_cols = ("trip_sk", "trip_duration_seconds", "start_station_id", "start_time", "start_station_name",
+                  "end_station_id", "end_time", "end_station_name", "bike_id", "user_type")
+_merge_ctes = f"""
+WITH tgt AS (SELECT * REPLACE (0 AS trip_duration_seconds) FROM stg_trips
+             WHERE start_time < TIMESTAMP '{RS.MERGE_TARGET_BEFORE}'),
+src AS (SELECT * FROM stg_trips WHERE start_time >= TIMESTAMP '{RS.MERGE_SOURCE_FROM}'),
+src1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY
+           {", ".join(c + " NULLS FIRST" for c in _stg_trip_cols)}) AS rn FROM src) WHERE rn = 1)"""
+q("s18_merge", _merge_ctes + """
+SELECT * FROM tgt WHERE trip_id NOT IN (SELECT trip_id FROM src1) UNION ALL SELECT * FROM src1""", "stg_trips")
+q("s18b_merge_stats", _merge_ctes + """
+SELECT sum(CASE WHEN trip_id NOT IN (SELECT trip_id FROM tgt) THEN 1 ELSE 0 END)::BIGINT AS inserted,
+       sum(CASE WHEN trip_id IN (SELECT trip_id FROM tgt) THEN 1 ELSE 0 END)::BIGINT AS updated
+FROM (SELECT DISTINCT trip_id FROM src1)""", "stg_trips")
+q("s20_publish", "SELECT * FROM fct_daily_mobility", "fct_daily_mobility")
+_raw_col = dict(zip(RS.SUBWAY_FILE_HEADER, ("date", "time", "day", "station", "code", "min_delay", "min_gap",
+                                            "bound", "line")))
+_vparts = []
+for _c in CONTRACTS["subway_delays"].columns:
+    _src = _raw_col[_c.name]
+    _isnull = f"({_src} IS NULL OR upper(trim({_src})) IN ('', 'NULL'))"
+    if not _c.nullable:
+        _vparts.append(f"SELECT 'null_in_required' AS \"check\", '{_c.name}' AS column_name, {_src} AS value "
+                       f"FROM raw_subway WHERE {_isnull}")
+    if _c.dtype != "STRING":
+        _pat = C.TYPE_PATTERNS[_c.dtype].replace("'", "''")
+        _vparts.append(f"SELECT 'type_{_c.dtype.lower()}', '{_c.name}', {_src} FROM raw_subway "
+                       f"WHERE NOT {_isnull} AND NOT regexp_matches(trim({_src}), '{_pat}')")
+q("v04_types", f"""
+SELECT "check", column_name, value, 'error' AS severity, count(*)::BIGINT AS n_rows
+FROM ({" UNION ALL ".join(_vparts)}) GROUP BY ALL""", "raw_subway")
+q("v10_reconcile", """
+SELECT dataset, source_rows, loaded_rows, diff_pct, CASE WHEN diff_pct <= 5.0 THEN 'pass' ELSE 'fail' END AS status
+FROM (SELECT dataset, source_rows, loaded_rows,
+             CASE WHEN source_rows = 0 THEN CASE WHEN loaded_rows = 0 THEN 0.0 ELSE 100.0 END
+                  ELSE round(abs(source_rows - loaded_rows)::DOUBLE / source_rows * 100, 4) END AS diff_pct
+      FROM (SELECT 'subway' AS dataset, (SELECT count(*) FROM raw_subway) AS source_rows, (SELECT count(*) FROM stg_subway) AS loaded_rows
+            UNION ALL SELECT 'bus', (SELECT count(*) FROM raw_bus), (SELECT count(*) FROM stg_bus)
+            UNION ALL SELECT 'streetcar', (SELECT count(*) FROM raw_streetcar), (SELECT count(*) FROM stg_streetcar)
+            UNION ALL SELECT 'trips', (SELECT count(*) FROM raw_trips), (SELECT count(*) FROM stg_trips)))""",
+  "raw_subway", "stg_subway", "raw_bus", "stg_bus", "raw_streetcar", "stg_streetcar", "raw_trips", "stg_trips")
+ORACLE["st01_incremental_load"] = ORACLE["w01_dedup"]

@@ -283,3 +283,7 @@ for _key, _fn in {
     "e09_classify": lambda wh: wh.delay_codes,
 }.items():
     _wh_query(_key, _fn)
+
+from urbanlens.plans.registry_sources import SOURCE_QUERIES  # noqa: E402
+
+REGISTRY.update(SOURCE_QUERIES)
