@@ -14,7 +14,7 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +23,7 @@ from urbanlens.plans import analytics as R  # noqa: E402
 from urbanlens.plans import params as P  # noqa: E402
 from urbanlens.plans.publish import current_version, publish_marts  # noqa: E402
 from urbanlens.plans.warehouse import Warehouse  # noqa: E402
-from urbanlens.session import get_session  # noqa: E402
+from urbanlens.session import get_session, shared_dir  # noqa: E402
 
 BENCHMARK = {
     "r01_daily_summary": R.daily_mobility_summary,
@@ -57,9 +57,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="urbanlens-bench-"))
-    out_dir = spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/marts"
+    out_dir = shared_dir(spark, f"bench-marts-{uuid.uuid4().hex[:12]}")
 
     t = time.perf_counter()
     publish_marts(Warehouse(spark, sf_dir), out_dir)

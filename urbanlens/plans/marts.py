@@ -118,9 +118,15 @@ def fct_daily_mobility(transit: DataFrame, bike: DataFrame) -> DataFrame:
 
 
 def dim_date_over(*date_frames: tuple[DataFrame, str]) -> DataFrame:
-    """M11 on a spine of whole years covering every given date column."""
+    """M11 on a spine of whole years covering every given date column.
+
+    The bounds are two scalars (one aggregate job); the spine is then built
+    from them, so the calendar never re-reads the facts.
+    """
     u = None
     for df, col in date_frames:
-        part = df.agg(F.min(col).alias("d")).unionByName(df.agg(F.max(col).alias("d")))
+        part = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
         u = part if u is None else u.unionByName(part)
-    return K.dim_date(K.spine_over_years(u, "d"))
+    lo, hi = u.agg(F.min("lo"), F.max("hi")).first()
+    spark = u.sparkSession
+    return K.dim_date(K.spine_between(spark, f"{lo.year}-01-01", f"{hi.year}-12-31"))

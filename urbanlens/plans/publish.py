@@ -39,14 +39,27 @@ def daily_from_facts(transit: DataFrame, trips: DataFrame) -> DataFrame:
     return M.fct_daily_mobility(I.daily_transit(t), I.daily_bike(b))
 
 
+PUBLISH_ORDER = ("fct_transit_delays", "fct_bike_trips", "dim_date", "dim_station", "dim_weather",
+                 "dim_delay_codes", "fct_daily_mobility")
+
+
 def publish_marts(wh, base: str) -> str:
-    """Write all marts under ``base/<version>/`` and return that folder."""
+    """Write all marts under ``base/<version>/`` and return that folder.
+
+    Facts go first; the calendar's bounds and the daily fact are then derived
+    from the written facts (one integer column / one pass), not re-derived
+    from the raw feeds.
+    """
+    assert set(PUBLISH_ORDER) == set(MART_NAMES)
     version = f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
     spark = wh.spark
-    for name in MART_NAMES:
+    for name in PUBLISH_ORDER:
         if name == "fct_daily_mobility":
             df = daily_from_facts(spark.read.parquet(f"{version}/fct_transit_delays"),
                                   spark.read.parquet(f"{version}/fct_bike_trips"))
+        elif name == "dim_date":
+            df = M.dim_date_over(*[(spark.read.parquet(f"{version}/{f}"), date_from_key("date_key"))
+                                   for f in ("fct_transit_delays", "fct_bike_trips")])
         else:
             df = getattr(wh, name)
         _write(df, f"{version}/{name}", name in FACTS)

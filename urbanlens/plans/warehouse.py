@@ -20,6 +20,7 @@ from urbanlens.plans import intermediate as I
 from urbanlens.plans import marts as M
 from urbanlens.plans import staging as S
 from urbanlens.plans import testbed as T
+from urbanlens.functions import columns as X
 from urbanlens.operators import resolve as E
 from urbanlens.session import materialize
 
@@ -90,7 +91,9 @@ class Warehouse:
     @cached_property
     def station_mapping(self) -> DataFrame:
         """E01 over the distinct raw subway names (with their primary line, A23)."""
-        names = E.primary_lines(self.raw_subway)
+        # the vocabulary (distinct raw names with their primary line) is persisted
+        # once; every resolution rule then reads that small table, not the raw feed
+        names = self._ref(E.primary_lines(self.raw_subway), "subway_name_vocabulary")
         reg = self.subway_registry
         lookup = reg.select(F.col("canonical_station_name").alias("core_name"), "station_key", "line_code")
         return self._ref(E.resolve_names(names, lookup, reg, T.station_overrides(self.spark)),
@@ -149,9 +152,11 @@ class Warehouse:
     # --- marts ----------------------------------------------------------------
     @property
     def dim_date(self) -> DataFrame:
+        # bounds of the spine from one scan of the incidents (dedup never removes a
+        # date, so the pre-dedup dates have the same min/max) and of the trips
+        inc = self.raw_incidents.filter(X.safe_int("min_delay") > 0).select(X.strict_date("date").alias("d"))
         return self._mart("dim_date", lambda: M.dim_date_over(
-            (self.stg_subway, "delay_date"), (self.stg_bus, "delay_date"),
-            (self.stg_streetcar, "delay_date"), (self.stg_trips, F.to_date("start_time"))))
+            (inc, "d"), (self.stg_trips, F.to_date("start_time"))))
 
     @property
     def dim_station(self) -> DataFrame:

@@ -42,16 +42,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only a local session
     without that setting (tests, laptops) gets a private temporary one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="urbanlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="urbanlens-ckpt-"))
+        base = spark.sparkContext.getCheckpointDir()
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")
