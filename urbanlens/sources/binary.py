@@ -193,9 +193,11 @@ def xlsx_cells(files: DataFrame, sheet: str | None = None) -> DataFrame:
 
 
 def cells_to_columns(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Row 0 of each file is the header; data rows become text columns by position."""
+    """Row 0 of each file is the header; data rows become text columns by position
+    (an empty or absent cell reads as '')."""
     body = cells.filter(F.col("row_no") > 0)
-    return body.select("path", *[F.get(F.col("cells"), i).alias(c) for i, c in enumerate(columns)])
+    return body.select("path", *[F.coalesce(F.get(F.col("cells"), i), F.lit("")).alias(c)
+                                 for i, c in enumerate(columns)])
 
 
 def sheet_dimensions(cells: DataFrame) -> DataFrame:

@@ -98,17 +98,29 @@ def copy_positional(spark: SparkSession, paths: str | Sequence[str], columns: Se
     """Map file columns by position onto ``columns`` (header skipped).
 
     ``fail_fast``: abort on a malformed row (wrong field count), like a COPY
-    with ON_ERROR=ABORT. Otherwise malformed rows are kept with their raw
-    text in ``_corrupt_record`` for ``copy_report``.
+    with ON_ERROR=ABORT. Otherwise malformed rows are kept, with their text in
+    ``_corrupt_record`` for ``copy_report``: rows the parser rejects, and rows
+    with more fields than declared (caught by one sentinel column past the
+    declared ones, since the lenient parser would otherwise drop the excess).
     """
     schema = text_schema(columns)
     if not fail_fast:
-        schema = schema.add(T.StructField("_corrupt_record", T.StringType(), True))
+        schema = (schema.add(T.StructField("_extra_field", T.StringType(), True))
+                  .add(T.StructField("_corrupt_record", T.StringType(), True)))
     reader = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
               .option("enforceSchema", True).option("mode", "FAILFAST" if fail_fast else "PERMISSIVE"))
-    if not fail_fast:
-        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    if fail_fast:
+        return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    df = reader.option("columnNameOfCorruptRecord", "_corrupt_record").csv(
+        list(paths) if not isinstance(paths, str) else paths)
+    # with the sentinel, a well-formed row is one field short of the read schema and
+    # is flagged by the parser; count its top-level (quote-aware) fields to tell it
+    # from a genuinely short row
+    fields = F.size(F.split(F.col("_corrupt_record"), r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    text = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns], F.col("_extra_field"))
+    bad = (F.when(F.col("_extra_field").isNotNull(), text)
+           .when(F.col("_corrupt_record").isNotNull() & (fields != len(columns)), F.col("_corrupt_record")))
+    return df.select(*[F.col(f"`{c}`") for c in columns], bad.alias("_corrupt_record"))
 
 
 def copy_report(df: DataFrame) -> DataFrame:
