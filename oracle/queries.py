@@ -597,3 +597,29 @@ FROM (SELECT dataset, source_rows, loaded_rows,
             UNION ALL SELECT 'trips', (SELECT count(*) FROM raw_trips), (SELECT count(*) FROM stg_trips)))""",
   "raw_subway", "stg_subway", "raw_bus", "stg_bus", "raw_streetcar", "stg_streetcar", "raw_trips", "stg_trips")
 ORACLE["st01_incremental_load"] = ORACLE["w01_dedup"]
+
+q("v11_reference_records", """
+SELECT 'empty' AS "check", CAST(NULL AS VARCHAR) AS detail FROM (SELECT count(*) AS n FROM bike_station_ref) WHERE n = 0
+UNION ALL SELECT 'duplicate_id', CAST(station_id AS VARCHAR) FROM bike_station_ref GROUP BY station_id HAVING count(*) > 1
+UNION ALL SELECT 'blank_station_name', CAST(station_id AS VARCHAR) FROM bike_station_ref
+  WHERE station_name IS NULL OR trim(station_name) = ''
+UNION ALL SELECT 'blank_neighborhood', CAST(station_id AS VARCHAR) FROM bike_station_ref
+  WHERE neighborhood IS NULL OR trim(neighborhood) = ''""", "bike_station_ref")
+q("v12_mapping_checks", """
+SELECT 'duplicate_raw_name' AS "check", raw_station_name AS detail, 'error' AS severity FROM station_mapping
+  GROUP BY raw_station_name HAVING count(*) > 1
+UNION ALL SELECT 'station_without_variant', station_key, 'warn' FROM subway_registry
+  WHERE station_key NOT IN (SELECT station_key FROM station_mapping)
+UNION ALL SELECT 'coverage_pct', CAST(round(sum(CASE WHEN m.station_key IS NOT NULL AND m.station_key <> 'ST_000'
+    THEN p.total_occurrences ELSE 0 END)::DOUBLE / sum(p.total_occurrences) * 100, 2) AS VARCHAR), 'info'
+  FROM primary_line p LEFT JOIN station_mapping m ON m.raw_station_name = p.raw_station_name""",
+  "station_mapping", "subway_registry", "primary_line")
+q("p28_station_picker", """
+SELECT station_key, station_name FROM dim_station WHERE station_type = 'TTC_SUBWAY' AND station_id <> 'ST_000'
+ORDER BY station_name, station_key""", "dim_station")
+q("t05_top_stations_table", f"""
+SELECT s.station_name AS "Station", s.neighborhood AS "Neighbourhood", count(*) AS "Trips"
+FROM fct_bike_trips f JOIN dim_station s ON f.start_station_key = s.station_key
+WHERE f.date_key BETWEEN 19000101 AND 29991231 AND f.user_type IN {USERS}
+GROUP BY s.station_name, s.latitude, s.longitude, s.neighborhood ORDER BY count(*) DESC, s.station_name LIMIT 20""",
+  "fct_bike_trips", "dim_station")

@@ -43,3 +43,15 @@ def test_volume_anomaly_passes_until_trained(spark):
     got = [r.t for r in Q.volume_anomalies(df, "t", "v", training=14).collect()]
     assert got == [20]
     assert Q.volume_anomalies(df.filter("t < 10"), "t", "v", training=14).count() == 0
+
+
+def test_reference_and_mapping_checks(spark):
+    ref = spark.createDataFrame([(1, "a"), (1, "b"), (2, " ")], "id int, name string")
+    got = sorted((r.check, r.detail) for r in Q.reference_records(ref, "id", ["name"]).collect())
+    assert got == [("blank_name", "2"), ("duplicate_id", "1")]
+    mapping = spark.createDataFrame([("K STN", "ST_001"), ("K", "ST_001"), ("X", "ST_000")],
+                                    "raw_station_name string, station_key string")
+    reg = spark.createDataFrame([("ST_001",), ("ST_002",)], "station_key string")
+    occ = spark.createDataFrame([("K STN", 3), ("K", 1), ("X", 4)], "raw_station_name string, total_occurrences long")
+    got = {(r.check, r.detail) for r in Q.mapping_checks(mapping, reg, occ).collect()}
+    assert got == {("station_without_variant", "ST_002"), ("coverage_pct", "50.0")}

@@ -8,33 +8,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order_cols(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None) -> list[Column]:
-    if order is not None:
-        return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
-    # deterministic survivor: every non-key column, ascending, NULLs first (Q6)
-    return [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+def _order_names(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None) -> list[str]:
+    """The explicit order, then every other non-key column: a total order, so the
+    survivor is the same whatever the partitioning or arrival order (Q6)."""
+    first = list(order or [])
+    return first + [c for c in df.columns if c not in keys and c not in first]
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None,
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
                null_safe: bool = True) -> DataFrame:
-    """One row per key; the survivor is the first by ``order``.
-
-    Shuffles once on ``keys`` (the same partitioning a following upsert on the
-    same keys reuses). ``row_number`` over a key partition is computed after a
-    sort within the partition, so a hot key is a large but spillable sort, not
-    an in-memory collect. With ``null_safe=False`` rows whose key holds a NULL
-    are all kept, as an ``ON a = b`` merge would.
+    """One row per key: the first by ``order`` (ascending, NULLs first), ties broken
+    by the remaining columns.
+
+    Written as an aggregate, ``min_by(row, ordering struct)``, not as a
+    ``row_number`` window: the aggregate runs partially on the map side, so
+    even a key holding a third of all rows leaves each map task as one row and
+    no task has to sort a hot key. With ``null_safe=False`` rows whose key
+    holds a NULL are all kept, as an ``ON a = b`` merge would.
     """
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(df, keys, order))
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    keep = F.col("_rn") == 1
-    if not null_safe:
-        any_null = None
-        for k in keys:
-            cond = F.col(k).isNull()
-            any_null = cond if any_null is None else (any_null | cond)
-        keep = keep | any_null
-    return ranked.filter(keep).drop("_rn")
+    names = _order_names(df, keys, order)
+    rest = [c for c in df.columns if c not in keys]
+    # struct ordering compares field by field with NULL lowest: ascending, NULLs first
+    ordering = F.struct(*[F.col(f"`{c}`") for c in names])
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    out_cols = [F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    if null_safe:
+        return df.groupBy(*keys).agg(F.min_by(row, ordering).alias("_row")).select(*out_cols)
+    any_null = None
+    for k in keys:
+        cond = F.col(k).isNull()
+        any_null = cond if any_null is None else (any_null | cond)
+    kept = df.filter(~any_null).groupBy(*keys).agg(F.min_by(row, ordering).alias("_row")).select(*out_cols)
+    return kept.unionByName(df.filter(any_null))
+
+
+def keep_first_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """W01/W02 with arbitrary ordering expressions (descending, computed), via ``row_number``.
+    Use ``keep_first`` when the order is ascending columns: it is skew-proof."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -210,3 +210,41 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
         out = part if out is None else out.unionByName(part)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
                           .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+
+
+def reference_records(df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
+    """Problems of a reference table — empty table, duplicate ids, blank fields."""
+    empty = df.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == 0).select(
+        F.lit("empty").alias("check"), F.lit(None).cast("string").alias("detail"))
+    dups = (df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+            .select(F.lit("duplicate_id").alias("check"), F.col(id_col).cast("string").alias("detail")))
+    out = empty.unionByName(dups)
+    for f in fields:
+        blank = (df.filter(F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == ""))
+                 .select(F.lit(f"blank_{f}").alias("check"), F.col(id_col).cast("string").alias("detail")))
+        out = out.unionByName(blank)
+    return out
+
+
+def mapping_checks(mapping: DataFrame, registry: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """Duplicate raw names (error), canonical stations with no raw variant (warn), and the
+    share of raw occurrences that resolved to a real station (info, one row)."""
+    dup = (mapping.groupBy("raw_station_name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+           .select(F.lit("duplicate_raw_name").alias("check"), F.col("raw_station_name").alias("detail"),
+                   F.lit("error").alias("severity")))
+    unused = (registry.join(mapping.select("station_key").distinct(), "station_key", "left_anti")
+              .select(F.lit("station_without_variant").alias("check"), F.col("station_key").alias("detail"),
+                      F.lit("warn").alias("severity")))
+    occ = occurrences.join(mapping, "raw_station_name", "left")
+    tot = F.sum("total_occurrences")
+    hit = F.sum(F.when(F.col("station_key").isNotNull() & (F.col("station_key") != C.UNKNOWN_STATION[1]),
+                       F.col("total_occurrences")).otherwise(0))
+    cov = occ.agg(F.lit("coverage_pct").alias("check"),
+                  F.round(hit / tot * 100, 2).cast("string").alias("detail"), F.lit("info").alias("severity"))
+    return dup.unionByName(unused).unionByName(cov)
+
+
+def inventory(spark, expected: Sequence[str], database: str | None = None) -> DataFrame:
+    """Expected tables missing from the catalog (re-aimed from a schema inventory)."""
+    have = {t.name for t in spark.catalog.listTables(database)}
+    return spark.createDataFrame([(t,) for t in expected if t not in have], "missing_table string")

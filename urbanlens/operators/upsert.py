@@ -66,3 +66,12 @@ def manifest_update(previous: DataFrame, current: DataFrame) -> DataFrame:
     """Replace entries by path, then prune entries whose file no longer exists."""
     merged = merge_upsert(previous, current, ["path"], order=["path"])
     return merged.join(current.select("path"), "path", "left_semi")
+
+
+def load_dataset(spark, target: DataFrame | None, files: str | Sequence[str], keys: Sequence[str],
+                 columns: Sequence[str] | None = None) -> DataFrame:
+    """Every file of a dataset in one read, merged into the target in one upsert."""
+    from urbanlens.sources.delimited import read_delimited
+
+    source = read_delimited(spark, files, columns=columns)
+    return source if target is None else merge_upsert(target, source, keys)

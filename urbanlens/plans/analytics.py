@@ -426,3 +426,34 @@ def reference_stations(wh) -> DataFrame:
 
 def reference_delay_codes(wh) -> DataFrame:
     return wh.dim_delay_codes.select("delay_code_key", "delay_code", "delay_description", "delay_category")
+
+
+# --- pickers and small helpers behind the pages -----------------------------------------
+
+def station_picker(wh, station_type: str) -> DataFrame:
+    """Stations of one type for a picker, the Unknown placeholder excluded, by name."""
+    return (wh.dim_station.filter((F.col("station_type") == station_type)
+                                  & (F.col("station_id") != C.UNKNOWN_STATION[1]))
+            .select("station_key", "station_name").orderBy("station_name", "station_key"))
+
+
+def trip_column(user_types: Sequence[str]) -> str:
+    """Which daily measure answers a user-type filter."""
+    chosen = set(user_types)
+    if chosen >= set(C.USER_TYPES):
+        return "total_trips"
+    return "member_trips" if "Annual Member" in chosen else "casual_trips"
+
+
+def top_stations_table(wh, n: int = 20) -> DataFrame:
+    """The n busiest start stations, projected and renamed for display."""
+    return (bike_station_activity(wh).limit(n)
+            .select(F.col("station_name").alias("Station"), F.col("neighborhood").alias("Neighbourhood"),
+                    F.col("trip_count").alias("Trips")))
+
+
+def register_views(wh, prefix: str = "") -> None:
+    """Expose the marts as temporary views for SQL users."""
+    for name in ("dim_date", "dim_station", "dim_weather", "dim_delay_codes",
+                 "fct_transit_delays", "fct_bike_trips", "fct_daily_mobility"):
+        getattr(wh, name).createOrReplaceTempView(prefix + name)

@@ -287,3 +287,13 @@ for _key, _fn in {
 from urbanlens.plans.registry_sources import SOURCE_QUERIES  # noqa: E402
 
 REGISTRY.update(SOURCE_QUERIES)
+
+for _key, _fn in {
+    "v11_reference_records": lambda wh: Q.reference_records(wh.bike_station_ref, "station_id",
+                                                            ["station_name", "neighborhood"]),
+    "v12_mapping_checks": lambda wh: Q.mapping_checks(wh.station_mapping, wh.subway_registry,
+                                                      E.primary_lines(wh.raw_subway)),
+    "p28_station_picker": lambda wh: R.station_picker(wh, "TTC_SUBWAY"),
+    "t05_top_stations_table": lambda wh: R.top_stations_table(wh, 20),
+}.items():
+    _wh_query(_key, _fn)

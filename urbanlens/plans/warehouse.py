@@ -24,6 +24,8 @@ from urbanlens.functions import columns as X
 from urbanlens.operators import resolve as E
 from urbanlens.session import materialize
 
+_SEED_PATHS: dict[tuple, str] = {}
+
 MART_NAMES = ("dim_date", "dim_station", "dim_weather", "dim_delay_codes",
               "fct_transit_delays", "fct_bike_trips", "fct_daily_mobility")
 
@@ -43,7 +45,14 @@ class Warehouse:
         return wh
 
     def _ref(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.persist_refs else df
+        """Reference tables (the seeds) are written once per session and input folder and
+        then read back by every query that needs them."""
+        if not self.persist_refs:
+            return df
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _SEED_PATHS:
+            _SEED_PATHS[key] = materialize(df, name).inputFiles()[0].rsplit("/", 1)[0]
+        return self.spark.read.parquet(_SEED_PATHS[key])
 
     def _mart(self, name: str, build) -> DataFrame:
         if name not in self._marts:

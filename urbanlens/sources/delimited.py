@@ -141,3 +141,13 @@ def write_delimited(df: DataFrame, path: str, order_by: Sequence[str], columns:
     out = df.select(*(columns or df.columns)).orderBy(*order_by)
     (out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
      .option("nullValue", null_token).csv(path))
+
+
+def load_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A typed reference table from CSV (explicit schema, no inference)."""
+    return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+def lower_columns(df: DataFrame) -> DataFrame:
+    """Lower-case column names."""
+    return df.toDF(*[c.lower() for c in df.columns])
