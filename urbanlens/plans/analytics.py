@@ -26,8 +26,10 @@ def _in_range(col: str, rng: DateRange) -> Column:
     return F.col(col).between(rng[0], rng[1])
 
 
-def _dim(df: DataFrame) -> DataFrame:
-    return F.broadcast(df)
+def _dim(wh, df: DataFrame, name: str) -> DataFrame:
+    """Broadcast a dimension only after checking its size (one cached count per
+    warehouse); past the limit the join is left to the planner and AQE."""
+    return F.broadcast(df) if wh.broadcastable(name) else df
 
 
 def _avg_minutes(col: str, dp: int = 1) -> Column:
@@ -40,7 +42,7 @@ def daily_mobility_summary(wh) -> DataFrame:
     """One row per day with activity, calendar attributes joined."""
     d = wh.dim_date.select("date_key", "full_date", "day_of_week", "is_weekend", "is_holiday")
     m = wh.fct_daily_mobility
-    return (m.join(_dim(d), "date_key").select(
+    return (m.join(_dim(wh, d, "dim_date"), "date_key").select(
         "full_date", "day_of_week", "is_weekend", "is_holiday", "total_delay_incidents",
         "total_delay_minutes", "avg_delay_minutes", "total_gap_minutes", "subway_delay_incidents",
         "bus_delay_incidents", "streetcar_delay_incidents", "total_bike_trips",
@@ -52,7 +54,7 @@ def top_delay_stations(wh, n: int = 10) -> DataFrame:
     """Top subway stations by delay minutes, with per-day rate."""
     f = wh.fct_transit_delays.filter(F.col("transit_mode") == "subway")
     s = wh.dim_station.select("station_key", "station_name", "station_type")
-    return (f.join(_dim(s), "station_key").groupBy("station_name", "station_type").agg(
+    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name", "station_type").agg(
         F.count(F.lit(1)).alias("delay_count"),
         F.sum("delay_minutes").alias("total_delay_minutes"),
         F.round(F.avg("delay_minutes"), 2).alias("avg_delay_minutes"),
@@ -64,7 +66,7 @@ def bike_weather_correlation(wh) -> DataFrame:
     """Days, mean and total trips per temperature bucket."""
     m = wh.fct_daily_mobility.filter(F.col("total_bike_trips").isNotNull())
     w = wh.dim_weather.select("date_key", "mean_temp_c")
-    return (m.join(_dim(w), "date_key")
+    return (m.join(_dim(wh, w, "dim_weather"), "date_key")
             .groupBy(X.temperature_bucket("mean_temp_c").alias("temp_bucket")).agg(
                 F.count(F.lit(1)).alias("days_in_bucket"),
                 F.round(F.avg("total_bike_trips"), 0).alias("avg_daily_trips"),
@@ -86,7 +88,7 @@ def cross_modal_analysis(wh) -> DataFrame:
 def monthly_trends(wh) -> DataFrame:
     """Monthly activity with seasonal context."""
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (wh.fct_daily_mobility.join(_dim(d), "date_key")
+    return (wh.fct_daily_mobility.join(_dim(wh, d, "dim_date"), "date_key")
             .groupBy("year", "month_num", "month_name").agg(
                 F.count(F.lit(1)).alias("active_days"),
                 F.sum("total_delay_incidents").alias("total_delay_incidents"),
@@ -121,7 +123,7 @@ def hero_worst_station(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R08."""
     f = wh.fct_transit_delays.filter((F.col("transit_mode") == "subway") & _in_range("date_key", rng))
     s = wh.dim_station.select("station_key", "station_name")
-    return (f.join(_dim(s), "station_key").groupBy("station_name")
+    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name")
             .agg(F.sum("delay_minutes").alias("total_delay_minutes"))
             .orderBy(F.desc("total_delay_minutes"), "station_name").limit(1))
 
@@ -135,7 +137,7 @@ def hero_data_freshness(wh) -> DataFrame:
 def monthly_aggregation(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R10."""
     d = wh.dim_date.select("date_key", "year", "month_num")
-    return (wh.fct_daily_mobility.filter(_in_range("date_key", rng)).join(_dim(d), "date_key")
+    return (wh.fct_daily_mobility.filter(_in_range("date_key", rng)).join(_dim(wh, d, "dim_date"), "date_key")
             .groupBy("year", F.col("month_num").alias("month")).agg(
                 F.sum("total_delay_incidents").alias("total_delay_incidents"),
                 F.sum("total_bike_trips").alias("total_bike_trips"))
@@ -154,7 +156,7 @@ def ttc_station_delays(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRang
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES)
                                      & F.col("station_key").isNotNull())
     s = wh.dim_station.select("station_key", "station_name", "latitude", "longitude")
-    return (f.join(_dim(s), "station_key").groupBy("station_name", "latitude", "longitude").agg(
+    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name", "latitude", "longitude").agg(
         F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"))
         .orderBy(F.desc("total_delay_minutes"), "station_name"))
 
@@ -165,7 +167,7 @@ def ttc_delay_causes(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRange
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES)
                                      & F.col("delay_code_key").isNotNull())
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category", "delay_description")
-    return (f.join(_dim(c), "delay_code_key").groupBy("delay_category", "delay_description").agg(
+    return (f.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key").groupBy("delay_category", "delay_description").agg(
         F.count(F.lit(1)).alias("incident_count"), F.sum("delay_minutes").alias("total_delay_minutes")))
 
 
@@ -174,7 +176,7 @@ def ttc_hourly_pattern(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRang
     f = wh.fct_transit_delays.filter(_in_range("date_key", rng)
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES))
     d = wh.dim_date.select("date_key", "day_of_week", "day_of_week_num")
-    return (f.join(_dim(d), "date_key")
+    return (f.join(_dim(wh, d, "dim_date"), "date_key")
             .groupBy(F.hour("incident_timestamp").alias("hour_of_day"), "day_of_week", "day_of_week_num")
             .agg(F.count(F.lit(1)).alias("delay_count"))
             .orderBy("day_of_week_num", "hour_of_day"))
@@ -185,7 +187,7 @@ def ttc_monthly_trend(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRange
     f = wh.fct_transit_delays.filter(_in_range("date_key", rng)
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES))
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (f.join(_dim(d), "date_key").groupBy("year", "month_num", "month_name").agg(
+    return (f.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
         F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"))
         .orderBy("year", "month_num"))
 
@@ -196,7 +198,7 @@ def bike_station_activity(wh, user_types: Sequence[str] = C.USER_TYPES, rng: Dat
                                  & X.one_of("user_type", user_types, C.USER_TYPES))
     s = wh.dim_station.select(F.col("station_key").alias("start_station_key"), "station_name",
                               "latitude", "longitude", "neighborhood")
-    return (f.join(_dim(s), "start_station_key")
+    return (f.join(_dim(wh, s, "dim_station"), "start_station_key")
             .groupBy("station_name", "latitude", "longitude", "neighborhood")
             .agg(F.count(F.lit(1)).alias("trip_count"))
             .orderBy(F.desc("trip_count"), "station_name"))
@@ -206,7 +208,7 @@ def bike_yearly_summary(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R17."""
     d = wh.dim_date.select("date_key", "year")
     m = wh.fct_daily_mobility.filter(_in_range("date_key", rng) & F.col("total_bike_trips").isNotNull())
-    return (m.join(_dim(d), "date_key").groupBy("year").agg(
+    return (m.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year").agg(
         F.sum("total_bike_trips").alias("total_trips"), F.sum("member_trips").alias("member_trips"),
         F.sum("casual_trips").alias("casual_trips"),
         F.sum("total_bike_duration_seconds").alias("total_duration_seconds")).orderBy("year"))
@@ -216,7 +218,7 @@ def bike_monthly_seasonality(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R18."""
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
     m = wh.fct_daily_mobility.filter(_in_range("date_key", rng) & F.col("total_bike_trips").isNotNull())
-    return (m.join(_dim(d), "date_key").groupBy("year", "month_num", "month_name").agg(
+    return (m.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
         F.sum("total_bike_trips").alias("total_trips"), F.sum("member_trips").alias("member_trips"),
         F.sum("casual_trips").alias("casual_trips")).orderBy("year", "month_num"))
 
@@ -225,7 +227,7 @@ def weather_daily_metrics(wh) -> DataFrame:
     """Per-day weather and mobility rows."""
     w = wh.dim_weather
     m = wh.fct_daily_mobility
-    j = m.join(_dim(w), "date_key").filter(
+    j = m.join(_dim(wh, w, "dim_weather"), "date_key").filter(
         F.col("mean_temp_c").isNotNull()
         & (F.col("total_bike_trips").isNotNull() | F.col("total_delay_incidents").isNotNull()))
     return j.select(
@@ -252,7 +254,7 @@ def station_delay_metrics(wh, station_key: str, rng: DateRange = ALL_DATES) -> D
     """One station's delay statistics and its most frequent category."""
     f = wh.fct_transit_delays.filter((F.col("station_key") == station_key) & _in_range("date_key", rng))
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category")
-    base = f.join(_dim(c), "delay_code_key", "left").select("delay_minutes", "delay_category")
+    base = f.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key", "left").select("delay_minutes", "delay_category")
     return _stats_with_mode(base, "delay_category", "delay_minutes", [
         F.coalesce(F.sum("_n"), F.lit(0)).alias("delay_count"),
         F.coalesce(F.sum("_s"), F.lit(0)).alias("total_delay_minutes"),
@@ -272,7 +274,7 @@ def station_delay_timeline(wh, station_key: str, rng: DateRange = ALL_DATES) ->
     """R22."""
     f = wh.fct_transit_delays.filter((F.col("station_key") == station_key) & _in_range("date_key", rng))
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (f.join(_dim(d), "date_key").groupBy("year", "month_num", "month_name").agg(
+    return (f.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
         F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"))
         .orderBy("year", "month_num"))
 
@@ -281,7 +283,7 @@ def station_trip_timeline(wh, station_key: str, rng: DateRange = ALL_DATES) -> D
     """R23."""
     f = wh.fct_bike_trips.filter((F.col("start_station_key") == station_key) & _in_range("date_key", rng))
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (f.join(_dim(d), "date_key").groupBy("year", "month_num", "month_name").agg(
+    return (f.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
         F.count(F.lit(1)).alias("trip_count"), _avg_minutes("duration_seconds").alias("avg_duration_minutes"))
         .orderBy("year", "month_num"))
 
@@ -292,7 +294,7 @@ def worst_stations(wh, n: int = 10) -> DataFrame:
     """R24."""
     f = wh.fct_transit_delays.filter(F.col("transit_mode") == "subway")
     s = wh.dim_station.select("station_key", "station_name")
-    return (f.join(_dim(s), "station_key").groupBy("station_name").agg(
+    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name").agg(
         F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"),
         F.round(F.avg("delay_minutes"), 1).alias("avg_delay_minutes"))
         .orderBy(F.desc("total_delay_minutes"), "station_name").limit(n))
@@ -301,7 +303,7 @@ def worst_stations(wh, n: int = 10) -> DataFrame:
 def category_share(wh) -> DataFrame:
     """Categories with percent of all incidents (window over the grouped rows)."""
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category")
-    g = (wh.fct_transit_delays.join(_dim(c), "delay_code_key").groupBy("delay_category").agg(
+    g = (wh.fct_transit_delays.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key").groupBy("delay_category").agg(
         F.count(F.lit(1)).alias("incident_count"), F.sum("delay_minutes").alias("total_minutes")))
     return (g.withColumn("pct_of_total", F.round(
         100.0 * F.col("incident_count") / F.sum("incident_count").over(Window.partitionBy()), 1))
@@ -310,7 +312,7 @@ def category_share(wh) -> DataFrame:
 
 def _by_date_attr(fact: DataFrame, wh, keys: Sequence[str], aggs: Sequence[Column], order: Sequence[str]) -> DataFrame:
     d = wh.dim_date.select("date_key", *keys)
-    return fact.join(_dim(d), "date_key").groupBy(*keys).agg(*aggs).orderBy(*order)
+    return fact.join(_dim(wh, d, "dim_date"), "date_key").groupBy(*keys).agg(*aggs).orderBy(*order)
 
 
 def delays_by_year(wh) -> DataFrame:
@@ -344,14 +346,14 @@ def trips_by_year(wh) -> DataFrame:
 def user_split_by_year(wh) -> DataFrame:
     """R30."""
     d = wh.dim_date.select("date_key", "year")
-    return (wh.fct_bike_trips.join(_dim(d), "date_key").groupBy("year", "user_type")
+    return (wh.fct_bike_trips.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "user_type")
             .agg(F.count(F.lit(1)).alias("trips")).orderBy("year", "user_type"))
 
 
 def top_start_stations(wh, n: int = 10) -> DataFrame:
     """R31."""
     s = wh.dim_station.select(F.col("station_key").alias("start_station_key"), "station_name")
-    return (wh.fct_bike_trips.join(_dim(s), "start_station_key").groupBy("station_name")
+    return (wh.fct_bike_trips.join(_dim(wh, s, "dim_station"), "start_station_key").groupBy("station_name")
             .agg(F.count(F.lit(1)).alias("trip_count"))
             .orderBy(F.desc("trip_count"), "station_name").limit(n))
 
@@ -366,7 +368,7 @@ def month_of_year_seasonality(wh) -> DataFrame:
 def trips_by_weather(wh) -> DataFrame:
     """R33."""
     w = wh.dim_weather.select("date_key", "weather_condition")
-    return (wh.fct_bike_trips.join(_dim(w), "date_key").groupBy("weather_condition").agg(
+    return (wh.fct_bike_trips.join(_dim(wh, w, "dim_weather"), "date_key").groupBy("weather_condition").agg(
         F.count(F.lit(1)).alias("trip_count"), _avg_minutes("duration_seconds").alias("avg_duration_minutes"))
         .orderBy(F.desc("trip_count"), "weather_condition"))
 
@@ -374,7 +376,7 @@ def trips_by_weather(wh) -> DataFrame:
 def delays_by_weather(wh) -> DataFrame:
     """R34."""
     w = wh.dim_weather.select("date_key", "weather_condition")
-    return (wh.fct_transit_delays.join(_dim(w), "date_key").groupBy("weather_condition").agg(
+    return (wh.fct_transit_delays.join(_dim(wh, w, "dim_weather"), "date_key").groupBy("weather_condition").agg(
         F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_minutes"),
         F.round(F.avg("delay_minutes"), 1).alias("avg_minutes"))
         .orderBy(F.desc("delay_count"), "weather_condition"))
@@ -383,7 +385,7 @@ def delays_by_weather(wh) -> DataFrame:
 def correlation_sample(wh, n: int = 100) -> DataFrame:
     """The first ``n`` days of the daily fact with weather (a sample is the feature)."""
     w = wh.dim_weather.select("date_key", "mean_temp_c", "total_precip_mm")
-    return (wh.fct_daily_mobility.join(_dim(w), "date_key")
+    return (wh.fct_daily_mobility.join(_dim(wh, w, "dim_weather"), "date_key")
             .select("date_key", "total_delay_incidents", "total_delay_minutes", "total_bike_trips",
                     "mean_temp_c", "total_precip_mm")
             .orderBy("date_key").limit(n))

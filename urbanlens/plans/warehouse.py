@@ -25,6 +25,7 @@ from urbanlens.operators import resolve as E
 from urbanlens.session import materialize
 
 _SEED_PATHS: dict[tuple, str] = {}
+MAX_BROADCAST_ROWS = 2_000_000
 
 MART_NAMES = ("dim_date", "dim_station", "dim_weather", "dim_delay_codes",
               "fct_transit_delays", "fct_bike_trips", "fct_daily_mobility")
@@ -36,6 +37,14 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.persist_refs = persist_refs
         self._marts: dict[str, DataFrame] = {}
+        self._dim_rows: dict[str, int] = {}
+
+    def broadcastable(self, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+        """A dimension may be broadcast when its counted size (cached) is under ``max_rows``.
+        Dimensions are bounded by the domain (days, stations, codes); the count proves it."""
+        if name not in self._dim_rows:
+            self._dim_rows[name] = getattr(self, name).count()
+        return self._dim_rows[name] <= max_rows
 
     @classmethod
     def from_marts(cls, spark: SparkSession, path: str) -> Warehouse:
