@@ -170,11 +170,12 @@ class Warehouse:
     # --- marts ----------------------------------------------------------------
     @property
     def dim_date(self) -> DataFrame:
-        # bounds of the spine from one scan of the incidents (dedup never removes a
-        # date, so the pre-dedup dates have the same min/max) and of the trips
-        inc = self.raw_incidents.filter(X.safe_int("min_delay") > 0).select(X.strict_date("date").alias("d"))
-        return self._mart("dim_date", lambda: M.dim_date_over(
-            (inc, "d"), (self.stg_trips, F.to_date("start_time"))))
+        def build() -> DataFrame:
+            # bounds of the spine from one scan of the incidents (dedup never removes a
+            # date, so the pre-dedup dates have the same min/max) and of the trips
+            inc = self.raw_incidents.filter(X.safe_int("min_delay") > 0).select(X.strict_date("date").alias("d"))
+            return M.dim_date_over((inc, "d"), (self.stg_trips, F.to_date("start_time")))
+        return self._mart("dim_date", build)
 
     @property
     def dim_station(self) -> DataFrame:
