@@ -141,9 +141,8 @@ def st01_incremental_load(spark, sf_dir):
     raw = T.raw_trips(spark, sf_dir)
     base = _scratch(spark, "st01")
     ST.land_in_batches(raw, f"{base}/landing", "trip_id", 3)
-    ST.load_incrementally(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint",
-                          raw.columns, ["trip_id"])
-    return ST.read_current(spark, f"{base}/table")
+    ST.load_incrementally(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", raw.columns)
+    return ST.read_current(spark, f"{base}/table", ["trip_id"])
 
 
 SOURCE_QUERIES = {

@@ -2,12 +2,15 @@
 
 The source system's only incremental behaviour is the idempotent re-load: a
 file loaded twice, or files arriving in any order, leave the same table. Here
-new delimited files in a landing folder are picked up by a file stream; every
-micro-batch is merged into the target with a key upsert whose survivor rule
-is order-independent (``keep_first`` over target + batch by a total order),
-and written as a new table version (never in place). The checkpoint makes the
-stream restartable after executor or driver loss; ``availableNow`` processes
-what is there and stops, which is how a scheduled load runs.
+new delimited files in a landing folder are picked up by a file stream and
+every micro-batch is *appended* to the table's batch folder (cost: the batch,
+not the table). Readers see the merged state: ``keep_first`` over all batches
+by a total order, which is order-independent and aggregates map-side, so a
+re-delivered file changes nothing. ``compact`` folds the batches into a new
+base version when reads start to pay for too many small batches. The
+checkpoint makes the stream restartable after executor or driver loss (a
+re-run batch rewrites its own folder, so it is idempotent); ``availableNow``
+processes what is there and stops, which is how a scheduled load runs.
 """
 
 from __future__ import annotations
@@ -22,19 +25,39 @@ from urbanlens.operators.dedup import keep_first
 from urbanlens.sources.delimited import text_schema
 
 
-def _current(spark: SparkSession, table_dir: str) -> str | None:
+def read_current(spark: SparkSession, table_dir: str, keys: Sequence[str]) -> DataFrame:
+    """The merged table: the base version (if compacted) plus every appended batch,
+    one row per key."""
+    parts = []
     try:
-        return spark.read.text(f"{table_dir}/_CURRENT").first()[0]
-    except Exception:  # noqa: BLE001 - no version yet
-        return None
+        base = spark.read.text(f"{table_dir}/_BASE").first()[0]
+        parts.append(spark.read.parquet(base))
+    except Exception:  # noqa: BLE001 - never compacted
+        pass
+    try:
+        parts.append(spark.read.parquet(f"{table_dir}/batches").drop("batch_id"))
+    except Exception:  # noqa: BLE001 - no batch yet
+        pass
+    if not parts:
+        raise FileNotFoundError(f"no data under {table_dir}")
+    allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return keep_first(allrows, keys)
+
 
+def compact(spark: SparkSession, table_dir: str, keys: Sequence[str]) -> str:
+    """Write the merged state as a new base version and point ``_BASE`` at it.
 
-def read_current(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(_current(spark, table_dir))
+    Batches already folded in may then be archived by the operator; reading them
+    again is harmless (the merge is idempotent)."""
+    version = f"{table_dir}/base-{uuid.uuid4().hex[:12]}"
+    read_current(spark, table_dir, keys).write.mode("overwrite").parquet(version)
+    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
+        f"{table_dir}/_BASE")
+    return version
 
 
 def load_incrementally(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
-                       columns: Sequence[str], keys: Sequence[str], files_per_batch: int = 1) -> int:
+                       columns: Sequence[str], files_per_batch: int = 1) -> int:
     """Run the stream until the landing folder is drained; return the number of batches."""
     stream = (spark.readStream.schema(text_schema(columns)).option("header", True)
               .option("quote", '"').option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
@@ -42,18 +65,12 @@ def load_incrementally(spark: SparkSession, landing_dir: str, table_dir: str, ch
               .csv(landing_dir))
     batches = []
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = _current(spark, table_dir)
-        incoming = batch.select(*columns)
-        allrows = incoming if prev is None else spark.read.parquet(prev).unionByName(incoming)
-        merged = keep_first(allrows, keys)
-        version = f"{table_dir}/v-{batch_id:06d}-{uuid.uuid4().hex[:8]}"
-        merged.write.mode("overwrite").parquet(version)
-        spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-            f"{table_dir}/_CURRENT")
+    def append(batch: DataFrame, batch_id: int) -> None:
+        out = f"{table_dir}/batches/batch_id={batch_id}"
+        batch.select(*columns).write.mode("overwrite").parquet(out)
         batches.append(batch_id)
 
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
+    q = (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(batches)
