@@ -161,3 +161,30 @@ def test_select_resources(spark, tmp_dir):
     cat = spark.read.schema(FD.CATALOGUE_SCHEMA).option("multiLine", True).json(tmp_dir)
     got = sorted((r.id, r.file_name) for r in FD.select_resources(cat, (2020, 2024)).collect())
     assert got == [("2", "delay_data_2023.csv"), ("3", "delay_data_2024.csv")]
+
+
+def test_csv_sink_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame([(2, "b", None), (1, "a, quoted", "x")], "id int, name string, note string")
+    D.write_delimited(df, tmp_dir, order_by=["id"], columns=["id", "name", "note"])
+    back = D.read_delimited(spark, tmp_dir).collect()
+    assert [tuple(r) for r in back] == [("1", "a, quoted", "x"), ("2", "b", None)]
+
+
+def test_rename_drifted_per_row_by_path_year(spark):
+    df = spark.createDataFrame([(2024, "504", None), (2025, None, "504")], "yr int, Route string, Line string")
+    out = D.rename_drifted(df, {"Line": "Route"}, year_col="yr").select("yr", "Route").orderBy("yr").collect()
+    assert [tuple(r) for r in out] == [(2024, "504"), (2025, "504")]
+
+
+def test_run_summary(spark):
+    s = V.run_summary(spark, [("subway", "load", "success", 10, None), ("bus", "validate", "failed", 0, "bad")])
+    tot = s.filter(F.col("dataset") == "TOTAL").first()
+    assert (tot.status, tot.rows) == ("1/2", 10)
+
+
+def test_trip_column():
+    from urbanlens.plans.analytics import trip_column
+
+    assert trip_column(["Annual Member", "Casual Member"]) == "total_trips"
+    assert trip_column(["Annual Member"]) == "member_trips"
+    assert trip_column(["Casual Member"]) == "casual_trips"
