@@ -111,7 +111,7 @@ def delay_day_bucket(col: str | Column) -> Column:
 
 
 def weather_condition(snow: str | Column, rain: str | Column) -> Column:
-    """Snow > Rain > Clear; Clear also covers NULL rain and snow."""
+    """Snow > Rain > Clear; Clear also covers NULL rain and snow (Q13)."""
     s, r = _c(snow), _c(rain)
     return (F.when(s > 0, F.lit("Snow"))
             .when((r > 0) & ((s == 0) | s.isNull()), F.lit("Rain"))

@@ -16,7 +16,8 @@ from urbanlens.functions.geo import haversine_km
 
 
 def nearest(stations: DataFrame, origin_key: str, n: int = 10, key: str = "station_key") -> DataFrame:
-    """The ``n`` stations nearest to the origin, itself and NULL coordinates excluded.
+    """The ``n`` stations nearest to the origin, itself and NULL coordinates excluded (P29);
+    the origin is a scalar subquery (J14) and ``rank`` numbers the result (W06).
 
     Ordered by the unrounded distance, then key (Q19); distance is rounded to
     2 dp only in the output.

@@ -44,7 +44,7 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str,
                   where: Column | None = None) -> DataFrame:
-    """Child keys without a parent (anti join; NULL child keys pass)."""
+    """Child keys without a parent (anti join, U04 set difference; NULL child keys pass)."""
     c = child.filter(F.col(col).isNotNull())
     if where is not None:
         c = c.filter(where)
@@ -126,7 +126,8 @@ def long_trips(fct: DataFrame, limit_seconds: int = C.LONG_TRIP_SECONDS) -> Data
 
 
 def future_dates(facts: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
-    """Rows of any fact dated after ``as_of`` (a parameter, so results are stable)."""
+    """Rows of any fact dated after ``as_of`` (a parameter, so results are stable); the
+    labelled violation sets are stacked (U03)."""
     cutoff = date_key(F.lit(as_of))
     out = None
     for name, df in facts.items():
@@ -136,7 +137,8 @@ def future_dates(facts: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
 
 
 def day_over_day_drops(daily: DataFrame, min_ratio: float = C.DAY_OVER_DAY_MIN_RATIO) -> DataFrame:
-    """D14 (warn): days whose activity fell below ``min_ratio`` of the previous present day."""
+    """D14 (warn): days whose activity fell below ``min_ratio`` of the previous present day
+    (W03 lag over the date key; the previous *present* date, Q17)."""
     counts = daily.select("date_key", (F.coalesce("total_delay_incidents", F.lit(0))
                                        + F.coalesce("total_bike_trips", F.lit(0))).alias("daily_activity_count"))
     w = Window.orderBy("date_key")
@@ -147,7 +149,8 @@ def day_over_day_drops(daily: DataFrame, min_ratio: float = C.DAY_OVER_DAY_MIN_R
 
 def mapping_coverage(enriched: DataFrame, threshold: float = C.MAPPING_COVERAGE_MIN,
                      treat_as_unmapped: Sequence[str] = ()) -> DataFrame:
-    """One row when the share of subway rows with a canonical station is below ``threshold``.
+    """One row when the share of subway rows with a canonical station is below ``threshold``
+    (A09 count(col) against count(*)).
 
     ``Unknown`` is a non-NULL name and counts as mapped unless listed in
     ``treat_as_unmapped`` (Q8).

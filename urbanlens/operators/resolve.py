@@ -139,9 +139,11 @@ def resolve_names(names: DataFrame, lookup: DataFrame, registry: DataFrame,
     ``names``: raw_station_name, primary_line.  ``lookup``: core_name,
     station_key, line_code.  ``registry``: station_key, canonical_station_name.
     ``overrides``: raw_station_name, station_key, line_code.
-    Priority: override, normalised core, 'X TO Y', 'X AND Y', longest contained
-    name, 'APPROACHING X' (the remainder resolved by the same rules),
-    'BETWEEN X AND Y', then Unknown with the normalised primary line.
+    Priority: override (E02), normalised core (E03), 'X TO Y' / 'X AND Y' (E04),
+    longest contained name (E05), 'APPROACHING X' (the remainder resolved by the
+    same rules) and 'BETWEEN X AND Y' (E06), then Unknown with the normalised
+    primary line (E07). The registries themselves are data (E08): the caller
+    passes them as DataFrames.
     """
     n = names.select(F.col("raw_station_name").alias("name"), "primary_line").distinct()
     first = _rules(n.select("name"), lookup, overrides)

@@ -39,7 +39,7 @@ def _avg_minutes(col: str, dp: int = 1) -> Column:
 # --- benchmark analyses ----------------------------------------------------------
 
 def daily_mobility_summary(wh) -> DataFrame:
-    """One row per day with activity, calendar attributes joined."""
+    """One row per day with activity, calendar attributes joined."""
     d = wh.dim_date.select("date_key", "full_date", "day_of_week", "is_weekend", "is_holiday")
     m = wh.fct_daily_mobility
     return (m.join(_dim(wh, d, "dim_date"), "date_key").select(
@@ -51,7 +51,8 @@ def daily_mobility_summary(wh) -> DataFrame:
 
 
 def top_delay_stations(wh, n: int = 10) -> DataFrame:
-    """Top subway stations by delay minutes, with per-day rate."""
+    """Top subway stations by delay minutes, with per-day rate (J06, A05 count distinct,
+    T02 top-10 with a name tiebreak, Q18)."""
     f = wh.fct_transit_delays.filter(F.col("transit_mode") == "subway")
     s = wh.dim_station.select("station_key", "station_name", "station_type")
     return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name", "station_type").agg(
@@ -63,7 +64,7 @@ def top_delay_stations(wh, n: int = 10) -> DataFrame:
 
 
 def bike_weather_correlation(wh) -> DataFrame:
-    """Days, mean and total trips per temperature bucket."""
+    """Days, mean and total trips per temperature bucket (J08, A08 group by expression, Q14)."""
     m = wh.fct_daily_mobility.filter(F.col("total_bike_trips").isNotNull())
     w = wh.dim_weather.select("date_key", "mean_temp_c")
     return (m.join(_dim(wh, w, "dim_weather"), "date_key")
@@ -75,7 +76,7 @@ def bike_weather_correlation(wh) -> DataFrame:
 
 
 def cross_modal_analysis(wh) -> DataFrame:
-    """Bike trips on low / medium / high delay days."""
+    """Bike trips on low / medium / high delay days."""
     m = wh.fct_daily_mobility.filter(F.col("total_bike_trips").isNotNull()
                                      & F.col("total_delay_incidents").isNotNull())
     return (m.groupBy(X.delay_day_bucket("total_delay_minutes").alias("ttc_delay_category")).agg(
@@ -103,7 +104,7 @@ def monthly_trends(wh) -> DataFrame:
 # --- dashboard heroes and builders ------------------------------------------------
 
 def hero_total_delay_hours(wh, rng: DateRange = ALL_DATES) -> DataFrame:
-    """R06."""
+    """coalesce(sum, 0) / 60 over a date-key range (A06, P23 BETWEEN)."""
     f = wh.fct_transit_delays.filter(_in_range("date_key", rng))
     return f.agg((F.coalesce(F.sum("delay_minutes"), F.lit(0)) / 60).alias("total_delay_hours"))
 
@@ -120,7 +121,7 @@ def hero_daily_bike_trips(wh, rng: DateRange = ALL_DATES) -> DataFrame:
 
 
 def hero_worst_station(wh, rng: DateRange = ALL_DATES) -> DataFrame:
-    """R08."""
+    """Worst station (J06, T03 top-1)."""
     f = wh.fct_transit_delays.filter((F.col("transit_mode") == "subway") & _in_range("date_key", rng))
     s = wh.dim_station.select("station_key", "station_name")
     return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name")
@@ -129,7 +130,7 @@ def hero_worst_station(wh, rng: DateRange = ALL_DATES) -> DataFrame:
 
 
 def hero_data_freshness(wh) -> DataFrame:
-    """Latest calendar date that has mobility data (semi join)."""
+    """Latest calendar date that has mobility data (J10 semi join, A07 max)."""
     d = wh.dim_date.join(wh.fct_daily_mobility.select("date_key"), "date_key", "left_semi")
     return d.agg(F.max("full_date").alias("latest_date"))
 
@@ -162,7 +163,7 @@ def ttc_station_delays(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRang
 
 
 def ttc_delay_causes(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRange = ALL_DATES) -> DataFrame:
-    """Category -> description hierarchy."""
+    """Category -> description hierarchy (J09 inner join on the code key)."""
     f = wh.fct_transit_delays.filter(_in_range("date_key", rng)
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES)
                                      & F.col("delay_code_key").isNotNull())
@@ -224,7 +225,7 @@ def bike_monthly_seasonality(wh, rng: DateRange = ALL_DATES) -> DataFrame:
 
 
 def weather_daily_metrics(wh) -> DataFrame:
-    """Per-day weather and mobility rows."""
+    """Per-day weather and mobility rows (J08, P26 OR of not-nulls, P20 casts)."""
     w = wh.dim_weather
     m = wh.fct_daily_mobility
     j = m.join(_dim(wh, w, "dim_weather"), "date_key").filter(
@@ -251,7 +252,8 @@ def _stats_with_mode(base: DataFrame, label: str, measure: str, aggs) -> DataFra
 
 
 def station_delay_metrics(wh, station_key: str, rng: DateRange = ALL_DATES) -> DataFrame:
-    """One station's delay statistics and its most frequent category."""
+    """One station's delay statistics and its most frequent category (P25 key + range,
+    J09 left join, A14/W05 mode; the scalar subquery J14 becomes one global aggregate)."""
     f = wh.fct_transit_delays.filter((F.col("station_key") == station_key) & _in_range("date_key", rng))
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category")
     base = f.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key", "left").select("delay_minutes", "delay_category")
@@ -301,7 +303,7 @@ def worst_stations(wh, n: int = 10) -> DataFrame:
 
 
 def category_share(wh) -> DataFrame:
-    """Categories with percent of all incidents (window over the grouped rows)."""
+    """Categories with percent of all incidents (W04 sum over () on the grouped rows)."""
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category")
     g = (wh.fct_transit_delays.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key").groupBy("delay_category").agg(
         F.count(F.lit(1)).alias("incident_count"), F.sum("delay_minutes").alias("total_minutes")))
@@ -383,7 +385,7 @@ def delays_by_weather(wh) -> DataFrame:
 
 
 def correlation_sample(wh, n: int = 100) -> DataFrame:
-    """The first ``n`` days of the daily fact with weather (a sample is the feature)."""
+    """The first ``n`` days of the daily fact with weather (T04; the limit is the feature)."""
     w = wh.dim_weather.select("date_key", "mean_temp_c", "total_precip_mm")
     return (wh.fct_daily_mobility.join(_dim(wh, w, "dim_weather"), "date_key")
             .select("date_key", "total_delay_incidents", "total_delay_minutes", "total_bike_trips",
@@ -392,7 +394,7 @@ def correlation_sample(wh, n: int = 100) -> DataFrame:
 
 
 def delay_hero_stats(wh) -> DataFrame:
-    """R36."""
+    """Count, sum, min/max date key."""
     return wh.fct_transit_delays.agg(
         F.count(F.lit(1)).alias("total_delay_incidents"),
         F.sum("delay_minutes").alias("total_delay_minutes"),
@@ -417,7 +419,7 @@ def coordinate_completeness(wh) -> DataFrame:
 
 
 def reference_date_bounds(wh) -> DataFrame:
-    """Date-picker bounds (the station and code lists are the dimensions themselves)."""
+    """Date-picker bounds (A07); ``reference_stations`` / ``reference_delay_codes`` are P30."""
     return wh.dim_date.agg(F.min("full_date").alias("min_date"), F.max("full_date").alias("max_date"))
 
 

@@ -43,7 +43,7 @@ def busiest_period(timeline: DataFrame, measure: str) -> DataFrame:
 
 
 def condition_means(daily: DataFrame, measure: str, dp: int = 0) -> DataFrame:
-    """Mean of ``measure`` per weather condition, in the fixed condition order."""
+    """Mean of ``measure`` per weather condition, in the fixed condition order."""
     order = F.array_position(F.array(*[F.lit(c) for c in C.WEATHER_CONDITIONS]), F.col("weather_condition"))
     return (daily.groupBy("weather_condition").agg(F.round(F.avg(measure), dp).alias(f"avg_{measure}"))
             .withColumn("condition_order", order.cast("int")).orderBy("condition_order"))

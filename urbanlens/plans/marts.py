@@ -1,4 +1,8 @@
-"""Mart models M11-M17 and the reference tables they are built from."""
+"""Mart models M11-M17 and the reference tables they are built from.
+
+Column lists follow the source models' select lists, not the diagram in the
+source documentation where the two disagree (Q21).
+"""
 
 from __future__ import annotations
 
@@ -33,7 +37,8 @@ def station_ref_from_feed(feed: DataFrame, cfg: C.MobilityConfig = C.DEFAULT,
 
 
 def dim_station(station_mapping: DataFrame, coords: DataFrame, bike_ref: DataFrame) -> DataFrame:
-    """Subway stations (distinct canonical names + coordinates) and bike stations."""
+    """Subway stations (P27 distinct canonical names, J04 left join to coordinates, P18 casts)
+    and bike stations (P19 id as text), stacked (U02)."""
     ttc = station_mapping.select(F.col("station_key").alias("station_id"),
                                  F.col("canonical_station_name").alias("station_name")).distinct()
     co = coords.select("canonical_station_name",
@@ -69,7 +74,8 @@ def dim_delay_codes(codes: DataFrame) -> DataFrame:
 
 
 def fct_transit_delays(enriched: DataFrame) -> DataFrame:
-    """Re-keyed incident fact; station key only for mapped subway rows, code key for any code."""
+    """Re-keyed incident fact (P09); station key only for mapped subway rows, code key for
+    any code, even one missing from the code table (P10, Q10)."""
     e = enriched
     return e.select(
         X.surrogate_key("transit_mode", "delay_sk").alias("delay_sk"), "date_key",
@@ -80,7 +86,8 @@ def fct_transit_delays(enriched: DataFrame) -> DataFrame:
 
 
 def fct_bike_trips(enriched: DataFrame) -> DataFrame:
-    """Trip fact; station keys only where the station lookup hit (by latitude)."""
+    """Trip fact; station keys only where the station lookup hit, tested by latitude (Q11);
+    ids are cast to text before hashing so both sides agree (Q12)."""
     s_id = F.col("start_station_id").cast("string")
     e_id = F.col("end_station_id").cast("string")
     return enriched.select(
@@ -100,7 +107,7 @@ TRANSIT_DAILY = ("total_delay_incidents", "total_delay_minutes", "avg_delay_minu
 
 
 def fct_daily_mobility(transit: DataFrame, bike: DataFrame) -> DataFrame:
-    """Full outer join on the date key; the absent side stays NULL (Q16).
+    """Full outer join on the date key (J05); the absent side stays NULL (Q16).
 
     Both inputs are already one row per day, so this join shuffles two small
     frames (days x measures), not the facts.
@@ -118,7 +125,7 @@ def fct_daily_mobility(transit: DataFrame, bike: DataFrame) -> DataFrame:
 
 
 def dim_date_over(*date_frames: tuple[DataFrame, str]) -> DataFrame:
-    """M11 on a spine of whole years covering every given date column.
+    """M11 on a spine of whole years covering every given date column (P17 typed attributes).
 
     The bounds are two scalars (one aggregate job); the spine is then built
     from them, so the calendar never re-reads the facts.

@@ -1,4 +1,4 @@
-"""Parameters of the registered dashboard queries.
+"""Parameters of the registered dashboard queries (P23 date-key range, P24 closed domains).
 
 The date range spans every date in the data, so each query runs over whole
 tables; the station parameters pick one subway and one bike station (a

@@ -14,7 +14,8 @@ SURFACE_KEY = ("date", "time", "route", "direction", "delay_code", "min_delay")
 
 
 def stg_subway(raw: DataFrame) -> DataFrame:
-    """Positive delays, typed, one row per natural key."""
+    """Positive delays (P21), typed (P01, P03, P05), renamed (P06), literal mode (P07),
+    one row per natural key (W01)."""
     src = raw.filter(X.safe_int("min_delay") > 0)
     src = keep_first(src, SUBWAY_KEY)
     return src.select(
@@ -52,7 +53,7 @@ def stg_surface(raw: DataFrame, mode: str) -> DataFrame:
 
 
 def stg_trips(raw: DataFrame, cfg: MobilityConfig = DEFAULT) -> DataFrame:
-    """Trips of at least a minute with a parseable start (no dedup here, Q26)."""
+    """Trips of at least a minute with a parseable start (P22; no dedup here, Q26)."""
     fmt = cfg.trip_time_format
     src = raw.filter((X.safe_int("trip_duration") >= cfg.min_trip_seconds)
                      & X.safe_timestamp("start_time", fmt).isNotNull())

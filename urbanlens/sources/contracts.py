@@ -189,7 +189,8 @@ def raise_on_errors(violations: DataFrame) -> None:
 
 def reconcile(source_counts: DataFrame, loaded_counts: DataFrame,
               tolerance_pct: float = C.RECONCILE_TOLERANCE_PCT) -> DataFrame:
-    """Per dataset, |source - loaded| / source <= tolerance; 0 source rows pass only if 0 loaded."""
+    """Per dataset, |source - loaded| / source <= tolerance; 0 source rows pass only if 0 loaded.
+    Counts are true row counts, not file counts (Q20)."""
     j = source_counts.join(loaded_counts, "dataset", "full")
     s, l_ = F.coalesce("source_rows", F.lit(0)), F.coalesce("loaded_rows", F.lit(0))
     diff = F.when(s == 0, F.when(l_ == 0, F.lit(0.0)).otherwise(F.lit(100.0))) \

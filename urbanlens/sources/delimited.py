@@ -32,7 +32,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     """Comma-separated, header skipped, '"'-quoted, every column text.
 
     With ``columns`` the header names are taken from that list (by name, not
-    position: the file's header must contain them); without it every header
+    position, Q25: the file's header must contain them); without it every header
     column is kept as text. NULL tokens map to NULL (Q24). Compressed files
     are read transparently by extension.
     """
