@@ -57,9 +57,12 @@ def s14_copy_counts(spark, sf_dir):
 
 def _merge_inputs(spark, sf_dir):
     trips = Warehouse(spark, sf_dir).stg_trips
-    target = (trips.filter(F.col("start_time") < F.lit(MERGE_TARGET_BEFORE))
+    # wall-clock literals as timestamp_ntz, independent of any time zone
+    before = F.lit(MERGE_TARGET_BEFORE.isoformat(sep=" ")).cast("timestamp_ntz")
+    since = F.lit(MERGE_SOURCE_FROM.isoformat(sep=" ")).cast("timestamp_ntz")
+    target = (trips.filter(F.col("start_time") < before)
               .withColumn("trip_duration_seconds", F.lit(0)))
-    source = trips.filter(F.col("start_time") >= F.lit(MERGE_SOURCE_FROM))
+    source = trips.filter(F.col("start_time") >= since)
     return target, source
 
 

@@ -25,6 +25,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # on a cluster, set many shuffle partitions and let AQE merge them to the
+        # advisory size (spark.sql.adaptive.advisoryPartitionSizeInBytes)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
