@@ -20,12 +20,17 @@ from urbanlens.plans import marts as M
 from urbanlens.plans.warehouse import MART_NAMES
 
 FACTS = {"fct_transit_delays", "fct_bike_trips"}
+# station drill-downs filter on these keys; a bloom filter per row group lets the
+# reader skip row groups without the key (the files are clustered by date, not station)
+BLOOM_COLUMNS = {"fct_transit_delays": ("station_key",), "fct_bike_trips": ("start_station_key",)}
 
 
-def _write(df: DataFrame, path: str, fact: bool) -> None:
+def _write(df: DataFrame, path: str, fact: bool, bloom: tuple[str, ...] = ()) -> None:
     if fact:
-        (df.repartitionByRange(F.col("date_key")).sortWithinPartitions("date_key")
-         .write.mode("overwrite").parquet(path))
+        w = df.repartitionByRange(F.col("date_key")).sortWithinPartitions("date_key").write.mode("overwrite")
+        for c in bloom:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        w.parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -62,7 +67,7 @@ def publish_marts(wh, base: str) -> str:
                                    for f in ("fct_transit_delays", "fct_bike_trips")])
         else:
             df = getattr(wh, name)
-        _write(df, f"{version}/{name}", name in FACTS)
+        _write(df, f"{version}/{name}", name in FACTS, BLOOM_COLUMNS.get(name, ()))
     spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
         f"{base.rstrip('/')}/_CURRENT")
     return version
