@@ -623,3 +623,13 @@ FROM fct_bike_trips f JOIN dim_station s ON f.start_station_key = s.station_key
 WHERE f.date_key BETWEEN 19000101 AND 29991231 AND f.user_type IN {USERS}
 GROUP BY s.station_name, s.latitude, s.longitude, s.neighborhood ORDER BY count(*) DESC, s.station_name LIMIT 20""",
   "fct_bike_trips", "dim_station")
+
+_many = " UNION ALL ".join(
+    f"""SELECT '{k}' AS origin_key, rank, station_key, distance_km FROM (
+  SELECT row_number() OVER (ORDER BY d, station_key) AS rank, station_key, round(d, 2) AS distance_km
+  FROM (SELECT s.station_key, {_hav.format(la1="o.la0", lo1="o.lo0", la2="CAST(s.latitude AS DOUBLE)", lo2="CAST(s.longitude AS DOUBLE)")} AS d
+        FROM dim_station s, (SELECT CAST(latitude AS DOUBLE) AS la0, CAST(longitude AS DOUBLE) AS lo0 FROM dim_station
+                             WHERE station_key = '{k}') o
+        WHERE s.station_key <> '{k}' AND s.latitude IS NOT NULL AND s.longitude IS NOT NULL)
+  WHERE d IS NOT NULL ORDER BY d, station_key LIMIT 5)""" for k in P.COMPARE_SUBWAY_KEYS)
+q("j13_nearest_many", _many, "dim_station")

@@ -65,3 +65,10 @@ def test_streaming_load_is_idempotent(spark, tmp_dir):
     ST.load_incrementally(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", f"{tmp_dir}/ck", ["k", "v"])
     ST.compact(spark, f"{tmp_dir}/t", ["k"])
     assert {(r.k, r.v) for r in ST.read_current(spark, f"{tmp_dir}/t", ["k"]).collect()} == expect
+
+
+def test_nearest_many(spark):
+    st = spark.createDataFrame([("o", 43.65, -79.38), ("p", 43.70, -79.38), ("a", 43.66, -79.38)],
+                               "station_key string, latitude double, longitude double")
+    got = {(r.origin_key, r.rank, r.station_key) for r in G.nearest_many(st, ["o", "p"], 1).collect()}
+    assert got == {("o", 1, "a"), ("p", 1, "a")}

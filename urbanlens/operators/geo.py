@@ -35,6 +35,18 @@ def nearest(stations: DataFrame, origin_key: str, n: int = 10, key: str = "stati
             .withColumn("distance_km", F.round("_d", 2)).drop("_d"))
 
 
+def nearest_many(stations: DataFrame, origin_keys: list[str], n: int = 10,
+                 key: str = "station_key") -> DataFrame:
+    """J13 for a short list of origins (a comparison picks up to three): one
+    single-origin search per origin, stacked. Each is linear in the stations;
+    no origin-by-station pairs are formed."""
+    out = None
+    for o in origin_keys:
+        part = nearest(stations, o, n, key).withColumn("origin_key", F.lit(o))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def nearby_weight(nearby: DataFrame, lo: float = C.NEARBY_WEIGHT_RANGE[0],
                   hi: float = C.NEARBY_WEIGHT_RANGE[1]) -> DataFrame:
     """Weight falls from ``hi`` to ``lo`` with distance over the farthest shown; all

@@ -19,13 +19,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def register(key: str):
-    def deco(fn):
-        REGISTRY[key] = fn
-        return fn
-    return deco
-
-
 def _wh_query(key: str, fn: Callable[[Warehouse], DataFrame]) -> None:
     REGISTRY[key] = lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
 
@@ -297,3 +290,6 @@ for _key, _fn in {
     "t05_top_stations_table": lambda wh: R.top_stations_table(wh, 20),
 }.items():
     _wh_query(_key, _fn)
+
+_wh_query("j13_nearest_many", lambda wh: G.nearest_many(wh.dim_station, list(P.COMPARE_SUBWAY_KEYS), 5)
+          .select("origin_key", "rank", "station_key", "distance_km"))
