@@ -77,9 +77,13 @@ def incident_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     base = ev.unionByName(od).withColumn(
         "gap", F.when(F.col("rid") % 10 != 0, F.col("gap")))
-    again = (base.filter(F.col("rid") % REDELIVERY_EVERY == 0)
-             .withColumn("gap", F.coalesce(F.col("gap"), F.lit(0)) + 1))
-    return base.unionByName(again)
+    # every REDELIVERY_EVERY-th record arrives a second time with another gap value;
+    # generated in the same scan (explode), not by a second pass over the sources
+    copies = F.explode(F.when(F.col("rid") % REDELIVERY_EVERY == 0, F.array(F.lit(0), F.lit(1)))
+                       .otherwise(F.array(F.lit(0))))
+    rec = base.select("*", copies.alias("_copy"))
+    return rec.withColumn("gap", F.when(F.col("_copy") == 1, F.coalesce(F.col("gap"), F.lit(0)) + 1)
+                          .otherwise(F.col("gap"))).drop("_copy")
 
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

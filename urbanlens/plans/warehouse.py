@@ -47,10 +47,17 @@ class Warehouse:
         return self._dim_rows[name] <= max_rows
 
     @classmethod
-    def from_marts(cls, spark: SparkSession, path: str) -> Warehouse:
+    def from_marts(cls, spark: SparkSession, path: str, cache_small: bool = False) -> Warehouse:
+        """Read published marts. ``cache_small`` keeps the marts whose size is bounded by
+        the domain (dimensions, and the daily fact: one row per day) in executor memory
+        for a serving session that queries them repeatedly; the event facts stay on
+        parquet, where pruning applies."""
         wh = cls(spark, None)
         for name in MART_NAMES:
-            wh._marts[name] = spark.read.parquet(f"{path}/{name}")
+            df = spark.read.parquet(f"{path}/{name}")
+            if cache_small and name not in ("fct_transit_delays", "fct_bike_trips"):
+                df = df.cache()
+            wh._marts[name] = df
         return wh
 
     def _ref(self, df: DataFrame, name: str) -> DataFrame:
@@ -68,30 +75,38 @@ class Warehouse:
             self._marts[name] = build()
         return self._marts[name]
 
-    # --- raw role frames -----------------------------------------------------
+    # --- raw role frames: landed once per session as text tables (S02), like the
+    # RAW layer of the source system; every model reads the landed table
     @cached_property
     def raw_incidents(self) -> DataFrame:
-        return T.raw_incidents(self.spark, self.sf_dir)
+        return self._ref(T.raw_incidents(self.spark, self.sf_dir), "raw_incidents")
+
+    def _raw_mode(self, mode: str) -> DataFrame:
+        inc = self.raw_incidents.filter(F.col("transit_mode") == mode)
+        if mode == "subway":
+            return inc.select("date", "time", "day", "station", "code", "min_delay", "min_gap", "bound", "line")
+        return inc.select("date", "route", "time", "day", "location", F.col("code").alias("delay_code"),
+                          "min_delay", "min_gap", F.col("bound").alias("direction"))
 
     @cached_property
     def raw_subway(self) -> DataFrame:
-        return T.raw_subway(self.spark, self.sf_dir)
+        return self._raw_mode("subway")
 
     @cached_property
     def raw_bus(self) -> DataFrame:
-        return T.raw_surface(self.spark, self.sf_dir, "bus")
+        return self._raw_mode("bus")
 
     @cached_property
     def raw_streetcar(self) -> DataFrame:
-        return T.raw_surface(self.spark, self.sf_dir, "streetcar")
+        return self._raw_mode("streetcar")
 
     @cached_property
     def raw_trips(self) -> DataFrame:
-        return T.raw_trips(self.spark, self.sf_dir)
+        return self._ref(T.raw_trips(self.spark, self.sf_dir), "raw_trips")
 
     @cached_property
     def raw_weather(self) -> DataFrame:
-        return T.raw_weather(self.spark, self.sf_dir)
+        return self._ref(T.raw_weather(self.spark, self.sf_dir), "raw_weather")
 
     # --- reference tables -------------------------------------------------------
     @cached_property
