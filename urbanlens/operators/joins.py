@@ -1,0 +1,18 @@
+"""Lookup joins with a checked broadcast.
+
+A lookup side is broadcast only after its row count is known to be under a
+limit; otherwise the join is left to the planner (sort-merge, re-planned by
+AQE at run time). Reference tables here are written parquet, so the count is
+answered from file metadata and costs one small job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if df.count() <= max_rows else df

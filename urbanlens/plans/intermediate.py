@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import columns as X
+from urbanlens.operators.joins import checked_broadcast
 
 UNIONED_COLUMNS = (
     "delay_sk", "delay_date", "delay_time", "incident_timestamp", "day_of_week",
@@ -29,14 +30,14 @@ def delays_unioned(subway: DataFrame, bus: DataFrame, streetcar: DataFrame) -> D
 def delays_enriched(unioned: DataFrame, station_mapping: DataFrame, delay_codes: DataFrame) -> DataFrame:
     """Raw station name -> canonical (J01), code -> description (J02), date key.
 
-    Both lookups are small reference tables (one row per raw name / per code),
-    so they are broadcast; the fact side is never shuffled here.
+    Both lookups are reference tables (one row per raw name / per code); after a
+    size check they are broadcast, so the fact side is not shuffled here.
     """
     sm = station_mapping.select("raw_station_name", "canonical_station_name",
                                 F.col("station_key").alias("station_id"))
     dc = delay_codes.select("delay_code", "delay_description", "delay_category")
-    return (unioned.join(F.broadcast(sm), "raw_station_name", "left")
-            .join(F.broadcast(dc), "delay_code", "left")
+    return (unioned.join(checked_broadcast(sm), "raw_station_name", "left")
+            .join(checked_broadcast(dc), "delay_code", "left")
             .withColumn("date_key", X.date_key("delay_date"))
             .select(*UNIONED_COLUMNS, "canonical_station_name", "station_id",
                     "delay_description", "delay_category", "date_key"))
@@ -53,8 +54,8 @@ def trips_enriched(trips: DataFrame, station_ref: DataFrame) -> DataFrame:
                      F.col("latitude").alias("end_latitude"),
                      F.col("longitude").alias("end_longitude"),
                      F.col("neighborhood").alias("end_neighborhood"))
-    return (trips.join(F.broadcast(start), "start_station_id", "left")
-            .join(F.broadcast(end), "end_station_id", "left")
+    return (trips.join(checked_broadcast(start), "start_station_id", "left")
+            .join(checked_broadcast(end), "end_station_id", "left")
             .withColumn("trip_date", F.to_date("start_time"))
             .withColumn("date_key", X.date_key(F.to_date("start_time")))
             .withColumn("duration_bucket", X.duration_bucket("trip_duration_seconds")))

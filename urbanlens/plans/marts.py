@@ -44,6 +44,7 @@ def dim_station(station_mapping: DataFrame, coords: DataFrame, bike_ref: DataFra
     co = coords.select("canonical_station_name",
                        F.col("latitude").cast("decimal(10,6)").alias("latitude"),
                        F.col("longitude").cast("decimal(10,6)").alias("longitude"))
+    # coordinates: one row per registry station (bounded by the registry)
     ttc_dim = (ttc.join(F.broadcast(co), ttc.station_name == co.canonical_station_name, "left")
                .select(X.surrogate_key(F.lit("TTC_SUBWAY"), "station_id").alias("station_key"),
                        "station_id", "station_name", F.lit("TTC_SUBWAY").alias("station_type"),

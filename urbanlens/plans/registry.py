@@ -148,7 +148,7 @@ def _compare(wh: Warehouse):
     f = wh.fct_transit_delays.filter(F.col("station_key").isin(keys))
     s = wh.dim_station.select("station_key", "station_name")
     d = wh.dim_date.select("date_key", "year", "month_num")
-    return (f.join(F.broadcast(s), "station_key").join(F.broadcast(d), "date_key")
+    return (f.join(R._dim(wh, s, "dim_station"), "station_key").join(R._dim(wh, d, "dim_date"), "date_key")
             .groupBy("station_name", "year", "month_num")
             .agg(F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes")))
 
@@ -176,7 +176,7 @@ def _first_match(wh: Warehouse):
         F.col("station_name").isNotNull()).distinct()
     st = W.keep_first(wh.dim_station.select("station_name", "station_key", "station_type"),
                       ["station_name"], ["station_key"])
-    return names.join(F.broadcast(st), "station_name", "left")
+    return names.join(R._dim(wh, st, "dim_station"), "station_name", "left")
 
 
 def _longest_contained(wh: Warehouse):

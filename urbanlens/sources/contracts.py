@@ -129,7 +129,7 @@ def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = C.
     if sample_rows is not None:
         d = d.withColumn("_rid", F.monotonically_increasing_id())
         first = d.groupBy("file_path").agg(F.min("_rid").alias("_first"))
-        d = (d.join(F.broadcast(first), "file_path")
+        d = (d.join(first, "file_path")
              .filter(F.col("_rid") - F.col("_first") < sample_rows).drop("_rid", "_first"))
     cols = [c for c in contract.columns if c.name in df.columns]
     checks = []
