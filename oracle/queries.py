@@ -633,3 +633,15 @@ _many = " UNION ALL ".join(
         WHERE s.station_key <> '{k}' AND s.latitude IS NOT NULL AND s.longitude IS NOT NULL)
   WHERE d IS NOT NULL ORDER BY d, station_key LIMIT 5)""" for k in P.COMPARE_SUBWAY_KEYS)
 q("j13_nearest_many", _many, "dim_station")
+
+_nparts = []
+for _c in CONTRACTS["subway_delays"].columns:
+    _src = _raw_col[_c.name]
+    _nparts.append(f"SELECT '{_c.name}' AS column_name, {str(_c.nullable).upper()} AS nullable, "
+                   f"sum(CASE WHEN {_src} IS NULL OR upper(trim({_src})) IN ('', 'NULL') THEN 1 ELSE 0 END)::BIGINT "
+                   f"AS null_rows FROM raw_subway")
+q("v05_nulls", f"""
+SELECT *, CASE WHEN null_rows > 0 AND NOT nullable THEN 'error' ELSE 'pass' END AS status
+FROM ({" UNION ALL ".join(_nparts)})""", "raw_subway")
+q("e10_description", "SELECT delay_code, delay_description FROM delay_codes", "delay_codes")
+q("e11_neighbourhood", "SELECT station_id, neighborhood FROM bike_station_ref", "bike_station_ref")

@@ -30,3 +30,20 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["year", "month_num", "month_name"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("key", ["r02_top_delay_stations", "m01_stg_subway", "e01_resolve", "a25_rollup_parent_share"])
+def test_deterministic_across_partitionings(spark, key):
+    """SURVEY 7.6: the same result on two runs with different shuffle partition counts."""
+    from oracle_compare import _rows
+
+    results = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            df = E.queries()[key](spark, SF)
+            results.append(_rows(df.columns, [tuple(r) for r in df.collect()]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1]

@@ -293,3 +293,6 @@ for _key, _fn in {
 
 _wh_query("j13_nearest_many", lambda wh: G.nearest_many(wh.dim_station, list(P.COMPARE_SUBWAY_KEYS), 5)
           .select("origin_key", "rank", "station_key", "distance_km"))
+
+_wh_query("e10_description", lambda wh: wh.delay_codes.select("delay_code", "delay_description"))
+_wh_query("e11_neighbourhood", lambda wh: wh.bike_station_ref.select("station_id", "neighborhood"))

@@ -91,6 +91,14 @@ def v04_types(spark, sf_dir):
     return v.groupBy("check", "column_name", "value", "severity").agg(F.sum("n_rows").alias("n_rows"))
 
 
+def v05_nulls(spark, sf_dir):
+    raw = T.raw_subway(spark, sf_dir).toDF(*SUBWAY_FILE_HEADER)
+    path = _scratch(spark, "v05")
+    raw.write.option("header", True).csv(path)
+    df = D.read_delimited(spark, path, with_path=True, null_tokens=())
+    return V.null_profile(df, V.CONTRACTS["subway_delays"])
+
+
 def v10_reconcile(spark, sf_dir):
     wh = Warehouse(spark, sf_dir)
     src, loaded = [], []
@@ -161,6 +169,7 @@ SOURCE_QUERIES = {
     "s18b_merge_stats": s18b_merge_stats,
     "s20_publish": s20_publish,
     "v04_types": v04_types,
+    "v05_nulls": v05_nulls,
     "v10_reconcile": v10_reconcile,
     "st01_incremental_load": st01_incremental_load,
 }

@@ -147,6 +147,19 @@ def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = C.
             .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("severity", F.lit("error")))
 
 
+def null_profile(df: DataFrame, contract: Contract) -> DataFrame:
+    """Per contract column, how many values count as null (blank or any-case NULL)
+    and whether the contract allows it; one aggregate over all files."""
+    cols = [c for c in contract.columns if c.name in df.columns]
+    aggs = [F.sum(F.when(F.col(f"`{c.name}`").isNull() | F.upper(F.trim(F.col(f"`{c.name}`"))).isin("", "NULL"), 1)
+                  .otherwise(0)).alias(f"c{i}") for i, c in enumerate(cols)]
+    wide = df.agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(c.name).alias("column_name"), F.lit(c.nullable).alias("nullable"),
+                                        F.col(f"c{i}").alias("null_rows")) for i, c in enumerate(cols)]))
+    return wide.select(rows.alias("r")).select("r.*").withColumn(
+        "status", F.when((F.col("null_rows") > 0) & ~F.col("nullable"), "error").otherwise("pass"))
+
+
 def row_count_checks(df: DataFrame, contract: Contract) -> DataFrame:
     """V06 (warn): files with fewer data rows than the contract's minimum."""
     return (df.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
