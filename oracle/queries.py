@@ -373,7 +373,7 @@ _hav = """(CASE WHEN {la1} = {la2} AND {lo1} = {lo2} THEN 0.0 ELSE 2 * 6371.0 *
 _origin = f"(SELECT CAST(latitude AS DOUBLE) AS la0, CAST(longitude AS DOUBLE) AS lo0 FROM dim_station WHERE station_key = '{P.SUBWAY_STATION_KEY}')"
 _dist = _hav.format(la1="o.la0", lo1="o.lo0", la2="CAST(s.latitude AS DOUBLE)", lo2="CAST(s.longitude AS DOUBLE)")
 _near = f"""
-SELECT row_number() OVER (ORDER BY d, station_key) AS rank, station_key, station_name, station_type, round(d, 2) AS distance_km
+SELECT CAST(row_number() OVER (ORDER BY d, station_key) AS INTEGER) AS rank, station_key, station_name, station_type, round(d, 2) AS distance_km
 FROM (SELECT s.*, {_dist} AS d FROM dim_station s, {_origin} o
       WHERE s.station_key <> '{P.SUBWAY_STATION_KEY}' AND s.latitude IS NOT NULL AND s.longitude IS NOT NULL)
 WHERE d IS NOT NULL ORDER BY d, station_key LIMIT {P.NEARBY_N}"""
@@ -490,8 +490,9 @@ q("a21_weighted_mean", f"""
 SELECT CASE WHEN sum(total_trips) > 0 THEN round(sum(total_duration_seconds)::DOUBLE / sum(total_trips) / 60, 0) END
   AS avg_trip_minutes FROM ({_r17_body})""", "fct_daily_mobility", "dim_date")
 q("a22_pairs", """
-SELECT station AS raw_station_name, line, count(*) AS occurrences, min(year(CAST(date AS DATE))) AS first_year,
-       max(year(CAST(date AS DATE))) AS last_year
+SELECT station AS raw_station_name, line, count(*) AS occurrences,
+       CAST(min(year(CAST(date AS DATE))) AS INTEGER) AS first_year,
+       CAST(max(year(CAST(date AS DATE))) AS INTEGER) AS last_year
 FROM raw_subway WHERE station IS NOT NULL AND trim(station) <> '' GROUP BY station, line""", "raw_subway")
 q("a23_primary_line", "SELECT raw_station_name, primary_line, total_occurrences::BIGINT AS total_occurrences FROM primary_line",
   "primary_line")
@@ -499,7 +500,7 @@ q("a24_code_counts", "SELECT delay_code, occurrences FROM code_counts", "code_co
 q("a25_rollup_parent_share", f"""
 WITH c AS ({_r13_body}),
 r AS (SELECT delay_category, delay_description, sum(incident_count)::BIGINT AS value,
-             CAST(grouping(delay_category, delay_description) AS INTEGER) AS level
+             CAST(grouping(delay_category, delay_description) AS BIGINT) AS level
       FROM c GROUP BY ROLLUP (delay_category, delay_description))
 SELECT delay_category, delay_description, level, value,
        round(value::DOUBLE / CASE WHEN level = 0 THEN max(CASE WHEN level = 1 THEN value END) OVER (PARTITION BY delay_category)
@@ -626,7 +627,7 @@ GROUP BY s.station_name, s.latitude, s.longitude, s.neighborhood ORDER BY count(
 
 _many = " UNION ALL ".join(
     f"""SELECT '{k}' AS origin_key, rank, station_key, distance_km FROM (
-  SELECT row_number() OVER (ORDER BY d, station_key) AS rank, station_key, round(d, 2) AS distance_km
+  SELECT CAST(row_number() OVER (ORDER BY d, station_key) AS INTEGER) AS rank, station_key, round(d, 2) AS distance_km
   FROM (SELECT s.station_key, {_hav.format(la1="o.la0", lo1="o.lo0", la2="CAST(s.latitude AS DOUBLE)", lo2="CAST(s.longitude AS DOUBLE)")} AS d
         FROM dim_station s, (SELECT CAST(latitude AS DOUBLE) AS la0, CAST(longitude AS DOUBLE) AS lo0 FROM dim_station
                              WHERE station_key = '{k}') o

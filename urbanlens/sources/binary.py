@@ -288,3 +288,16 @@ def write_partition_files(df: DataFrame, out_dir: str, kind: str, n_files: int)
         yield pd.DataFrame({"path": [path]})
 
     return df.repartition(n_files).mapInPandas(write, "path string").count()
+
+
+# The helpers above run inside executor tasks. Ship this module's code by value
+# with each task, so executors do not need the package installed or on a path.
+def _ship_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
