@@ -62,3 +62,17 @@ def test_one_of_validates_domain(spark):
         X.one_of("m", [], ["a"])
     with pytest.raises(ValueError):
         X.one_of("m", ["zzz"], ["a"])
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+        # 2:43 on a spring-forward Sunday does not exist in that zone
+        assert one(spark, X.safe_timestamp, "4/2/2000 2:43") == dt.datetime(2000, 4, 2, 2, 43)
+        assert one(spark, X.safe_timestamp, "2/30/2020 1:00") is None
+        df = spark.createDataFrame([("2000-04-02 02:43:05",)], "v string").select(F.col("v").cast("timestamp_ntz").alias("t"))
+        r = df.select(X.format_ntz("t", "M/d/yyyy H:mm").alias("a"), X.format_ntz("t", "yyyy-MM-dd HH:mm:ss").alias("b")).first()
+        assert (r.a, r.b) == ("4/2/2000 2:43", "2000-04-02 02:43:05")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

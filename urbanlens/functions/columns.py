@@ -37,7 +37,7 @@ def strict_date(col: str | Column) -> Column:
 def time_text(col: str | Column) -> Column:
     """TIME kept as 'HH:mm:ss' text (Spark has no TIME column type by default)."""
     t = F.to_timestamp_ntz(F.concat(F.lit("1970-01-01 "), _c(col)), F.lit("yyyy-MM-dd H:mm[:ss]"))
-    return F.date_format(t, "HH:mm:ss")
+    return format_ntz(t, "HH:mm:ss")
 
 
 def timestamp_from_parts(date_col: str | Column, time_col: str | Column) -> Column:
@@ -47,9 +47,60 @@ def timestamp_from_parts(date_col: str | Column, time_col: str | Column) -> Colu
         F.lit("yyyy-MM-dd H:mm[:ss]"))
 
 
+_FIELDS = {"yyyy": ("year", r"(\d{4})"), "MM": ("month", r"(\d{2})"), "M": ("month", r"(\d{1,2})"),
+           "dd": ("day", r"(\d{2})"), "d": ("day", r"(\d{1,2})"), "HH": ("hour", r"(\d{2})"),
+           "H": ("hour", r"(\d{1,2})"), "mm": ("minute", r"(\d{2})"), "ss": ("second", r"(\d{2})")}
+
+
+def _pattern_regex(fmt: str) -> tuple[str, list[str]]:
+    """Anchored regex with one group per date-time field of a simple pattern."""
+    rx, fields, i = "^", [], 0
+    while i < len(fmt):
+        tok = next((t for t in ("yyyy", "MM", "dd", "HH", "mm", "ss", "M", "d", "H") if fmt.startswith(t, i)), None)
+        if tok:
+            name, group = _FIELDS[tok]
+            rx, i = rx + group, i + len(tok)
+            fields.append(name)
+        else:
+            rx, i = rx + ("\\s+" if fmt[i] == " " else "\\" + fmt[i] if not fmt[i].isalnum() else fmt[i]), i + 1
+    return rx + "$", fields
+
+
+_PRINTF = {"yyyy": ("%04d", F.year), "MM": ("%02d", F.month), "M": ("%d", F.month), "dd": ("%02d", F.dayofmonth),
+           "d": ("%d", F.dayofmonth), "HH": ("%02d", F.hour), "H": ("%d", F.hour), "mm": ("%02d", F.minute),
+           "ss": ("%02d", F.second)}
+
+
+def format_ntz(ts: str | Column, fmt: str) -> Column:
+    """Render a timestamp_ntz by a simple pattern from its fields.
+
+    ``date_format`` passes a timestamp_ntz through the session time zone, which
+    moves wall-clock times inside a daylight-saving gap; field extraction does
+    not, so this is exact in every zone."""
+    t = _c(ts)
+    out, args, i = "", [], 0
+    while i < len(fmt):
+        tok = next((k for k in ("yyyy", "MM", "dd", "HH", "mm", "ss", "M", "d", "H") if fmt.startswith(k, i)), None)
+        if tok:
+            spec, fn = _PRINTF[tok]
+            out, i = out + spec, i + len(tok)
+            args.append(fn(t))
+        else:
+            out, i = out + fmt[i].replace("%", "%%"), i + 1
+    return F.format_string(out, *args)
+
+
 def safe_timestamp(col: str | Column, fmt: str = "M/d/yyyy H:mm") -> Column:
-    """NTZ timestamp by one format, NULL when the text does not match."""
-    return F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
+    """NTZ timestamp by one format, NULL when the text does not match or is no
+    valid date. Fields are read by pattern and assembled with
+    ``try_make_timestamp_ntz``, so the result never depends on a time zone (a
+    parse through the session zone would move times inside a daylight-saving gap)."""
+    rx, fields = _pattern_regex(fmt)
+    c = F.trim(_c(col))
+    part = {name: F.regexp_extract(c, rx, i + 1).cast("int") for i, name in enumerate(fields)}
+    ts = F.try_make_timestamp_ntz(part["year"], part["month"], part["day"], part.get("hour", F.lit(0)),
+                                  part.get("minute", F.lit(0)), part.get("second", F.lit(0)))
+    return F.when(c.rlike(rx), ts)
 
 
 # --- keys ------------------------------------------------------------------

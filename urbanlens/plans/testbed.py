@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanlens.functions.columns import format_ntz
 from urbanlens.session import read_table
 
 # --- fixed values of the adapter (test-bed only) ---------------------------
@@ -93,7 +94,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = incident_records(spark, sf_dir).join(F.broadcast(nation), "nat")
     rid, name = F.col("rid"), F.col("n_name")
     mode = _pick(("subway", "bus", "streetcar"), F.col("src_id") % 3)
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = format_ntz("ts", "yyyy-MM-dd")
     variant = rid % 16
     station = F.when(variant == 7, F.concat(F.lit("TRACK LEVEL "), (rid % 9).cast("string"))).otherwise(
         F.concat(_pick(STATION_PREFIXES, variant % 8), name, _pick(STATION_SUFFIXES, variant % 8)))
@@ -109,8 +110,8 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.select(
         mode.alias("transit_mode"),
         F.when(rid % 11 == 0, F.concat(day, F.lit(" 00:00:00"))).otherwise(day).alias("date"),
-        F.date_format("ts", "HH:mm").alias("time"),
-        F.date_format("ts", "EEEE").alias("day"),
+        format_ntz("ts", "HH:mm").alias("time"),
+        F.date_format(F.to_date("ts"), "EEEE").alias("day"),
         station.alias("station"),
         name.alias("location"),
         ((rid % 40) + 1).cast("string").alias("route"),
@@ -148,11 +149,11 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_linenumber").cast("string")).alias("trip_id"),
         duration.cast("string").alias("trip_duration"),
         F.col("l_suppkey").cast("string").alias("start_station_id"),
-        F.when(F.col("l_orderkey") % 101 == 0, F.date_format(start, "yyyy-MM-dd HH:mm"))
-        .otherwise(F.date_format(start, "M/d/yyyy H:mm")).alias("start_time"),
+        F.when(F.col("l_orderkey") % 101 == 0, format_ntz(start, "yyyy-MM-dd HH:mm"))
+        .otherwise(format_ntz(start, "M/d/yyyy H:mm")).alias("start_time"),
         F.concat(F.lit("Station "), F.col("l_suppkey").cast("string")).alias("start_station_name"),
         end_id.cast("string").alias("end_station_id"),
-        F.date_format(end, "M/d/yyyy H:mm").alias("end_time"),
+        format_ntz(end, "M/d/yyyy H:mm").alias("end_time"),
         F.concat(F.lit("Station "), end_id.cast("string")).alias("end_station_name"),
         F.col("l_partkey").cast("string").alias("bike_id"),
         F.when(F.col("l_returnflag") == "N", F.lit("Casual Member"))
