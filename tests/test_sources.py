@@ -188,3 +188,20 @@ def test_trip_column():
     assert trip_column(["Annual Member", "Casual Member"]) == "total_trips"
     assert trip_column(["Annual Member"]) == "member_trips"
     assert trip_column(["Casual Member"]) == "casual_trips"
+
+
+def test_seed_dataset_views_inventory(spark, tmp_dir):
+    from urbanlens.operators import quality as Q
+    from urbanlens.operators import upsert as U
+
+    write(f"{tmp_dir}/seed", "codes.csv", "delay_code,delay_description,delay_category\nMUSC,Speed Control,Mechanical\n")
+    seed = D.load_seed(spark, f"{tmp_dir}/seed", "delay_code string, delay_description string, delay_category string")
+    assert seed.first().delay_category == "Mechanical"
+    assert D.lower_columns(seed.toDF("A", "B", "C")).columns == ["a", "b", "c"]
+    write(f"{tmp_dir}/files", "a.csv", "k,v\n1,a\n2,b\n")
+    write(f"{tmp_dir}/files", "b.csv", "k,v\n2,c\n3,d\n")
+    target = spark.createDataFrame([("1", "old"), ("9", "keep")], "k string, v string")
+    got = sorted(tuple(r) for r in U.load_dataset(spark, target, f"{tmp_dir}/files", ["k"]).collect())
+    assert got == [("1", "a"), ("2", "b"), ("3", "d"), ("9", "keep")]
+    seed.createOrReplaceTempView("seed_codes")
+    assert [r.missing_table for r in Q.inventory(spark, ["seed_codes", "dim_date"]).collect()] == ["dim_date"]
