@@ -7,20 +7,43 @@ them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from urbanlens.plans import analytics as R
 from urbanlens.plans import params as P
-from urbanlens.plans.warehouse import Warehouse
+from urbanlens.plans.publish import publish_marts
+from urbanlens.plans.warehouse import MART_NAMES, Warehouse
+from urbanlens.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+_PUBLISHED: dict[tuple, str] = {}
+
+
+def _warehouse(spark: SparkSession, sf_dir: str, from_raw: bool) -> Warehouse:
+    """Model keys build every model from the raw role frames. The other keys read the
+    marts the way analytic queries do in production: published once per session
+    and input folder (``publish_marts``), then read back; everything else they need
+    (seeds, staging) still comes from the raw frames."""
+    wh = Warehouse(spark, sf_dir)
+    if from_raw:
+        return wh
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = publish_marts(wh, shared_dir(spark, f"marts-{uuid.uuid4().hex[:12]}"))
+    for name in MART_NAMES:
+        wh._marts[name] = spark.read.parquet(f"{_PUBLISHED[key]}/{name}")
+    return wh
+
+
 def _wh_query(key: str, fn: Callable[[Warehouse], DataFrame]) -> None:
-    REGISTRY[key] = lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
+    from_raw = key.startswith("m")
+    REGISTRY[key] = lambda spark, sf_dir: fn(_warehouse(spark, sf_dir, from_raw))
 
 
 _MODELS = {

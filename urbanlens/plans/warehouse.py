@@ -25,6 +25,7 @@ from urbanlens.operators import resolve as E
 from urbanlens.session import materialize
 
 _SEED_PATHS: dict[tuple, str] = {}
+_DIM_ROWS: dict[tuple, int] = {}
 MAX_BROADCAST_ROWS = 2_000_000
 
 MART_NAMES = ("dim_date", "dim_station", "dim_weather", "dim_delay_codes",
@@ -38,12 +39,16 @@ class Warehouse:
         self.persist_refs = persist_refs
         self._marts: dict[str, DataFrame] = {}
         self._dim_rows: dict[str, int] = {}
+        self._source = sf_dir
 
     def broadcastable(self, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
         """A dimension may be broadcast when its counted size (cached) is under ``max_rows``.
         Dimensions are bounded by the domain (days, stations, codes); the count proves it."""
         if name not in self._dim_rows:
-            self._dim_rows[name] = getattr(self, name).count()
+            key = (self.spark.sparkContext.applicationId, self.sf_dir or self._source, name)
+            if key not in _DIM_ROWS:
+                _DIM_ROWS[key] = getattr(self, name).count()
+            self._dim_rows[name] = _DIM_ROWS[key]
         return self._dim_rows[name] <= max_rows
 
     @classmethod
@@ -53,6 +58,7 @@ class Warehouse:
         for a serving session that queries them repeatedly; the event facts stay on
         parquet, where pruning applies."""
         wh = cls(spark, None)
+        wh._source = path
         for name in MART_NAMES:
             df = spark.read.parquet(f"{path}/{name}")
             if cache_small and name not in ("fct_transit_delays", "fct_bike_trips"):
@@ -190,7 +196,7 @@ class Warehouse:
             # date, so the pre-dedup dates have the same min/max) and of the trips
             inc = self.raw_incidents.filter(X.safe_int("min_delay") > 0).select(X.strict_date("date").alias("d"))
             return M.dim_date_over((inc, "d"), (self.stg_trips, F.to_date("start_time")))
-        return self._mart("dim_date", build)
+        return self._mart("dim_date", lambda: self._ref(build(), "dim_date"))
 
     @property
     def dim_station(self) -> DataFrame:
