@@ -14,9 +14,11 @@ TABLES = (
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app: str = "urbanlens") -> SparkSession:
+                app: str = "urbanlens", extra: dict | None = None) -> SparkSession:
     """Session tuned for this library: AQE, skew-join splitting, UTC, no UI."""
     builder = SparkSession.builder.appName(app)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = (
