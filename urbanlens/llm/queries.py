@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import packing, secrets
+from urbanlens.llm import neardup, packing, secrets
 from urbanlens.session import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,7 +25,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op9_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op7_secret_scan": op7_secret_scan,
+    "op9_minmax_neardup": op9_minmax_neardup,
 }
