@@ -216,3 +216,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left").select(
         "doc_id", "n_shingles", own.alias("component_id"), (F.col("doc_id").isNull() | (own == F.col("doc_id"))).alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents whose group has a smaller id; of rows that share an
+    id one is kept (rows without an id all stay)."""
+    found = shared_table(near_duplicates(docs, percent, id_col, text_col), "near-found")
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
+    repeated = (found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+                .select(F.col("doc_id").alias("_id")))
+    own = docs[id_col].cast("long")
+    out = docs.join(shared_table(dropped, "near-dropped"), own == F.col("_id"), "left_anti")
+    repeated = shared_table(repeated, "near-repeated")
+    if repeated.isEmpty():
+        return out
+    again = out.join(repeated, own == F.col("_id"), "left_semi").dropDuplicates([id_col])
+    return out.join(repeated, own == F.col("_id"), "left_anti").unionByName(again)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import neardup, packing, secrets
+from urbanlens.llm import decontam, neardup, packing, quality, secrets
 from urbanlens.session import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -29,8 +37,17 @@ def op9_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op6_decontamination": op6_decontamination,
     "op7_secret_scan": op7_secret_scan,
     "op9_minmax_neardup": op9_minmax_neardup,
+    "pipeline": pipeline,
 }
