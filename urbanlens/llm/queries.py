@@ -11,12 +11,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import decontam, neardup, packing, quality, secrets
+from urbanlens.llm import decontam, fingerprints, licenses, neardup, packing, quality, secrets, tokencount
 from urbanlens.session import read_table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_report(read_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), RANKS)
 
@@ -33,10 +38,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op9_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(read_table(spark, sf_dir, "documents"), PIECES)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -44,10 +57,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_winnowing": op1_winnowing,
     "op2_packing": op2_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_secret_scan": op7_secret_scan,
+    "op8_license_scan": op8_license_scan,
     "op9_minmax_neardup": op9_minmax_neardup,
+    "op10_token_counts": op10_token_counts,
     "pipeline": pipeline,
 }
