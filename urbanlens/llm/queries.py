@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import decontam, fingerprints, html, licenses, neardup, packing, quality, secrets, tokencount
+from urbanlens.llm import decontam, fingerprints, html, licenses, neardup, packing, quality, secrets, substrings, tokencount
 from urbanlens.session import read_table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -34,6 +34,10 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_html_extraction": op4_html_extraction,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,

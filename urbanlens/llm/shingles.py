@@ -32,7 +32,7 @@ _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _ORDER = splitmix(WORDS, 2) | np.uint64(1)
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -42,7 +42,7 @@ class Shingler:
     """Keeps the power tables between texts."""
 
     def __init__(self):
-        self.up, self.down = _powers(_STEP, 1 << 16), _powers(_BACK, 1 << 16)
+        self.up, self.down = powers(_STEP, 1 << 16), powers(_BACK, 1 << 16)
 
     def words(self, data: bytes) -> np.ndarray:
         """One hash for each word, in order."""
@@ -54,7 +54,7 @@ class Shingler:
             return np.empty(0, np.uint64)
         if len(raw) > len(self.up):
             n = 1 << int(len(raw) - 1).bit_length()
-            self.up, self.down = _powers(_STEP, n), _powers(_BACK, n)
+            self.up, self.down = powers(_STEP, n), powers(_BACK, n)
         values = _BYTES[raw] * self.up[:len(raw)]
         values[~inside] = 0
         sums = np.add.reduceat(values, starts)
