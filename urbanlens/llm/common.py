@@ -34,5 +34,13 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def n_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import shared_table, texts
+from urbanlens.llm.common import fresh, shared_table, texts
 from urbanlens.llm.graph import components
 from urbanlens.llm.shingles import Shingler, mix, splitmix
 
@@ -222,13 +222,12 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_co
     """``docs`` without the documents whose group has a smaller id; of rows that share an
     id one is kept (rows without an id all stay)."""
     found = shared_table(near_duplicates(docs, percent, id_col, text_col), "near-found")
-    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    repeated = (found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-                .select(F.col("doc_id").alias("_id")))
-    own = docs[id_col].cast("long")
-    out = docs.join(shared_table(dropped, "near-dropped"), own == F.col("_id"), "left_anti")
-    repeated = shared_table(repeated, "near-repeated")
+    name, own = fresh(docs, "_dropped"), F.col(id_col).cast("long")
+    dropped = shared_table(found.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "near-dropped")
+    repeated = shared_table(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+                            .select(F.col("doc_id").alias(name)), "near-repeated")
+    out = docs.join(dropped, own == F.col(name), "left_anti")
     if repeated.isEmpty():
         return out
-    again = out.join(repeated, own == F.col("_id"), "left_semi").dropDuplicates([id_col])
-    return out.join(repeated, own == F.col("_id"), "left_anti").unionByName(again)
+    again = out.join(repeated, own == F.col(name), "left_semi").dropDuplicates([id_col])
+    return out.join(repeated, own == F.col(name), "left_anti").unionByName(again)

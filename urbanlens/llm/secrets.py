@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import row_key, shared_table, texts
+from urbanlens.llm.common import fresh, row_key, shared_table, texts
 
 
 @dataclass(frozen=True)
@@ -270,12 +270,13 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by ``mask`` (overlapping spans by
     one); rows without a secret are unchanged, null texts stay null."""
+    at_key, at_spans = fresh(docs, "_key"), fresh(docs, "_spans")
     spans = (scan_secrets(docs, id_col, text_col, rules).filter(F.size("spans") > 0)
-             .select(F.col("key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"]))
+             .select(F.col("key").alias(at_key), F.col("spans").alias(at_spans)).dropDuplicates([at_key]))
     spans = shared_table(spans, "secret-spans")
     text = F.col(text_col)
     key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(text.cast("string"), F.lit("")))
-    df = docs.withColumn("_key", key).join(spans, "_key", "left")
+    df = docs.withColumn(at_key, key).join(spans, at_key, "left")
     # (rebuilt text, end of what has been copied): spans are ordered by start
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
@@ -284,5 +285,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
         return F.struct(F.concat(acc["out"], F.coalesce(gap, F.lit(""))).alias("out"),
                         F.greatest(acc["at"], s["end"]).alias("at"))
 
-    whole = F.aggregate("_spans", state, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return df.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(whole)).select(*docs.columns)
+    whole = F.aggregate(at_spans, state, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return df.withColumn(text_col, F.when(F.col(at_spans).isNull(), text).otherwise(whole)).select(*docs.columns)
