@@ -37,14 +37,19 @@ def nearest(stations: DataFrame, origin_key: str, n: int = 10, key: str = "stati
 
 def nearest_many(stations: DataFrame, origin_keys: list[str], n: int = 10,
                  key: str = "station_key") -> DataFrame:
-    """J13 for a short list of origins (a comparison picks up to three): one
-    single-origin search per origin, stacked. Each is linear in the stations;
-    no origin-by-station pairs are formed."""
-    out = None
-    for o in origin_keys:
-        part = nearest(stations, o, n, key).withColumn("origin_key", F.lit(o))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """J13 for a short list of origins (a comparison picks up to three): one pass over the
+    stations. The origins' coordinates are one scalar subquery; each station yields a row
+    per origin, and the ranking keeps ``n`` rows per origin in each task before its shuffle."""
+    point = F.struct(F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"))
+    origins = stations.filter(F.col(key).isin(list(origin_keys))).agg(
+        F.collect_list(F.struct(F.col(key).alias("origin_key"), point.alias("at"))).alias("o")).scalar()
+    cand = (stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+            .select("*", F.explode(origins).alias("_o")).filter(F.col(key) != F.col("_o.origin_key")))
+    d = haversine_km(F.col("_o.at.lat"), F.col("_o.at.lon"), F.col("latitude"), F.col("longitude"))
+    w = Window.partitionBy("origin_key").orderBy("_d", key)
+    return (cand.withColumn("_d", d).filter(F.col("_d").isNotNull()).withColumn("origin_key", F.col("_o.origin_key"))
+            .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+            .withColumn("distance_km", F.round("_d", 2)).drop("_d", "_o"))
 
 
 def nearby_weight(nearby: DataFrame, lo: float = C.NEARBY_WEIGHT_RANGE[0],
