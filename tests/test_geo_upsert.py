@@ -50,21 +50,76 @@ def test_manifest(spark):
         [("p1", 10), ("p2", 21), ("p3", 7)]
 
 
-def test_streaming_load_is_idempotent(spark, tmp_dir):
+def test_streaming_load_is_an_idempotent_upsert(spark, tmp_dir):
     from urbanlens.streaming import incremental as ST
 
+    def load():
+        return ST.load_incrementally(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", f"{tmp_dir}/ck", ["k", "v"])
+
+    def state():
+        return {(r.k, r.v) for r in ST.read_current(spark, f"{tmp_dir}/t", ["k"]).collect()}
+
     df = spark.createDataFrame([(str(i % 7), str(i)) for i in range(40)], "k string, v string")
     ST.land_in_batches(df, f"{tmp_dir}/landing", "v", 3)
-    n = ST.load_incrementally(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", f"{tmp_dir}/ck", ["k", "v"])
-    assert n >= 3  # one batch per landed file
-    got = {(r.k, r.v) for r in ST.read_current(spark, f"{tmp_dir}/t", ["k"]).collect()}
+    assert load() >= 1
     expect = {(str(k), str(min((i for i in range(40) if i % 7 == k), key=str))) for k in range(7)}
-    assert got == expect
-    # a re-delivered file and a compaction leave the same table
-    ST.land_in_batches(df.filter("v < '2'"), f"{tmp_dir}/landing/again", "v", 1)
-    ST.load_incrementally(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t", f"{tmp_dir}/ck", ["k", "v"])
+    assert state() == expect
+    # the same rows again, and a compaction, leave the same table
+    ST.land_in_batches(df, f"{tmp_dir}/landing/again", "v", 1)
+    load()
     ST.compact(spark, f"{tmp_dir}/t", ["k"])
-    assert {(r.k, r.v) for r in ST.read_current(spark, f"{tmp_dir}/t", ["k"]).collect()} == expect
+    assert state() == expect
+    # a correction takes effect, although its value is larger; before and after a compaction
+    ST.land_in_batches(spark.createDataFrame([("3", "900")], "k string, v string"), f"{tmp_dir}/landing/fix", "v", 1)
+    load()
+    corrected = {(k, "900" if k == "3" else v) for k, v in expect}
+    assert state() == corrected
+    ST.compact(spark, f"{tmp_dir}/t", ["k"])
+    assert state() == corrected
+    with pytest.raises(FileNotFoundError):
+        ST.read_current(spark, f"{tmp_dir}/nothing", ["k"])
+
+
+def test_a_base_that_is_gone_is_an_error(spark, tmp_dir):
+    from urbanlens.streaming import incremental as ST
+
+    row = spark.createDataFrame([(f"{tmp_dir}/gone", 0)], "path string, through_batch long")
+    row.write.parquet(f"{tmp_dir}/t/_BASES")
+    spark.createDataFrame([("a", "1", 1)], "k string, v string, batch_id int").write.partitionBy("batch_id").parquet(f"{tmp_dir}/t/batches")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        ST.read_current(spark, f"{tmp_dir}/t", ["k"])
+
+
+def test_failed_publish_keeps_the_version_before(spark, tmp_dir, monkeypatch):
+    """The third mart fails, and once the validation: readers still get the old version."""
+    from urbanlens.plans import publish as PUB
+
+    class Marts:
+        def __init__(self, broken=None, days=(1,)):
+            self.spark, self.broken = spark, broken
+            self.fct_transit_delays = spark.createDataFrame([("s", 20240101, "k", "bus")],
+                                                            "delay_sk string, date_key int, station_key string, transit_mode string")
+            self.fct_bike_trips = spark.createDataFrame([(f"t{d}", 20240100 + d, "k") for d in days],
+                                                        "trip_sk string, date_key int, start_station_key string")
+
+        def __getattr__(self, name):
+            if name == self.broken:
+                raise RuntimeError(name)
+            return spark.range(1).toDF("x")
+
+    monkeypatch.setattr(PUB, "daily_from_facts", lambda t, b: t.select("date_key"))
+    first = PUB.publish_marts(Marts(), tmp_dir)
+    assert PUB.current_version(spark, tmp_dir) == first
+    with pytest.raises(RuntimeError, match="dim_station"):
+        PUB.publish_marts(Marts(broken="dim_station"), tmp_dir)
+    with pytest.raises(PUB.PublishError, match="fct_bike_trips is empty"):
+        monkeypatch.setattr(Marts, "__init__", lambda self: None)
+        empty = Marts()
+        empty.spark, empty.broken = spark, None
+        empty.fct_transit_delays = spark.read.parquet(f"{first}/fct_transit_delays")
+        empty.fct_bike_trips = spark.read.parquet(f"{first}/fct_bike_trips").limit(0)
+        PUB.publish_marts(empty, tmp_dir)
+    assert PUB.current_version(spark, tmp_dir) == first
 
 
 def test_nearest_many(spark):

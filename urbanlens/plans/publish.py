@@ -1,11 +1,13 @@
 """Publishing marts (S20/S21): all-or-nothing, previous version kept on failure.
 
-Each publish writes every mart into a fresh version folder; only when all are
-written is the ``_CURRENT`` pointer file replaced, so readers see either the
-old or the new set, never a mix. Facts are range-partitioned by their date
-key, so each file covers one date range and a date-range predicate skips
-whole files; inside a file rows are sorted by station key, so row-group
-statistics (and bloom filters) serve single-station drill-downs.
+Each publish writes every mart into a fresh version folder and validates it there.
+Only then is a row appended to the ``_VERSIONS`` table, whose newest row names the
+version that readers use: an append adds one file when its job commits and never
+touches what is there, so a crash, or a reader in between, finds the previous
+version. Facts are range-partitioned by date and station, so each file covers a
+narrow date range, a date-range predicate skips whole files, and a date that holds
+a large part of the rows is split; inside a file rows are sorted by station key, so
+row-group statistics (and bloom filters) serve single-station drill-downs.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def _write(df: DataFrame, path: str, fact: bool, bloom: tuple[str, ...] = ()) ->
         # files cover date ranges (date predicates skip files); inside a file rows are
         # ordered by station, then date, so row-group statistics also skip row groups
         # for a single-station drill-down
-        w = (df.repartitionByRange(F.col("date_key")).sortWithinPartitions(*bloom, "date_key")
+        w = (df.repartitionByRange("date_key", *bloom).sortWithinPartitions(*bloom, "date_key")
              .write.mode("overwrite"))
         for c in bloom:
             w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
@@ -53,15 +55,36 @@ PUBLISH_ORDER = ("fct_transit_delays", "fct_bike_trips", "dim_date", "dim_statio
                  "dim_delay_codes", "fct_daily_mobility")
 
 
-def publish_marts(wh, base: str) -> str:
-    """Write all marts under ``base/<version>/`` and return that folder.
+class PublishError(RuntimeError):
+    """A version that did not pass its checks; the previous one stays current."""
+
+
+def _validate(spark, version: str) -> None:
+    """Every mart is readable; facts and the calendar are not empty; fact dates are in the
+    calendar; incident keys are unique (trips are not deduplicated, Q26)."""
+    marts = {name: spark.read.parquet(f"{version}/{name}") for name in PUBLISH_ORDER}
+    for name in (*sorted(FACTS), "dim_date"):
+        if marts[name].isEmpty():
+            raise PublishError(f"{name} is empty")
+    for name in sorted(FACTS):
+        days = marts[name].select("date_key").filter("date_key is not null").distinct()
+        if not days.join(marts["dim_date"], "date_key", "left_anti").isEmpty():
+            raise PublishError(f"{name} has dates outside the calendar")
+    if not marts["fct_transit_delays"].groupBy("delay_sk", "transit_mode").count().filter("count > 1").isEmpty():
+        raise PublishError("fct_transit_delays has a key twice")
+
+
+def publish_marts(wh, base: str, validate: bool = True) -> str:
+    """Write all marts under ``base/<version>/``, validate them, make the version current
+    and return its folder.
 
     Facts go first; the calendar's bounds and the daily fact are then derived
     from the written facts (one integer column / one pass), not re-derived
     from the raw feeds.
     """
     assert set(PUBLISH_ORDER) == set(MART_NAMES)
-    version = f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    base = base.rstrip("/")
+    version = f"{base}/v-{uuid.uuid4().hex[:12]}"
     spark = wh.spark
     for name in PUBLISH_ORDER:
         if name == "fct_daily_mobility":
@@ -73,10 +96,21 @@ def publish_marts(wh, base: str) -> str:
         else:
             df = getattr(wh, name)
         _write(df, f"{version}/{name}", name in FACTS, BLOOM_COLUMNS.get(name, ()))
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/_CURRENT")
+    if validate:
+        _validate(spark, version)
+    append_version(spark, f"{base}/_VERSIONS", version)
     return version
 
 
+def append_version(spark, table: str, path: str) -> None:
+    """Append ``path`` as the newest version; nothing that readers use is replaced."""
+    row = spark.createDataFrame([(path,)], "path string").select("path", F.current_timestamp().alias("published_at"))
+    row.coalesce(1).write.mode("append").parquet(table)
+
+
+def newest_version(spark, table: str) -> str:
+    return spark.read.parquet(table).orderBy(F.desc("published_at"), F.desc("path")).first()["path"]
+
+
 def current_version(spark, base: str) -> str:
-    return spark.read.text(f"{base.rstrip('/')}/_CURRENT").first()[0]
+    return newest_version(spark, f"{base.rstrip('/')}/_VERSIONS")

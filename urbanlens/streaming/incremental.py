@@ -1,16 +1,15 @@
 """Incremental, idempotent landing of arriving files with Structured Streaming.
 
-The source system's only incremental behaviour is the idempotent re-load: a
-file loaded twice, or files arriving in any order, leave the same table. Here
-new delimited files in a landing folder are picked up by a file stream and
-every micro-batch is *appended* to the table's batch folder (cost: the batch,
-not the table). Readers see the merged state: ``keep_first`` over all batches
-by a total order, which is order-independent and aggregates map-side, so a
-re-delivered file changes nothing. ``compact`` folds the batches into a new
-base version when reads start to pay for too many small batches. The
-checkpoint makes the stream restartable after executor or driver loss (a
-re-run batch rewrites its own folder, so it is idempotent); ``availableNow``
-processes what is there and stops, which is how a scheduled load runs.
+New delimited files in a landing folder are picked up by a file stream, and every
+micro-batch is *appended* to the table's batch folder (cost: the batch, not the
+table). Readers see the upserted state: of all rows of a key the one of the newest
+batch wins (inside a batch the smallest row, so that the result does not depend on
+arrival order), an aggregate that is combined map-side. A re-delivered file changes
+nothing, a corrected one takes effect. ``compact`` folds the batches read so far
+into a new base version; readers skip what the base already holds. The checkpoint
+makes the stream restartable after executor or driver loss (a re-run batch rewrites
+its own folder, so it is idempotent); ``availableNow`` processes what is there and
+stops, which is how a scheduled load runs.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,42 +25,63 @@ from urbanlens.operators.dedup import keep_first
 from urbanlens.sources.delimited import text_schema
 
 
-def read_current(spark: SparkSession, table_dir: str, keys: Sequence[str]) -> DataFrame:
-    """The merged table: the base version (if compacted) plus every appended batch,
-    one row per key."""
-    parts = []
-    try:
-        base = spark.read.text(f"{table_dir}/_BASE").first()[0]
-        parts.append(spark.read.parquet(base))
-    except Exception:  # noqa: BLE001 - never compacted
-        pass
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there yet. Any other failure is raised."""
     try:
-        parts.append(spark.read.parquet(f"{table_dir}/batches").drop("batch_id"))
-    except Exception:  # noqa: BLE001 - no batch yet
-        pass
-    if not parts:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _base(spark: SparkSession, table_dir: str) -> tuple[DataFrame | None, int]:
+    """The newest base and the last batch it holds (-1: none)."""
+    versions = _read(spark, f"{table_dir}/_BASES")
+    if versions is None:
+        return None, -1
+    last = versions.orderBy(F.desc("through_batch"), F.desc("path")).first()
+    return spark.read.parquet(last["path"]), last["through_batch"]
+
+
+def _batches(spark: SparkSession, table_dir: str, after: int) -> DataFrame | None:
+    found = _read(spark, f"{table_dir}/batches")
+    return None if found is None else found.filter(F.col("batch_id") > after)
+
+
+def read_current(spark: SparkSession, table_dir: str, keys: Sequence[str]) -> DataFrame:
+    """The upserted table: the base (if compacted) and every batch after it, one row per
+    key, the newest."""
+    base, through = _base(spark, table_dir)
+    new = _batches(spark, table_dir, through)
+    if base is None and new is None:
         raise FileNotFoundError(f"no data under {table_dir}")
-    allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return keep_first(allrows, keys)
+    parts = [] if base is None else [base.withColumn("_age", F.lit(0).cast("long"))]
+    if new is not None:  # newest batch first: its age is the smallest
+        parts.append(new.withColumn("_age", -F.col("batch_id").cast("long") - 1).drop("batch_id"))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return keep_first(rows, keys, ["_age"]).drop("_age")
 
 
 def compact(spark: SparkSession, table_dir: str, keys: Sequence[str]) -> str:
-    """Write the merged state as a new base version and point ``_BASE`` at it.
-
-    Batches already folded in may then be archived by the operator; reading them
-    again is harmless (the merge is idempotent)."""
+    """Write the current state as a new base; batches up to the last one it holds are no
+    longer read and may be archived."""
+    _, through = _base(spark, table_dir)
+    new = _batches(spark, table_dir, through)
+    last = through if new is None else new.agg(F.max("batch_id")).first()[0]
     version = f"{table_dir}/base-{uuid.uuid4().hex[:12]}"
-    read_current(spark, table_dir, keys).write.mode("overwrite").parquet(version)
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{table_dir}/_BASE")
+    read_current(spark, table_dir, keys).write.parquet(version)
+    row = [(version, through if last is None else int(last))]
+    spark.createDataFrame(row, "path string, through_batch long").coalesce(1).write.mode("append").parquet(f"{table_dir}/_BASES")
     return version
 
 
 def load_incrementally(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
-                       columns: Sequence[str], files_per_batch: int = 1) -> int:
-    """Run the stream until the landing folder is drained; return the number of batches."""
+                       columns: Sequence[str], bytes_per_batch: int = 10 << 30) -> int:
+    """Run the stream until the landing folder is drained; return the number of batches.
+    A batch takes files up to a volume, whatever their number."""
     stream = (spark.readStream.schema(text_schema(columns)).option("header", True)
-              .option("quote", '"').option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
+              .option("quote", '"').option("escape", '"').option("maxBytesPerTrigger", bytes_per_batch)
               .option("recursiveFileLookup", True)
               .csv(landing_dir))
     batches = []
