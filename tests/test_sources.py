@@ -32,6 +32,44 @@ def test_read_delimited_null_tokens_and_quotes(spark, tmp_dir):
     assert [tuple(r) for r in rows] == [("x, y", None, None), (None, None, "z")]
 
 
+def test_read_delimited_by_name_any_order_and_case(spark, tmp_dir):
+    write(tmp_dir, "a.csv", "Route,Location\n504,KING\n")
+    write(tmp_dir, "b.csv", "LOCATION,Route,Extra\nQUEEN,501,x\n")
+    df = D.read_delimited(spark, tmp_dir, columns=["Route", "Location"], with_path=True)
+    assert sorted((r.Route, r.Location) for r in df.collect()) == [("501", "QUEEN"), ("504", "KING")]
+    every = D.read_delimited(spark, tmp_dir)
+    assert every.columns == ["Route", "Location", "Extra"]
+    assert sorted((r.Route, r.Extra) for r in every.collect()) == [("501", "x"), ("504", None)]
+    with pytest.raises(ValueError, match="Incident"):
+        D.read_delimited(spark, tmp_dir, columns=["Route", "Incident"])
+
+
+def test_headers_drifted_by_year(spark, tmp_dir):
+    write(f"{tmp_dir}/2024", "a.csv", "Route,Location,Line\n504,KING,x\n")
+    write(f"{tmp_dir}/2025", "a.csv", "Station,Line\nQUEEN,501\n")
+    df = D.read_delimited(spark, tmp_dir, columns=["Route", "Location"], recursive=True,
+                          renames={"Line": "Route", "Station": "Location"}, rename_from_year=2025)
+    assert sorted(tuple(r) for r in df.collect()) == [("501", "QUEEN"), ("504", "KING")]
+
+
+def test_header_check_reads_first_lines_only(spark, tmp_dir):
+    write(tmp_dir, "a.csv", "\n".join([HEADER] + GOOD) + "\n")
+    write(tmp_dir, "b.csv", "\ufeff" + HEADER.replace("Line,", "") + "\n")
+    rows = {os.path.basename(r.file_path): r.header for r in V.file_headers(spark, tmp_dir).collect()}
+    assert rows == {"a.csv": HEADER, "b.csv": HEADER.replace("Line,", "")}
+    checks = {(os.path.basename(r.file_path), r.check, r.column_name) for r in V.header_checks(spark, tmp_dir, subway_contract()).collect()}
+    assert checks == {("a.csv", "extra_column", "Vehicle"), ("b.csv", "extra_column", "Vehicle"), ("b.csv", "missing_column", "Line")}
+
+
+def test_value_checks_ignore_header_case(spark, tmp_dir):
+    bad = GOOD[:1] + [GOOD[1].replace(",2,5,", ",abc,5,")]
+    write(tmp_dir, "a.csv", "\n".join([HEADER.upper()] + bad))
+    got = {(r.check, r.column_name, r.value) for r in V.validate(spark, tmp_dir, subway_contract()).collect() if r.severity == "error"}
+    assert got == {("type_integer", "Min Delay", "abc")}
+    df = D.read_delimited(spark, tmp_dir, with_path=True, null_tokens=())
+    assert V.null_profile(df, subway_contract()).count() == len(subway_contract().columns)
+
+
 def test_copy_positional_modes(spark, tmp_dir):
     write(tmp_dir, "a.csv", 'h1,h2\n1,2\n3,4,5\n"6,7",8\n9\n')
     with pytest.raises(Exception):

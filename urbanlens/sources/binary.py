@@ -48,7 +48,7 @@ def detect_encoding(data: bytes) -> tuple[str, float]:
                      (codecs.BOM_UTF16_BE, "utf-16")):
         if data.startswith(bom):
             return enc, 1.0
-    sample = data[:65536]
+    sample = data
     if len(sample) >= 2:
         odd_nul = sample[1::2].count(0) / max(1, len(sample[1::2]))
         even_nul = sample[0::2].count(0) / max(1, len(sample[0::2]))

@@ -4,9 +4,10 @@
 returns violations as rows (file, check, column, value, count, severity);
 ``raise_on_errors`` turns the first error into an exception for fail-fast
 callers. Header checks read only the first line of each file; type and null
-checks run over all rows, or over the first ``sample_rows`` rows of each file
-(selected without sorting: row ids are ascending within a read split, and the
-first rows of a file live in its first split).
+checks run over all rows, or on request over the first ``sample_rows`` rows of each
+file (selected without sorting: row ids are ascending within a read split, and the
+first rows of a file live in its first split). Columns match contract names in any
+case.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,13 +78,11 @@ def _empty(spark: SparkSession) -> DataFrame:
 
 
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file_path, header) for each file: the first line of the split starting at offset 0."""
-    t = (spark.read.text(paths if isinstance(paths, str) else list(paths))
-         .select("value", F.col("_metadata.file_path").alias("file_path"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("rid"))
-         .filter(F.col("block") == 0))
-    return t.groupBy("file_path").agg(F.min_by("value", "rid").alias("header"))
+    """(file_path, header) for each file: its first line only."""
+    from urbanlens.sources.delimited import headers
+
+    rows = [(f, h) for h, files in headers(spark, paths).items() for f in files]
+    return spark.createDataFrame(sorted(rows), "file_path string, header string")
 
 
 def header_checks(spark: SparkSession, paths, contract: Contract) -> DataFrame:
@@ -119,7 +119,7 @@ def header_checks(spark: SparkSession, paths, contract: Contract) -> DataFrame:
     return missing.unionByName(extra)
 
 
-def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = C.TYPE_SAMPLE_ROWS) -> DataFrame:
+def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = None) -> DataFrame:
     """V04 type conformance and V05 nullability, counted per (file, column, value).
 
     ``df``: the dataset read as text with a ``file_path`` column (``read_delimited``).
@@ -131,17 +131,19 @@ def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = C.
         first = d.groupBy("file_path").agg(F.min("_rid").alias("_first"))
         d = (d.join(first, "file_path")
              .filter(F.col("_rid") - F.col("_first") < sample_rows).drop("_rid", "_first"))
-    cols = [c for c in contract.columns if c.name in df.columns]
+    own = {c.lower(): c for c in df.columns}
+    cols = [c for c in contract.columns if c.name.lower() in own]
     checks = []
     for c in cols:
-        v = F.col(f"`{c.name}`")
+        v = F.col(f"`{own[c.name.lower()]}`")
         is_null = v.isNull() | F.upper(F.trim(v)).isin("", "NULL")
         bad_type = F.lit(False) if c.dtype == "STRING" else ~F.trim(v).rlike(C.TYPE_PATTERNS[c.dtype])
         kind = F.when(is_null, F.lit(None if c.nullable else "null_in_required")) \
             .otherwise(F.when(bad_type, F.lit(f"type_{c.dtype.lower()}")))
         checks.append(F.struct(F.lit(c.name).alias("column_name"), kind.alias("check"),
                                v.alias("value")))
-    exploded = d.select("file_path", F.explode(F.array(*checks)).alias("c")).filter(F.col("c.check").isNotNull())
+    found = F.filter(F.array(*checks), lambda c: c["check"].isNotNull())  # before rows are made of it
+    exploded = d.select("file_path", F.explode(found).alias("c"))
     return (exploded.groupBy("file_path", F.col("c.check").alias("check"), F.col("c.column_name").alias("column_name"),
                              F.col("c.value").alias("value"))
             .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("severity", F.lit("error")))
@@ -150,9 +152,11 @@ def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = C.
 def null_profile(df: DataFrame, contract: Contract) -> DataFrame:
     """Per contract column, how many values count as null (blank or any-case NULL)
     and whether the contract allows it; one aggregate over all files."""
-    cols = [c for c in contract.columns if c.name in df.columns]
-    aggs = [F.sum(F.when(F.col(f"`{c.name}`").isNull() | F.upper(F.trim(F.col(f"`{c.name}`"))).isin("", "NULL"), 1)
-                  .otherwise(0)).alias(f"c{i}") for i, c in enumerate(cols)]
+    own = {c.lower(): c for c in df.columns}
+    cols = [c for c in contract.columns if c.name.lower() in own]
+    values = [F.col(f"`{own[c.name.lower()]}`") for c in cols]
+    aggs = [F.sum(F.when(v.isNull() | F.upper(F.trim(v)).isin("", "NULL"), 1).otherwise(0)).alias(f"c{i}")
+            for i, v in enumerate(values)]
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(c.name).alias("column_name"), F.lit(c.nullable).alias("nullable"),
                                         F.col(f"c{i}").alias("null_rows")) for i, c in enumerate(cols)]))
@@ -169,14 +173,16 @@ def row_count_checks(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def validate(spark: SparkSession, paths: str | Sequence[str], contract: Contract,
-             sample_rows: int | None = C.TYPE_SAMPLE_ROWS) -> DataFrame:
+             sample_rows: int | None = None) -> DataFrame:
     """Every file of a dataset against its contract; an empty folder yields no rows."""
     from urbanlens.sources.delimited import read_delimited
 
     try:
         df = read_delimited(spark, paths, with_path=True, null_tokens=())
-    except Exception as exc:  # noqa: BLE001 - no files: nothing to validate
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+    except FileNotFoundError:  # no file with a header: nothing to validate
+        return _empty(spark)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return _empty(spark)
         raise
     return (header_checks(spark, paths, contract)

@@ -9,6 +9,7 @@ inference pass over the data).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,31 +27,89 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+HEADERS_AT_ONCE = 64  # files whose first lines one job reads
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, glob: str | None = None) -> list[str]:
+    """The files under the paths; only the listing is read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    found = reader.load(paths if isinstance(paths, str) else list(paths)).select("path")
+    return sorted(r["path"] for r in found.collect())
+
+
+def first_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """(file_path, header) of each file that has a line: one row is taken from each file, no data lines."""
+    out = None
+    for f in files:
+        line = (spark.read.option("encoding", encoding).text(f).limit(1)
+                .select(F.lit(f).alias("file_path"), F.regexp_replace("value", "^\\ufeff", "").alias("header")))
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+def headers(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", recursive: bool = False,
+            glob: str | None = None) -> dict[str, list[str]]:
+    """Header line -> its files, in the order of the first file of each."""
+    files, found = list_files(spark, paths, recursive, glob), {}
+    for at in range(0, len(files), HEADERS_AT_ONCE):
+        rows = first_lines(spark, files[at:at + HEADERS_AT_ONCE], encoding).collect()
+        for path, header in sorted((r["file_path"], r["header"]) for r in rows):
+            found.setdefault(header, []).append(path)
+    return found
+
+
+def _one_vintage(spark: SparkSession, files: Sequence[str], encoding: str) -> DataFrame:
+    """Files of one header; a file whose header differs after all fails the read."""
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
+            .option("inferSchema", False).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(list(files)))
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None,
                    null_tokens: Sequence[str] = C.NULL_TOKENS, with_path: bool = False,
-                   encoding: str = "UTF-8", recursive: bool = False, glob: str | None = None) -> DataFrame:
+                   encoding: str = "UTF-8", recursive: bool = False, glob: str | None = None,
+                   renames: Mapping[str, str] | None = None, rename_from_year: int | None = None) -> DataFrame:
     """Comma-separated, header skipped, '"'-quoted, every column text.
 
-    With ``columns`` the header names are taken from that list (by name, not
-    position, Q25: the file's header must contain them); without it every header
-    column is kept as text. NULL tokens map to NULL (Q24). Compressed files
-    are read transparently by extension.
+    Columns are taken by name, in any case and order (Q25): files are grouped by their
+    header line, each group has its own reader, and the groups are stacked by name.
+    ``columns`` names the result's columns; each must be in some file's header, and is
+    NULL where a file lacks it. Without it the columns of all headers are kept, under
+    the spelling of the first file. ``renames`` maps drifted header names to those of
+    the result before that (S15); with ``rename_from_year`` only in files whose path has
+    that year or a later one. NULL tokens map to NULL (Q24). Compressed files are read
+    transparently by extension.
     """
-    reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-              .option("encoding", encoding).option("inferSchema", False).option("mode", "PERMISSIVE"))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
-    keep = list(columns) if columns is not None else df.columns
-    missing = [c for c in keep if c not in df.columns]
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for header, files in headers(spark, paths, encoding, recursive, glob).items():
+        for f in files:
+            years = re.findall(YEAR_IN_PATH, f)
+            drift = bool(renames) and (rename_from_year is None or bool(years) and int(years[0]) >= rename_from_year)
+            groups.setdefault((header, drift), []).append(f)
+    if not groups:
+        raise FileNotFoundError(f"no delimited file with a header under {paths}")
+    frames, spelling = [], {c.lower(): c for c in columns or ()}
+    moved = {k.lower(): v for k, v in (renames or {}).items()}
+    for (_, drift), files in groups.items():
+        df = _one_vintage(spark, files, encoding)
+        names = [moved.get(c.lower(), c) if drift else c for c in df.columns]
+        for c in names:
+            if columns is None:
+                spelling.setdefault(c.lower(), c)
+        frames.append((df, {c.lower(): own for c, own in zip(names, df.columns)}))
+    missing = [c for c in spelling.values() if not any(c.lower() in have for _, have in frames)]
     if missing:
         raise ValueError(f"columns missing from the files: {missing}")
-    cols = [null_if_token(F.col(c), null_tokens).alias(c) for c in keep]
-    if with_path:
-        cols.append(F.col("_metadata.file_path").alias("file_path"))
-    return df.select(*cols)
+    out = None
+    for df, have in frames:
+        cols = [(null_if_token(F.col(f"`{have[k]}`"), null_tokens) if k in have else F.lit(None).cast("string")).alias(c)
+                for k, c in spelling.items()]
+        if with_path:
+            cols.append(F.col("_metadata.file_path").alias("file_path"))
+        part = df.select(*cols)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def path_year(path_col: str = "file_path"):
