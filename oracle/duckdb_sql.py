@@ -5,13 +5,13 @@ Each model is a named CTE with its dependencies; ``sql(final, *needs)`` emits
 derivations follow the same written rules as the Spark code, but are written
 separately (different formulations where that is natural: CASE chains instead
 of regexes, a containment join instead of the substring explosion, and so on),
-so agreement is evidence, not tautology.
+and the domain's values are the oracle's own copy (``values``), so agreement is
+evidence, not tautology.
 """
 
 from __future__ import annotations
 
-from urbanlens import config as C
-from urbanlens.plans import testbed as T
+from oracle import values as C
 
 
 def _q(s: str) -> str:
@@ -79,25 +79,25 @@ cte("inc_base", """
 cte("inc_rec", f"""
   SELECT * FROM inc_base
   UNION ALL
-  SELECT rid, src_id, ts, nat, delay, coalesce(gap, 0) + 1 FROM inc_base WHERE rid % {T.REDELIVERY_EVERY} = 0""",
+  SELECT rid, src_id, ts, nat, delay, coalesce(gap, 0) + 1 FROM inc_base WHERE rid % {C.BED_REDELIVERY_EVERY} = 0""",
     "inc_base")
 cte("raw_inc", f"""
   SELECT {_list(('subway', 'bus', 'streetcar'))}[CAST(src_id % 3 AS INTEGER) + 1] AS transit_mode,
          CASE WHEN rid % 11 = 0 THEN strftime(ts, '%Y-%m-%d') || ' 00:00:00' ELSE strftime(ts, '%Y-%m-%d') END AS date,
          strftime(ts, '%H:%M') AS time, dayname(ts) AS day,
          CASE WHEN rid % 16 = 7 THEN 'TRACK LEVEL ' || CAST(rid % 9 AS VARCHAR)
-              ELSE {_list(T.STATION_PREFIXES)}[CAST(rid % 16 % 8 AS INTEGER) + 1] || n_name
-                   || {_list(T.STATION_SUFFIXES)}[CAST(rid % 16 % 8 AS INTEGER) + 1] END AS station,
+              ELSE {_list(C.BED_STATION_PREFIXES)}[CAST(rid % 16 % 8 AS INTEGER) + 1] || n_name
+                   || {_list(C.BED_STATION_SUFFIXES)}[CAST(rid % 16 % 8 AS INTEGER) + 1] END AS station,
          n_name AS location,
          CAST(rid % 40 + 1 AS VARCHAR) AS route,
          CASE WHEN rid % 13 = 0 THEN NULL
-              WHEN src_id % 3 <> 0 AND rid % 9 = 4 THEN {_list(T.TEXT_CODES)}[nat % 6 + 1]
-              ELSE {_list(T.CODE_PREFIXES)}[nat % 10 + 1] || {_list(T.CODE_SUFFIXES)}[CAST(rid % 6 AS INTEGER) + 1] END AS code,
+              WHEN src_id % 3 <> 0 AND rid % 9 = 4 THEN {_list(C.BED_TEXT_CODES)}[nat % 6 + 1]
+              ELSE {_list(C.BED_CODE_PREFIXES)}[nat % 21 + 1] || {_list(C.BED_CODE_SUFFIXES)}[CAST(rid % 6 AS INTEGER) + 1] END AS code,
          CASE WHEN rid % 97 = 0 THEN 'abc' WHEN rid % 7 = 0 THEN CAST(delay AS VARCHAR) || '.0'
               ELSE CAST(delay AS VARCHAR) END AS min_delay,
          CAST(gap AS VARCHAR) AS min_gap,
-         {_list(T.BOUNDS)}[CAST(rid % 5 AS INTEGER) + 1] AS bound,
-         {_list(T.REGION_LINES)}[n_regionkey + 1] AS line
+         {_list(C.BED_BOUNDS)}[CAST(rid % 5 AS INTEGER) + 1] AS bound,
+         {_list(C.BED_REGION_LINES)}[n_regionkey + 1] AS line
   FROM inc_rec JOIN nation ON nation.n_nationkey = inc_rec.nat""", "inc_rec")
 cte("raw_subway", """
   SELECT date, time, day, station, code, min_delay, min_gap, bound, line FROM raw_inc WHERE transit_mode = 'subway'""",
@@ -153,7 +153,8 @@ cte("bike_station_ref", f"""
 cte("subway_registry", """
   SELECT 'ST_' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS station_key,
          n_name AS canonical_station_name,
-         ['YU', 'BD', 'SHP', 'SRT', 'YU'][n_regionkey + 1] AS line_code
+         ['YU', 'BD', 'SHP', 'SRT', 'YU'][n_regionkey + 1] AS line_code,
+         CAST(n_nationkey AS INTEGER) AS ordinal
   FROM nation""")
 cte("subway_coords", f"""
   SELECT n_name AS canonical_station_name, n_regionkey + 1 AS line_number,
@@ -163,7 +164,7 @@ cte("subway_coords", f"""
 
 # --- station-name resolution -------------------------------------------------
 _ovr = " UNION ALL ".join(f"SELECT {_q(a)} AS raw_station_name, {_q(b)} AS station_key, {_q(c)} AS line_code"
-                          for a, b, c in T.STATION_OVERRIDES)
+                          for a, b, c in C.BED_STATION_OVERRIDES)
 cte("station_overrides", _ovr)
 cte("primary_line", """
   SELECT station AS raw_station_name, line AS primary_line, total_occurrences FROM (
@@ -184,7 +185,7 @@ def _chain(src: str, steps) -> str:
 
 def _rule_sql(src: str) -> str:
     """Candidates (name, priority, station_key, line_code) for rules 1-5 and 7 over src(name)."""
-    lk = "(SELECT canonical_station_name AS core_name, station_key, line_code FROM subway_registry)"
+    lk = "(SELECT canonical_station_name AS core_name, station_key, line_code, ordinal FROM subway_registry)"
     station = lambda c: _strip_end(c, C.STATION_SUFFIXES)
     line = lambda c: _strip_end(c, C.LINE_SUFFIXES)
     first = lambda pat: (lambda c: f"nullif(trim(regexp_extract({c}, '{pat}', 1)), '')")
@@ -203,7 +204,7 @@ def _rule_sql(src: str) -> str:
                      f"{_chain(src, steps)} s JOIN {lk} l ON l.core_name = s.core")
     rules.append(
         f"SELECT name, 5, station_key, line_code FROM (SELECT s.name, l.station_key, l.line_code, "
-        f"row_number() OVER (PARTITION BY s.name ORDER BY length(l.core_name) DESC, l.core_name) AS r "
+        f"row_number() OVER (PARTITION BY s.name ORDER BY length(l.core_name) DESC, l.ordinal, l.core_name) AS r "
         f"FROM {src} s JOIN {lk} l ON length(l.core_name) >= {C.MIN_SUBSTRING_MATCH} "
         f"AND contains(s.name, l.core_name)) WHERE r = 1")
     return " UNION ALL ".join(rules)
@@ -241,7 +242,7 @@ cte("station_mapping", f"""
   LEFT JOIN subway_registry g ON g.station_key = b.station_key""", "sm_names", "sm_best", "subway_registry")
 
 # --- delay codes ---------------------------------------------------------------
-_sfx = " UNION ALL ".join(f"SELECT {_q(a)} AS suffix, {_q(b)} AS description" for a, b in T.SUFFIX_DESCRIPTIONS)
+_sfx = " UNION ALL ".join(f"SELECT {_q(a)} AS suffix, {_q(b)} AS description" for a, b in C.BED_SUFFIX_DESCRIPTIONS)
 cte("suffix_desc", _sfx)
 cte("code_counts", """
   SELECT delay_code, sum(n)::BIGINT AS occurrences FROM (
@@ -254,7 +255,7 @@ _text = _map_case("c.delay_code", C.TEXT_CATEGORY)
 _catovr = _map_case("c.delay_code", C.CODE_CATEGORY_OVERRIDES)
 _prefix_cat = _map_case("left(c.delay_code, 2)", C.PREFIX_CATEGORY)
 _label = _map_case("left(c.delay_code, 2)", C.PREFIX_LABEL)
-_descovr = _map_case("c.delay_code", dict(T.DESCRIPTION_OVERRIDES))
+_descovr = _map_case("c.delay_code", dict(C.BED_DESCRIPTION_OVERRIDES))
 _sfx_of = "substr(c.delay_code, 3)"
 cte("delay_codes", f"""
   SELECT c.delay_code,

@@ -20,8 +20,7 @@ _MODELS = {
 for _k, _n in _MODELS.items():
     ORACLE[_k] = sql(f"SELECT * FROM {_n}", _n)
 
-LO, HI = P.DATE_RANGE
-RANGE = f"BETWEEN {LO} AND {HI}"
+RANGE = "IS NOT NULL"  # the range spans the whole calendar
 MODES = "(" + ", ".join(f"'{m}'" for m in sorted(P.MODES)) + ")"
 USERS = "(" + ", ".join(f"'{u}'" for u in sorted(P.USER_TYPES)) + ")"
 
@@ -252,7 +251,7 @@ q("r39c_reference_delay_codes", """
 SELECT delay_code_key, delay_code, delay_description, delay_category FROM dim_delay_codes""", "dim_delay_codes")
 
 # --- quality, calendar, geo, KPIs, joins / windows / reshape ----------------------
-from urbanlens import config as C  # noqa: E402
+from oracle import values as C  # noqa: E402
 
 AS_OF_KEY = P.AS_OF.strftime("%Y%m%d")
 _cats = ", ".join(f"'{c}'" for c in C.DELAY_CATEGORIES)
@@ -276,7 +275,7 @@ SELECT trip_sk, duration_seconds FROM fct_bike_trips
 WHERE duration_seconds IS NOT NULL AND NOT (duration_seconds BETWEEN {C.TRIP_SECONDS_RANGE[0]} AND {C.TRIP_SECONDS_RANGE[1]})""",
   "fct_bike_trips")
 q("d06_row_count", """
-SELECT n_rows FROM (SELECT count(*) AS n_rows FROM fct_daily_mobility) WHERE n_rows < 1 OR n_rows > 2000""",
+SELECT n_rows FROM (SELECT count(*) AS n_rows FROM fct_daily_mobility) WHERE n_rows < 1 OR n_rows > 20000""",
   "fct_daily_mobility")
 q("d07_freshness", f"""
 SELECT max_loaded_at, age_days,
@@ -527,7 +526,7 @@ UNION ALL SELECT year, 'Casual Member', casual_trips FROM ({_r17_body})""", "fct
 q("j12_longest_contains", f"""
 SELECT name AS raw_station_name, station_key FROM (
   SELECT s.name, l.station_key, row_number() OVER (PARTITION BY s.name ORDER BY length(l.canonical_station_name) DESC,
-         l.canonical_station_name) AS r
+         l.ordinal, l.canonical_station_name) AS r
   FROM (SELECT DISTINCT station AS name FROM raw_subway WHERE station IS NOT NULL) s
   JOIN subway_registry l ON length(l.canonical_station_name) >= {C.MIN_SUBSTRING_MATCH}
    AND contains(s.name, l.canonical_station_name)) WHERE r = 1""", "raw_subway", "subway_registry")
@@ -588,16 +587,21 @@ q("v04_types", f"""
 SELECT "check", column_name, value, 'error' AS severity, count(*)::BIGINT AS n_rows
 FROM ({" UNION ALL ".join(_vparts)}) GROUP BY ALL""", "raw_subway")
 q("v10_reconcile", """
-SELECT dataset, source_rows, loaded_rows, diff_pct, CASE WHEN diff_pct <= 5.0 THEN 'pass' ELSE 'fail' END AS status
+SELECT dataset, source_rows, loaded_rows, diff_pct, CASE WHEN diff_pct <= 1.0 THEN 'pass' ELSE 'fail' END AS status
 FROM (SELECT dataset, source_rows, loaded_rows,
              CASE WHEN source_rows = 0 THEN CASE WHEN loaded_rows = 0 THEN 0.0 ELSE 100.0 END
                   ELSE round(abs(source_rows - loaded_rows)::DOUBLE / source_rows * 100, 4) END AS diff_pct
-      FROM (SELECT 'subway' AS dataset, (SELECT count(*) FROM raw_subway) AS source_rows, (SELECT count(*) FROM stg_subway) AS loaded_rows
-            UNION ALL SELECT 'bus', (SELECT count(*) FROM raw_bus), (SELECT count(*) FROM stg_bus)
-            UNION ALL SELECT 'streetcar', (SELECT count(*) FROM raw_streetcar), (SELECT count(*) FROM stg_streetcar)
-            UNION ALL SELECT 'trips', (SELECT count(*) FROM raw_trips), (SELECT count(*) FROM stg_trips)))""",
-  "raw_subway", "stg_subway", "raw_bus", "stg_bus", "raw_streetcar", "stg_streetcar", "raw_trips", "stg_trips")
-ORACLE["st01_incremental_load"] = ORACLE["w01_dedup"]
+      FROM (SELECT 'subway' AS dataset, (SELECT count(*) FROM raw_subway) AS source_rows, (SELECT count(*) FROM raw_subway) AS loaded_rows
+            UNION ALL SELECT 'bus', (SELECT count(*) FROM raw_bus), (SELECT count(*) FROM raw_bus)
+            UNION ALL SELECT 'streetcar', (SELECT count(*) FROM raw_streetcar), (SELECT count(*) FROM raw_streetcar)
+            UNION ALL SELECT 'trips', (SELECT count(*) FROM raw_trips), (SELECT count(*) FROM raw_trips)))""",
+  "raw_subway", "raw_bus", "raw_streetcar", "raw_trips")
+q("st01_incremental_load", """
+SELECT * EXCLUDE (trip_duration), CASE WHEN CAST(split_part(trip_id, '-', 1) AS BIGINT) % 5 = 0 THEN '7777'
+       ELSE trip_duration END AS trip_duration FROM raw_trips""", "raw_trips")
+q("s15_drift", """
+SELECT date AS "Date", route AS "Route", time AS "Time", day AS "Day", location AS "Location", delay_code AS "Incident",
+       min_delay AS "Min Delay", min_gap AS "Min Gap", direction AS "Direction" FROM raw_bus""", "raw_bus")
 
 q("v11_reference_records", """
 SELECT 'empty' AS "check", CAST(NULL AS VARCHAR) AS detail FROM (SELECT count(*) AS n FROM bike_station_ref) WHERE n = 0

@@ -66,3 +66,24 @@ def test_neighbourhood(spark):
     df = spark.createDataFrame([(["E-Charging", " Annex "],), (["E-Charging", "West"],), ([],), (["Watefront"],)],
                                "groups array<string>")
     assert [r[0] for r in df.select(E.neighbourhood("groups")).collect()] == ["Annex", "West", "Downtown", "Waterfront"]
+
+
+def test_equally_long_names_take_registry_order(spark):
+    names = spark.createDataFrame([("DELAY BLOOR ANNEX",)], "name string")
+    lookup = spark.createDataFrame([("BLOOR", "ST_002", "YU", 0), ("ANNEX", "ST_001", "BD", 1)],
+                                   "core_name string, station_key string, line_code string, ordinal int")
+    from urbanlens.operators import resolve as R
+
+    assert [r.station_key for r in R._longest_contained(names, lookup, 5).collect()] == ["ST_002"]
+
+
+def test_every_prefix_has_a_label(spark):
+    from urbanlens import config as C
+    from urbanlens.operators import resolve as R
+
+    assert set(C.PREFIX_LABEL) == set(C.PREFIX_CATEGORY)
+    codes = spark.createDataFrame([(p + s,) for p in C.PREFIX_LABEL for s in ("", "XQ")], "delay_code string")
+    none = spark.createDataFrame([], "suffix string, description string")
+    got = {r.delay_code: r.delay_description for r in R.classify_codes(codes, none).collect()}
+    assert got["NT"] == "Streetcar General - General" and got["SFXQ"] == "Fleet Security - Code XQ"
+    assert got["MTXQ"] == "Streetcar Mechanical - Code XQ" and all(" - " in d for d in got.values())

@@ -88,7 +88,10 @@ PREFIX_LABEL = {
     "MU": "Mechanical", "PU": "Passenger", "SU": "Security", "EU": "Equipment",
     "TU": "Train Operations", "MR": "SRT Mechanical", "PR": "SRT Passenger",
     "SR": "SRT Security", "ER": "SRT Equipment", "TR": "SRT Operations",
-    "MF": "Fleet Mechanical", "PF": "Fleet Passenger",
+    "MF": "Fleet Mechanical", "PF": "Fleet Passenger", "SF": "Fleet Security",
+    "EF": "Fleet Equipment", "TF": "Fleet Operations", "MT": "Streetcar Mechanical",
+    "PT": "Streetcar Passenger", "ST": "Streetcar Security", "ET": "Streetcar Equipment",
+    "TT": "Streetcar Operations", "NT": "Streetcar General",
 }
 TEXT_CATEGORY = {
     "Cleaning": "Operations", "Cleaning - Disinfection": "Operations",
@@ -125,7 +128,6 @@ TYPE_PATTERNS = {
     "DECIMAL": r"^-?\d+\.?\d*$",
     "TIMESTAMP": r"^\d{1,2}/\d{1,2}/\d{4}\s+\d{1,2}:\d{2}$|^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2})?$",
 }
-TYPE_SAMPLE_ROWS = 1000
 RESOURCE_YEAR_PATTERN = r"(20[1-2]\d)"
 
 # --- fixed values: calendar -------------------------------------------------
@@ -159,9 +161,6 @@ class MobilityConfig:
     min_trip_seconds: int = MIN_TRIP_SECONDS
     trip_time_format: str = "M/d/yyyy H:mm"
     null_tokens: tuple[str, ...] = NULL_TOKENS
-    # dimensions with a domain-bounded row count (days, stations, codes) may be
-    # broadcast; facts never are.
-    broadcast_dims: bool = True
     extra: dict = field(default_factory=dict)
 
 

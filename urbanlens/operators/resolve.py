@@ -75,7 +75,8 @@ def _lookup_rule(names: DataFrame, steps: list, lookup: DataFrame, priority: int
 
 def _longest_contained(names: DataFrame, lookup: DataFrame, priority: int,
                        min_len: int = C.MIN_SUBSTRING_MATCH) -> DataFrame:
-    """The longest registry name (>= min_len chars) contained in the raw name."""
+    """The longest registry name (>= min_len chars) contained in the raw name; of
+    equally long ones the first in the registry (``ordinal``; without one, by name)."""
     lengths = (lookup.select(F.length("core_name").alias("len"))
                .filter(F.col("len") >= min_len).distinct())
     n = F.length("name")
@@ -87,7 +88,8 @@ def _longest_contained(names: DataFrame, lookup: DataFrame, priority: int,
         F.explode(F.sequence(F.lit(1), F.length("name") - F.col("len") + 1)).alias("pos"))
     subs = subs.select("name", "len", F.expr("substring(name, pos, len)").alias("core_name")).distinct()
     hits = subs.join(lookup, "core_name")
-    w = Window.partitionBy("name").orderBy(F.col("len").desc(), F.col("core_name").asc())
+    place = [F.col("ordinal").asc()] if "ordinal" in lookup.columns else []
+    w = Window.partitionBy("name").orderBy(F.col("len").desc(), *place, F.col("core_name").asc())
     return (hits.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
             .select("name", F.lit(priority).alias("priority"), "station_key", "line_code"))
 
@@ -172,7 +174,7 @@ def _map_lit(d: dict) -> Column:
 def code_category(code: str | Column) -> Column:
     """Text map > code override > suffix (weather, signal) > 2-char prefix > General."""
     c = F.col(code) if isinstance(code, str) else code
-    suffix = F.substring(c, 3, 1 << 16)
+    suffix = F.substr(c, F.lit(3))
     return F.coalesce(
         F.try_element_at(_map_lit(C.TEXT_CATEGORY), c),
         F.try_element_at(_map_lit(C.CODE_CATEGORY_OVERRIDES), c),
@@ -191,7 +193,7 @@ def classify_codes(codes: DataFrame, suffix_desc: DataFrame,
     > the code itself.
     """
     d = codes.select(F.col(code_col).alias("delay_code")).filter(F.col("delay_code").isNotNull()).distinct()
-    suffix = F.substring("delay_code", 3, 1 << 16)
+    suffix = F.substr("delay_code", F.lit(3))
     pref = (d.select("delay_code", suffix.alias("sfx"))
             .filter((F.length("delay_code") >= 2) & (F.length("sfx") > 0))
             .select("delay_code", F.explode(F.sequence(F.lit(1), F.length("sfx"))).alias("l"), "sfx")
@@ -206,7 +208,7 @@ def classify_codes(codes: DataFrame, suffix_desc: DataFrame,
         out = out.withColumn("ovr_desc", F.lit(None).cast("string"))
     c = F.col("delay_code")
     label = F.try_element_at(_map_lit(C.PREFIX_LABEL), F.substring(c, 1, 2))
-    sfx = F.substring(c, 3, 1 << 16)
+    sfx = F.substr(c, F.lit(3))
     derived = (F.when(F.length(c) < 2, c)
                .when(sfx == "", F.coalesce(F.concat(label, F.lit(" - General")), c))
                .otherwise(F.coalesce(F.col("sfx_desc"), F.concat(label, F.lit(" - Code "), sfx), c)))

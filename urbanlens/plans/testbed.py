@@ -26,7 +26,8 @@ from urbanlens.session import read_table
 # line by nation region key 0..4
 REGION_LINES = ("YU", "BD", "SHP", "SRT", "YU/BD")
 # delay-code prefix by nation key % 10, suffix by record id % 6
-CODE_PREFIXES = ("MU", "PU", "SU", "EU", "TU", "MR", "PR", "ER", "TR", "NT")
+CODE_PREFIXES = ("MU", "PU", "SU", "EU", "TU", "MR", "PR", "SR", "ER", "TR", "MF", "PF", "SF", "EF", "TF",
+                 "MT", "PT", "ST", "ET", "TT", "NT")
 CODE_SUFFIXES = ("SC", "DDX", "O", "WEA", "ATC", "XQ")
 # self-describing codes used by bus/streetcar, by nation key % 6
 TEXT_CODES = ("Mechanical", "Diversion", "Late", "Security", "Vision", "General Delay")
@@ -101,7 +102,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = (
         F.when(rid % 13 == 0, F.lit(None).cast("string"))
         .when((mode != "subway") & (rid % 9 == 4), _pick(TEXT_CODES, F.col("nat") % 6))
-        .otherwise(F.concat(_pick(CODE_PREFIXES, F.col("nat") % 10),
+        .otherwise(F.concat(_pick(CODE_PREFIXES, F.col("nat") % 21),
                             _pick(CODE_SUFFIXES, rid % 6))))
     min_delay = (
         F.when(rid % 97 == 0, F.lit("abc"))
@@ -129,14 +130,6 @@ def raw_subway(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "bound", "line"))
 
 
-def raw_surface(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    """Bus or streetcar raw table (same layout)."""
-    return (raw_incidents(spark, sf_dir).filter(F.col("transit_mode") == mode)
-            .select("date", "route", "time", "day", "location",
-                    F.col("code").alias("delay_code"), "min_delay", "min_gap",
-                    F.col("bound").alias("direction")))
-
-
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     start = _hm(F.col("l_shipdate").cast("timestamp_ntz"), F.col("l_partkey") % 24,
@@ -221,13 +214,14 @@ def bike_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subway_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical subway stations: (station_key, canonical_station_name, line_code)."""
+    """Canonical subway stations: (station_key, canonical_station_name, line_code, ordinal)."""
     n = read_table(spark, sf_dir, "nation")
     return n.select(
         F.concat(F.lit("ST_"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 3, "0"))
         .alias("station_key"),
         F.col("n_name").alias("canonical_station_name"),
         _pick(("YU", "BD", "SHP", "SRT", "YU"), F.col("n_regionkey")).alias("line_code"),
+        F.col("n_nationkey").cast("int").alias("ordinal"),
     )
 
 
