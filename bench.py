@@ -34,11 +34,11 @@ BENCHMARK = {
     "r05_monthly_trends": R.monthly_trends,
 }
 DASHBOARD = {
-    "r12_station_delays": lambda wh: R.ttc_station_delays(wh, P.MODES, P.DATE_RANGE),
-    "r14_hourly_pattern": lambda wh: R.ttc_hourly_pattern(wh, P.MODES, P.DATE_RANGE),
-    "r16_station_activity": lambda wh: R.bike_station_activity(wh, P.USER_TYPES, P.DATE_RANGE),
-    "r20_station_delay_metrics": lambda wh: R.station_delay_metrics(wh, P.SUBWAY_STATION_KEY, P.DATE_RANGE),
-    "r21_station_trip_metrics": lambda wh: R.station_trip_metrics(wh, P.BIKE_STATION_KEY, P.DATE_RANGE),
+    "r12_station_delays": lambda wh: R.ttc_station_delays(wh, P.MODES, P.date_range(wh)),
+    "r14_hourly_pattern": lambda wh: R.ttc_hourly_pattern(wh, P.MODES, P.date_range(wh)),
+    "r16_station_activity": lambda wh: R.bike_station_activity(wh, P.USER_TYPES, P.date_range(wh)),
+    "r20_station_delay_metrics": lambda wh: R.station_delay_metrics(wh, P.SUBWAY_STATION_KEY, P.date_range(wh)),
+    "r21_station_trip_metrics": lambda wh: R.station_trip_metrics(wh, P.BIKE_STATION_KEY, P.date_range(wh)),
     "r25_category_share": R.category_share,
     "r33_trips_by_weather": R.trips_by_weather,
 }

@@ -49,7 +49,7 @@ def main() -> None:
         ("R02 top_delay_stations", R.top_delay_stations(wh)),
         ("R03 bike_weather_correlation", R.bike_weather_correlation(wh)),
         ("R05 monthly_trends", R.monthly_trends(wh)),
-        ("R20 station_delay_metrics", R.station_delay_metrics(wh, P.SUBWAY_STATION_KEY, P.DATE_RANGE)),
+        ("R20 station_delay_metrics", R.station_delay_metrics(wh, P.SUBWAY_STATION_KEY, P.date_range(wh))),
         ("M15 fct_transit_delays (build from raw)", raw_wh.fct_transit_delays),
     ]
     out = ["# Physical plans", "",

@@ -1,11 +1,10 @@
 """Analytic queries R01-R42 over the marts.
 
 Every function takes an object exposing the marts (``Warehouse``) plus
-parameters and returns a lazy DataFrame. Dimensions (date, station, weather,
-codes) have domain-bounded sizes — days in the calendar, stations in the city,
-codes in the code book — so they are broadcast and facts are never shuffled
-for a lookup; the only shuffles are the group-bys, which aggregate map-side
-first. Ties in every top-k are broken by name, so results are deterministic.
+parameters and returns a lazy DataFrame. A fact is grouped by the key of a
+dimension first (partial aggregates, map-side), and only the groups are joined
+with the dimension, so no join sees a fact and no broadcast hint is needed: the
+planner picks the join from the sizes it knows. Ties in every top-k are broken by name, so results are deterministic.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from urbanlens import config as C
 from urbanlens.functions import columns as X
 
-DateRange = tuple[int, int]
+DateRange = tuple[int | Column, int | Column]
 ALL_DATES: DateRange = (19000101, 29991231)
 
 
@@ -26,10 +25,19 @@ def _in_range(col: str, rng: DateRange) -> Column:
     return F.col(col).between(rng[0], rng[1])
 
 
-def _dim(wh, df: DataFrame, name: str) -> DataFrame:
-    """Broadcast a dimension only after checking its size (one cached count per
-    warehouse); past the limit the join is left to the planner and AQE."""
-    return F.broadcast(df) if wh.broadcastable(name) else df
+def _by(fact: DataFrame, keys: Sequence[str | Column], measure: str | None = None) -> DataFrame:
+    """The fact grouped by the key of a lookup, before the lookup: row count ``_n`` and the
+    measure's sum ``_s`` and count ``_c``, from which every later total follows. The join
+    then sees one row per key instead of the fact."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if measure:
+        aggs += [F.sum(measure).alias("_s"), F.count(measure).alias("_c")]
+    return fact.groupBy(*keys).agg(*aggs)
+
+
+def _mean(dp: int | None = None, scale: float = 1.0) -> Column:
+    m = F.sum("_s") / F.sum("_c") / scale if scale != 1.0 else F.sum("_s") / F.sum("_c")
+    return m if dp is None else F.round(m, dp)
 
 
 def _avg_minutes(col: str, dp: int = 1) -> Column:
@@ -42,7 +50,7 @@ def daily_mobility_summary(wh) -> DataFrame:
     """One row per day with activity, calendar attributes joined."""
     d = wh.dim_date.select("date_key", "full_date", "day_of_week", "is_weekend", "is_holiday")
     m = wh.fct_daily_mobility
-    return (m.join(_dim(wh, d, "dim_date"), "date_key").select(
+    return (m.join(d, "date_key").select(
         "full_date", "day_of_week", "is_weekend", "is_holiday", "total_delay_incidents",
         "total_delay_minutes", "avg_delay_minutes", "total_gap_minutes", "subway_delay_incidents",
         "bus_delay_incidents", "streetcar_delay_incidents", "total_bike_trips",
@@ -53,13 +61,13 @@ def daily_mobility_summary(wh) -> DataFrame:
 def top_delay_stations(wh, n: int = 10) -> DataFrame:
     """Top subway stations by delay minutes, with per-day rate (J06, A05 count distinct,
     T02 top-10 with a name tiebreak, Q18)."""
-    f = wh.fct_transit_delays.filter(F.col("transit_mode") == "subway")
+    f = _by(wh.fct_transit_delays.filter(F.col("transit_mode") == "subway"), ["station_key", "date_key"], "delay_minutes")
     s = wh.dim_station.select("station_key", "station_name", "station_type")
-    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name", "station_type").agg(
-        F.count(F.lit(1)).alias("delay_count"),
-        F.sum("delay_minutes").alias("total_delay_minutes"),
-        F.round(F.avg("delay_minutes"), 2).alias("avg_delay_minutes"),
-        F.round(F.sum("delay_minutes") * 1.0 / F.count_distinct("date_key"), 2).alias("delay_minutes_per_day"))
+    return (f.join(s, "station_key").groupBy("station_name", "station_type").agg(
+        F.sum("_n").alias("delay_count"),
+        F.sum("_s").alias("total_delay_minutes"),
+        _mean(2).alias("avg_delay_minutes"),
+        F.round(F.sum("_s") * 1.0 / F.count_distinct("date_key"), 2).alias("delay_minutes_per_day"))
         .orderBy(F.desc("total_delay_minutes"), "station_name").limit(n))
 
 
@@ -67,7 +75,7 @@ def bike_weather_correlation(wh) -> DataFrame:
     """Days, mean and total trips per temperature bucket (J08, A08 group by expression, Q14)."""
     m = wh.fct_daily_mobility.filter(F.col("total_bike_trips").isNotNull())
     w = wh.dim_weather.select("date_key", "mean_temp_c")
-    return (m.join(_dim(wh, w, "dim_weather"), "date_key")
+    return (m.join(w, "date_key")
             .groupBy(X.temperature_bucket("mean_temp_c").alias("temp_bucket")).agg(
                 F.count(F.lit(1)).alias("days_in_bucket"),
                 F.round(F.avg("total_bike_trips"), 0).alias("avg_daily_trips"),
@@ -89,7 +97,7 @@ def cross_modal_analysis(wh) -> DataFrame:
 def monthly_trends(wh) -> DataFrame:
     """Monthly activity with seasonal context."""
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (wh.fct_daily_mobility.join(_dim(wh, d, "dim_date"), "date_key")
+    return (wh.fct_daily_mobility.join(d, "date_key")
             .groupBy("year", "month_num", "month_name").agg(
                 F.count(F.lit(1)).alias("active_days"),
                 F.sum("total_delay_incidents").alias("total_delay_incidents"),
@@ -124,8 +132,8 @@ def hero_worst_station(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """Worst station (J06, T03 top-1)."""
     f = wh.fct_transit_delays.filter((F.col("transit_mode") == "subway") & _in_range("date_key", rng))
     s = wh.dim_station.select("station_key", "station_name")
-    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name")
-            .agg(F.sum("delay_minutes").alias("total_delay_minutes"))
+    return (_by(f, ["station_key"], "delay_minutes").join(s, "station_key").groupBy("station_name")
+            .agg(F.sum("_s").alias("total_delay_minutes"))
             .orderBy(F.desc("total_delay_minutes"), "station_name").limit(1))
 
 
@@ -138,7 +146,7 @@ def hero_data_freshness(wh) -> DataFrame:
 def monthly_aggregation(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R10."""
     d = wh.dim_date.select("date_key", "year", "month_num")
-    return (wh.fct_daily_mobility.filter(_in_range("date_key", rng)).join(_dim(wh, d, "dim_date"), "date_key")
+    return (wh.fct_daily_mobility.filter(_in_range("date_key", rng)).join(d, "date_key")
             .groupBy("year", F.col("month_num").alias("month")).agg(
                 F.sum("total_delay_incidents").alias("total_delay_incidents"),
                 F.sum("total_bike_trips").alias("total_bike_trips"))
@@ -157,8 +165,8 @@ def ttc_station_delays(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRang
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES)
                                      & F.col("station_key").isNotNull())
     s = wh.dim_station.select("station_key", "station_name", "latitude", "longitude")
-    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name", "latitude", "longitude").agg(
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"))
+    return (_by(f, ["station_key"], "delay_minutes").join(s, "station_key").groupBy("station_name", "latitude", "longitude").agg(
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_delay_minutes"))
         .orderBy(F.desc("total_delay_minutes"), "station_name"))
 
 
@@ -168,8 +176,8 @@ def ttc_delay_causes(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRange
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES)
                                      & F.col("delay_code_key").isNotNull())
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category", "delay_description")
-    return (f.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key").groupBy("delay_category", "delay_description").agg(
-        F.count(F.lit(1)).alias("incident_count"), F.sum("delay_minutes").alias("total_delay_minutes")))
+    return (_by(f, ["delay_code_key"], "delay_minutes").join(c, "delay_code_key").groupBy("delay_category", "delay_description").agg(
+        F.sum("_n").alias("incident_count"), F.sum("_s").alias("total_delay_minutes")))
 
 
 def ttc_hourly_pattern(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRange = ALL_DATES) -> DataFrame:
@@ -177,9 +185,9 @@ def ttc_hourly_pattern(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRang
     f = wh.fct_transit_delays.filter(_in_range("date_key", rng)
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES))
     d = wh.dim_date.select("date_key", "day_of_week", "day_of_week_num")
-    return (f.join(_dim(wh, d, "dim_date"), "date_key")
-            .groupBy(F.hour("incident_timestamp").alias("hour_of_day"), "day_of_week", "day_of_week_num")
-            .agg(F.count(F.lit(1)).alias("delay_count"))
+    return (_by(f, ["date_key", F.hour("incident_timestamp").alias("hour_of_day")]).join(d, "date_key")
+            .groupBy("hour_of_day", "day_of_week", "day_of_week_num")
+            .agg(F.sum("_n").alias("delay_count"))
             .orderBy("day_of_week_num", "hour_of_day"))
 
 
@@ -188,8 +196,8 @@ def ttc_monthly_trend(wh, modes: Sequence[str] = C.TRANSIT_MODES, rng: DateRange
     f = wh.fct_transit_delays.filter(_in_range("date_key", rng)
                                      & X.one_of("transit_mode", modes, C.TRANSIT_MODES))
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (f.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"))
+    return (_by(f, ["date_key"], "delay_minutes").join(d, "date_key").groupBy("year", "month_num", "month_name").agg(
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_delay_minutes"))
         .orderBy("year", "month_num"))
 
 
@@ -199,9 +207,9 @@ def bike_station_activity(wh, user_types: Sequence[str] = C.USER_TYPES, rng: Dat
                                  & X.one_of("user_type", user_types, C.USER_TYPES))
     s = wh.dim_station.select(F.col("station_key").alias("start_station_key"), "station_name",
                               "latitude", "longitude", "neighborhood")
-    return (f.join(_dim(wh, s, "dim_station"), "start_station_key")
+    return (_by(f, ["start_station_key"]).join(s, "start_station_key")
             .groupBy("station_name", "latitude", "longitude", "neighborhood")
-            .agg(F.count(F.lit(1)).alias("trip_count"))
+            .agg(F.sum("_n").alias("trip_count"))
             .orderBy(F.desc("trip_count"), "station_name"))
 
 
@@ -209,7 +217,7 @@ def bike_yearly_summary(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R17."""
     d = wh.dim_date.select("date_key", "year")
     m = wh.fct_daily_mobility.filter(_in_range("date_key", rng) & F.col("total_bike_trips").isNotNull())
-    return (m.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year").agg(
+    return (m.join(d, "date_key").groupBy("year").agg(
         F.sum("total_bike_trips").alias("total_trips"), F.sum("member_trips").alias("member_trips"),
         F.sum("casual_trips").alias("casual_trips"),
         F.sum("total_bike_duration_seconds").alias("total_duration_seconds")).orderBy("year"))
@@ -219,7 +227,7 @@ def bike_monthly_seasonality(wh, rng: DateRange = ALL_DATES) -> DataFrame:
     """R18."""
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
     m = wh.fct_daily_mobility.filter(_in_range("date_key", rng) & F.col("total_bike_trips").isNotNull())
-    return (m.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
+    return (m.join(d, "date_key").groupBy("year", "month_num", "month_name").agg(
         F.sum("total_bike_trips").alias("total_trips"), F.sum("member_trips").alias("member_trips"),
         F.sum("casual_trips").alias("casual_trips")).orderBy("year", "month_num"))
 
@@ -228,7 +236,7 @@ def weather_daily_metrics(wh) -> DataFrame:
     """Per-day weather and mobility rows (J08, P26 OR of not-nulls, P20 casts)."""
     w = wh.dim_weather
     m = wh.fct_daily_mobility
-    j = m.join(_dim(wh, w, "dim_weather"), "date_key").filter(
+    j = m.join(w, "date_key").filter(
         F.col("mean_temp_c").isNotNull()
         & (F.col("total_bike_trips").isNotNull() | F.col("total_delay_incidents").isNotNull()))
     return j.select(
@@ -256,7 +264,7 @@ def station_delay_metrics(wh, station_key: str, rng: DateRange = ALL_DATES) -> D
     J09 left join, A14/W05 mode; the scalar subquery J14 becomes one global aggregate)."""
     f = wh.fct_transit_delays.filter((F.col("station_key") == station_key) & _in_range("date_key", rng))
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category")
-    base = f.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key", "left").select("delay_minutes", "delay_category")
+    base = f.join(c, "delay_code_key", "left").select("delay_minutes", "delay_category")
     return _stats_with_mode(base, "delay_category", "delay_minutes", [
         F.coalesce(F.sum("_n"), F.lit(0)).alias("delay_count"),
         F.coalesce(F.sum("_s"), F.lit(0)).alias("total_delay_minutes"),
@@ -276,8 +284,8 @@ def station_delay_timeline(wh, station_key: str, rng: DateRange = ALL_DATES) ->
     """R22."""
     f = wh.fct_transit_delays.filter((F.col("station_key") == station_key) & _in_range("date_key", rng))
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (f.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"))
+    return (_by(f, ["date_key"], "delay_minutes").join(d, "date_key").groupBy("year", "month_num", "month_name").agg(
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_delay_minutes"))
         .orderBy("year", "month_num"))
 
 
@@ -285,8 +293,8 @@ def station_trip_timeline(wh, station_key: str, rng: DateRange = ALL_DATES) -> D
     """R23."""
     f = wh.fct_bike_trips.filter((F.col("start_station_key") == station_key) & _in_range("date_key", rng))
     d = wh.dim_date.select("date_key", "year", "month_num", "month_name")
-    return (f.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "month_num", "month_name").agg(
-        F.count(F.lit(1)).alias("trip_count"), _avg_minutes("duration_seconds").alias("avg_duration_minutes"))
+    return (_by(f, ["date_key"], "duration_seconds").join(d, "date_key").groupBy("year", "month_num", "month_name").agg(
+        F.sum("_n").alias("trip_count"), _mean(1, 60.0).alias("avg_duration_minutes"))
         .orderBy("year", "month_num"))
 
 
@@ -296,32 +304,32 @@ def worst_stations(wh, n: int = 10) -> DataFrame:
     """R24."""
     f = wh.fct_transit_delays.filter(F.col("transit_mode") == "subway")
     s = wh.dim_station.select("station_key", "station_name")
-    return (f.join(_dim(wh, s, "dim_station"), "station_key").groupBy("station_name").agg(
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"),
-        F.round(F.avg("delay_minutes"), 1).alias("avg_delay_minutes"))
+    return (_by(f, ["station_key"], "delay_minutes").join(s, "station_key").groupBy("station_name").agg(
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_delay_minutes"),
+        _mean(1).alias("avg_delay_minutes"))
         .orderBy(F.desc("total_delay_minutes"), "station_name").limit(n))
 
 
 def category_share(wh) -> DataFrame:
     """Categories with percent of all incidents (W04 sum over () on the grouped rows)."""
     c = wh.dim_delay_codes.select("delay_code_key", "delay_category")
-    g = (wh.fct_transit_delays.join(_dim(wh, c, "dim_delay_codes"), "delay_code_key").groupBy("delay_category").agg(
-        F.count(F.lit(1)).alias("incident_count"), F.sum("delay_minutes").alias("total_minutes")))
+    g = (_by(wh.fct_transit_delays, ["delay_code_key"], "delay_minutes").join(c, "delay_code_key").groupBy("delay_category").agg(
+        F.sum("_n").alias("incident_count"), F.sum("_s").alias("total_minutes")))
     return (g.withColumn("pct_of_total", F.round(
         100.0 * F.col("incident_count") / F.sum("incident_count").over(Window.partitionBy()), 1))
         .orderBy(F.desc("incident_count"), "delay_category"))
 
 
-def _by_date_attr(fact: DataFrame, wh, keys: Sequence[str], aggs: Sequence[Column], order: Sequence[str]) -> DataFrame:
+def _by_date_attr(fact: DataFrame, wh, keys: Sequence[str], measure: str, aggs: Sequence[Column], order: Sequence[str]) -> DataFrame:
     d = wh.dim_date.select("date_key", *keys)
-    return fact.join(_dim(wh, d, "dim_date"), "date_key").groupBy(*keys).agg(*aggs).orderBy(*order)
+    return _by(fact, ["date_key"], measure).join(d, "date_key").groupBy(*keys).agg(*aggs).orderBy(*order)
 
 
 def delays_by_year(wh) -> DataFrame:
     """R26."""
-    return _by_date_attr(wh.fct_transit_delays, wh, ["year"], [
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes"),
-        F.round(F.avg("delay_minutes"), 1).alias("avg_delay_minutes")], ["year"])
+    return _by_date_attr(wh.fct_transit_delays, wh, ["year"], "delay_minutes", [
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_delay_minutes"),
+        _mean(1).alias("avg_delay_minutes")], ["year"])
 
 
 def delays_by_hour(wh) -> DataFrame:
@@ -333,61 +341,59 @@ def delays_by_hour(wh) -> DataFrame:
 
 def delays_by_weekday(wh) -> DataFrame:
     """R28."""
-    return _by_date_attr(wh.fct_transit_delays, wh, ["day_of_week", "day_of_week_num"], [
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_minutes")],
+    return _by_date_attr(wh.fct_transit_delays, wh, ["day_of_week", "day_of_week_num"], "delay_minutes", [
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_minutes")],
         ["day_of_week_num"])
 
 
 def trips_by_year(wh) -> DataFrame:
     """R29."""
-    return _by_date_attr(wh.fct_bike_trips, wh, ["year"], [
-        F.count(F.lit(1)).alias("total_trips"),
-        _avg_minutes("duration_seconds").alias("avg_duration_minutes")], ["year"])
+    return _by_date_attr(wh.fct_bike_trips, wh, ["year"], "duration_seconds", [
+        F.sum("_n").alias("total_trips"), _mean(1, 60.0).alias("avg_duration_minutes")], ["year"])
 
 
 def user_split_by_year(wh) -> DataFrame:
     """R30."""
     d = wh.dim_date.select("date_key", "year")
-    return (wh.fct_bike_trips.join(_dim(wh, d, "dim_date"), "date_key").groupBy("year", "user_type")
-            .agg(F.count(F.lit(1)).alias("trips")).orderBy("year", "user_type"))
+    return (_by(wh.fct_bike_trips, ["date_key", "user_type"]).join(d, "date_key").groupBy("year", "user_type")
+            .agg(F.sum("_n").alias("trips")).orderBy("year", "user_type"))
 
 
 def top_start_stations(wh, n: int = 10) -> DataFrame:
     """R31."""
     s = wh.dim_station.select(F.col("station_key").alias("start_station_key"), "station_name")
-    return (wh.fct_bike_trips.join(_dim(wh, s, "dim_station"), "start_station_key").groupBy("station_name")
-            .agg(F.count(F.lit(1)).alias("trip_count"))
+    return (_by(wh.fct_bike_trips, ["start_station_key"]).join(s, "start_station_key").groupBy("station_name")
+            .agg(F.sum("_n").alias("trip_count"))
             .orderBy(F.desc("trip_count"), "station_name").limit(n))
 
 
 def month_of_year_seasonality(wh) -> DataFrame:
     """R32."""
-    return _by_date_attr(wh.fct_bike_trips, wh, ["month_num", "month_name"], [
-        F.count(F.lit(1)).alias("total_trips"),
-        _avg_minutes("duration_seconds").alias("avg_duration_minutes")], ["month_num"])
+    return _by_date_attr(wh.fct_bike_trips, wh, ["month_num", "month_name"], "duration_seconds", [
+        F.sum("_n").alias("total_trips"), _mean(1, 60.0).alias("avg_duration_minutes")], ["month_num"])
 
 
 def trips_by_weather(wh) -> DataFrame:
     """R33."""
     w = wh.dim_weather.select("date_key", "weather_condition")
-    return (wh.fct_bike_trips.join(_dim(wh, w, "dim_weather"), "date_key").groupBy("weather_condition").agg(
-        F.count(F.lit(1)).alias("trip_count"), _avg_minutes("duration_seconds").alias("avg_duration_minutes"))
+    return (_by(wh.fct_bike_trips, ["date_key"], "duration_seconds").join(w, "date_key").groupBy("weather_condition").agg(
+        F.sum("_n").alias("trip_count"), _mean(1, 60.0).alias("avg_duration_minutes"))
         .orderBy(F.desc("trip_count"), "weather_condition"))
 
 
 def delays_by_weather(wh) -> DataFrame:
     """R34."""
     w = wh.dim_weather.select("date_key", "weather_condition")
-    return (wh.fct_transit_delays.join(_dim(wh, w, "dim_weather"), "date_key").groupBy("weather_condition").agg(
-        F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_minutes"),
-        F.round(F.avg("delay_minutes"), 1).alias("avg_minutes"))
+    return (_by(wh.fct_transit_delays, ["date_key"], "delay_minutes").join(w, "date_key").groupBy("weather_condition").agg(
+        F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_minutes"),
+        _mean(1).alias("avg_minutes"))
         .orderBy(F.desc("delay_count"), "weather_condition"))
 
 
 def correlation_sample(wh, n: int = 100) -> DataFrame:
     """The first ``n`` days of the daily fact with weather (T04; the limit is the feature)."""
     w = wh.dim_weather.select("date_key", "mean_temp_c", "total_precip_mm")
-    return (wh.fct_daily_mobility.join(_dim(wh, w, "dim_weather"), "date_key")
+    return (wh.fct_daily_mobility.join(w, "date_key")
             .select("date_key", "total_delay_incidents", "total_delay_minutes", "total_bike_trips",
                     "mean_temp_c", "total_precip_mm")
             .orderBy("date_key").limit(n))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions import columns as X
-from urbanlens.operators.joins import checked_broadcast
 
 UNIONED_COLUMNS = (
     "delay_sk", "delay_date", "delay_time", "incident_timestamp", "day_of_week",
@@ -27,17 +26,27 @@ def delays_unioned(subway: DataFrame, bus: DataFrame, streetcar: DataFrame) -> D
     return out
 
 
+def _spread_nulls(col: str):
+    """The lookup key; NULL becomes a text that no key equals, different for each row."""
+    return F.coalesce(F.col(col), F.concat(F.lit("\x00"), F.col("delay_sk")))
+
+
 def delays_enriched(unioned: DataFrame, station_mapping: DataFrame, delay_codes: DataFrame) -> DataFrame:
     """Raw station name -> canonical (J01), code -> description (J02), date key.
 
-    Both lookups are reference tables (one row per raw name / per code); after a
-    size check they are broadcast, so the fact side is not shuffled here.
+    Both lookups are written reference tables (one row per raw name / per code), so the
+    planner knows their size and broadcasts them below Spark's own byte threshold;
+    beyond it the join is a shuffle that AQE re-plans and splits by skew. Rows without
+    a name (two modes of three) or a code are spread by their own key, not gathered
+    on NULL.
     """
     sm = station_mapping.select("raw_station_name", "canonical_station_name",
                                 F.col("station_key").alias("station_id"))
     dc = delay_codes.select("delay_code", "delay_description", "delay_category")
-    return (unioned.join(checked_broadcast(sm), "raw_station_name", "left")
-            .join(checked_broadcast(dc), "delay_code", "left")
+    sm = sm.withColumnRenamed("raw_station_name", "_name")
+    dc = dc.withColumnRenamed("delay_code", "_code")
+    return (unioned.join(sm, _spread_nulls("raw_station_name") == F.col("_name"), "left")
+            .join(dc, _spread_nulls("delay_code") == F.col("_code"), "left")
             .withColumn("date_key", X.date_key("delay_date"))
             .select(*UNIONED_COLUMNS, "canonical_station_name", "station_id",
                     "delay_description", "delay_category", "date_key"))
@@ -54,8 +63,8 @@ def trips_enriched(trips: DataFrame, station_ref: DataFrame) -> DataFrame:
                      F.col("latitude").alias("end_latitude"),
                      F.col("longitude").alias("end_longitude"),
                      F.col("neighborhood").alias("end_neighborhood"))
-    return (trips.join(checked_broadcast(start), "start_station_id", "left")
-            .join(checked_broadcast(end), "end_station_id", "left")
+    return (trips.join(start, "start_station_id", "left")
+            .join(end, "end_station_id", "left")
             .withColumn("trip_date", F.to_date("start_time"))
             .withColumn("date_key", X.date_key(F.to_date("start_time")))
             .withColumn("duration_bucket", X.duration_bucket("trip_duration_seconds")))

@@ -1,7 +1,7 @@
 """Parameters of the registered dashboard queries (P23 date-key range, P24 closed domains).
 
-The date range spans every date in the data, so each query runs over whole
-tables; the station parameters pick one subway and one bike station (a
+The date range is that of the calendar, whatever the data hold, so each query runs
+over whole tables; the station parameters pick one subway and one bike station (a
 single-station drill-down is the feature of those queries).
 """
 
@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from urbanlens import config as C
 
-DATE_RANGE = (19950101, 20241231)
 MODES = C.TRANSIT_MODES
 USER_TYPES = C.USER_TYPES
 SUBWAY_STATION_ID = "ST_004"
@@ -24,6 +25,12 @@ def station_key(station_type: str, station_id: str) -> str:
     return hashlib.md5(f"{station_type}{C.KEY_DELIMITER}{station_id}".encode()).hexdigest()
 
 
+def date_range(wh) -> tuple:
+    """First and last date key of the calendar, as scalar subqueries (no job while planning)."""
+    days = wh.dim_date
+    return (days.agg(F.min("date_key")).scalar(), days.agg(F.max("date_key")).scalar())
+
+
 SUBWAY_STATION_KEY = station_key("TTC_SUBWAY", SUBWAY_STATION_ID)
 BIKE_STATION_KEY = station_key("BIKE_SHARE", BIKE_STATION_ID)
 COMPARE_SUBWAY_KEYS = tuple(station_key("TTC_SUBWAY", s) for s in COMPARE_SUBWAY_IDS)

@@ -59,32 +59,32 @@ _MODELS = {
 for _key, _attr in _MODELS.items():
     _wh_query(_key, lambda wh, a=_attr: getattr(wh, a))
 
-rng = P.DATE_RANGE
+rng = P.date_range  # of the marts at hand
 for _key, _fn in {
     "r01_daily_summary": R.daily_mobility_summary,
     "r02_top_delay_stations": R.top_delay_stations,
     "r03_bike_weather": R.bike_weather_correlation,
     "r04_cross_modal": R.cross_modal_analysis,
     "r05_monthly_trends": R.monthly_trends,
-    "r06_hero_delay_hours": lambda wh: R.hero_total_delay_hours(wh, rng),
-    "r07_hero_bike_trips": lambda wh: R.hero_total_bike_trips(wh, rng),
-    "r07b_hero_daily_bike_trips": lambda wh: R.hero_daily_bike_trips(wh, rng),
-    "r08_hero_worst_station": lambda wh: R.hero_worst_station(wh, rng),
+    "r06_hero_delay_hours": lambda wh: R.hero_total_delay_hours(wh, rng(wh)),
+    "r07_hero_bike_trips": lambda wh: R.hero_total_bike_trips(wh, rng(wh)),
+    "r07b_hero_daily_bike_trips": lambda wh: R.hero_daily_bike_trips(wh, rng(wh)),
+    "r08_hero_worst_station": lambda wh: R.hero_worst_station(wh, rng(wh)),
     "r09_hero_freshness": R.hero_data_freshness,
-    "r10_monthly_aggregation": lambda wh: R.monthly_aggregation(wh, rng),
-    "r11_mode_comparison": lambda wh: R.mode_comparison(wh, rng),
-    "r12_station_delays": lambda wh: R.ttc_station_delays(wh, P.MODES, rng),
-    "r13_delay_causes": lambda wh: R.ttc_delay_causes(wh, P.MODES, rng),
-    "r14_hourly_pattern": lambda wh: R.ttc_hourly_pattern(wh, P.MODES, rng),
-    "r15_monthly_delay_trend": lambda wh: R.ttc_monthly_trend(wh, P.MODES, rng),
-    "r16_station_activity": lambda wh: R.bike_station_activity(wh, P.USER_TYPES, rng),
-    "r17_yearly_trips": lambda wh: R.bike_yearly_summary(wh, rng),
-    "r18_monthly_seasonality": lambda wh: R.bike_monthly_seasonality(wh, rng),
+    "r10_monthly_aggregation": lambda wh: R.monthly_aggregation(wh, rng(wh)),
+    "r11_mode_comparison": lambda wh: R.mode_comparison(wh, rng(wh)),
+    "r12_station_delays": lambda wh: R.ttc_station_delays(wh, P.MODES, rng(wh)),
+    "r13_delay_causes": lambda wh: R.ttc_delay_causes(wh, P.MODES, rng(wh)),
+    "r14_hourly_pattern": lambda wh: R.ttc_hourly_pattern(wh, P.MODES, rng(wh)),
+    "r15_monthly_delay_trend": lambda wh: R.ttc_monthly_trend(wh, P.MODES, rng(wh)),
+    "r16_station_activity": lambda wh: R.bike_station_activity(wh, P.USER_TYPES, rng(wh)),
+    "r17_yearly_trips": lambda wh: R.bike_yearly_summary(wh, rng(wh)),
+    "r18_monthly_seasonality": lambda wh: R.bike_monthly_seasonality(wh, rng(wh)),
     "r19_weather_daily": R.weather_daily_metrics,
-    "r20_station_delay_metrics": lambda wh: R.station_delay_metrics(wh, P.SUBWAY_STATION_KEY, rng),
-    "r21_station_trip_metrics": lambda wh: R.station_trip_metrics(wh, P.BIKE_STATION_KEY, rng),
-    "r22_station_delay_timeline": lambda wh: R.station_delay_timeline(wh, P.SUBWAY_STATION_KEY, rng),
-    "r23_station_trip_timeline": lambda wh: R.station_trip_timeline(wh, P.BIKE_STATION_KEY, rng),
+    "r20_station_delay_metrics": lambda wh: R.station_delay_metrics(wh, P.SUBWAY_STATION_KEY, rng(wh)),
+    "r21_station_trip_metrics": lambda wh: R.station_trip_metrics(wh, P.BIKE_STATION_KEY, rng(wh)),
+    "r22_station_delay_timeline": lambda wh: R.station_delay_timeline(wh, P.SUBWAY_STATION_KEY, rng(wh)),
+    "r23_station_trip_timeline": lambda wh: R.station_trip_timeline(wh, P.BIKE_STATION_KEY, rng(wh)),
     "r24_worst_stations": R.worst_stations,
     "r25_category_share": R.category_share,
     "r26_delays_by_year": R.delays_by_year,
@@ -156,9 +156,11 @@ def _nearby(wh: Warehouse):
 def _nearby_table(wh: Warehouse):
     """Nearest stations with their activity (delays for subway, trips for bike)."""
     near = _nearby(wh)
-    delays = wh.fct_transit_delays.groupBy("station_key").agg(F.count(F.lit(1)).alias("delay_count"))
-    trips = (wh.fct_bike_trips.groupBy(F.col("start_station_key").alias("station_key"))
-             .agg(F.count(F.lit(1)).alias("trip_count")))
+    keys = near.select("station_key")  # ten keys: the facts are cut to them before they are grouped
+    delays = (wh.fct_transit_delays.join(keys, "station_key", "left_semi").groupBy("station_key")
+              .agg(F.count(F.lit(1)).alias("delay_count")))
+    trips = (wh.fct_bike_trips.withColumnRenamed("start_station_key", "station_key").join(keys, "station_key", "left_semi")
+             .groupBy("station_key").agg(F.count(F.lit(1)).alias("trip_count")))
     return (near.join(delays, "station_key", "left").join(trips, "station_key", "left")
             .select("rank", "station_key", "station_name", "station_type", "distance_km",
                     F.coalesce("delay_count", F.lit(0)).alias("delay_count"),
@@ -171,9 +173,9 @@ def _compare(wh: Warehouse):
     f = wh.fct_transit_delays.filter(F.col("station_key").isin(keys))
     s = wh.dim_station.select("station_key", "station_name")
     d = wh.dim_date.select("date_key", "year", "month_num")
-    return (f.join(R._dim(wh, s, "dim_station"), "station_key").join(R._dim(wh, d, "dim_date"), "date_key")
+    return (R._by(f, ["station_key", "date_key"], "delay_minutes").join(s, "station_key").join(d, "date_key")
             .groupBy("station_name", "year", "month_num")
-            .agg(F.count(F.lit(1)).alias("delay_count"), F.sum("delay_minutes").alias("total_delay_minutes")))
+            .agg(F.sum("_n").alias("delay_count"), F.sum("_s").alias("total_delay_minutes")))
 
 
 def _pairs(wh: Warehouse):
@@ -187,7 +189,7 @@ def _pairs(wh: Warehouse):
 
 def _unpivot(wh: Warehouse):
     """Yearly member/casual columns -> (year, user_type, trip_count)."""
-    y = R.bike_yearly_summary(wh, rng).select("year", "member_trips", "casual_trips")
+    y = R.bike_yearly_summary(wh, rng(wh)).select("year", "member_trips", "casual_trips")
     u = y.unpivot("year", ["member_trips", "casual_trips"], "measure", "trip_count")
     return u.select("year", F.when(F.col("measure") == "member_trips", "Annual Member")
                     .otherwise("Casual Member").alias("user_type"), "trip_count")
@@ -199,14 +201,14 @@ def _first_match(wh: Warehouse):
         F.col("station_name").isNotNull()).distinct()
     st = W.keep_first(wh.dim_station.select("station_name", "station_key", "station_type"),
                       ["station_name"], ["station_key"])
-    return names.join(R._dim(wh, st, "dim_station"), "station_name", "left")
+    return names.join(st, "station_name", "left")
 
 
 def _longest_contained(wh: Warehouse):
     """Longest registry name contained in each distinct raw name (rule 5 alone)."""
     names = wh.raw_subway.select(F.col("station").alias("name")).filter(F.col("name").isNotNull()).distinct()
     lookup = wh.subway_registry.select(F.col("canonical_station_name").alias("core_name"),
-                                       "station_key", "line_code")
+                                       "station_key", "line_code", "ordinal")
     return E._longest_contained(names, lookup, 5).select(
         F.col("name").alias("raw_station_name"), "station_key")
 
@@ -234,7 +236,7 @@ for _key, _fn in {
                                                     "station_key").select("trip_sk", "end_station_key"),
     "d05_value_between": lambda wh: Q.value_between(wh.fct_bike_trips, "duration_seconds",
                                                     *C.TRIP_SECONDS_RANGE, keep=["trip_sk"]),
-    "d06_row_count": lambda wh: Q.row_count_between(wh.fct_daily_mobility, 1, 2000),
+    "d06_row_count": lambda wh: Q.row_count_between(wh.fct_daily_mobility, 1, 20_000),
     "d07_freshness": lambda wh: Q.freshness(wh.fct_transit_delays, "incident_timestamp", P.FRESHNESS_AS_OF),
     "d08_volume_anomaly": lambda wh: Q.volume_anomalies(
         wh.fct_daily_mobility.filter(F.col("total_delay_incidents").isNotNull()),
@@ -266,28 +268,28 @@ for _key, _fn in {
         F.round("center_lon", 6).alias("center_lon"), "n_points"),
     "g05_weight": lambda wh: G.nearby_weight(_nearby(wh)).select(
         "station_key", F.round("weight", 4).alias("weight")),
-    "r40_kpi_share": lambda wh: A.member_share(R.ttc_station_delays(wh, P.MODES, rng), "station_name",
+    "r40_kpi_share": lambda wh: A.member_share(R.ttc_station_delays(wh, P.MODES, rng(wh)), "station_name",
                                                P.SHARE_STATION_NAME, "total_delay_minutes", "station_share_pct"),
-    "a11_category_share": lambda wh: A.member_share(R.ttc_delay_causes(wh, P.MODES, rng), "delay_category",
+    "a11_category_share": lambda wh: A.member_share(R.ttc_delay_causes(wh, P.MODES, rng(wh)), "delay_category",
                                                     P.SHARE_CATEGORY, "incident_count", "category_share_pct"),
-    "a13_peak": lambda wh: A.peak_window(R.ttc_hourly_pattern(wh, P.MODES, rng)),
+    "a13_peak": lambda wh: A.peak_window(R.ttc_hourly_pattern(wh, P.MODES, rng(wh))),
     "a13b_busiest_month": lambda wh: A.busiest_period(
-        R.station_trip_timeline(wh, P.BIKE_STATION_KEY, rng), "trip_count"),
+        R.station_trip_timeline(wh, P.BIKE_STATION_KEY, rng(wh)), "trip_count"),
     "a15_condition_mean": lambda wh: A.condition_means(R.weather_daily_metrics(wh), "total_bike_trips"),
     "a16_impact": lambda wh: A.impact_vs_baseline(R.weather_daily_metrics(wh), "total_bike_trips"),
     "a16b_delay_impact": lambda wh: A.impact_vs_baseline(R.weather_daily_metrics(wh), "total_delay_incidents"),
     "a17_sweet_spot": lambda wh: A.temperature_sweet_spot(R.weather_daily_metrics(wh)),
-    "a18_yoy": lambda wh: A.first_last_change(R.ttc_monthly_trend(wh, P.MODES, rng), "year", "delay_count"),
-    "a19_latest_share": lambda wh: A.latest_share(R.bike_yearly_summary(wh, rng)),
-    "a20_season_ratio": lambda wh: A.season_ratio(R.bike_monthly_seasonality(wh, rng)),
-    "a21_weighted_mean": lambda wh: A.weighted_mean_minutes(R.bike_yearly_summary(wh, rng)),
+    "a18_yoy": lambda wh: A.first_last_change(R.ttc_monthly_trend(wh, P.MODES, rng(wh)), "year", "delay_count"),
+    "a19_latest_share": lambda wh: A.latest_share(R.bike_yearly_summary(wh, rng(wh))),
+    "a20_season_ratio": lambda wh: A.season_ratio(R.bike_monthly_seasonality(wh, rng(wh))),
+    "a21_weighted_mean": lambda wh: A.weighted_mean_minutes(R.bike_yearly_summary(wh, rng(wh))),
     "a22_pairs": _pairs,
     "a23_primary_line": lambda wh: E.primary_lines(wh.raw_subway),
     "a24_code_counts": lambda wh: E.code_counts((wh.raw_subway, "code"), (wh.raw_bus, "delay_code"),
                                                 (wh.raw_streetcar, "delay_code")),
-    "a25_rollup_parent_share": lambda wh: A.rollup_parent_share(R.ttc_delay_causes(wh, P.MODES, rng)),
+    "a25_rollup_parent_share": lambda wh: A.rollup_parent_share(R.ttc_delay_causes(wh, P.MODES, rng(wh))),
     "a26_duplicates": lambda wh: W.duplicate_keys(wh.raw_subway, S.SUBWAY_KEY),
-    "a27_minmax": lambda wh: G.minmax_scale(R.ttc_station_delays(wh, P.MODES, rng), "total_delay_minutes")
+    "a27_minmax": lambda wh: G.minmax_scale(R.ttc_station_delays(wh, P.MODES, rng(wh)), "total_delay_minutes")
     .select("station_name", F.round("radius", 4).alias("radius")),
     "r41_nearby_table": _nearby_table,
     "r42_compare": _compare,

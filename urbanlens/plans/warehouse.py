@@ -25,8 +25,6 @@ from urbanlens.operators import resolve as E
 from urbanlens.session import materialize
 
 _SEED_PATHS: dict[tuple, str] = {}
-_DIM_ROWS: dict[tuple, int] = {}
-MAX_BROADCAST_ROWS = 2_000_000
 
 MART_NAMES = ("dim_date", "dim_station", "dim_weather", "dim_delay_codes",
               "fct_transit_delays", "fct_bike_trips", "fct_daily_mobility")
@@ -38,18 +36,6 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.persist_refs = persist_refs
         self._marts: dict[str, DataFrame] = {}
-        self._dim_rows: dict[str, int] = {}
-        self._source = sf_dir
-
-    def broadcastable(self, name: str, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-        """A dimension may be broadcast when its counted size (cached) is under ``max_rows``.
-        Dimensions are bounded by the domain (days, stations, codes); the count proves it."""
-        if name not in self._dim_rows:
-            key = (self.spark.sparkContext.applicationId, self.sf_dir or self._source, name)
-            if key not in _DIM_ROWS:
-                _DIM_ROWS[key] = getattr(self, name).count()
-            self._dim_rows[name] = _DIM_ROWS[key]
-        return self._dim_rows[name] <= max_rows
 
     @classmethod
     def from_marts(cls, spark: SparkSession, path: str, cache_small: bool = False) -> Warehouse:
@@ -58,7 +44,6 @@ class Warehouse:
         for a serving session that queries them repeatedly; the event facts stay on
         parquet, where pruning applies."""
         wh = cls(spark, None)
-        wh._source = path
         for name in MART_NAMES:
             df = spark.read.parquet(f"{path}/{name}")
             if cache_small and name not in ("fct_transit_delays", "fct_bike_trips"):
@@ -134,7 +119,7 @@ class Warehouse:
         # once; every resolution rule then reads that small table, not the raw feed
         names = self._ref(E.primary_lines(self.raw_subway), "subway_name_vocabulary")
         reg = self.subway_registry
-        lookup = reg.select(F.col("canonical_station_name").alias("core_name"), "station_key", "line_code")
+        lookup = reg.select(F.col("canonical_station_name").alias("core_name"), "station_key", "line_code", "ordinal")
         return self._ref(E.resolve_names(names, lookup, reg, T.station_overrides(self.spark)),
                          "station_mapping")
 

@@ -13,7 +13,7 @@ TABLES = (
 )
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "urbanlens", extra: dict | None = None) -> SparkSession:
     """Session tuned for this library: AQE, skew-join splitting, UTC, no UI."""
     builder = SparkSession.builder.appName(app)
@@ -23,18 +23,17 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # on a cluster, set many shuffle partitions and let AQE merge them to the
-        # advisory size (spark.sql.adaptive.advisoryPartitionSizeInBytes)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("URBANLENS_DRIVER_MEMORY", "16g"))
     )
+    if shuffle_partitions:  # else the cluster's own setting; AQE merges small partitions
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
