@@ -597,8 +597,13 @@ FROM (SELECT dataset, source_rows, loaded_rows,
             UNION ALL SELECT 'trips', (SELECT count(*) FROM raw_trips), (SELECT count(*) FROM raw_trips)))""",
   "raw_subway", "raw_bus", "raw_streetcar", "raw_trips")
 q("st01_incremental_load", """
-SELECT * EXCLUDE (trip_duration), CASE WHEN CAST(split_part(trip_id, '-', 1) AS BIGINT) % 5 = 0 THEN '7777'
-       ELSE trip_duration END AS trip_duration FROM raw_trips""", "raw_trips")
+SELECT trip_id, trip_duration, start_station_id, start_time, start_station_name, end_station_id, end_time,
+       end_station_name, bike_id, user_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY trip_duration NULLS FIRST, start_station_id NULLS FIRST,
+    start_time NULLS FIRST, start_station_name NULLS FIRST, end_station_id NULLS FIRST, end_time NULLS FIRST,
+    end_station_name NULLS FIRST, bike_id NULLS FIRST, user_type NULLS FIRST) AS rn FROM (SELECT * REPLACE (CASE WHEN CAST(split_part(trip_id, '-', 1) AS BIGINT) % 5 = 0 THEN '7777' ELSE trip_duration END AS trip_duration)
+     FROM raw_trips)) WHERE rn = 1""",
+  "raw_trips")
 q("s15_drift", """
 SELECT date AS "Date", route AS "Route", time AS "Time", day AS "Day", location AS "Location", delay_code AS "Incident",
        min_delay AS "Min Delay", min_gap AS "Min Gap", direction AS "Direction" FROM raw_bus""", "raw_bus")
