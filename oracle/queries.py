@@ -351,6 +351,14 @@ UNION ALL SELECT 'description_words', delay_code FROM delay_codes
   WHERE trim(delay_description) = '' OR len(string_split_regex(trim(delay_description), '\\s+')) > 10
 UNION ALL SELECT 'category_domain', delay_code FROM delay_codes WHERE delay_category NOT IN (""" + _cats + ")",
   "station_mapping", "delay_codes")
+ORACLE["d16b_failing_rows"] = ("SELECT test_name, severity, failures AS kept_rows FROM (" + ORACLE["d16_suite"]
+                                + ") WHERE failures > 0")
+q("d17b_seed_coverage", """
+SELECT 'station_keys' AS "check", CAST(n AS VARCHAR) AS detail FROM (
+  SELECT count(DISTINCT station_key) AS n FROM station_mapping WHERE station_key <> 'ST_000') WHERE n < 75
+UNION ALL SELECT 'codes', CAST(n AS VARCHAR) FROM (SELECT count(*) AS n FROM delay_codes) WHERE n < 30
+UNION ALL SELECT 'unused_category', c FROM (SELECT unnest([""" + _cats + """]) AS c)
+  WHERE c NOT IN (SELECT delay_category FROM delay_codes)""", "station_mapping", "delay_codes")
 q("d18_bbox", f"""
 SELECT station_key, station_type FROM dim_station
 WHERE latitude IS NULL OR longitude IS NULL OR NOT (latitude BETWEEN {lat_min} AND {lat_max})
@@ -392,7 +400,9 @@ SELECT station_key, round(CASE WHEN max(distance_km) OVER () > 0
 FROM ({_near})""", "dim_station")
 q("r41_nearby_table", f"""
 SELECT n.rank, n.station_key, n.station_name, n.station_type, n.distance_km,
-       coalesce(d.delay_count, 0) AS delay_count, coalesce(t.trip_count, 0) AS trip_count
+       coalesce(d.delay_count, 0) AS delay_count, coalesce(t.trip_count, 0) AS trip_count,
+       coalesce(CASE n.station_type WHEN 'TTC_SUBWAY' THEN format('{{:,}}', d.delay_count) || ' delays'
+                                    WHEN 'BIKE_SHARE' THEN format('{{:,}}', t.trip_count) || ' trips' END, '\u2014') AS activity
 FROM ({_near}) n
 LEFT JOIN (SELECT station_key, count(*) AS delay_count FROM fct_transit_delays GROUP BY 1) d ON d.station_key = n.station_key
 LEFT JOIN (SELECT start_station_key AS station_key, count(*) AS trip_count FROM fct_bike_trips GROUP BY 1) t
@@ -493,6 +503,9 @@ SELECT station AS raw_station_name, line, count(*) AS occurrences,
        CAST(min(year(CAST(date AS DATE))) AS INTEGER) AS first_year,
        CAST(max(year(CAST(date AS DATE))) AS INTEGER) AS last_year
 FROM raw_subway WHERE station IS NOT NULL AND trim(station) <> '' GROUP BY station, line""", "raw_subway")
+q("a22b_rejected_pairs", """
+SELECT line, CAST(date AS DATE) AS day, count(*) AS rejected FROM raw_subway
+WHERE station IS NULL OR trim(station) = '' GROUP BY ALL""", "raw_subway")
 q("a23_primary_line", "SELECT raw_station_name, primary_line, total_occurrences::BIGINT AS total_occurrences FROM primary_line",
   "primary_line")
 q("a24_code_counts", "SELECT delay_code, occurrences FROM code_counts", "code_counts")

@@ -55,3 +55,27 @@ def test_reference_and_mapping_checks(spark):
     occ = spark.createDataFrame([("K STN", 3), ("K", 1), ("X", 4)], "raw_station_name string, total_occurrences long")
     got = {(r.check, r.detail) for r in Q.mapping_checks(mapping, reg, occ).collect()}
     assert got == {("station_without_variant", "ST_002"), ("coverage_pct", "50.0")}
+
+
+def test_failing_rows_and_fail_fast(spark):
+    import pytest
+
+    from urbanlens.operators import quality as Q
+
+    good, bad = spark.createDataFrame([], "a int"), spark.createDataFrame([(1,), (2,)], "a int")
+    checks = [Q.Check("fine", "error", good), Q.Check("odd", "warn", bad), Q.Check("wrong", "error", bad)]
+    assert sorted(tuple(r) for r in Q.failing_rows(checks).collect()) == [
+        (n, s, f'{{"a":{i}}}') for n, s in (("odd", "warn"), ("wrong", "error")) for i in (1, 2)]
+    Q.fail_fast(checks[:2])
+    with pytest.raises(Q.CheckFailed, match="wrong"):
+        Q.fail_fast(checks)
+
+
+def test_seed_coverage(spark):
+    from urbanlens import config as C
+    from urbanlens.operators import quality as Q
+
+    mapping = spark.createDataFrame([("ST_000",), ("ST_001",), ("ST_001",)], "station_key string")
+    codes = spark.createDataFrame([(c, c) for c in C.DELAY_CATEGORIES[1:]], "delay_code string, delay_category string")
+    got = {(r.check, r.detail) for r in Q.seed_coverage(mapping, codes, 2, 7).collect()}
+    assert got == {("station_keys", "1"), ("unused_category", C.DELAY_CATEGORIES[0])}

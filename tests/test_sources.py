@@ -143,6 +143,15 @@ def test_zip_members(spark, tmp_dir):
     assert sorted((r.member, r["Trip Id"]) for r in df.collect()) == [("one.csv", "1"), ("two.csv", "2")]
 
 
+def test_records_keep_quoted_line_breaks(spark, tmp_dir):
+    write(tmp_dir, "q.csv", 'a,b\r\n1,"x\ny\x0bz"\r\n2,w\u2028v\n')
+    df = B.parse_csv_lines(B.decode_text(B.binary_files(spark, tmp_dir, glob="*.csv")))
+    assert sorted((r.a, r.b) for r in df.collect()) == [("1", "x\ny\x0bz"), ("2", "w\u2028v")]
+    write(f"{tmp_dir}/bad", "b.csv", b"a\n\x81\x8d\xff")
+    with pytest.raises(Exception, match="confidence"):
+        B.decode_text(B.binary_files(spark, f"{tmp_dir}/bad")).collect()
+
+
 def test_corrupt_zip_fails(spark, tmp_dir):
     data = bytearray(_zip({"a.csv": "x,y\n" + "1,2\n" * 200}))
     pos = data.find(b"1,2")

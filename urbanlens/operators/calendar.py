@@ -25,13 +25,6 @@ def spine_between(spark: SparkSession, start: str, end: str) -> DataFrame:
     return date_spine(bounds)
 
 
-def spine_over_years(dates: DataFrame, col: str) -> DataFrame:
-    """Spine covering whole calendar years from the first to the last date in ``col``."""
-    b = dates.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    b = b.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("start_date"),
-                 F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("end_date"))
-    return date_spine(b)
-
 
 def iso_weekday(d: Column) -> Column:
     """1 = Monday .. 7 = Sunday."""

@@ -215,6 +215,40 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
                           .when(F.col("severity") == "warn", "warn").otherwise("fail"))
 
 
+class CheckFailed(ValueError):
+    """D16 fail-fast: the first check of error severity that found rows."""
+
+
+def failing_rows(checks: Sequence[Check]) -> DataFrame:
+    """The failing rows themselves, as (test_name, severity, row as JSON), to be kept with the run."""
+    out = None
+    for c in checks:
+        part = c.violations.select(F.lit(c.name).alias("test_name"), F.lit(c.severity).alias("severity"),
+                                   F.to_json(F.struct("*")).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fail_fast(checks: Sequence[Check]) -> None:
+    """Run the checks in order and stop at the first error with a failing row; warnings pass."""
+    for c in checks:
+        if c.severity == "error" and not c.violations.isEmpty():
+            raise CheckFailed(c.name)
+
+
+def seed_coverage(mapping: DataFrame, codes: DataFrame, min_keys: int = 75, min_codes: int = 30,
+                  categories: Sequence[str] = C.DELAY_CATEGORIES) -> DataFrame:
+    """At least ``min_keys`` real station keys and ``min_codes`` codes, every category
+    used; violations as (check, detail)."""
+    keys = (mapping.filter(F.col("station_key") != C.UNKNOWN_STATION[1]).agg(F.count_distinct("station_key").alias("n"))
+            .filter(F.col("n") < min_keys).select(F.lit("station_keys").alias("check"), F.col("n").cast("string").alias("detail")))
+    rows = codes.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < min_codes).select(
+        F.lit("codes").alias("check"), F.col("n").cast("string").alias("detail"))
+    used = codes.agg(F.collect_set("delay_category").alias("used"))  # at most the domain's few values
+    unused = used.select(F.explode(F.array_except(F.array(*[F.lit(c) for c in categories]), "used")).alias("detail"))
+    return keys.unionByName(rows).unionByName(unused.select(F.lit("unused_category").alias("check"), "detail"))
+
+
 def reference_records(df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
     """Problems of a reference table — empty table, duplicate ids, blank fields."""
     empty = df.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == 0).select(

@@ -154,15 +154,19 @@ def _nearby(wh: Warehouse):
 
 
 def _nearby_table(wh: Warehouse):
-    """Nearest stations with their activity (delays for subway, trips for bike)."""
+    """Nearest stations with their activity and its label by type (delays for subway,
+    trips for bike, a dash where there is none; J15)."""
     near = _nearby(wh)
     keys = near.select("station_key")  # ten keys: the facts are cut to them before they are grouped
     delays = (wh.fct_transit_delays.join(keys, "station_key", "left_semi").groupBy("station_key")
               .agg(F.count(F.lit(1)).alias("delay_count")))
     trips = (wh.fct_bike_trips.withColumnRenamed("start_station_key", "station_key").join(keys, "station_key", "left_semi")
              .groupBy("station_key").agg(F.count(F.lit(1)).alias("trip_count")))
+    own = F.when(F.col("station_type") == "TTC_SUBWAY", F.concat(F.format_number("delay_count", 0), F.lit(" delays")))
+    own = own.when(F.col("station_type") == "BIKE_SHARE", F.concat(F.format_number("trip_count", 0), F.lit(" trips")))
     return (near.join(delays, "station_key", "left").join(trips, "station_key", "left")
-            .select("rank", "station_key", "station_name", "station_type", "distance_km",
+            .withColumn("activity", F.coalesce(own, F.lit("\u2014")))
+            .select("rank", "activity", "station_key", "station_name", "station_type", "distance_km",
                     F.coalesce("delay_count", F.lit(0)).alias("delay_count"),
                     F.coalesce("trip_count", F.lit(0)).alias("trip_count")))
 
@@ -187,6 +191,13 @@ def _pairs(wh: Warehouse):
                  F.max("yr").alias("last_year")))
 
 
+def _rejected_pairs(wh: Warehouse):
+    """The rows whose station name is blank, by line and day."""
+    blank = F.col("station").isNull() | (F.trim("station") == "")
+    return (wh.raw_subway.filter(blank).groupBy("line", F.col("date").cast("date").alias("day"))
+            .agg(F.count(F.lit(1)).alias("rejected")))
+
+
 def _unpivot(wh: Warehouse):
     """Yearly member/casual columns -> (year, user_type, trip_count)."""
     y = R.bike_yearly_summary(wh, rng(wh)).select("year", "member_trips", "casual_trips")
@@ -255,6 +266,9 @@ for _key, _fn in {
     "d16_suite": lambda wh: Q.run_suite(_checks(wh)),
     "d17_seed_structure": lambda wh: Q.station_key_format(wh.station_mapping).unionByName(
         Q.code_seed_structure(wh.delay_codes)),
+    "d16b_failing_rows": lambda wh: Q.failing_rows(_checks(wh)).groupBy("test_name", "severity").agg(
+        F.count(F.lit(1)).alias("kept_rows")),
+    "d17b_seed_coverage": lambda wh: Q.seed_coverage(wh.station_mapping, wh.delay_codes),
     "d18_bbox": lambda wh: Q.coordinates_in_bbox(wh.dim_station).select("station_key", "station_type"),
     "k01_spine": lambda wh: wh.dim_date.select("full_date"),
     "k02_attributes": lambda wh: K.spine_attributes(wh.dim_date.select("full_date")),
@@ -284,6 +298,7 @@ for _key, _fn in {
     "a20_season_ratio": lambda wh: A.season_ratio(R.bike_monthly_seasonality(wh, rng(wh))),
     "a21_weighted_mean": lambda wh: A.weighted_mean_minutes(R.bike_yearly_summary(wh, rng(wh))),
     "a22_pairs": _pairs,
+    "a22b_rejected_pairs": _rejected_pairs,
     "a23_primary_line": lambda wh: E.primary_lines(wh.raw_subway),
     "a24_code_counts": lambda wh: E.code_counts((wh.raw_subway, "code"), (wh.raw_bus, "delay_code"),
                                                 (wh.raw_streetcar, "delay_code")),

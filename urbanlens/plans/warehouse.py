@@ -22,7 +22,7 @@ from urbanlens.plans import staging as S
 from urbanlens.plans import testbed as T
 from urbanlens.functions import columns as X
 from urbanlens.operators import resolve as E
-from urbanlens.session import materialize
+from urbanlens.session import land
 
 _SEED_PATHS: dict[tuple, str] = {}
 
@@ -51,14 +51,14 @@ class Warehouse:
             wh._marts[name] = df
         return wh
 
-    def _ref(self, df: DataFrame, name: str) -> DataFrame:
+    def _ref(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Reference tables (the seeds) are written once per session and input folder and
         then read back by every query that needs them."""
         if not self.persist_refs:
             return df
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _SEED_PATHS:
-            _SEED_PATHS[key] = materialize(df, name).inputFiles()[0].rsplit("/", 1)[0]
+            _SEED_PATHS[key] = land(df, name, partition_by)
         return self.spark.read.parquet(_SEED_PATHS[key])
 
     def _mart(self, name: str, build) -> DataFrame:
@@ -70,7 +70,8 @@ class Warehouse:
     # RAW layer of the source system; every model reads the landed table
     @cached_property
     def raw_incidents(self) -> DataFrame:
-        return self._ref(T.raw_incidents(self.spark, self.sf_dir), "raw_incidents")
+        # a folder for each mode: the models of one mode don't read the others
+        return self._ref(T.raw_incidents(self.spark, self.sf_dir), "raw_incidents", ("transit_mode",))
 
     def _raw_mode(self, mode: str) -> DataFrame:
         inc = self.raw_incidents.filter(F.col("transit_mode") == mode)

@@ -61,17 +61,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back.
+def land(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Write ``df`` as a parquet table in the shared folder; returns its folder.
 
-    Used for reference tables (the seeds of the source system): it cuts the
-    lineage, so later plans neither recompute nor re-optimise the derivation,
-    survives the loss of executors, and gives the planner the exact size of the
-    table when it decides on a broadcast.
-    """
+    It cuts the lineage, so later plans neither recompute nor re-optimise the derivation,
+    survives the loss of executors, and gives the planner the table's true size."""
     import uuid
 
-    spark = df.sparkSession
-    path = shared_dir(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = shared_dir(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.partitionBy(*partition_by).parquet(path)
+    return path

@@ -60,20 +60,48 @@ def detect_encoding(data: bytes) -> tuple[str, float]:
         data.decode("utf-8")
         return "utf-8", 1.0
     except UnicodeDecodeError:
+        pass
+    try:
+        data.decode("cp1252")
         return "cp1252", MIN_CONFIDENCE
+    except UnicodeDecodeError:  # bytes that neither encoding has: the caller rejects the file
+        return "cp1252", 0.0
+
+
+ROWS_AT_ONCE = 10_000
+
+
+def _records(text: str) -> Iterator[str]:
+    """Delimited records: split at CR LF, LF or CR, but not inside quotes."""
+    open_quote, held = False, []
+    for line in re.split(r"\r\n|\n|\r", text):
+        held.append(line)
+        open_quote ^= line.count('"') % 2 == 1
+        if not open_quote:
+            yield "\n".join(held)
+            held = []
+    if held:
+        yield "\n".join(held)
+
+
+def _numbered(path: str, member: str | None, text: str) -> Iterator[pd.DataFrame]:
+    """The records of one text, a bounded number at a time."""
+    out = []
+    for i, record in enumerate(_records(text[:-1] if text.endswith("\n") else text)):
+        out.append((path, member, i, record))
+        if len(out) >= ROWS_AT_ONCE:
+            yield pd.DataFrame(out, columns=["path", "member", "line_no", "line"])
+            out = []
+    yield pd.DataFrame(out, columns=["path", "member", "line_no", "line"])
 
 
 def _decode_lines(it: Iterator[pd.DataFrame], min_conf: float) -> Iterator[pd.DataFrame]:
     for pdf in it:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             enc, conf = detect_encoding(bytes(content))
             if conf < min_conf:
                 raise ValueError(f"{path}: encoding confidence {conf:.2f} below {min_conf}")
-            text = bytes(content).decode(enc)
-            for i, line in enumerate(text.splitlines()):
-                out.append((path, None, i, line))
-        yield pd.DataFrame(out, columns=["path", "member", "line_no", "line"])
+            yield from _numbered(path, None, bytes(content).decode(enc))
 
 
 def decode_text(files: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -85,7 +113,6 @@ def decode_text(files: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> Dat
 
 def _zip_lines(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
                 bad = zf.testzip()
@@ -96,10 +123,7 @@ def _zip_lines(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if info.is_dir() or name.startswith("__MACOSX/") or not name.lower().endswith(".csv"):
                         continue
                     member = name.rsplit("/", 1)[-1]  # prefix flattened
-                    text = zf.read(info).decode("utf-8-sig")
-                    for i, line in enumerate(text.splitlines()):
-                        out.append((path, member, i, line))
-        yield pd.DataFrame(out, columns=["path", "member", "line_no", "line"])
+                    yield from _numbered(path, member, zf.read(info).decode("utf-8-sig"))
 
 
 def zip_csv_lines(files: DataFrame) -> DataFrame:
@@ -268,8 +292,11 @@ def write_partition_files(df: DataFrame, out_dir: str, kind: str, n_files: int)
         if not rows:
             yield pd.DataFrame({"path": []})
             return
-        os.makedirs(out_dir, exist_ok=True)
-        name = f"{out_dir}/part-{uuid.uuid4().hex[:12]}"
+        folder = re.sub("^file:/+", "/", out_dir)  # a mounted shared folder; other stores can't be opened as files
+        if re.match("[a-z][a-z0-9+.-]*:/", folder):
+            raise ValueError(f"{out_dir}: only a mounted folder can take workbooks and archives")
+        os.makedirs(folder, exist_ok=True)
+        name = f"{folder}/part-{uuid.uuid4().hex[:12]}"
         if kind == "xlsx":
             data, path = xlsx_bytes(columns, rows), name + ".xlsx"
         else:
