@@ -298,6 +298,11 @@ q("d09_freshness_anomaly", _anom.format(
     t="d", tn="delay_date", k="3.0",
     src="SELECT d, CAST(gap AS DOUBLE) AS value FROM (SELECT d, date_diff('day', lag(d) OVER (ORDER BY d), d) AS gap "
         "FROM (SELECT DISTINCT delay_date AS d FROM stg_subway)) WHERE gap IS NOT NULL"), "stg_subway")
+q("d10_schema_change", """
+SELECT 'user_type' AS column_name, CAST(NULL AS VARCHAR) AS expected_type, 'string' AS actual_type, 'added' AS change,
+       count(user_type) AS n_values FROM fct_bike_trips
+UNION ALL SELECT 'bike_id', 'string', 'int', 'retyped', count(bike_id) FROM fct_bike_trips
+UNION ALL SELECT 'bike_model', 'string', NULL, 'removed', count(bike_id) FROM fct_bike_trips""", "fct_bike_trips")
 q("d11_negative_delays", """
 SELECT delay_sk, delay_minutes, transit_mode, date_key FROM fct_transit_delays WHERE delay_minutes < 0""",
   "fct_transit_delays")
@@ -585,20 +590,29 @@ FROM (SELECT DISTINCT trip_id FROM src1)""", "stg_trips")
 q("s20_publish", "SELECT * FROM fct_daily_mobility", "fct_daily_mobility")
 _raw_col = dict(zip(RS.SUBWAY_FILE_HEADER, ("date", "time", "day", "station", "code", "min_delay", "min_gap",
                                             "bound", "line")))
+_surface = ("date", "route", "time", "day", "location", "delay_code", "min_delay", "min_gap", "direction")
+_delivered = {
+    "subway_delays": ("raw_subway", tuple(_raw_col.values())), "bus_delays": ("raw_bus", _surface),
+    "streetcar_delays": ("raw_streetcar", _surface),
+    "bike_trips": ("raw_trips", ("trip_id", "trip_duration", "start_station_id", "start_time", "start_station_name", "end_station_id",
+                                 "end_time", "end_station_name", "bike_id", "user_type")),
+    "weather_daily": ("raw_weather", ("date_time", "mean_temp_c", "total_precip_mm", "snow_on_grnd_cm", "spd_of_max_gust_kmh")),
+}
 _vparts = []
-for _c in CONTRACTS["subway_delays"].columns:
-    _src = _raw_col[_c.name]
-    _isnull = f"({_src} IS NULL OR upper(trim({_src})) IN ('', 'NULL'))"
-    if not _c.nullable:
-        _vparts.append(f"SELECT 'null_in_required' AS \"check\", '{_c.name}' AS column_name, {_src} AS value "
-                       f"FROM raw_subway WHERE {_isnull}")
-    if _c.dtype != "STRING":
-        _pat = C.TYPE_PATTERNS[_c.dtype].replace("'", "''")
-        _vparts.append(f"SELECT 'type_{_c.dtype.lower()}', '{_c.name}', {_src} FROM raw_subway "
-                       f"WHERE NOT {_isnull} AND NOT regexp_matches(trim({_src}), '{_pat}')")
+for _set, (_table, _sources) in _delivered.items():
+    for _c, _src in zip(CONTRACTS[_set].columns, _sources):
+        _isnull = f"({_src} IS NULL OR upper(trim({_src})) IN ('', 'NULL'))"
+        _from = f"'{_set}' AS dataset, '{_c.name}' AS column_name, {_src} AS value FROM {_table}"
+        if not _c.nullable:
+            _vparts.append(f"SELECT 'null_in_required' AS \"check\", {_from} WHERE {_isnull}")
+        if _c.dtype != "STRING":
+            _pat = C.TYPE_PATTERNS[_c.dtype].replace("'", "''")
+            _vparts.append(f"SELECT 'type_{_c.dtype.lower()}' AS \"check\", {_from} WHERE NOT {_isnull} "
+                           f"AND NOT regexp_matches(trim({_src}), '{_pat}')")
 q("v04_types", f"""
-SELECT "check", column_name, value, 'error' AS severity, count(*)::BIGINT AS n_rows
-FROM ({" UNION ALL ".join(_vparts)}) GROUP BY ALL""", "raw_subway")
+SELECT dataset, "check", column_name, min(value) AS value, 'error' AS severity, count(*)::BIGINT AS n_rows
+FROM ({" UNION ALL ".join(_vparts)}) GROUP BY dataset, "check", column_name""",
+  "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
 q("v10_reconcile", """
 SELECT dataset, source_rows, loaded_rows, diff_pct, CASE WHEN diff_pct <= 1.0 THEN 'pass' ELSE 'fail' END AS status
 FROM (SELECT dataset, source_rows, loaded_rows,

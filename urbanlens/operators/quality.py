@@ -115,6 +115,13 @@ def schema_changes(df: DataFrame, expected: DataFrame) -> DataFrame:
         .filter(F.col("change").isNotNull())
 
 
+def value_counts(df: DataFrame) -> DataFrame:
+    """(column_name, n_values): non-null values of each column, one aggregate."""
+    wide = df.agg(*[F.count(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("n_values")) for i, c in enumerate(df.columns)])
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def negative_delays(fct: DataFrame) -> DataFrame:
     """D11."""
     return fct.filter(F.col("delay_minutes") < 0).select("delay_sk", "delay_minutes", "transit_mode", "date_key")

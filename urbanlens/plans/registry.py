@@ -120,15 +120,6 @@ from urbanlens.plans import kpis as A  # noqa: E402
 from urbanlens.plans import staging as S  # noqa: E402
 from urbanlens.functions.geo import haversine_km  # noqa: E402
 
-# documented columns of the trip fact, used by the schema-change check
-TRIP_FACT_SCHEMA = (
-    ("trip_sk", "string"), ("date_key", "int"), ("start_station_key", "string"),
-    ("end_station_key", "string"), ("duration_seconds", "int"), ("user_type", "string"),
-    ("bike_id", "int"), ("start_time", "timestamp_ntz"), ("end_time", "timestamp_ntz"),
-    ("duration_bucket", "string"),
-)
-
-
 def _checks(wh: Warehouse) -> list[Q.Check]:
     return [
         Q.Check("unique_trip_sk", "error", Q.unique(wh.fct_bike_trips, "trip_sk")),
@@ -235,8 +226,17 @@ def _haversine(wh: Warehouse):
 
 
 def _schema_check(wh: Warehouse):
-    exp = wh.spark.createDataFrame(list(TRIP_FACT_SCHEMA), "column_name string, data_type string")
-    return Q.schema_changes(wh.fct_bike_trips, exp)
+    """The trip fact against an earlier version of it as stored (another type of one column,
+    one column more, one less), with the number of values each change touches."""
+    earlier = (wh.fct_bike_trips.withColumn("bike_id", F.col("bike_id").cast("string"))
+               .withColumn("bike_model", F.col("bike_id")).drop("user_type"))
+    path = shared_dir(wh.spark, f"runs/d10-{uuid.uuid4().hex[:12]}")
+    earlier.write.parquet(path)
+    stored = wh.spark.read.parquet(path)
+    exp = wh.spark.createDataFrame(stored.dtypes, "column_name string, data_type string")
+    changes = Q.schema_changes(wh.fct_bike_trips, exp)
+    return changes.join(Q.value_counts(wh.fct_bike_trips).unionByName(Q.value_counts(stored.select("bike_model"))),
+                        "column_name")
 
 
 for _key, _fn in {

@@ -27,6 +27,7 @@ from urbanlens.streaming import incremental as ST
 
 SUBWAY_FILE_HEADER = ("Date", "Time", "Day", "Station", "Code", "Min Delay", "Min Gap", "Bound", "Line")
 BUS_FILE_HEADER = ("Date", "Route", "Time", "Day", "Location", "Incident", "Min Delay", "Min Gap", "Direction")
+STREETCAR_FILE_HEADER = ("Date", "Line", "Time", "Day", "Location", "Incident", "Min Delay", "Min Gap", "Bound")
 MERGE_TARGET_BEFORE = dt.datetime(1998, 1, 1)
 MERGE_SOURCE_FROM = dt.datetime(1997, 1, 1)
 
@@ -102,12 +103,22 @@ def s20_publish(spark, sf_dir):
 
 
 def v04_types(spark, sf_dir):
-    raw = T.raw_subway(spark, sf_dir).toDF(*SUBWAY_FILE_HEADER)
-    path = _scratch(spark, "v04")
-    raw.write.option("header", True).csv(path)
-    v = V.validate(spark, path, V.CONTRACTS["subway_delays"], sample_rows=None)
-    v = v.filter(F.col("check") != "min_row_count")  # V06 depends on how the files were split
-    return v.groupBy("check", "column_name", "value", "severity").agg(F.sum("n_rows").alias("n_rows"))
+    """The five datasets, written with their contracts' headers, against the contracts."""
+    wh, base, out = Warehouse(spark, sf_dir), _scratch(spark, "v04"), None
+    weather = dict(zip(("date_time", "mean_temp_c", "total_precip_mm", "snow_on_grnd_cm", "spd_of_max_gust_kmh"),
+                       V.CONTRACTS["weather_daily"].names))
+    delivered = {
+        "subway_delays": wh.raw_subway.toDF(*SUBWAY_FILE_HEADER), "bus_delays": wh.raw_bus.toDF(*BUS_FILE_HEADER),
+        "streetcar_delays": wh.raw_streetcar.toDF(*STREETCAR_FILE_HEADER),
+        "bike_trips": wh.raw_trips.toDF(*V.CONTRACTS["bike_trips"].names),
+        "weather_daily": wh.raw_weather.select(*[F.col(k).alias(v) for k, v in weather.items()])}
+    for name, raw in delivered.items():
+        raw.write.option("header", True).csv(f"{base}/{name}")
+        v = V.validate(spark, f"{base}/{name}", V.CONTRACTS[name]).filter(F.col("check") != "min_row_count")  # V06 follows the split into files
+        part = v.groupBy("check", "column_name", "severity").agg(F.min("value").alias("value"), F.sum("n_rows").alias("n_rows"))
+        part = part.withColumn("dataset", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def v05_nulls(spark, sf_dir):

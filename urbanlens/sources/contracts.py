@@ -120,7 +120,8 @@ def header_checks(spark: SparkSession, paths, contract: Contract) -> DataFrame:
 
 
 def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = None) -> DataFrame:
-    """V04 type conformance and V05 nullability, counted per (file, column, value).
+    """V04 type conformance and V05 nullability, counted per file, check and column, with
+    one offending value as an example.
 
     ``df``: the dataset read as text with a ``file_path`` column (``read_delimited``).
     Blank and any-case ``NULL`` count as null; a null passes the type check.
@@ -144,9 +145,9 @@ def value_checks(df: DataFrame, contract: Contract, sample_rows: int | None = No
                                v.alias("value")))
     found = F.filter(F.array(*checks), lambda c: c["check"].isNotNull())  # before rows are made of it
     exploded = d.select("file_path", F.explode(found).alias("c"))
-    return (exploded.groupBy("file_path", F.col("c.check").alias("check"), F.col("c.column_name").alias("column_name"),
-                             F.col("c.value").alias("value"))
-            .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("severity", F.lit("error")))
+    return (exploded.groupBy("file_path", F.col("c.check").alias("check"), F.col("c.column_name").alias("column_name"))
+            .agg(F.min("c.value").alias("value"), F.count(F.lit(1)).alias("n_rows")).withColumn("severity", F.lit("error"))
+            .select("file_path", "check", "column_name", "value", "n_rows", "severity"))
 
 
 def null_profile(df: DataFrame, contract: Contract) -> DataFrame:
