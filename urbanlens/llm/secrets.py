@@ -3,7 +3,7 @@
 1. From each rule's regular expression a Boolean query over lower-case trigrams is
    derived (:func:`trigram_query`): every match must contain the trigrams it names.
 2. :func:`build_index` scans the texts once for the trigrams that any rule names and
-   writes the postings (trigram, row key), ordered by trigram, to the shared folder.
+   writes the postings (trigram, row key) to the shared folder.
 3. Each rule's query is evaluated by intersecting postings per row key; the rows that
    satisfy it are its candidates.
 4. Only candidates are read again and verified with the rule's regular expression. A
@@ -61,6 +61,7 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
+KEY_BLOCKS = 256  # parts of a trigram's postings
 MAX_STRINGS = 64  # strings kept while literal runs are multiplied out; beyond, the run ends
 
 # --- trigram queries -------------------------------------------------------------------
@@ -153,13 +154,14 @@ def _holds(query, present: Column) -> Column:
 
 
 def build_index(keyed: DataFrame, wanted: list[str]) -> DataFrame:
-    """Postings (trigram, key) of the wanted trigrams, ordered by trigram and key so that
-    a rule reads only its own row groups."""
+    """Postings (trigram, key) of the wanted trigrams. A trigram's postings are dealt out
+    by blocks of keys, so that one in many texts is split, and ordered inside each file,
+    so that a rule reads only its own row groups."""
     low = keyed.select("key", F.lower("text").alias("low"))
     present = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in wanted]))
     postings = low.select("key", F.explode(present).alias("trigram"))
     return shared_table(
-        postings.repartitionByRange("trigram", "key").sortWithinPartitions("trigram", "key"), "trigrams")
+        postings.repartition("trigram", F.pmod("key", F.lit(KEY_BLOCKS))).sortWithinPartitions("trigram", "key"), "trigrams")
 
 
 def candidates(index: DataFrame, queries: dict[str, object]) -> DataFrame:
