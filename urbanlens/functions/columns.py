@@ -97,10 +97,14 @@ def safe_timestamp(col: str | Column, fmt: str = "M/d/yyyy H:mm") -> Column:
     parse through the session zone would move times inside a daylight-saving gap)."""
     rx, fields = _pattern_regex(fmt)
     c = F.trim(_c(col))
-    numbers = F.split(c, "[^0-9]+")  # one pass for all fields; the pattern is checked below
-    part = {name: F.get(numbers, F.lit(i)).try_cast("int") for i, name in enumerate(fields)}
-    ts = F.try_make_timestamp_ntz(part["year"], part["month"], part["day"], part.get("hour", F.lit(0)),
-                                  part.get("minute", F.lit(0)), part.get("second", F.lit(0)))
+
+    def assembled(numbers: Column) -> Column:
+        part = {name: F.get(numbers, F.lit(i)).try_cast("int") for i, name in enumerate(fields)}
+        return F.try_make_timestamp_ntz(part["year"], part["month"], part["day"], part.get("hour", F.lit(0)),
+                                        part.get("minute", F.lit(0)), part.get("second", F.lit(0)))
+
+    # the text is split once for all fields: a plain reference per field would split it each time
+    ts = F.get(F.transform(F.array(F.split(c, "[^0-9]+")), assembled), F.lit(0))
     return F.when(c.rlike(rx), ts)
 
 
