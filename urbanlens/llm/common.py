@@ -20,8 +20,8 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def row_key(*cols: str) -> Column:
-    """64-bit key of a row. Equal rows share it; two different rows with one key can only
-    widen a candidate set that is verified afterwards."""
+    """64-bit key of a row. Equal rows share it. Two different rows may share it among very
+    many: it chooses candidates that are verified, and results are joined by it and the id."""
     return F.xxhash64(*[F.col(c) for c in cols])
 
 

@@ -241,9 +241,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         verified = _spans(keyed.join(found, "key"), [(i, r) for i, r in numbered if r.kind in indexed],
                           lambda r: F.array_contains("kinds", F.lit(r.kind)))
         # equal rows verify equally: one of them is enough
-        verified = (verified.filter(F.size("spans") > 0).select("key", F.col("spans").alias("_indexed"))
-                    .dropDuplicates(["key"]))
-        whole = whole.join(verified, "key", "left")
+        verified = (verified.filter(F.size("spans") > 0)
+                    .select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), F.col("spans").alias("_indexed"))
+                    .dropDuplicates(["_key", "_id"]))
+        whole = whole.join(verified, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     else:
         whole = whole.withColumn("_indexed", F.lit(None).cast("array<struct<start:int,end:int,ord:int,kind:string>>"))
     none = F.array().cast("array<struct<start:int,end:int,ord:int,kind:string>>")
@@ -272,13 +273,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by ``mask`` (overlapping spans by
     one); rows without a secret are unchanged, null texts stay null."""
-    at_key, at_spans = fresh(docs, "_key"), fresh(docs, "_spans")
+    at_key, at_id, at_spans = fresh(docs, "_key"), fresh(docs, "_span_id"), fresh(docs, "_spans")
     spans = (scan_secrets(docs, id_col, text_col, rules).filter(F.size("spans") > 0)
-             .select(F.col("key").alias(at_key), F.col("spans").alias(at_spans)).dropDuplicates([at_key]))
+             .select(F.col("key").alias(at_key), F.col("doc_id").alias(at_id), F.col("spans").alias(at_spans))
+             .dropDuplicates([at_key, at_id]))
     spans = shared_table(spans, "secret-spans")
     text = F.col(text_col)
-    key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(text.cast("string"), F.lit("")))
-    df = docs.withColumn(at_key, key).join(spans, at_key, "left")
+    own = F.col(id_col).cast("long")
+    key = F.xxhash64(own, F.coalesce(text.cast("string"), F.lit("")))
+    df = docs.join(spans, (key == F.col(at_key)) & own.eqNullSafe(F.col(at_id)), "left")
     # (rebuilt text, end of what has been copied): spans are ordered by start
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
