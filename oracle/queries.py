@@ -682,3 +682,46 @@ SELECT *, CASE WHEN null_rows > 0 AND NOT nullable THEN 'error' ELSE 'pass' END
 FROM ({" UNION ALL ".join(_nparts)})""", "raw_subway")
 q("e10_description", "SELECT delay_code, delay_description FROM delay_codes", "delay_codes")
 q("e11_neighbourhood", "SELECT station_id, neighborhood FROM bike_station_ref", "bike_station_ref")
+
+# --- deviating headers, manifests, loads, sinks --------------------------------------------
+_splits = {"case": "h < '5'", "less": "h >= '5' AND h <= '9'", "more": "h > '9'"}
+_hparts = []
+for _set, (_table, _sources) in _delivered.items():
+    _names = [c.name for c in CONTRACTS[_set].columns]
+    for _delivery, _check, _name, _severity in (
+            ("case", "case_mismatch", _names[1].upper(), "warn"), ("less", "missing_column", _names[-1], "error"),
+            ("more", "extra_column", "Remarks", "warn")):
+        _hparts.append(f"""SELECT '{_set}' AS dataset, '{_delivery}' AS delivery, '{_check}' AS "check", '{_name}' AS column_name,
+  '{_severity}' AS severity, count(*) AS n_rows FROM (SELECT left(md5(coalesce({_sources[0]}, '')), 1) AS h FROM {_table})
+  WHERE {_splits[_delivery]}""")
+q("v01_header_checks", f"SELECT * FROM ({' UNION ALL '.join(_hparts)}) WHERE n_rows > 0",
+  "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
+_loads = " UNION ALL ".join(f"SELECT '{s}' AS dataset, 'load' AS stage, 'success' AS status, count(*) AS rows, "
+                            f"CAST(NULL AS VARCHAR) AS error FROM {t}" for s, (t, _) in _delivered.items())
+q("v14_run_summary", f"""
+SELECT * FROM ({_loads}) UNION ALL SELECT 'TOTAL', NULL, '5/5', sum(rows)::BIGINT, NULL FROM ({_loads})""",
+  "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
+q("s11_catalogue", """
+SELECT DISTINCT 'Subway Delay (' || substr(date, 1, 4) || ') data' AS name, 'csv' AS format, CAST(substr(date, 1, 4) AS INTEGER) AS year,
+       'subway_delay_' || substr(date, 1, 4) || '_data.csv' AS file_name
+FROM raw_subway WHERE CAST(substr(date, 1, 4) AS INTEGER) BETWEEN 2010 AND 2029""", "raw_subway")
+_number = "CAST(split_part(trip_id, '-', 1) AS BIGINT)"
+q("s13_changed_files", f"SELECT * FROM raw_trips WHERE {_number} % 5 = 0", "raw_trips")
+q("s16_strip_extra", "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS min_gap) FROM raw_subway", "raw_subway")
+q("s17_seed", "SELECT * FROM bike_station_ref", "bike_station_ref")
+_others = ", ".join(f"{c} NULLS FIRST" for c in _delivered["bike_trips"][1][1:])
+q("s19_load_dataset", f"""
+WITH src AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY {_others}) AS rn
+             FROM raw_trips WHERE {_number} % 5 IN (0, 1)) WHERE rn = 1)
+SELECT * REPLACE ('1' AS trip_duration) FROM raw_trips WHERE {_number} % 5 <> 0 AND trip_id NOT IN (SELECT trip_id FROM src)
+UNION ALL SELECT * FROM src""", "raw_trips")
+q("s22_sorted_sink", "SELECT * FROM raw_weather", "raw_weather")
+q("p32_lower_columns", "SELECT " + ", ".join(f'{c} AS "{h.lower()}"' for h, c in _raw_col.items()) + " FROM raw_subway", "raw_subway")
+q("s21_views", """
+SELECT d.year, count(*) AS days, sum(m.total_bike_trips)::BIGINT AS trips, sum(m.total_delay_incidents)::BIGINT AS incidents
+FROM fct_daily_mobility m JOIN dim_date d ON m.date_key = d.date_key GROUP BY d.year""", "fct_daily_mobility", "dim_date")
+q("u07_user_filter", "SELECT date_key, member_trips AS member, casual_trips AS casual, total_trips AS everyone FROM daily_bike",
+  "daily_bike")
+q("p31_periods", """
+SELECT CAST(d.year AS VARCHAR) || '-' || lpad(CAST(d.month_num AS VARCHAR), 2, '0') AS period, count(*) AS days
+FROM fct_daily_mobility m JOIN dim_date d ON m.date_key = d.date_key GROUP BY 1""", "fct_daily_mobility", "dim_date")

@@ -8,7 +8,8 @@ from oracle_compare import compare, duck
 SF = "/root/testdata/sf0.001"
 KEYS = ["m07_int_delays_enriched", "m12_dim_station", "m17_fct_daily_mobility", "r02_top_delay_stations",
         "r05_monthly_trends", "r20_station_delay_metrics", "r25_category_share", "d16_suite",
-        "a25_rollup_parent_share", "g02_nearest", "k06_holidays", "e01_resolve", "s18_merge", "v04_types"]
+        "a25_rollup_parent_share", "g02_nearest", "k06_holidays", "e01_resolve", "s18_merge", "v04_types", "v01_header_checks", "s13_changed_files",
+        "s19_load_dataset"]
 
 
 @pytest.fixture(scope="module")

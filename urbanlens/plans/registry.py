@@ -118,6 +118,7 @@ from urbanlens.operators import quality as Q  # noqa: E402
 from urbanlens.operators import resolve as E  # noqa: E402
 from urbanlens.plans import kpis as A  # noqa: E402
 from urbanlens.plans import staging as S  # noqa: E402
+from urbanlens.functions import columns as X  # noqa: E402
 from urbanlens.functions.geo import haversine_km  # noqa: E402
 
 def _checks(wh: Warehouse) -> list[Q.Check]:
@@ -317,9 +318,34 @@ for _key, _fn in {
 }.items():
     _wh_query(_key, _fn)
 
+from urbanlens.plans.registry_loads import LOAD_QUERIES  # noqa: E402
 from urbanlens.plans.registry_sources import SOURCE_QUERIES  # noqa: E402
 
-REGISTRY.update(SOURCE_QUERIES)
+REGISTRY.update({**SOURCE_QUERIES, **LOAD_QUERIES})
+
+
+def _views(wh: Warehouse):
+    """Yearly totals through the published views, as a SQL user asks for them."""
+    R.register_views(wh, "s21_")
+    return wh.spark.sql("""
+        SELECT d.year, count(*) AS days, sum(m.total_bike_trips) AS trips, sum(m.total_delay_incidents) AS incidents
+        FROM s21_fct_daily_mobility m JOIN s21_dim_date d ON m.date_key = d.date_key GROUP BY d.year""")
+
+
+def _user_filters(wh: Warehouse):
+    """The daily measure that answers each user-type filter."""
+    filters = {"member": ["Annual Member"], "casual": ["Casual Member"], "everyone": list(C.USER_TYPES)}
+    return wh.daily_bike.select("date_key", *[F.col(R.trip_column(types)).alias(name) for name, types in filters.items()])
+
+
+def _periods(wh: Warehouse):
+    """Days with facts for each month label."""
+    d = wh.dim_date.select("date_key", X.period_label("year", "month_num").alias("period"))
+    return wh.fct_daily_mobility.join(d, "date_key").groupBy("period").agg(F.count(F.lit(1)).alias("days"))
+
+
+for _key, _fn in {"s21_views": _views, "u07_user_filter": _user_filters, "p31_periods": _periods}.items():
+    _wh_query(_key, _fn)
 
 for _key, _fn in {
     "v11_reference_records": lambda wh: Q.reference_records(wh.bike_station_ref, "station_id",

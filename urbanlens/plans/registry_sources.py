@@ -102,17 +102,21 @@ def s20_publish(spark, sf_dir):
     return spark.read.parquet(f"{PUB.current_version(spark, base)}/fct_daily_mobility")
 
 
-def v04_types(spark, sf_dir):
-    """The five datasets, written with their contracts' headers, against the contracts."""
-    wh, base, out = Warehouse(spark, sf_dir), _scratch(spark, "v04"), None
+def delivered(wh: Warehouse) -> dict:
+    """The five datasets under their contracts' headers."""
     weather = dict(zip(("date_time", "mean_temp_c", "total_precip_mm", "snow_on_grnd_cm", "spd_of_max_gust_kmh"),
                        V.CONTRACTS["weather_daily"].names))
-    delivered = {
+    return {
         "subway_delays": wh.raw_subway.toDF(*SUBWAY_FILE_HEADER), "bus_delays": wh.raw_bus.toDF(*BUS_FILE_HEADER),
         "streetcar_delays": wh.raw_streetcar.toDF(*STREETCAR_FILE_HEADER),
         "bike_trips": wh.raw_trips.toDF(*V.CONTRACTS["bike_trips"].names),
         "weather_daily": wh.raw_weather.select(*[F.col(k).alias(v) for k, v in weather.items()])}
-    for name, raw in delivered.items():
+
+
+def v04_types(spark, sf_dir):
+    """The five datasets, written with their contracts' headers, against the contracts."""
+    base, out = _scratch(spark, "v04"), None
+    for name, raw in delivered(Warehouse(spark, sf_dir)).items():
         raw.write.option("header", True).csv(f"{base}/{name}")
         v = V.validate(spark, f"{base}/{name}", V.CONTRACTS[name]).filter(F.col("check") != "min_row_count")  # V06 follows the split into files
         part = v.groupBy("check", "column_name", "severity").agg(F.min("value").alias("value"), F.sum("n_rows").alias("n_rows"))
