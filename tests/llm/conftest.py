@@ -18,6 +18,7 @@ def edge_rows():
         (12, "x" * 5000), (13, "For " * 400), (None, _PROSE + " without an id"), (None, None), (14, " ".join([_PROSE] * 4)),
         (15, "\x00\x1c a b \r\n c"), (16, long[:-3]),
         *[(17, "a wholly different sentence that stands twice in this table and nowhere else at all")] * 2,
+        (18, "a" + " " * 2_000_000), (19, "a" + "\n" * 2_000_000),
     ]
 
 

@@ -87,6 +87,14 @@ def test_cached_ids_equal_the_tokenizer(text):
     assert np.frombuffer(packing.tokenizer(Q.RANKS)(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    "a" + " " * 2_000_000, "a" + "\n" * 2_000_000, "a" + " " * 2_000_000 + "b", "a" + "\n" * 2_000_000 + "b", " " * 20_000,
+    "a" + " " * 15_000 + "\x1c" + " " * 15_000 + "'s", "a" + "\x85\u3000" * 9_000 + " b" + "\t" * 9_999 + "c",
+    " " * 15_000 + "<|endoftext|>" + "\n" * 15_000 + " b <|endoftext|>"])
+def test_ids_of_long_white_space_equal_the_tokenizer(text):
+    test_cached_ids_equal_the_tokenizer(text)
+
+
 # --- 3 quality -------------------------------------------------------------------------
 
 def test_quality_on_held_out_rows(spark):

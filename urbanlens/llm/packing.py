@@ -16,8 +16,10 @@ other than id and text are ignored; texts are tokenized whole, whatever their le
 Token ids are those of the given byte-level BPE vocabulary. The vocabulary is read as
 ranks, which gives the same ids several times faster than the JSON form; a text is cut
 before each single space followed by other than white space, where no token can reach
-across, so that the ids of repeated words come from a cache. Tests compare the ids with
-the ``tokenizers`` library.
+across, so that the ids of repeated words come from a cache. A run of ``LONG_RUN`` or more
+white-space characters overflows the stack of that reader's pattern engine, so it is split
+off and merged as the one pre-token it is. Tests compare the ids with the ``tokenizers``
+library.
 """
 
 from __future__ import annotations
@@ -47,6 +49,9 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 #: Fixed value: the vocabulary's one special token and its id.
 SPECIAL = ("<|endoftext|>", 50256)
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f])")
+#: White space of the pattern (Python's has four control characters more) in runs too long for its engine.
+LONG_RUN = 10_000
+_LONG = re.compile(rf"(?<![^\S\x1c-\x1f])[^\S\x1c-\x1f]{{{LONG_RUN},}}")
 
 
 def tokenizer(ranks_path: str) -> Callable[[str], bytes]:
@@ -59,16 +64,34 @@ def tokenizer(ranks_path: str) -> Callable[[str], bytes]:
     bpe = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks,
                             special_tokens=dict([SPECIAL]))
     cache: dict[str, bytes] = {}
+    special = SPECIAL[1].to_bytes(4, "little")
 
     def of(text: str) -> bytes:
         ids = bpe.encode(text, allowed_special="all") if SPECIAL[0] in text else bpe.encode_ordinary(text)
         return np.asarray(ids, "<u4").tobytes()
 
+    def with_long_runs(text: str) -> bytes:
+        """The pattern takes a run whole at the end, else all but its last character, which
+        goes with what follows; no token before the run reaches into it."""
+        out, at = [], 0
+        for run in _LONG.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out.append(encode(text[at:run.start()]))
+            out.append(np.asarray(bpe._encode_single_piece(text[run.start():end]), "<u4").tobytes())
+            at = end
+        return b"".join([*out, encode(text[at:])])
+
     def encode(text: str) -> bytes:
         if not text:
             return b""
+        # a long run covers one of these places
+        long = len(text) >= LONG_RUN and not text[::LONG_RUN].isalnum() and _LONG.search(text)
         if SPECIAL[0] in text:
+            if long:
+                return special.join(map(encode, text.split(SPECIAL[0])))
             return of(text)
+        if long:
+            return with_long_runs(text)
         first, *words = text.split(" ") if "  " not in text and not _odd(text) else _CUT.split(text)
         out = [of(first)] if first else []
         get = cache.get
