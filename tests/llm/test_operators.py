@@ -132,6 +132,34 @@ def test_html_extracts_the_article(spark):
     assert same / len(rows) > 0.98
 
 
+@pytest.mark.parametrize("source, blocks", [
+    ("<head><title>t</title><article><p>The article.", ["The article."]),
+    ("<html><head><meta charset=u><title>t</title>The article.<p>More", ["The article.", "More"]),
+    ("<head><title>t</title><style>s</style></head><body><p>a", ["a"]),
+    ("<title>t</title><p>a", ["a"]),
+    ("<head><title>t<body><p>a", ["a"]),
+    *[(f"<article><p>a <{tag} class=i/>b</p><p>c</article>", ["a b", "c"]) for tag in ("svg", "iframe", "template")],
+    ("<article><iframe src=x/><p>a</article><iframe src=y></iframe>", ["a"]),
+    ("<article><svg><g><text>x</text><svg>y</svg>z</g></svg><p>a</article>", ["a"]),
+    *[(f"<article><p>a <{tag}>x</p><p>b</p></article><p>c <{tag}>y</{tag}> d", ["a", "b", "c d"])
+      for tag in ("button", "select", "textarea", "svg", "iframe", "template")],
+    ("<article><button>x<p>a</p><p>b</article>", ["a", "b"]),
+    ("<article><button>x<button>y</button> a <p>b</article>", ["a", "b"]),
+    ("<article><button><div>x</div></button><p>a <select><option>x<option>y</select>b</article>", ["a b"]),
+    ("<p title=it's>a</p><p title='b'>b's", ["a", "b's"]),
+    ("<p title=\"a > b\" class = 'x>y'>a<a href=x?q=\"y>b</a> \"c\"", ["ab \"c\""]),
+    ("<p>a<noscript> b</noscript></p><noscript><p>c</p></noscript>", ["a b", "c"]),
+    ("<select-box>a</select-box><header>b</header>", ["a", "b"]),
+])
+def test_html_keeps_text_after_open_elements(source, blocks):
+    assert [b[1] for b in html.parse(source).blocks] == blocks
+
+
+def test_html_of_many_unclosed_elements_is_read_in_one_pass():
+    page = html.parse("<article>" + "<button>x<select><p>a" * 30_000 + "</article>")
+    assert [b[1] for b in page.blocks] == ["a"] * 30_000
+
+
 def test_hierarchical_decoding_drops_descendants():
     page = html.parse("<div><p>a</p><div><p>b</p></div></div><p>c</p>")
     scores = np.zeros(len(page.tags))

@@ -17,8 +17,12 @@ teach the trees to use text density and structure where a page marks nothing.
 
 Text: character references are decoded, white space inside a block becomes one space,
 ``br`` counts as white space, blocks are trimmed, empty ones left out, and joined in
-page order by an empty line. Scripts, styles, the head, templates, comments and
-controls of forms have no text.
+page order by an empty line. Scripts, styles, the head, titles, templates, drawings (svg),
+frames, comments and controls of forms have no text; ``noscript`` has. A head ends at its
+closing tag or at the first tag or text that can't stand in it. One of the other elements
+ends at its closing tag; written as ``<x/>`` it is empty; if it isn't closed before the end
+of the block it is in, it ends at the next tag of a block. A script or style that isn't
+closed, and a comment, go on to the end of the page, as in browsers.
 
 Defined cases: a null or empty page, or one without text, gives an empty text; unclosed
 and unmatched tags are tolerated; a null id or url is kept (a null id is not in the
@@ -44,11 +48,11 @@ from pyspark.sql import functions as F
 TRAIN_PAGES = 300  # bound of the training sample: the pages of the smallest id hashes
 TREES, DEPTH = 15, 4
 
+_ATTRIBUTES = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+"  # a quote counts at the start of a value
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
-    r"|<(script|style|head|noscript|template|svg|iframe|textarea|select|button)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-    r".*?(?:</\1\s*>|(?=<body\b)|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S | re.I)
+    rf"|<(script|style)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_ATTRIBUTES})>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 
@@ -57,6 +61,9 @@ BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tr td th blockquote pre "
     "figure figcaption nav header footer aside form fieldset address details summary center hr".split())
 VOID = frozenset("br hr img input meta link wbr col source area base embed track param".split())
+#: Elements without text, besides scripts, styles and the head; those that may stand in a head.
+DROPPED = frozenset("title template svg iframe textarea select button".split())
+HEAD = frozenset("title template noscript noframes base basefont bgsound link meta".split())
 #: An opening tag of the key ends an open element of these.
 _P_ENDS = BLOCKS - {"html", "body"}
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -94,6 +101,31 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # element, text, link characters
 
 
+def _closings(tags: list[re.Match], names: list[str]) -> dict[int, int]:
+    """Number of a dropped element's opening tag -> of its closing tag, for those closed
+    before the block they are in."""
+    found: dict[int, int] = {}
+    if DROPPED.isdisjoint(names):
+        return found
+    stack, count = [], dict.fromkeys(BLOCKS | DROPPED, 0)
+    for i, (m, tag) in enumerate(zip(tags, names)):
+        if tag not in count or tag in VOID:
+            continue
+        if not m[2]:
+            if tag in BLOCKS or not m[4].endswith("/"):
+                stack.append(i)
+                count[tag] += 1
+        elif count[tag]:
+            while True:
+                opened = stack.pop()
+                count[names[opened]] -= 1
+                if names[opened] == tag:
+                    break
+            if tag in DROPPED:
+                found[opened] = i
+    return found
+
+
 def parse(source: str | None) -> Page:
     page, stack, text, links, in_link, at = Page(), [0], [], 0, False, 0
     source = source or ""
@@ -115,14 +147,29 @@ def parse(source: str | None) -> Page:
             links += len(run)
         text.append(run)
 
-    for m in _TAG.finditer(source):
-        if m.start() > at:
-            add(source[at:m.start()])
-        at = m.end()
-        tag = m[3]
-        if tag is None:
+    tags = list(_TAG.finditer(source))
+    names = [m[3].lower() if m[3] else "" for m in tags]
+    ends = _closings(tags, names)
+    head, unclosed, skip_to = False, False, -1
+    for i, (m, tag) in enumerate(zip(tags, names)):
+        run, at = source[at:m.start()], m.end()
+        if i <= skip_to:
+            continue
+        if run:
+            head = head and not run.strip()
+            if not unclosed:
+                add(run)
+        if not tag:
+            continue
+        closing = bool(m[2])
+        if tag == "head":
+            head = not closing
+        elif tag in ("html", "body") if closing else tag not in HEAD:
+            head = False
+        if tag in DROPPED:
+            skip_to = ends.get(i, -1)
+            unclosed = not closing and skip_to < 0 and not m[4].endswith("/")
             continue
-        tag, closing = tag.lower(), bool(m[2])
         if tag not in BLOCKS:
             if tag == "a":
                 in_link = not closing
@@ -130,7 +177,7 @@ def parse(source: str | None) -> Page:
                 text.append(" ")
             continue
         flush()
-        in_link = False
+        in_link = unclosed = False
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if page.tags[stack[i]] == tag:
@@ -154,7 +201,7 @@ def parse(source: str | None) -> Page:
                           if t in _ATTRIBUTE_OF) if m[4] else frozenset()
         page.attrs.append(attrs)
         stack.append(len(page.tags) - 1)
-    if at < len(source):
+    if at < len(source) and not unclosed:
         add(source[at:])
     flush()
     return page
