@@ -45,6 +45,30 @@ def test_winnowing_guarantee_and_positions(spark):
         assert prints[i] == chosen
 
 
+@pytest.mark.parametrize("letters", ["abcdefgh/=.", "កខគឃងចឆជ", "😀😁😂🤣"])
+def test_winnowing_guarantee_in_unbroken_runs(spark, letters):
+    """A passage of W + K - 1 pieces inside an unbroken run (3 characters more) gives a common
+    hash at every offset."""
+    pick = random.Random(5)
+    some = lambda n: "".join(pick.choices(letters, k=n))
+    for length in (fingerprints.W + fingerprints.K - 1 + 3, 2000):
+        shared = some(length)
+        texts = [some(n) + shared + some(m) for n in range(5) for m in (0, 40)]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        hashes = [{k >> 32 for k in r["fingerprint"]} for r in fingerprints.fingerprints(df).collect()]
+        assert len(set.intersection(*hashes)) >= max(1, length // 50)
+
+
+@pytest.mark.parametrize("text, pieces", [
+    ("abc", ["abc"]), ("abcd", ["abcd"]), ("abcdef gh", ["abcd", "bcde", "cdef", "gh"]), ("日本ab", ["日", "本", "ab"]),
+    ("ab日cdefg", ["ab", "日", "cdef", "defg"]), (" \n", []), ("", [])])
+def test_winnowing_pieces(spark, text, pieces):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(F.regexp_extract_all("text", F.lit(fingerprints.PIECE), F.lit(1))).first()[0] == pieces
+
+
 def test_edit_report_against_plain_python(docs, pdocs):
     out = fingerprints.edit_report(docs).toPandas().set_index("doc_id")
     p = pdocs.sort_values("doc_id", ascending=False)

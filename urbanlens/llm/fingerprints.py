@@ -1,7 +1,9 @@
 """Document fingerprints by winnowing (operator 1), DataFrame functions only.
 
-A text is a sequence of pieces: runs of up to four characters counted from the start of
-each word, or single characters of scripts without spaces. The Karp-Rabin hash of every
+A text is a sequence of pieces: the four characters at every position of a word (a run
+without white space, of any length), a shorter word itself, or single characters of scripts
+without spaces. So a piece doesn't depend on where its word begins, and texts that share a
+passage inside unbroken runs share its pieces at any offset. The Karp-Rabin hash of every
 K = 4 consecutive pieces is built by doubling (pairs, then pairs of pairs), which gives
 the values a rolling evaluation gives. Of every window of W = 8 consecutive hashes the
 smallest is chosen, the rightmost if there are several; chosen (hash, position) pairs
@@ -29,7 +31,9 @@ from urbanlens.llm.common import n_partitions, texts
 
 K, W = 4, 8
 _ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
-PIECE = rf"[{_ALONE}]|[^\s{_ALONE}]{{1,4}}"
+_IN_WORD = rf"[^\s{_ALONE}]"
+#: Group 1 is the piece; the match goes on by one character, or over the last four of a word.
+PIECE = rf"(?=([{_ALONE}]|{_IN_WORD}{{1,4}}))(?:{_IN_WORD}(?={_IN_WORD}{{4}})|[{_ALONE}]|{_IN_WORD}{{1,4}})"
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
 _LOW = (1 << 32) - 1
@@ -44,7 +48,7 @@ def _shifted(name: str, by: int, join) -> Column:
 def with_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """Add the fingerprint of ``text_col`` as ``out``. One projection for each pass, so
     that no array is computed twice."""
-    df = df.withColumn("_c", F.transform(F.regexp_extract_all(text_col, F.lit(PIECE), F.lit(0)),
+    df = df.withColumn("_c", F.transform(F.regexp_extract_all(text_col, F.lit(PIECE), F.lit(1)),
                                          lambda p: F.pmod(F.xxhash64(p), F.lit(PRIME))))
     power, length = BASE, 1
     df = df.withColumn("_h", F.col("_c"))
