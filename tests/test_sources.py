@@ -183,6 +183,31 @@ def test_xlsx_sheets_and_fallback(spark, tmp_dir):
         B.xlsx_cells(B.binary_files(spark, tmp_dir, glob="w.xlsx"), sheet="metadata").collect()
 
 
+@pytest.mark.parametrize("kind", ["zip", "xlsx"])
+def test_written_files_are_bounded_in_rows(spark, tmp_dir, kind):
+    rows = [(str(i), f'x, "{i}"\ny') for i in range(103)]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    for _ in range(2):  # a second run replaces the files of the first
+        assert B.write_partition_files(df, tmp_dir, kind, rows_per_file=10) == 11
+    files = B.binary_files(spark, tmp_dir, glob=f"*.{kind}")
+    if kind == "zip":
+        out = B.parse_csv_lines(B.zip_csv_lines(files), ["a", "b"]).drop("member")
+    else:
+        out = B.cells_to_columns(B.xlsx_cells(files), ["a", "b"])
+    assert sorted((r.a, r.b) for r in out.collect()) == sorted(rows)
+    assert {r["count"] for r in out.groupBy("path").count().collect()} == {10, 3}
+
+
+def test_zip_members_are_read_as_a_stream(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(zipfile.ZipFile, "read", None)
+    data = _zip({"a.csv": "h\r\n" + "1\r\n" * 25_000 + '"x\ny"'})
+    parts = list(B._zip_lines(iter([pd.DataFrame({"path": ["p"], "content": [data]})])))
+    assert max(map(len, parts)) == B.ROWS_AT_ONCE and sum(map(len, parts)) == 25_002
+    assert parts[-1].line.iloc[-1] == '"x\ny"'
+
+
 def test_station_feed_rules(spark, tmp_dir):
     doc = {"last_updated": 1, "ttl": 10, "data": {"stations": [
         {"station_id": "7", "name": "Seven", "lat": 43.651234567, "lon": -79.38, "groups": ["E-Charging", "Annex "]},

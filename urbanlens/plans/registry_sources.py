@@ -151,7 +151,7 @@ def v10_reconcile(spark, sf_dir):
 def s03_xlsx(spark, sf_dir):
     raw = T.raw_weather(spark, sf_dir)
     path = _scratch(spark, "s03")
-    B.write_partition_files(raw, path, "xlsx", 4)
+    B.write_partition_files(raw, path, "xlsx")
     cells = B.xlsx_cells(B.binary_files(spark, path, glob="*.xlsx"))
     return B.cells_to_columns(cells, raw.columns).drop("path").replace("", None)
 
@@ -159,7 +159,7 @@ def s03_xlsx(spark, sf_dir):
 def s06_decode(spark, sf_dir):
     raw = T.raw_subway(spark, sf_dir)
     path = _scratch(spark, "s06")
-    raw.write.option("header", True).option("encoding", "UTF-16LE").csv(path)
+    raw.write.option("header", True).option("encoding", "UTF-16LE").option("maxRecordsPerFile", B.ROWS_PER_FILE).csv(path)
     lines = B.decode_text(B.binary_files(spark, path, glob="*.csv"))
     return B.parse_csv_lines(lines, raw.columns).drop("path", "member")
 
@@ -167,7 +167,7 @@ def s06_decode(spark, sf_dir):
 def s08_zip(spark, sf_dir):
     raw = T.raw_trips(spark, sf_dir)
     path = _scratch(spark, "s08")
-    B.write_partition_files(raw, path, "zip", 4)
+    B.write_partition_files(raw, path, "zip")
     lines = B.zip_csv_lines(B.binary_files(spark, path, glob="*.zip"))
     return B.parse_csv_lines(lines, raw.columns).drop("path", "member")
 

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import codecs
 import io
+import itertools
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from typing import IO
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -69,12 +71,14 @@ def detect_encoding(data: bytes) -> tuple[str, float]:
 
 
 ROWS_AT_ONCE = 10_000
+ROWS_PER_FILE = 50_000  # of the written files, whatever the size of the table
 
 
-def _records(text: str) -> Iterator[str]:
+def _records(lines: Iterable[str]) -> Iterator[str]:
     """Delimited records: split at CR LF, LF or CR, but not inside quotes."""
     open_quote, held = False, []
-    for line in re.split(r"\r\n|\n|\r", text):
+    for line in lines:
+        line = line.removesuffix("\n")
         held.append(line)
         open_quote ^= line.count('"') % 2 == 1
         if not open_quote:
@@ -84,10 +88,10 @@ def _records(text: str) -> Iterator[str]:
         yield "\n".join(held)
 
 
-def _numbered(path: str, member: str | None, text: str) -> Iterator[pd.DataFrame]:
-    """The records of one text, a bounded number at a time."""
+def _numbered(path: str, member: str | None, data: IO[bytes], encoding: str) -> Iterator[pd.DataFrame]:
+    """The records of one stream, a bounded number at a time."""
     out = []
-    for i, record in enumerate(_records(text[:-1] if text.endswith("\n") else text)):
+    for i, record in enumerate(_records(io.TextIOWrapper(data, encoding))):
         out.append((path, member, i, record))
         if len(out) >= ROWS_AT_ONCE:
             yield pd.DataFrame(out, columns=["path", "member", "line_no", "line"])
@@ -101,7 +105,7 @@ def _decode_lines(it: Iterator[pd.DataFrame], min_conf: float) -> Iterator[pd.Da
             enc, conf = detect_encoding(bytes(content))
             if conf < min_conf:
                 raise ValueError(f"{path}: encoding confidence {conf:.2f} below {min_conf}")
-            yield from _numbered(path, None, bytes(content).decode(enc))
+            yield from _numbered(path, None, io.BytesIO(content), enc)
 
 
 def decode_text(files: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -123,7 +127,8 @@ def _zip_lines(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if info.is_dir() or name.startswith("__MACOSX/") or not name.lower().endswith(".csv"):
                         continue
                     member = name.rsplit("/", 1)[-1]  # prefix flattened
-                    yield from _numbered(path, member, zf.read(info).decode("utf-8-sig"))
+                    with zf.open(info) as data:
+                        yield from _numbered(path, member, data, "utf-8-sig")
 
 
 def zip_csv_lines(files: DataFrame) -> DataFrame:
@@ -194,21 +199,23 @@ def _sheet_rows(zf: zipfile.ZipFile, sheet: str | None) -> tuple[str, list[list[
 
 
 def _xlsx_cells(it: Iterator[pd.DataFrame], sheet: str | None) -> Iterator[pd.DataFrame]:
+    def batches(path, name, rows):
+        rows = iter(rows)
+        numbers = itertools.count()
+        while out := [(path, name, i, r) for r, i in zip(itertools.islice(rows, ROWS_AT_ONCE), numbers)]:
+            yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells"])
+
     for pdf in it:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             data = bytes(content)
             if not data.startswith(ZIP_MAGIC):  # S05: not a workbook -> CSV text
                 import csv
 
-                for i, rec in enumerate(csv.reader(io.StringIO(data.decode("utf-8-sig")))):
-                    out.append((path, None, i, rec))
+                yield from batches(path, None, csv.reader(io.StringIO(data.decode("utf-8-sig"))))
                 continue
             with zipfile.ZipFile(io.BytesIO(data)) as zf:
                 name, rows = _sheet_rows(zf, sheet)
-            for i, r in enumerate(rows):
-                out.append((path, name, i, r))
-        yield pd.DataFrame(out, columns=["path", "sheet", "row_no", "cells"])
+            yield from batches(path, name, rows)
 
 
 def xlsx_cells(files: DataFrame, sheet: str | None = None) -> DataFrame:
@@ -276,29 +283,23 @@ def xlsx_bytes(header: Sequence[str], rows: Sequence[Sequence[str | None]], shee
     return buf.getvalue()
 
 
-def write_partition_files(df: DataFrame, out_dir: str, kind: str, n_files: int) -> int:
-    """Write ``df`` as ``n_files`` xlsx workbooks or zip archives (one per partition, from the
-    executors) into ``out_dir`` (a shared folder). Returns the number of files written."""
+def write_partition_files(df: DataFrame, out_dir: str, kind: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write ``df`` as xlsx workbooks or zip archives of at most ``rows_per_file`` rows (as many
+    as that takes for each partition, from the executors) into ``out_dir`` (a shared folder).
+    A task that runs again replaces its own files. Returns the number of files written."""
     import csv
     import os
     import uuid
 
     columns = df.columns
 
-    def write(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
-        for pdf in it:
-            rows.extend(pdf.astype(object).where(pdf.notna(), None).itertuples(index=False, name=None))
-        if not rows:
-            yield pd.DataFrame({"path": []})
-            return
+    def save(rows: list, name: str) -> str:
         folder = re.sub("^file:/+", "/", out_dir)  # a mounted shared folder; other stores can't be opened as files
         if re.match("[a-z][a-z0-9+.-]*:/", folder):
             raise ValueError(f"{out_dir}: only a mounted folder can take workbooks and archives")
         os.makedirs(folder, exist_ok=True)
-        name = f"{folder}/part-{uuid.uuid4().hex[:12]}"
         if kind == "xlsx":
-            data, path = xlsx_bytes(columns, rows), name + ".xlsx"
+            data = xlsx_bytes(columns, rows)
         else:
             s = io.StringIO()
             w = csv.writer(s, lineterminator="\n")
@@ -307,14 +308,29 @@ def write_partition_files(df: DataFrame, out_dir: str, kind: str, n_files: int)
             zbuf = io.BytesIO()
             with zipfile.ZipFile(zbuf, "w", zipfile.ZIP_DEFLATED) as zf:
                 zf.writestr("export/", "")
-                zf.writestr(f"export/{os.path.basename(name)}.csv", s.getvalue())
+                zf.writestr(f"export/{name}.csv", s.getvalue())
                 zf.writestr("__MACOSX/export/._meta", "x")
-            data, path = zbuf.getvalue(), name + ".zip"
-        with open(path, "wb") as fh:
+            data = zbuf.getvalue()
+        path, part = f"{folder}/{name}.{kind}", f"{folder}/.{name}-{uuid.uuid4().hex[:12]}"
+        with open(part, "wb") as fh:
             fh.write(data)
-        yield pd.DataFrame({"path": [path]})
+        os.replace(part, path)
+        return path
+
+    def write(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        names = (f"part-{TaskContext.get().partitionId():06d}-{k:06d}" for k in itertools.count())
+        rows: list = []
+        for pdf in it:
+            rows.extend(pdf.astype(object).where(pdf.notna(), None).itertuples(index=False, name=None))
+            while len(rows) >= rows_per_file:
+                yield pd.DataFrame({"path": [save(rows[:rows_per_file], next(names))]})
+                rows = rows[rows_per_file:]
+        if rows:
+            yield pd.DataFrame({"path": [save(rows, next(names))]})
 
-    return df.repartition(n_files).mapInPandas(write, "path string").count()
+    return df.mapInPandas(write, "path string").count()
 
 
 # The helpers above run inside executor tasks. Ship this module's code by value
