@@ -208,6 +208,15 @@ def test_zip_members_are_read_as_a_stream(monkeypatch):
     assert parts[-1].line.iloc[-1] == '"x\ny"'
 
 
+def test_station_feed_documents_are_bounded(spark, tmp_dir):
+    feed = spark.range(500).selectExpr("cast(id + 1 as string) as station_id", "concat('s', id) as name", "43.7D as lat", "-79.4D as lon",
+                                       "array('g') as groups")
+    FD.write_station_feed(feed, tmp_dir, per_doc=10)
+    docs = spark.read.schema(FD.FEED_SCHEMA).json(tmp_dir).select(F.size("data.stations").alias("n")).collect()
+    assert sum(r.n for r in docs) == 500 and max(r.n for r in docs) < 40  # about 10 each
+    assert FD.feed_stations(spark, tmp_dir).count() == 500
+
+
 def test_station_feed_rules(spark, tmp_dir):
     doc = {"last_updated": 1, "ttl": 10, "data": {"stations": [
         {"station_id": "7", "name": "Seven", "lat": 43.651234567, "lon": -79.38, "groups": ["E-Charging", "Annex "]},

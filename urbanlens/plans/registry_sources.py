@@ -180,7 +180,7 @@ def s12_manifest(spark, sf_dir):
 
 def s07_station_feed(spark, sf_dir):
     path = _scratch(spark, "s07")
-    FD.write_station_feed(T.bike_feed(spark, sf_dir), path, n_docs=4)
+    FD.write_station_feed(T.bike_feed(spark, sf_dir), path)
     return FD.read_station_feed(spark, path)
 
 

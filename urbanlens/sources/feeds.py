@@ -41,10 +41,14 @@ def read_station_feed(spark: SparkSession, paths: str | Sequence[str], multiline
     return station_ref_from_feed(feed_stations(spark, paths, multiline), cfg, order_col="feed_order")
 
 
-def write_station_feed(feed: DataFrame, path: str, n_docs: int, updated: int = 0, ttl: int = 10) -> None:
-    """Write feed rows as ``n_docs`` feed documents (JSON lines); each document carries the
-    stations of one hash bucket, so no document holds more than its share."""
-    bucket = F.pmod(F.xxhash64("station_id"), F.lit(n_docs))
+STATIONS_PER_DOC = 1000
+
+
+def write_station_feed(feed: DataFrame, path: str, per_doc: int = STATIONS_PER_DOC, updated: int = 0, ttl: int = 10) -> None:
+    """Write feed rows as feed documents (JSON lines); each document carries the stations of
+    one hash bucket. Their number follows that of the rows, so that a document holds about
+    ``per_doc`` stations however many there are (all rows of an id are in one document)."""
+    bucket = F.pmod(F.xxhash64("station_id"), F.lit(1 + feed.count() // per_doc))
     docs = (feed.withColumn("_b", bucket).groupBy("_b")
             .agg(F.sort_array(F.collect_list(F.struct("station_id", "name", "lat", "lon", "groups"))).alias("stations")))
     out = docs.select(F.to_json(F.struct(F.lit(updated).alias("last_updated"), F.lit(ttl).alias("ttl"),
