@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import LOWER, SF, table
+from pyspark.sql import functions as F
 
 from urbanlens.llm import (decontam, fingerprints, graph, html, licenses, neardup, packing, quality, secrets, substrings,
                            tokencount)
@@ -63,8 +64,6 @@ def test_winnowing_guarantee_in_unbroken_runs(spark, letters):
     ("abc", ["abc"]), ("abcd", ["abcd"]), ("abcdef gh", ["abcd", "bcde", "cdef", "gh"]), ("日本ab", ["日", "本", "ab"]),
     ("ab日cdefg", ["ab", "日", "cdef", "defg"]), (" \n", []), ("", [])])
 def test_winnowing_pieces(spark, text, pieces):
-    from pyspark.sql import functions as F
-
     df = spark.createDataFrame([(text,)], "text string")
     assert df.select(F.regexp_extract_all("text", F.lit(fingerprints.PIECE), F.lit(1))).first()[0] == pieces
 
@@ -250,6 +249,26 @@ def test_edited_items_are_found(spark):
     assert got == want and set(want.values()) == {True, False}
 
 
+def test_one_block_of_items_at_a_time(spark, docs, monkeypatch):
+    """Each block's hits are written before the next block is collected; the results don't
+    depend on the number of blocks."""
+    items = table(spark, "benchmark")
+    first = items.orderBy("item_id").first()
+    extra = [(77_001, "before. " + first["text"] + " after."), (77_001, "before. " + first["text"] + " after."),
+             (None, first["text"]), (77_002, None), (77_003, "")]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).withColumn("digest", F.lit(1))
+    events, write, read = [], decontam.shared_table, decontam.blocks
+    monkeypatch.setattr(decontam, "shared_table", lambda *a: events.append("write") or write(*a))
+    monkeypatch.setattr(decontam, "blocks", lambda *a, **k: (events.append("block") or b for b in read(*a, **k)))
+    whole = [sorted(map(str, f(df, items).collect())) for f in (decontam.contamination, decontam.keep_clean)]
+    assert events == ["block", "block"]
+    for f, expected in zip((decontam.contamination, decontam.keep_clean), whole):
+        events.clear()
+        assert sorted(map(str, f(df, items, block_bytes=4000).collect())) == expected
+        assert len(events) > 4 and events == ["block", "write"] * (len(events) // 2) + ["write"]
+
+
+
 # --- 7 secrets -------------------------------------------------------------------------
 
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

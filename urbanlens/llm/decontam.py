@@ -8,7 +8,10 @@ document by Myers' bit-parallel distance (a best place in the window, not the wh
 it); it counts if the distance is at most k.
 
 The items are read in blocks of at most about ``BLOCK_BYTES`` of text, a bound that does
-not depend on their number; each block is one pass over the documents, without a shuffle.
+not depend on their number; each block is one pass over the documents. If there are
+several, the texts a block hits are written as digests before the next block is
+collected, so that the driver and a worker hold one block at a time, and the documents
+are joined with them by digest; a single block needs no shuffle.
 
 Defined cases: a null or empty text or item matches nothing; items shorter than 24
 characters match exactly; items with equal texts all match; repeated rows give equal
@@ -22,10 +25,10 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import texts
+from urbanlens.llm.common import fresh, shared_table, texts
 
 CHARS_PER_EDIT = 24
 BLOCK_BYTES = 4 << 20
@@ -119,23 +122,56 @@ class Matcher:
 def blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
            block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
     """The items, in blocks of about ``block_bytes`` of text."""
-    own = items.select(items[id_col].cast("long").alias("item_id"), items[text_col].cast("string").alias("text"))
-    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = 1 + int(total) // block_bytes
+    own, n = _items(items, id_col, text_col), n_blocks(items, id_col, text_col, block_bytes)
     for b in range(n):
         part = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) if n > 1 else own
         yield [(r["item_id"], r["text"]) for r in part.collect()]
 
 
+def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return items.select(items[id_col].cast("long").alias("item_id"), items[text_col].cast("string").alias("text"))
+
+
+def n_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
+    total = _items(items, id_col, text_col).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return 1 + int(total) // block_bytes
+
+
+def _digest(text_col: str) -> Column:
+    return F.sha2(F.col(text_col).cast("binary"), 256)
+
+
+def _hit_texts(docs: DataFrame, items: DataFrame, block_bytes: int) -> DataFrame:
+    """``digest, hits`` of the texts of ``docs`` (a column ``text``) that any item matches, one
+    row for each; one block of items after the other."""
+    found = None
+    for block in blocks(items, block_bytes=block_bytes):
+        hits = docs.select(F.lit(0).cast("long").alias("doc_id"), "text", _no_hits().alias("hits"))
+        hits = hits.mapInArrow(_add_hits(block), hits.schema).filter(F.size("hits") > 0)
+        part = shared_table(hits.select(_digest("text").alias("digest"), "hits"), "hits")
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy("digest").agg(F.flatten(F.collect_set("hits")).alias("hits"))
+    return shared_table(found, "hits")
+
+
+def _no_hits() -> Column:
+    return F.array().cast("array<struct<item_id:long,distance:int>>")
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, contaminated, n_items, item_ids, distance``, one row per document:
     the matching items (ids in ascending order) and the smallest distance."""
-    out = texts(docs, id_col, text_col).withColumn("hits", F.array().cast("array<struct<item_id:long,distance:int>>"))
-    for block in blocks(items, text_col="text", block_bytes=block_bytes):
-        out = out.mapInArrow(_add_hits(block), out.schema)
-    ids = F.transform("hits", lambda h: h["item_id"])
-    return out.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
+    out = texts(docs, id_col, text_col)
+    if n_blocks(items, text_col="text", block_bytes=block_bytes) > 1:
+        found = _hit_texts(out, items, block_bytes)
+        out = out.select("doc_id", _digest("text").alias("digest")).join(found, "digest", "left")
+        out = out.select("doc_id", F.coalesce("hits", _no_hits()).alias("hits"))
+    else:
+        out = out.withColumn("hits", _no_hits())
+        out = out.mapInArrow(_add_hits(next(blocks(items, block_bytes=block_bytes))), out.schema)
+    ids = F.array_distinct(F.transform("hits", lambda h: h["item_id"]))  # texts of one id may be in several blocks
+    return out.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size(ids).cast("long").alias("n_items"),
                       F.array_join(F.array_sort(ids).cast("array<string>"), ",").alias("item_ids"),
                       F.array_min(F.transform("hits", lambda h: h["distance"])).alias("distance"))
 
@@ -153,10 +189,13 @@ def _add_hits(block: list[tuple[int, str]]):
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` in whose text no item appears."""
-    at = docs.columns.index(text_col)
-    for block in blocks(items, block_bytes=block_bytes):
-        docs = docs.mapInArrow(_drop_hits(block, at), docs.schema)
-    return docs
+    if n_blocks(items, block_bytes=block_bytes) > 1:
+        found = _hit_texts(docs.select(F.col(text_col).cast("string").alias("text")), items, block_bytes)
+        digest = fresh(docs, "digest")
+        found = found.select(F.col("digest").alias(digest))
+        return docs.withColumn(digest, _digest(text_col)).join(found, digest, "left_anti").select(docs.columns)
+    block = next(blocks(items, block_bytes=block_bytes))
+    return docs.mapInArrow(_drop_hits(block, docs.columns.index(text_col)), docs.schema)
 
 
 def _drop_hits(block: list[tuple[int, str]], at: int):
