@@ -1,14 +1,13 @@
-"""Repeated-substring removal by suffix buckets and cover-sample ranks (operator 5).
+"""Repeated-substring removal by minimizer sampling and window hashes (operator 5).
 
-Every byte covered by a 200-byte string that also starts elsewhere is removed. Suffixes
-are not compared byte by byte over the network; as in difference-cover construction, a
-sample of positions is ranked first and the suffixes are sorted one bucket at a time.
+Every byte covered by a 200-byte string that also starts elsewhere is removed. This
+replaces the difference-cover suffix array: no suffix is sorted and nothing is ranked.
+Positions are sampled by content, and windows that share a sample are compared by hash.
 
-1. Cover sample: in each 200-byte window the 64-byte gram of the smallest hash is its
-   sample position. Equal windows have the same sample at the same offset (the cover
-   property), so a window's bucket is its sample's gram. Consecutive windows with one
-   sample form a run; about one run for 70 bytes.
-2. Ranks: runs are counted by gram. A gram seen once: its windows are not repeated. If
+1. Sample: in each 200-byte window the 64-byte gram of the smallest hash is its
+   sample position. Equal windows have the same sample at the same offset, so a window's bucket is its sample's gram. Consecutive windows with one
+   sample form a run; about one run for 60 to 70 bytes.
+2. Counts (``ranks`` below): runs are counted by gram. A gram seen once: its windows are not repeated. If
    all runs of a gram are equal as whole strings (by their hash), all are repeated.
 3. Ties: grams with runs that differ. Runs equal to another as a whole are repeated;
    the others are compared window by window with one run of each kind in the bucket,
@@ -16,9 +15,9 @@ sample of positions is ranked first and the suffixes are sorted one bucket at a
    many different runs go as single windows through an ordinary aggregate instead.
 4. Each document's repeated windows give its removed bytes.
 
-The arithmetic cover (positions modulo a period) is replaced by one that depends on
-content: it has a sixth of the positions, and the offset at which two suffixes share a
-sample does not depend on where they stand, so that it can be a shuffle key (README).
+The arithmetic cover (positions modulo a period) would have about six times as many
+positions, and the offset at which two suffixes share a sample would depend on where they
+stand, so that it could not be a shuffle key (figures in the README).
 
 Strings are compared by 64-bit hashes. A document is known by the hash of id and text.
 
