@@ -4,11 +4,13 @@ Every byte covered by a 200-byte string that also starts elsewhere is removed. T
 replaces the difference-cover suffix array: no suffix is sorted and nothing is ranked.
 Positions are sampled by content, and windows that share a sample are compared by hash.
 
-1. Sample: in each 200-byte window the 64-byte gram of the smallest hash is its
-   sample position. Equal windows have the same sample at the same offset, so a window's bucket is its sample's gram. Consecutive windows with one
-   sample form a run; about one run for 60 to 70 bytes.
-2. Counts (``ranks`` below): runs are counted by gram. A gram seen once: its windows are not repeated. If
-   all runs of a gram are equal as whole strings (by their hash), all are repeated.
+1. Sample: in each 200-byte window the 64-byte gram of the smallest hash is its sample
+   position. Equal windows have the same sample at the same offset, so a window's bucket
+   is its sample's gram. Consecutive windows with one sample form a run; about one run for
+   60 to 70 bytes.
+2. Counts (``ranks`` below): runs are counted by gram. A gram seen once: its windows are
+   not repeated. If all runs of a gram are equal as whole strings (by their hash), all are
+   repeated.
 3. Ties: grams with runs that differ. Runs equal to another as a whole are repeated;
    the others are compared window by window with one run of each kind in the bucket,
    by their hash at the same offset. A task holds one bucket after the other; buckets of
