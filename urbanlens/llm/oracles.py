@@ -56,4 +56,50 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, w.doc_id)
        coalesce(c.component, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node AS doc_id, min(other) AS component FROM reach GROUP BY node) c USING (doc_id)"""
 
-ORACLES: dict[str, str] = {"op7_secret_scan": SECRETS, "op9_minmax_neardup": NEAR}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# --- 12: integer scores of all documents, the ten best of each item -------------------------
+_TERMS = rf"unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+SEARCH = f"""
+WITH dt AS (SELECT rid, doc_id, t, count(*) AS tf
+            FROM (SELECT rid, doc_id, {_TERMS} AS t FROM (SELECT row_number() OVER () AS rid, * FROM documents)) GROUP BY ALL),
+size AS (SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM dt GROUP BY rid),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size),
+weight AS (SELECT t, CAST(floor(1000 * ln((2.0 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+           FROM (SELECT t, count(*) AS df FROM dt GROUP BY t), total),
+asked AS (SELECT iid, item_id, t, count(*) AS times
+          FROM (SELECT iid, item_id, {_TERMS} AS t FROM (SELECT row_number() OVER () AS iid, * FROM benchmark)) GROUP BY ALL),
+part AS (SELECT rid, doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)) AS part
+         FROM dt JOIN size USING (rid), total),
+score AS (SELECT iid, item_id, rid, doc_id, CAST(sum(times * w * part) AS BIGINT) AS score
+          FROM asked JOIN weight USING (t) JOIN part USING (t) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0) WHERE rank <= 10"""
+
+# --- 13: counts of all phrases, their lowest cut, the first ones of each language ------------
+COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+occ AS (SELECT lang, ws[i] AS phrase, 1 AS k FROM places
+        UNION ALL SELECT lang, ws[i] || ' ' || ws[i + 1], 2 FROM places WHERE i < len(ws)
+        UNION ALL SELECT lang, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2], 3 FROM places WHERE i + 1 < len(ws)),
+total AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+f AS (SELECT lang, phrase, k AS words, count(*) AS f FROM occ GROUP BY ALL),
+c AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS s FROM f WHERE words > 1 AND f >= 10),
+longer AS (SELECT lang, phrase, max(a) AS longest FROM (
+             SELECT lang, a, s[1] || ' ' || s[2] AS phrase FROM c WHERE words = 3
+             UNION ALL SELECT lang, a, s[2] || ' ' || s[3] FROM c WHERE words = 3) GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 50 * a),
+cuts AS (SELECT lang, phrase, a, 1 AS k, s[1] AS head, array_to_string(s[2:], ' ') AS rest FROM kept
+         UNION ALL SELECT lang, phrase, a, 2, s[1] || ' ' || s[2], s[3] FROM kept WHERE words = 3),
+scored AS (SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r,
+                  CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+           FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM scored) WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best) JOIN total USING (lang)
+WHERE rank <= 2000"""
+
+ORACLES: dict[str, str] = {"op7_secret_scan": SECRETS, "op9_minmax_neardup": NEAR, "op12_lexical_search": SEARCH,
+                           "op13_collocations": COLLOCATIONS}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import decontam, fingerprints, html, licenses, neardup, packing, quality, secrets, substrings, tokencount
+from urbanlens.llm import collocations, decontam, fingerprints, html, licenses, lm, neardup, packing, quality, search, secrets, substrings, tokencount
 from urbanlens.session import read_table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -58,6 +58,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(read_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents"), lm.sevenths)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,5 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_minmax_neardup": op9_minmax_neardup,
     "op10_token_counts": op10_token_counts,
+    "op11_lm_score": op11_lm_score,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
