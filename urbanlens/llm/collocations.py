@@ -4,10 +4,11 @@ Every word of a piece starts a suffix, cut to the length of the longest phrase.
 all phrases is building the tree of these suffixes; its leaves' totals give the count of
 every node above them. The tree is cut vertically, so that each part fits in memory:
 
-1. The frequency of each first word is counted. A word of more suffixes than a quarter of
-   the memory budget is too frequent for one part and is replaced by its two-word
-   prefixes, counted in a second pass, and those that are still too frequent by their
-   three-word ones (single leaves). What was replaced is counted by that pass.
+1. The frequency of each first word is counted. A word of more suffixes than the memory
+   budget is too frequent for one part and is replaced by its two-word prefixes, and those
+   that are still too frequent by their three-word ones (single leaves). A pair can only
+   be too frequent if both of its words are: such pairs are counted by a second pass. What
+   was replaced takes its count from these passes.
 2. Prefixes are dealt to as many groups as the budget asks for, and each slice of texts
    sends a group its distinct suffixes with their numbers, so copies and repeated
    passages are added up before the shuffle.
@@ -16,9 +17,9 @@ every node above them. The tree is cut vertically, so that each part fits in mem
 
 All parts of a frequent phrase are frequent, so the emitted nodes hold every count that
 a score needs. The list of replaced prefixes is the only thing that passes through the
-driver: at most 4 x words / budget entries for each of two lengths.
+driver: at most words / budget entries for each of two lengths.
 
-Memory per task: one slice, or one group of about ``budget`` suffixes.
+Memory per task: one slice, or one group of about ``budget`` suffixes (a prefix of up to as many, and others).
 
 Defined cases: a null or empty text has no words; a null lang is ``und``; ids are not
 read, so repeated rows and rows without an id count once each; ties of a score end at the
@@ -34,17 +35,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanlens.llm.common import n_partitions, shared_table
-from urbanlens.llm.words import as_text, numbered, slices, translation, utf8
+from urbanlens.llm.words import as_text, cut, numbered, slices, translation, utf8
 
 PIECE = b"\n"  # stands for every separator of pieces; never part of a word
 _TABLE = translation({b".,;:!?\n\x0b\x0c\r": PIECE, b"\t": b" "})
-SLICE_BYTES = 8 << 20
-GROUP_SUFFIXES = 1_000_000  # memory budget of a group: about 100 bytes a suffix
+SLICE_BYTES = 4 << 20
+GROUP_SUFFIXES = 1_000_000  # memory budget of a group: about 300 bytes a suffix
 
 # prefixes replaced by longer ones: lang -> words, lang -> (word, word)
 Replaced = tuple[dict[str, set[bytes]], dict[str, set[bytes]]]
@@ -53,7 +55,8 @@ Replaced = tuple[dict[str, set[bytes]], dict[str, set[bytes]]]
 def suffixes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """The words, and for each suffix the numbers of its first three (0: the piece is over)."""
     joined = PIECE.join(t.translate(_TABLE) for t in texts).replace(PIECE, b" \n ")
-    words, ids = numbered([w for w in joined.split(b" ") if w], PIECE)
+    tokens = cut(joined, b" ")
+    words, ids = numbered(tokens.filter(pc.greater(pc.binary_length(tokens), 0)), PIECE)
     ids = np.concatenate([ids, np.zeros(2, np.int64)])
     a, b = ids[:-2], ids[1:-1]
     c = np.where(b == 0, 0, ids[2:])
@@ -119,15 +122,16 @@ def _deal(replaced: Replaced, n_groups: int):
                 prefix = words[first[i]] + b" " + words[second[i]]
                 to[i] = group(lang, prefix + b" " + words[third[i]] if prefix in two else prefix)
             order = np.argsort(to, kind="stable")
-            lines = [words[x] + b" " + words[y] + b" " + words[z]
-                     for x, y, z in zip(first[order].tolist(), second[order].tolist(), third[order].tolist())]
             groups, starts = np.unique(to[order], return_index=True)
-            ends = [*starts[1:].tolist(), len(lines)]
-            n = n[order]
+            starts = np.append(starts, len(order))
+            own, last = pa.array(words, pa.binary()), pa.array([w + b"\n" for w in words], pa.binary())
+            lines = pc.binary_join_element_wise(own.take(pa.array(first[order])), own.take(pa.array(second[order])),
+                                                last.take(pa.array(third[order])), b" ")
+            ends = np.frombuffer(lines.buffers()[1], np.int32)[starts]  # of the groups, in the lines' bytes
             yield pa.RecordBatch.from_arrays(
                 [pa.array(groups), pa.array([lang] * len(groups), pa.string()),
-                 pa.array([b"\n".join(lines[s:e]) for s, e in zip(starts.tolist(), ends)], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([*starts.tolist(), len(lines)], pa.int32()), pa.array(n, pa.int64()))],
+                 pa.Array.from_buffers(pa.binary(), len(groups), [None, pa.py_buffer(ends), lines.buffers()[2]]),
+                 pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(n[order], pa.int64()))],
                 names=["grp", "lang", "lines", "counts"])
     return run
 
@@ -135,26 +139,22 @@ def _deal(replaced: Replaced, n_groups: int):
 def _subtrees(replaced: Replaced, min_count: int) -> Callable[[pa.Table], pa.Table]:
     """Nodes of at least ``min_count`` below the prefixes of one group, from the totals of the leaves."""
     def run(table: pa.Table) -> pa.Table:
-        langs, blocks, counts = (table.column(c).to_pylist() for c in ("lang", "lines", "counts"))
+        langs, blocks = table.column("lang").to_pylist(), table.column("lines").to_pylist()
+        counts = table.column("counts").combine_chunks()
         out_lang, phrases, sizes, totals = [], [], [], []
         for lang in dict.fromkeys(langs):
             mine = [i for i, own in enumerate(langs) if own == lang]
-            tokens = b"\n".join(blocks[i] for i in mine).replace(b"\n", b" ").split(b" ")
-            words, ids = numbered(tokens, b"")
-            n = np.concatenate([np.asarray(counts[i], np.int64) for i in mine])
+            words, ids = numbered(cut(b"".join(blocks[i] for i in mine), b" \n")[:-1], b"")
+            n = counts.take(pa.array(mine)).flatten().to_numpy()
             a, b, c = ids.reshape(-1, 3).T
             base = len(words)
             pairs, of_pair = np.unique(a * base + b, return_inverse=True)
             leaves, of_leaf = np.unique(of_pair * base + c, return_inverse=True)
 
-            def summed(at: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
-                out = np.zeros(size, np.int64)
-                np.add.at(out, at, values)
-                return out
-
-            leaf = summed(of_leaf, len(leaves), n)  # totals of the leaves, and from them of the nodes above
-            two = summed(leaves // base, len(pairs), leaf)
-            one = summed(pairs // base, base, two)
+            # totals of the leaves, and from them of the nodes above (sums far below 2^53)
+            leaf = np.bincount(of_leaf, n, len(leaves)).astype(np.int64)
+            two = np.bincount(leaves // base, leaf, len(pairs)).astype(np.int64)
+            one = np.bincount(pairs // base, two, base).astype(np.int64)
             often_one, often_two = (r.get(lang, set()) for r in replaced)
             for i in np.flatnonzero(one >= min_count).tolist():
                 if words[i] not in often_one:  # else counted with the prefixes
@@ -199,15 +199,15 @@ def phrase_counts(docs: DataFrame, min_count: int = 10, budget: int = GROUP_SUFF
     first = shared_table(_summed(own.mapInArrow(_first_words, schema)), "prefixes")
     sizes = shared_table(first.groupBy("lang").agg(F.sum("n").alias("n")), "words")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    n_groups, limit = max(1, math.ceil(total / budget)), budget // 4
-    one = _too_frequent(first, limit)
+    n_groups = max(1, math.ceil(total / budget))
+    one = _too_frequent(first, budget // 4)
     two: dict[str, set[bytes]] = {}
     replaced = []
     if one:
-        replaced.append(_marked(first, limit, 1))
+        replaced.append(_marked(first, budget // 4, 1))
         second = shared_table(_summed(own.mapInArrow(_second_words(one), schema)), "prefixes")
-        if two := _too_frequent(second, limit):
-            replaced.append(_marked(second, limit, 2))
+        if two := _too_frequent(second, budget // 4):
+            replaced.append(_marked(second, budget // 4, 2))
     nodes = (own.mapInArrow(_deal((one, two), n_groups), "grp long, lang string, lines binary, counts array<long>")
              .groupBy("grp").applyInArrow(_subtrees((one, two), min_count), "lang string, phrase string, words int, f long"))
     for counted in replaced:

@@ -53,10 +53,11 @@ WORD_UNITS = 768
 SUFFIX_UNITS = 256
 UNITS = WORD_UNITS + SUFFIX_UNITS
 START = UNITS  # the context before a text's first token
-DIMENSIONS = 24
+DIMENSIONS = 16
 CONTEXT = 2
 NOISE = 64
-STEP = 2048  # tokens of a step
+STEP = 4096  # tokens of a step
+CHUNK = 512  # contexts whose normalisers are one matrix product
 RATE = 0.1
 KNOWN = 500_000
 FAN = 64
@@ -66,7 +67,7 @@ SLICE_BYTES = 4 << 20
 _SHAPES = {"R": (UNITS + 1, DIMENSIONS), "C": (CONTEXT, DIMENSIONS, DIMENSIONS), "Q": (UNITS, DIMENSIONS), "b": (UNITS,)}
 
 
-def split_words(texts_: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+def split_words(texts_: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """All tokens of the texts, one text after the other, and the number of each text's tokens."""
     tokens, sizes = [], []
     for t in texts_:
@@ -74,7 +75,7 @@ def split_words(texts_: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         tokens += mine
         tokens.append(END)
         sizes.append(len(mine) + 1)
-    return tokens, np.array(sizes, np.int64)
+    return pa.array(tokens, pa.binary()), np.array(sizes, np.int64)
 
 
 @dataclass
@@ -130,21 +131,37 @@ class Model:
 
     def log_probability(self, ctx: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(unit | context), normalised over all units."""
-        keys, of = np.unique(ctx @ ((UNITS + 1) ** np.arange(CONTEXT)), return_inverse=True)
-        distinct = np.stack([keys // (UNITS + 1) ** j % (UNITS + 1) for j in range(CONTEXT)], 1)
-        h = self.hidden(distinct)
-        total = np.empty(len(keys), np.float32)
-        for at in range(0, len(keys), STEP):
-            scores = h[at:at + STEP] @ self.Q.T + self.b
-            top = scores.max(1)
-            total[at:at + STEP] = top + np.log(np.exp(scores - top[:, None]).sum(1))
-        own = np.einsum("ij,ij->i", h[of], self.Q[units]) + self.b[units]
+        codes = ctx @ ((UNITS + 1) ** np.arange(CONTEXT))
+        keys, of = _distinct(codes, (UNITS + 1) ** CONTEXT)
+        h = self.hidden(np.stack([keys // (UNITS + 1) ** j % (UNITS + 1) for j in range(CONTEXT)], 1))
+        total, scores = np.empty(len(keys), np.float32), np.empty((CHUNK, UNITS), np.float32)
+        for at in range(0, len(keys), CHUNK):
+            part = scores[:len(h[at:at + CHUNK])]
+            np.matmul(h[at:at + CHUNK], self.Q.T, out=part)
+            part += self.b
+            top = part.max(1)
+            part -= top[:, None]
+            total[at:at + CHUNK] = top + np.log(np.exp(part, out=part).sum(1))
+        own = np.empty(len(units), np.float32)
+        for at in range(0, len(units), STEP):
+            u = units[at:at + STEP]
+            own[at:at + STEP] = np.einsum("ij,ij->i", h[of[at:at + STEP]], self.Q[u]) + self.b[u]
         return own.astype(np.float64) - total[of]
 
 
+def _distinct(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes below ``size``, and each code's place among them."""
+    seen = np.zeros(size, bool)
+    seen[codes] = True
+    keys = np.flatnonzero(seen)
+    place = np.empty(size, np.int32)
+    place[keys] = np.arange(len(keys), dtype=np.int32)
+    return keys, place[codes]
+
+
 def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows with the sums of their values."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.int16), kind="stable")  # units fit; sorted by counting
     rows = rows[order]
     starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     return rows[starts], np.add.reduceat(values[order], starts, axis=0)
@@ -174,8 +191,11 @@ class Trainer:
         false = h @ m.Q[noise].T + (m.b[noise] - m.log_noise[noise] - shift)
         true, false = 1 / (1 + np.exp(np.clip(true, -30, 30))), -1 / (1 + np.exp(np.clip(-false, -30, 30)))
         back = true[:, None] * q + false @ m.Q[noise]
-        rows, own = _by_row(np.concatenate([units, noise]),
-                            np.concatenate([np.c_[true[:, None] * h, true], np.c_[false.T @ h, false.sum(0)]]))
+        own = np.empty((len(units) + NOISE, DIMENSIONS + 1), np.float32)
+        np.multiply(true[:, None], h, out=own[:len(units), :-1])
+        np.matmul(false.T, h, out=own[len(units):, :-1])
+        own[:len(units), -1], own[len(units):, -1] = true, false.sum(0)
+        rows, own = _by_row(np.concatenate([units, noise]), own)
         self._add("Q", rows, own[:, :-1])
         self._add("b", rows, own[:, -1])
         rows, own = _by_row(ctx.T.ravel(), np.concatenate([back @ m.C[j].T for j in range(CONTEXT)]))

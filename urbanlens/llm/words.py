@@ -38,11 +38,21 @@ def slices(values: list[bytes], size: int) -> Iterator[slice]:
         yield slice(start, len(values))
 
 
-def numbered(tokens: list[bytes], first: bytes) -> tuple[list[bytes], np.ndarray]:
+def cut(data: bytes, separators: bytes) -> pa.Array:
+    """The words of ``data`` between the separators, empty ones too."""
+    found = np.frombuffer(data, np.uint8)
+    table = np.zeros(256, bool)
+    table[list(separators)] = True
+    between = table[found]
+    ends = np.flatnonzero(between)
+    offsets = np.concatenate([[0], ends - np.arange(len(ends)), [len(found) - len(ends)]]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(found[~between])])
+
+
+def numbered(tokens: pa.Array, first: bytes) -> tuple[list[bytes], np.ndarray]:
     """The distinct tokens, ``first`` at 0, and each token's number among them."""
-    words = list(dict.fromkeys([first, *tokens]))
-    index = {w: i for i, w in enumerate(words)}
-    return words, np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
+    coded = pa.concat_arrays([pa.array([first], pa.binary()), tokens]).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()[1:].astype(np.int64)
 
 
 def as_text(words: list[bytes]) -> pa.Array:
