@@ -684,17 +684,19 @@ q("e10_description", "SELECT delay_code, delay_description FROM delay_codes", "d
 q("e11_neighbourhood", "SELECT station_id, neighborhood FROM bike_station_ref", "bike_station_ref")
 
 # --- deviating headers, manifests, loads, sinks --------------------------------------------
-_splits = {"case": "h < '5'", "less": "h >= '5' AND h <= '9'", "more": "h > '9'"}
+_splits = {"case": "h < '5'", "less": "h >= '5' AND h <= '9'", "more": "h > '9' AND h <= 'c'", "[d] e": "h > 'c'", "void": "false"}
 _hparts = []
 for _set, (_table, _sources) in _delivered.items():
     _names = [c.name for c in CONTRACTS[_set].columns]
     for _delivery, _check, _name, _severity in (
             ("case", "case_mismatch", _names[1].upper(), "warn"), ("less", "missing_column", _names[-1], "error"),
-            ("more", "extra_column", "Remarks", "warn")):
-        _hparts.append(f"""SELECT '{_set}' AS dataset, '{_delivery}' AS delivery, '{_check}' AS "check", '{_name}' AS column_name,
+            ("more", "extra_column", "Remarks", "warn"), ("[d] e", "missing_column", _names[1], "error"),
+            ("[d] e", "extra_column", f"{_names[1]}, all", "warn"), ("void", "empty_header", None, "error"),
+            *[("void", "missing_column", n, "error") for n in _names]):
+        _hparts.append(f"""SELECT '{_set}' AS dataset, '{_delivery}' AS delivery, '{_check}' AS "check", {"NULL" if _name is None else f"'{_name}'"} AS column_name,
   '{_severity}' AS severity, count(*) AS n_rows FROM (SELECT left(md5(coalesce({_sources[0]}, '')), 1) AS h FROM {_table})
   WHERE {_splits[_delivery]}""")
-q("v01_header_checks", f"SELECT * FROM ({' UNION ALL '.join(_hparts)}) WHERE n_rows > 0",
+q("v01_header_checks", f"SELECT * FROM ({' UNION ALL '.join(_hparts)}) WHERE n_rows > 0 OR delivery = 'void'",
   "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
 _loads = " UNION ALL ".join(f"SELECT '{s}' AS dataset, 'load' AS stage, 'success' AS status, count(*) AS rows, "
                             f"CAST(NULL AS VARCHAR) AS error FROM {t}" for s, (t, _) in _delivered.items())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from urbanlens.sources import binary as B
 from urbanlens.sources import contracts as V
 from urbanlens.sources import delimited as D
+from urbanlens.sources import headers as H
 from urbanlens.sources import feeds as FD
 
 HEADER = "Date,Time,Day,Station,Code,Min Delay,Min Gap,Bound,Line,Vehicle"
@@ -61,6 +62,47 @@ def test_header_check_reads_first_lines_only(spark, tmp_dir):
     assert checks == {("a.csv", "extra_column", "Vehicle"), ("b.csv", "extra_column", "Vehicle"), ("b.csv", "missing_column", "Line")}
 
 
+def test_empty_files_quoted_commas_and_odd_paths(spark, tmp_dir):
+    """A file of no bytes is reported, a quoted comma stays in its name, and folders and files
+    named like patterns are read."""
+    write(f"{tmp_dir}/[x] {{y}}", "a*.csv", '"Station, all",Code\n"King, W",1\n')
+    write(f"{tmp_dir}/[x] {{y}}", "void.csv", "")
+    contract = V.Contract("c", V._cols(("Station", "STRING"), ("Code", "INTEGER")), 1)
+    found = V.validate(spark, f"{tmp_dir}/*", contract).collect()
+    got = {(os.path.basename(r.file_path), r.check, r.column_name) for r in found}
+    assert got == {("a*.csv", "missing_column", "Station"), ("a*.csv", "extra_column", "Station, all"), ("void.csv", "empty_header", None),
+                   ("void.csv", "missing_column", "Station"), ("void.csv", "missing_column", "Code")}
+    with pytest.raises(V.ContractError):
+        V.raise_on_errors(V.validate(spark, f"{tmp_dir}/*", contract))
+    df = D.read_delimited(spark, tmp_dir, recursive=True)
+    assert [tuple(r) for r in df.collect()] == [("King, W", "1")] and df.columns == ["Station, all", "Code"]
+
+
+def test_only_empty_files_are_reported(spark, tmp_dir):
+    write(tmp_dir, "void.csv", "")
+    assert {r.check for r in V.validate(spark, tmp_dir, subway_contract()).collect()} == {"empty_header", "missing_column"}
+
+
+def test_headers_of_many_files_in_one_job(spark, tmp_dir):
+    """Two thousand files in forty folders, three headers: one job lists and reads them, the
+    driver gets a row for each folder and header."""
+    for i in range(2000):
+        head = "A,B" if i % 40 else ("B,A" if i % 80 else "A,B,C")
+        write(f"{tmp_dir}/f{i % 40}", f"{i}.csv", f"{head}\n{i},{i}\n")
+    found = H.vintages(spark, f"{tmp_dir}/*", D.YEAR_IN_PATH)
+    assert {v.header: len(v.paths) for v in found} == {"A,B": 39, "B,A": 25, "A,B,C": 25}  # folder f0 holds two headers
+    df = D.read_delimited(spark, f"{tmp_dir}/*", columns=["A", "B"])
+    assert df.count() == 2000
+    assert df.filter("A = B").count() == 2000
+
+
+def test_first_lines_in_any_encoding():
+    assert H.first_line(iter([]), "UTF-8") is None and H.first_line(iter([b"\n"]), "UTF-8") == ""
+    assert H.first_line(iter(["\ufeffA,\u00e9".encode()[:5], "\ufeffA,\u00e9\r\n1".encode()[5:]]), "UTF-8") == "A,\u00e9"
+    data = "A,\u6771\n1".encode("utf-16")
+    assert H.first_line((data[i:i + 1] for i in range(len(data))), "UTF-16") == "A,\u6771"
+
+
 def test_value_checks_ignore_header_case(spark, tmp_dir):
     bad = GOOD[:1] + [GOOD[1].replace(",2,5,", ",abc,5,")]
     write(tmp_dir, "a.csv", "\n".join([HEADER.upper()] + bad))

@@ -37,7 +37,8 @@ def _order_number():
 
 def v01_header_checks(spark, sf_dir):
     """The five datasets in deliveries of deviating headers (a name in another case, the last
-    column missing, one more column): what the checks find, with the rows it touches."""
+    column missing, one more column, a quoted name with a comma, and a file of no bytes), in
+    folders whose names are patterns: what the checks find, with the rows it touches."""
     base, out = _scratch(spark, "v01"), None
     for name, raw in delivered(Warehouse(spark, sf_dir)).items():
         names = V.CONTRACTS[name].names
@@ -45,16 +46,18 @@ def v01_header_checks(spark, sf_dir):
         headers = {
             "case": (digit < "5", [n.upper() if i == 1 else n for i, n in enumerate(names)]),
             "less": ((digit >= "5") & (digit <= "9"), names[:-1]),
-            "more": (digit > "9", [*names, "Remarks"])}
-        paths = []
+            "more": ((digit > "9") & (digit <= "c"), [*names, "Remarks"]),
+            "[d] e": (digit > "c", [f"{n}, all" if i == 1 else n for i, n in enumerate(names)])}
+        folder = f"{base}/{name}"
         for delivery, (mine, header) in headers.items():
-            paths.append(f"{base}/{name}/{delivery}")
             own = [F.col(f"`{names[i]}`") if i < len(names) else F.lit("none") for i in range(len(header))]
-            _write(raw.filter(mine).select(*[c.alias(h) for c, h in zip(own, header)]), paths[-1])
+            _write(raw.filter(mine).select(*[c.alias(h) for c, h in zip(own, header)]), f"{folder}/{delivery}")
+        raw.limit(0).select(F.lit("").alias("value")).write.text(f"{folder}/void")
         of_file = F.regexp_extract("file_path", rf"/{name}/([^/]+)/[^/]*$", 1).alias("delivery")
-        found = V.header_checks(spark, paths, V.CONTRACTS[name]).select(of_file, "check", "column_name", "severity").distinct()
-        rows = D.read_delimited(spark, paths, with_path=True).groupBy(of_file).agg(F.count(F.lit(1)).alias("n_rows"))
-        part = found.join(rows, "delivery").withColumn("dataset", F.lit(name))
+        found = V.header_checks(spark, f"{folder}/*", V.CONTRACTS[name]).select(of_file, "check", "column_name", "severity").distinct()
+        rows = D.read_delimited(spark, f"{folder}/*", with_path=True).select(F.url_decode("file_path").alias("file_path"))
+        rows = rows.groupBy(of_file).agg(F.count(F.lit(1)).alias("n_rows"))
+        part = found.join(rows, "delivery", "left").withColumn("dataset", F.lit(name)).fillna(0, ["n_rows"])
         out = part if out is None else out.unionByName(part)
     return out
 

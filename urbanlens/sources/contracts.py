@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlens import config as C
+from urbanlens.sources.headers import file_headers
 
 
 @dataclass(frozen=True)
@@ -77,21 +78,12 @@ def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], VIOLATION_SCHEMA)
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file_path, header) for each file: its first line only."""
-    from urbanlens.sources.delimited import headers
-
-    rows = [(f, h) for h, files in headers(spark, paths).items() for f in files]
-    return spark.createDataFrame(sorted(rows), "file_path string, header string")
-
-
 def header_checks(spark: SparkSession, paths, contract: Contract) -> DataFrame:
-    """V01 missing (error), V02 extra / case mismatch (warn), V03 empty header (error)."""
+    """V01 missing (error), V02 extra / case mismatch (warn), V03 empty header (error): a file
+    of no bytes, or whose first line is blank, has an empty header and misses every column."""
     h = file_headers(spark, paths)
-    names = F.transform(F.split(F.regexp_replace(F.col("header"), "^﻿", ""), ","),
-                        lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))
-    h = h.select("file_path", F.explode(F.when(F.trim("header") == "", F.array(F.lit(None).cast("string")))
-                                        .otherwise(names)).alias("name"))
+    h = h.select("file_path", F.explode(F.when(F.trim(F.coalesce("header", F.lit(""))) == "", F.array(F.lit(None).cast("string")))
+                                        .otherwise(F.col("names"))).alias("name"))
     spec = spark.createDataFrame([(c.name,) for c in contract.columns], "expected string")
     got = h.withColumn("lname", F.lower("name"))
     exp = spec.withColumn("lname", F.lower("expected"))
@@ -175,19 +167,20 @@ def row_count_checks(df: DataFrame, contract: Contract) -> DataFrame:
 
 def validate(spark: SparkSession, paths: str | Sequence[str], contract: Contract,
              sample_rows: int | None = None) -> DataFrame:
-    """Every file of a dataset against its contract; an empty folder yields no rows."""
+    """Every file of a dataset against its contract, files of no bytes included; an empty
+    folder yields no rows."""
     from urbanlens.sources.delimited import read_delimited
 
     try:
+        found = header_checks(spark, paths, contract)
         df = read_delimited(spark, paths, with_path=True, null_tokens=())
-    except FileNotFoundError:  # no file with a header: nothing to validate
-        return _empty(spark)
+    except FileNotFoundError:  # no file with a header: what there is has been checked
+        return found
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return _empty(spark)
         raise
-    return (header_checks(spark, paths, contract)
-            .unionByName(value_checks(df, contract, sample_rows))
+    return (found.unionByName(value_checks(df, contract, sample_rows))
             .unionByName(row_count_checks(df, contract)))
 
 

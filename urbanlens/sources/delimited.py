@@ -9,7 +9,6 @@ inference pass over the data).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 
 from urbanlens import config as C
 from urbanlens.functions.columns import null_if_token
+from urbanlens.sources.headers import vintages
 
 YEAR_IN_PATH = r"(?:^|/)(?:[^/=]+=)?(\d{4})(?:/|$)"
 
@@ -27,43 +27,11 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-HEADERS_AT_ONCE = 64  # files whose first lines one job reads
-
-
-def list_files(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, glob: str | None = None) -> list[str]:
-    """The files under the paths; only the listing is read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    found = reader.load(paths if isinstance(paths, str) else list(paths)).select("path")
-    return sorted(r["path"] for r in found.collect())
-
-
-def first_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
-    """(file_path, header) of each file that has a line: one row is taken from each file, no data lines."""
-    out = None
-    for f in files:
-        line = (spark.read.option("encoding", encoding).text(f).limit(1)
-                .select(F.lit(f).alias("file_path"), F.regexp_replace("value", "^\\ufeff", "").alias("header")))
-        out = line if out is None else out.unionByName(line)
-    return out
-
-
-def headers(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", recursive: bool = False,
-            glob: str | None = None) -> dict[str, list[str]]:
-    """Header line -> its files, in the order of the first file of each."""
-    files, found = list_files(spark, paths, recursive, glob), {}
-    for at in range(0, len(files), HEADERS_AT_ONCE):
-        rows = first_lines(spark, files[at:at + HEADERS_AT_ONCE], encoding).collect()
-        for path, header in sorted((r["file_path"], r["header"]) for r in rows):
-            found.setdefault(header, []).append(path)
-    return found
-
-
-def _one_vintage(spark: SparkSession, files: Sequence[str], encoding: str) -> DataFrame:
+def _one_vintage(spark: SparkSession, paths: Sequence[str], encoding: str, glob: str | None) -> DataFrame:
     """Files of one header; a file whose header differs after all fails the read."""
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
-            .option("inferSchema", False).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(list(files)))
+    reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
+              .option("inferSchema", False).option("enforceSchema", False).option("mode", "PERMISSIVE"))
+    return (reader.option("pathGlobFilter", glob) if glob else reader).csv(list(paths))
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None,
@@ -72,8 +40,9 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
                    renames: Mapping[str, str] | None = None, rename_from_year: int | None = None) -> DataFrame:
     """Comma-separated, header skipped, '"'-quoted, every column text.
 
-    Columns are taken by name, in any case and order (Q25): files are grouped by their
-    header line, each group has its own reader, and the groups are stacked by name.
+    Columns are taken by name, in any case and order (Q25): executors read the files'
+    headers (``headers``), each distinct one has its own reader over its folders, and the
+    results are stacked by name; files without a byte are passed over.
     ``columns`` names the result's columns; each must be in some file's header, and is
     NULL where a file lacks it. Without it the columns of all headers are kept, under
     the spelling of the first file. ``renames`` maps drifted header names to those of
@@ -82,17 +51,15 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     transparently by extension.
     """
     groups: dict[tuple[str, bool], list[str]] = {}
-    for header, files in headers(spark, paths, encoding, recursive, glob).items():
-        for f in files:
-            years = re.findall(YEAR_IN_PATH, f)
-            drift = bool(renames) and (rename_from_year is None or bool(years) and int(years[0]) >= rename_from_year)
-            groups.setdefault((header, drift), []).append(f)
+    for v in vintages(spark, paths, YEAR_IN_PATH, encoding, recursive, glob):
+        drift = bool(renames) and (rename_from_year is None or v.year is not None and v.year >= rename_from_year)
+        groups.setdefault((v.header, drift), []).extend(v.paths)
     if not groups:
         raise FileNotFoundError(f"no delimited file with a header under {paths}")
     frames, spelling = [], {c.lower(): c for c in columns or ()}
     moved = {k.lower(): v for k, v in (renames or {}).items()}
     for (_, drift), files in groups.items():
-        df = _one_vintage(spark, files, encoding)
+        df = _one_vintage(spark, files, encoding, glob)
         names = [moved.get(c.lower(), c) if drift else c for c in df.columns]
         for c in names:
             if columns is None:
