@@ -46,7 +46,7 @@ from urbanlens.llm.words import as_text, cut, numbered, slices, translation, utf
 PIECE = b"\n"  # stands for every separator of pieces; never part of a word
 _TABLE = translation({b".,;:!?\n\x0b\x0c\r": PIECE, b"\t": b" "})
 SLICE_BYTES = 4 << 20
-GROUP_SUFFIXES = 1_000_000  # memory budget of a group: about 300 bytes a suffix
+GROUP_SUFFIXES = 500_000  # memory budget of a group: about 300 bytes a suffix
 
 # prefixes replaced by longer ones: lang -> words, lang -> (word, word)
 Replaced = tuple[dict[str, set[bytes]], dict[str, set[bytes]]]
@@ -90,7 +90,8 @@ def _second_words(replaced: dict[str, set[bytes]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in _slices(batches):
             words, a, b, _ = suffixes(texts)
-            at = _marks(words, replaced.get(lang, set()))[a] & (b > 0)
+            often = _marks(words, replaced.get(lang, set()))
+            at = often[a] & often[b]
             pairs, n = np.unique(a[at] * len(words) + b[at], return_counts=True)
             phrases = [words[p // len(words)] + b" " + words[p % len(words)] for p in pairs.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), as_text(phrases), pa.array(n)],
@@ -200,14 +201,14 @@ def phrase_counts(docs: DataFrame, min_count: int = 10, budget: int = GROUP_SUFF
     sizes = shared_table(first.groupBy("lang").agg(F.sum("n").alias("n")), "words")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     n_groups = max(1, math.ceil(total / budget))
-    one = _too_frequent(first, budget // 4)
+    one = _too_frequent(first, budget)
     two: dict[str, set[bytes]] = {}
     replaced = []
     if one:
-        replaced.append(_marked(first, budget // 4, 1))
+        replaced.append(_marked(first, budget, 1))
         second = shared_table(_summed(own.mapInArrow(_second_words(one), schema)), "prefixes")
-        if two := _too_frequent(second, budget // 4):
-            replaced.append(_marked(second, budget // 4, 2))
+        if two := _too_frequent(second, budget):
+            replaced.append(_marked(second, budget, 2))
     nodes = (own.mapInArrow(_deal((one, two), n_groups), "grp long, lang string, lines binary, counts array<long>")
              .groupBy("grp").applyInArrow(_subtrees((one, two), min_count), "lang string, phrase string, words int, f long"))
     for counted in replaced:
