@@ -698,11 +698,17 @@ for _set, (_table, _sources) in _delivered.items():
   WHERE {_splits[_delivery]}""")
 q("v01_header_checks", f"SELECT * FROM ({' UNION ALL '.join(_hparts)}) WHERE n_rows > 0 OR delivery = 'void'",
   "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
-_loads = " UNION ALL ".join(f"SELECT '{s}' AS dataset, 'load' AS stage, 'success' AS status, count(*) AS rows, "
-                            f"CAST(NULL AS VARCHAR) AS error FROM {t}" for s, (t, _) in _delivered.items())
+_failed = "missing_column: " + CONTRACTS["weather_daily"].columns[-1].name
+_loads = " UNION ALL ".join(
+    f"SELECT '{s}' AS dataset, 'load' AS stage, 'success' AS status, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM {t}"
+    for s, (t, _) in _delivered.items() if s != "weather_daily")
+_loads += f" UNION ALL SELECT 'weather_daily', 'validate', 'failed', 0, '{_failed}'"
 q("v14_run_summary", f"""
-SELECT * FROM ({_loads}) UNION ALL SELECT 'TOTAL', NULL, '5/5', sum(rows)::BIGINT, NULL FROM ({_loads})""",
+SELECT * FROM ({_loads}) UNION ALL SELECT 'TOTAL', NULL, '4/5', sum(rows)::BIGINT, NULL FROM ({_loads})""",
   "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
+q("s20b_independent", " UNION ALL ".join(
+    f"SELECT '{s}' AS dataset, count(*) AS n_rows, '{'failed' if s in ('weather_daily', 'bike_trips') else 'success'}' AS second_run FROM {t}"
+    for s, (t, _) in _delivered.items()), "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
 q("s11_catalogue", """
 SELECT DISTINCT 'Subway Delay (' || substr(date, 1, 4) || ') data' AS name, 'csv' AS format, CAST(substr(date, 1, 4) AS INTEGER) AS year,
        'subway_delay_' || substr(date, 1, 4) || '_data.csv' AS file_name
@@ -717,6 +723,11 @@ WITH src AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION
              FROM raw_trips WHERE {_number} % 5 IN (0, 1)) WHERE rn = 1)
 SELECT * REPLACE ('1' AS trip_duration) FROM raw_trips WHERE {_number} % 5 <> 0 AND trip_id NOT IN (SELECT trip_id FROM src)
 UNION ALL SELECT * FROM src""", "raw_trips")
+q("s19b_load_counts", f"""
+WITH src AS (SELECT DISTINCT trip_id FROM raw_trips WHERE {_number} % 5 IN (0, 1)),
+tgt AS (SELECT DISTINCT trip_id FROM raw_trips WHERE {_number} % 5 <> 0)
+SELECT count(*) FILTER (trip_id NOT IN (SELECT trip_id FROM tgt)) AS inserted,
+       count(*) FILTER (trip_id IN (SELECT trip_id FROM tgt)) AS updated FROM src""", "raw_trips")
 q("s22_sorted_sink", "SELECT * FROM raw_weather", "raw_weather")
 q("p32_lower_columns", "SELECT " + ", ".join(f'{c} AS "{h.lower()}"' for h, c in _raw_col.items()) + " FROM raw_subway", "raw_subway")
 q("s21_views", """

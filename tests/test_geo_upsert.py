@@ -91,7 +91,7 @@ def test_a_base_that_is_gone_is_an_error(spark, tmp_dir):
 
 
 def test_failed_publish_keeps_the_version_before(spark, tmp_dir, monkeypatch):
-    """The third mart fails, and once the validation: readers still get the old version."""
+    """A mart fails, or its validation does: it keeps its version, the others move on."""
     from urbanlens.plans import publish as PUB
 
     class Marts:
@@ -108,18 +108,22 @@ def test_failed_publish_keeps_the_version_before(spark, tmp_dir, monkeypatch):
             return spark.range(1).toDF("x")
 
     monkeypatch.setattr(PUB, "daily_from_facts", lambda t, b: t.select("date_key"))
-    first = PUB.publish_marts(Marts(), tmp_dir)
-    assert PUB.current_version(spark, tmp_dir) == first
-    with pytest.raises(RuntimeError, match="dim_station"):
+    monkeypatch.setattr(PUB.M, "dim_date_over", lambda *facts: spark.range(1).select(F.lit(20240101).alias("date_key")))
+    PUB.publish_marts(Marts(), tmp_dir)
+    first = PUB.current_version(spark, tmp_dir)
+    assert set(first) == set(PUB.PUBLISH_ORDER)
+    with pytest.raises(PUB.PublishError, match="dim_station"):
         PUB.publish_marts(Marts(broken="dim_station"), tmp_dir)
+    second = PUB.current_version(spark, tmp_dir)
+    assert second["dim_station"] == first["dim_station"] and all(second[n] != first[n] for n in first if n != "dim_station")
+    empty = Marts()
+    empty.fct_bike_trips = empty.fct_bike_trips.limit(0)
     with pytest.raises(PUB.PublishError, match="fct_bike_trips is empty"):
-        monkeypatch.setattr(Marts, "__init__", lambda self: None)
-        empty = Marts()
-        empty.spark, empty.broken = spark, None
-        empty.fct_transit_delays = spark.read.parquet(f"{first}/fct_transit_delays")
-        empty.fct_bike_trips = spark.read.parquet(f"{first}/fct_bike_trips").limit(0)
         PUB.publish_marts(empty, tmp_dir)
-    assert PUB.current_version(spark, tmp_dir) == first
+    third = PUB.current_version(spark, tmp_dir)
+    assert third["fct_bike_trips"] == second["fct_bike_trips"] and third["fct_transit_delays"] != second["fct_transit_delays"]
+    outcomes = {o.dataset: (o.stage, o.status, o.rows) for o in PUB.publish_datasets(Marts(days=(1, 2)), tmp_dir)}
+    assert outcomes["dim_date"] == ("validate", "failed", 0) and outcomes["fct_bike_trips"] == ("load", "success", 2)
 
 
 def test_nearest_many(spark):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from urbanlens.plans import analytics as R
 from urbanlens.plans import params as P
-from urbanlens.plans.publish import publish_marts
+from urbanlens.plans.publish import current_version, publish_marts
 from urbanlens.plans.warehouse import MART_NAMES, Warehouse
 from urbanlens.session import shared_dir
 
@@ -36,8 +36,9 @@ def _warehouse(spark: SparkSession, sf_dir: str, from_raw: bool) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PUBLISHED:
         _PUBLISHED[key] = publish_marts(wh, shared_dir(spark, f"marts-{uuid.uuid4().hex[:12]}"))
+    paths = current_version(spark, _PUBLISHED[key])
     for name in MART_NAMES:
-        wh._marts[name] = spark.read.parquet(f"{_PUBLISHED[key]}/{name}")
+        wh._marts[name] = spark.read.parquet(paths[name])
     return wh
 
 

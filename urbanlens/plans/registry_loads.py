@@ -12,8 +12,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from urbanlens.operators import upsert as U
+from urbanlens.operators.keyed import KeyedTable, load_files
+from urbanlens.plans import ingest as IN
 from urbanlens.plans import testbed as T
-from urbanlens.plans.registry_sources import SUBWAY_FILE_HEADER, delivered
+from urbanlens.plans.registry_sources import MERGE_BUCKETS, SUBWAY_FILE_HEADER, delivered
 from urbanlens.plans.warehouse import Warehouse
 from urbanlens.session import land, shared_dir
 from urbanlens.sources import contracts as V
@@ -62,10 +64,38 @@ def v01_header_checks(spark, sf_dir):
     return out
 
 
+def _deliver(spark, sf_dir, base, without_last=()):
+    """The five datasets as files; some without their last column."""
+    out = {}
+    for name, raw in delivered(Warehouse(spark, sf_dir)).items():
+        contract = V.CONTRACTS[name]
+        _write(raw.drop(contract.names[-1]) if name in without_last else raw, f"{base}/{name}")
+        loose = tuple(V.ColumnSpec(c.name, "STRING") for c in contract.columns)  # raw text has bad numbers
+        out[name] = (f"{base}/{name}", V.Contract(name, loose, 0))
+    return out
+
+
 def v14_run_summary(spark, sf_dir):
-    """Rows landed for each dataset, and the total."""
-    loads = delivered(Warehouse(spark, sf_dir))
-    return V.run_summary(spark, [(name, "load", "success", raw.count(), None) for name, raw in loads.items()])
+    """Five datasets ingested on their own; the weather files lack a column and fail."""
+    base = _scratch(spark, "v14")
+    deliveries = _deliver(spark, sf_dir, f"{base}/files", ("weather_daily",))
+    return IN.summary(spark, IN.ingest_all(spark, f"{base}/raw", deliveries))
+
+
+def s20b_independent(spark, sf_dir):
+    """Rows of each dataset's current version after two runs, the second of which delivers no
+    trips and broken weather files: those keep their versions before."""
+    base = _scratch(spark, "s20b")
+    deliveries = _deliver(spark, sf_dir, f"{base}/files")
+    IN.ingest_all(spark, f"{base}/raw", deliveries)
+    again = _deliver(spark, sf_dir, f"{base}/later", ("weather_daily",))
+    later = IN.ingest_all(spark, f"{base}/raw", again | {"bike_trips": (f"{base}/nowhere", again["bike_trips"][1])})
+    failed = spark.createDataFrame([(o.dataset, o.status) for o in later], "dataset string, second_run string")
+    out = None
+    for name, path in IN.snapshot(spark, f"{base}/raw", list(deliveries)).items():
+        part = spark.read.parquet(path).agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out.join(failed, "dataset")
 
 
 def s11_catalogue(spark, sf_dir):
@@ -106,13 +136,24 @@ def s17_seed(spark, sf_dir):
     return D.load_seed(spark, path, ", ".join(f"{n} {t}" for n, t in ref.dtypes))
 
 
-def s19_load_dataset(spark, sf_dir):
+def _loaded(spark, sf_dir):
     """Two files' folders, with their columns in another order, merged into a loaded part."""
     raw, path = T.raw_trips(spark, sf_dir), _scratch(spark, "s19")
     target = raw.filter(_order_number() % 5 != 0).withColumn("trip_duration", F.lit("1"))
     _write(raw.filter(_order_number() % 5 == 0), f"{path}/a")
     _write(raw.filter(_order_number() % 5 == 1).select(*reversed(raw.columns)), f"{path}/b")
-    return U.load_dataset(spark, target, [f"{path}/a", f"{path}/b"], ["trip_id"], raw.columns)
+    table = KeyedTable.create(target, f"{path}/table", ["trip_id"], MERGE_BUCKETS)
+    return table, load_files(table, [f"{path}/a", f"{path}/b"], raw.columns)
+
+
+def s19_load_dataset(spark, sf_dir):
+    return _loaded(spark, sf_dir)[0].read()
+
+
+def s19b_load_counts(spark, sf_dir):
+    """Rows that load has inserted and updated."""
+    result = _loaded(spark, sf_dir)[1]
+    return spark.createDataFrame([(result.inserted, result.updated)], "inserted long, updated long")
 
 
 def s22_sorted_sink(spark, sf_dir):
@@ -136,6 +177,8 @@ LOAD_QUERIES = {
     "s16_strip_extra": s16_strip_extra,
     "s17_seed": s17_seed,
     "s19_load_dataset": s19_load_dataset,
+    "s19b_load_counts": s19b_load_counts,
+    "s20b_independent": s20b_independent,
     "s22_sorted_sink": s22_sorted_sink,
     "p32_lower_columns": p32_lower_columns,
 }

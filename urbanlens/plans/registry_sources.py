@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from urbanlens import config as C
 from urbanlens.operators import upsert as U
+from urbanlens.operators.keyed import KeyedTable
 from urbanlens.plans import publish as PUB
 from urbanlens.plans import testbed as T
 from urbanlens.plans.warehouse import Warehouse
@@ -28,6 +29,7 @@ from urbanlens.streaming import incremental as ST
 SUBWAY_FILE_HEADER = ("Date", "Time", "Day", "Station", "Code", "Min Delay", "Min Gap", "Bound", "Line")
 BUS_FILE_HEADER = ("Date", "Route", "Time", "Day", "Location", "Incident", "Min Delay", "Min Gap", "Direction")
 STREETCAR_FILE_HEADER = ("Date", "Line", "Time", "Day", "Location", "Incident", "Min Delay", "Min Gap", "Bound")
+MERGE_BUCKETS = 16
 MERGE_TARGET_BEFORE = dt.datetime(1998, 1, 1)
 MERGE_SOURCE_FROM = dt.datetime(1997, 1, 1)
 
@@ -86,20 +88,27 @@ def _merge_inputs(spark, sf_dir):
     return target, source
 
 
-def s18_merge(spark, sf_dir):
+def _merged(spark, sf_dir):
     target, source = _merge_inputs(spark, sf_dir)
-    return U.merge_upsert(target, source, ["trip_id"])
+    table = KeyedTable.create(target, _scratch(spark, "s18"), ["trip_id"], MERGE_BUCKETS)
+    return table, table.merge(source)
+
+
+def s18_merge(spark, sf_dir):
+    """Trips merged into a table divided by key."""
+    return _merged(spark, sf_dir)[0].read()
 
 
 def s18b_merge_stats(spark, sf_dir):
-    target, source = _merge_inputs(spark, sf_dir)
-    return U.merge_stats(target, source, ["trip_id"])
+    """Rows that merge has inserted and updated, counted as they were written."""
+    result = _merged(spark, sf_dir)[1]
+    return spark.createDataFrame([(result.inserted, result.updated)], "inserted long, updated long")
 
 
 def s20_publish(spark, sf_dir):
     base = _scratch(spark, "s20")
     PUB.publish_marts(Warehouse(spark, sf_dir), base)
-    return spark.read.parquet(f"{PUB.current_version(spark, base)}/fct_daily_mobility")
+    return spark.read.parquet(PUB.current_version(spark, base)["fct_daily_mobility"])
 
 
 def delivered(wh: Warehouse) -> dict:

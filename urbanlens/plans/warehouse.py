@@ -5,7 +5,7 @@ tables and exposes every model as an attribute. Nothing runs until an action;
 each attribute is built once per object, so queries that share a model share
 its plan (and Spark's exchange reuse can share its shuffle within a query).
 
-``Warehouse.from_marts(spark, path)`` instead reads marts that ``publish``
+``Warehouse.from_marts(spark, paths)`` instead reads marts that ``publish``
 wrote earlier, which is how the analytic queries run in production.
 """
 
@@ -38,14 +38,14 @@ class Warehouse:
         self._marts: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_marts(cls, spark: SparkSession, path: str, cache_small: bool = False) -> Warehouse:
-        """Read published marts. ``cache_small`` keeps the marts whose size is bounded by
+    def from_marts(cls, spark: SparkSession, paths: dict[str, str], cache_small: bool = False) -> Warehouse:
+        """Read published marts from their folders. ``cache_small`` keeps the marts whose size is bounded by
         the domain (dimensions, and the daily fact: one row per day) in executor memory
         for a serving session that queries them repeatedly; the event facts stay on
         parquet, where pruning applies."""
         wh = cls(spark, None)
         for name in MART_NAMES:
-            df = spark.read.parquet(f"{path}/{name}")
+            df = spark.read.parquet(paths[name])
             if cache_small and name not in ("fct_transit_delays", "fct_bike_trips"):
                 df = df.cache()
             wh._marts[name] = df
