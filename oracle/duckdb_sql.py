@@ -162,6 +162,12 @@ cte("subway_coords", f"""
          {_micro('-79500000 + n_regionkey * 20000')} AS longitude
   FROM nation WHERE n_nationkey < 24""")
 
+_alias = ", ".join(f"({_q(a)}, {_q(k)}, {1000 + i})" for i, (a, k) in enumerate(C.BED_STATION_ALIASES))
+cte("station_lookup", f"""
+  SELECT canonical_station_name AS core_name, station_key, line_code, ordinal FROM subway_registry
+  UNION ALL SELECT a.core_name, a.station_key, g.line_code, a.ordinal
+  FROM (VALUES {_alias}) a(core_name, station_key, ordinal) JOIN subway_registry g ON g.station_key = a.station_key""", "subway_registry")
+
 # --- station-name resolution -------------------------------------------------
 _ovr = " UNION ALL ".join(f"SELECT {_q(a)} AS raw_station_name, {_q(b)} AS station_key, {_q(c)} AS line_code"
                           for a, b, c in C.BED_STATION_OVERRIDES)
@@ -185,7 +191,7 @@ def _chain(src: str, steps) -> str:
 
 def _rule_sql(src: str) -> str:
     """Candidates (name, priority, station_key, line_code) for rules 1-5 and 7 over src(name)."""
-    lk = "(SELECT canonical_station_name AS core_name, station_key, line_code, ordinal FROM subway_registry)"
+    lk = "station_lookup"
     station = lambda c: _strip_end(c, C.STATION_SUFFIXES)
     line = lambda c: _strip_end(c, C.LINE_SUFFIXES)
     first = lambda pat: (lambda c: f"nullif(trim(regexp_extract({c}, '{pat}', 1)), '')")
@@ -228,10 +234,10 @@ cte("sm_rest", """
   SELECT name, trim(regexp_extract(name, '^\\(?APPROACH(?:ING)?\\)?\\s*(.+)', 1)) AS rest FROM sm_names
   WHERE trim(regexp_extract(name, '^\\(?APPROACH(?:ING)?\\)?\\s*(.+)', 1)) <> ''""", "sm_names")
 cte("sm_rest_best", _best_sql(_rule_sql("(SELECT DISTINCT rest AS name FROM sm_rest)")),
-    "sm_rest", "subway_registry", "station_overrides")
+    "sm_rest", "station_lookup", "station_overrides")
 cte("sm_best", _best_sql(
     _rule_sql("sm_names") + " UNION ALL SELECT r.name, 6, b.station_key, b.line_code FROM sm_rest r "
-    "JOIN sm_rest_best b ON b.name = r.rest"), "sm_names", "sm_rest_best", "subway_registry", "station_overrides")
+    "JOIN sm_rest_best b ON b.name = r.rest"), "sm_names", "sm_rest_best", "station_lookup", "station_overrides")
 cte("station_mapping", f"""
   SELECT n.name AS raw_station_name,
          coalesce(g.canonical_station_name, 'Unknown') AS canonical_station_name,

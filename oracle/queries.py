@@ -284,20 +284,35 @@ SELECT max_loaded_at, age_days,
 FROM (SELECT max(incident_timestamp) AS max_loaded_at,
              CAST(date_diff('day', CAST(max(incident_timestamp) AS DATE), DATE '{P.FRESHNESS_AS_OF}') AS INTEGER) AS age_days
       FROM fct_transit_delays)""", "fct_transit_delays")
+_dates = ("(SELECT 'fct_transit_delays' AS table_name, date_key FROM fct_transit_delays WHERE date_key IS NOT NULL "
+          "UNION ALL SELECT 'fct_bike_trips', date_key FROM fct_bike_trips WHERE date_key IS NOT NULL)")
 _anom = """
-SELECT {t} AS {tn}, value, round(baseline, 4) AS baseline, round(spread, 4) AS spread FROM (
-  SELECT {t}, value,
-         avg(value) OVER w AS baseline, stddev_samp(value) OVER w AS spread, count(value) OVER w AS trained_on
-  FROM ({src}) WINDOW w AS (ORDER BY {t} ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
-WHERE trained_on >= 14 AND spread > 0 AND abs(value - baseline) > {k} * spread"""
+SELECT table_name, {t}, value, round(baseline, 4) AS baseline, round(spread, 4) AS spread FROM (
+  SELECT table_name, {t}, value,
+         avg(value) OVER w AS baseline, stddev_samp(value) OVER w AS spread, count(value) OVER w AS n,
+         sum(value) OVER w AS s, sum(value * value) OVER w AS q
+  FROM ({src}) WINDOW w AS (PARTITION BY table_name ORDER BY {t} ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
+WHERE n >= 14 AND n * q > s * s AND pow(n * value - s, 2) * (n - 1) > {k} * {k} * n * (n * q - s * s)"""
 q("d08_volume_anomaly", _anom.format(
-    t="date_key", tn="date_key", k="2.0",
-    src="SELECT date_key, CAST(total_delay_incidents AS DOUBLE) AS value FROM fct_daily_mobility "
-        "WHERE total_delay_incidents IS NOT NULL"), "fct_daily_mobility")
+    t="date_key", k="2.0", src=f"SELECT table_name, date_key, CAST(count(*) AS DOUBLE) AS value FROM {_dates} GROUP BY table_name, date_key"),
+  "fct_transit_delays", "fct_bike_trips")
 q("d09_freshness_anomaly", _anom.format(
-    t="d", tn="delay_date", k="3.0",
-    src="SELECT d, CAST(gap AS DOUBLE) AS value FROM (SELECT d, date_diff('day', lag(d) OVER (ORDER BY d), d) AS gap "
-        "FROM (SELECT DISTINCT delay_date AS d FROM stg_subway)) WHERE gap IS NOT NULL"), "stg_subway")
+    t="day", k="3.0",
+    src="SELECT table_name, day, CAST(gap AS DOUBLE) AS value FROM (SELECT table_name, day, "
+        "date_diff('day', lag(day) OVER (PARTITION BY table_name ORDER BY day), day) AS gap FROM (SELECT DISTINCT table_name, "
+        f"make_date(date_key // 10000, date_key // 100 % 100, date_key % 100) AS day FROM {_dates})) WHERE gap IS NOT NULL"),
+  "fct_transit_delays", "fct_bike_trips")
+q("d07b_load_freshness", " UNION ALL ".join(f"SELECT '{m}' AS source, true AS recent, 'pass' AS status"
+                                            for m in ("trips", "weather", "subway", "bus", "streetcar")))
+q("d08b_run_history", f"""
+WITH m AS (SELECT table_name, CAST(date_key // 100 AS BIGINT) AS run, CAST(count(*) AS DOUBLE) AS rows, CAST(max(date_key % 100) AS DOUBLE) AS last_day
+           FROM {_dates} GROUP BY 1, 2),
+long AS (SELECT table_name, run, 'rows' AS metric, rows AS value FROM m UNION ALL SELECT table_name, run, 'last_day', last_day FROM m),
+w AS (SELECT *, avg(value) OVER w AS baseline, stddev_samp(value) OVER w AS spread, count(value) OVER w AS trained_on FROM long
+      WINDOW w AS (PARTITION BY table_name, metric ORDER BY run ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
+SELECT table_name, metric, run, value, round(baseline, 4) AS baseline, round(spread, 4) AS spread,
+       CASE WHEN trained_on < 14 THEN 'training' WHEN abs(value - baseline) > 1.5 * spread THEN 'anomaly' ELSE 'pass' END AS status
+FROM w WHERE run IN (SELECT DISTINCT run FROM m ORDER BY run DESC LIMIT 3)""", "fct_transit_delays", "fct_bike_trips")
 q("d10_schema_change", """
 SELECT 'user_type' AS column_name, CAST(NULL AS VARCHAR) AS expected_type, 'string' AS actual_type, 'added' AS change,
        count(user_type) AS n_values FROM fct_bike_trips
@@ -543,11 +558,10 @@ SELECT year, 'Annual Member' AS user_type, member_trips AS trip_count FROM ({_r1
 UNION ALL SELECT year, 'Casual Member', casual_trips FROM ({_r17_body})""", "fct_daily_mobility", "dim_date")
 q("j12_longest_contains", f"""
 SELECT name AS raw_station_name, station_key FROM (
-  SELECT s.name, l.station_key, row_number() OVER (PARTITION BY s.name ORDER BY length(l.canonical_station_name) DESC,
-         l.ordinal, l.canonical_station_name) AS r
+  SELECT s.name, l.station_key, row_number() OVER (PARTITION BY s.name ORDER BY length(l.core_name) DESC, l.ordinal, l.core_name) AS r
   FROM (SELECT DISTINCT station AS name FROM raw_subway WHERE station IS NOT NULL) s
-  JOIN subway_registry l ON length(l.canonical_station_name) >= {C.MIN_SUBSTRING_MATCH}
-   AND contains(s.name, l.canonical_station_name)) WHERE r = 1""", "raw_subway", "subway_registry")
+  JOIN station_lookup l ON length(l.core_name) >= {C.MIN_SUBSTRING_MATCH} AND contains(s.name, l.core_name)) WHERE r = 1""",
+  "raw_subway", "station_lookup")
 q("j15_first_match", """
 SELECT n.station_name, s.station_key, s.station_type
 FROM (SELECT DISTINCT station AS station_name FROM raw_subway WHERE station IS NOT NULL) n
@@ -671,6 +685,14 @@ _many = " UNION ALL ".join(
   WHERE d IS NOT NULL ORDER BY d, station_key LIMIT 5)""" for k in P.COMPARE_SUBWAY_KEYS)
 q("j13_nearest_many", _many, "dim_station")
 
+q("j13b_nearest_all", f"""
+SELECT origin_key, rank, station_key, round(d, 2) AS distance_km FROM (
+  SELECT o.station_key AS origin_key, s.station_key, CAST(row_number() OVER (PARTITION BY o.station_key ORDER BY d, s.station_key) AS INTEGER) AS rank, d
+  FROM (SELECT *, CAST(latitude AS DOUBLE) AS la0, CAST(longitude AS DOUBLE) AS lo0 FROM dim_station) o
+  JOIN dim_station s ON s.station_key <> o.station_key,
+  LATERAL (SELECT {_hav.format(la1="o.la0", lo1="o.lo0", la2="CAST(s.latitude AS DOUBLE)", lo2="CAST(s.longitude AS DOUBLE)")} AS d)
+  WHERE o.latitude IS NOT NULL AND s.latitude IS NOT NULL) WHERE rank <= 3""", "dim_station")
+
 _nparts = []
 for _c in CONTRACTS["subway_delays"].columns:
     _src = _raw_col[_c.name]
@@ -714,6 +736,11 @@ SELECT DISTINCT 'Subway Delay (' || substr(date, 1, 4) || ') data' AS name, 'csv
        'subway_delay_' || substr(date, 1, 4) || '_data.csv' AS file_name
 FROM raw_subway WHERE CAST(substr(date, 1, 4) AS INTEGER) BETWEEN 2010 AND 2029""", "raw_subway")
 _number = "CAST(split_part(trip_id, '-', 1) AS BIGINT)"
+_files = f"""SELECT {_number} // 10000 AS file, CAST(sum(length(trip_id) + 1) AS BIGINT) AS size_bytes,
+  sha256(string_agg(trip_id, chr(10) ORDER BY trip_id) || chr(10)) AS sha256 FROM raw_trips"""
+q("s12_manifest", f"{_files} GROUP BY 1", "raw_trips")
+q("s13b_ledger", f"""
+SELECT *, 3 AS version FROM ({_files} WHERE {_number} // 10000 % 3 <> 0 GROUP BY 1)""", "raw_trips")
 q("s13_changed_files", f"SELECT * FROM raw_trips WHERE {_number} % 5 = 0", "raw_trips")
 q("s16_strip_extra", "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS min_gap) FROM raw_subway", "raw_subway")
 q("s17_seed", "SELECT * FROM bike_station_ref", "bike_station_ref")

@@ -109,6 +109,7 @@ BED_CODE_SUFFIXES = ('SC', 'DDX', 'O', 'WEA', 'ATC', 'XQ')
 BED_DESCRIPTION_OVERRIDES = (('PUO', 'Passenger Other'),)
 BED_REDELIVERY_EVERY = 50
 BED_REGION_LINES = ('YU', 'BD', 'SHP', 'SRT', 'YU/BD')
+BED_STATION_ALIASES = (('LEVEL 3', 'ST_004'), ('TRACK LEVEL 5', 'ST_007'), ('LEVEL 5', 'ST_009'), ('LEVEL 8', 'ST_016'), ('LEVEL 8', 'ST_015'))
 BED_STATION_OVERRIDES = (('NATION_3 YARD', 'ST_010', 'BD'),)
 BED_STATION_PREFIXES = ('', '', '', '', 'APPROACHING ', '', '', 'NEAR ')
 BED_STATION_SUFFIXES = ('', ' STATION', ' STN', ' TO KIPLING', '', ' YARD', ' BD', ' PLATFORM')

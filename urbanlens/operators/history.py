@@ -60,7 +60,7 @@ class MetricHistory:
         before = (known.filter((F.col("run") < run) & F.col("value").isNotNull())
                   .withColumn("_n", F.row_number().over(recent)).filter(F.col("_n") <= training)
                   .groupBy("table_name", "metric")
-                  .agg(F.avg("value").alias("baseline"), F.stddev_pop("value").alias("spread"), F.count("value").alias("trained_on")))
+                  .agg(F.avg("value").alias("baseline"), F.stddev_samp("value").alias("spread"), F.count("value").alias("trained_on")))
         now = known.filter(F.col("run") == run).join(before, ["table_name", "metric"], "left")
         off = F.abs(F.col("value") - F.col("baseline")) > sensitivity * F.col("spread")
         status = (F.when(F.coalesce("trained_on", F.lit(0)) < training, "training")

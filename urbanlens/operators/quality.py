@@ -76,29 +76,44 @@ def freshness(df: DataFrame, ts_col: str, as_of: dt.date, warn_days: int = C.FRE
         .when(F.col("age_days") > warn_days, "warn").otherwise("pass"))
 
 
+def load_freshness(loaded: DataFrame, as_of: dt.date | Column, warn_days: int = C.FRESHNESS_WARN_DAYS,
+                   error_days: int = C.FRESHNESS_ERROR_DAYS) -> DataFrame:
+    """D07 on the load time: age of the newest file of a landed table (a DataFrame that reads files)."""
+    times = loaded.select(F.col("_metadata.file_modification_time").alias("loaded_at"))
+    age = F.datediff(F.lit(as_of) if isinstance(as_of, dt.date) else as_of, F.to_date(F.max("loaded_at")))
+    return times.agg(F.max("loaded_at").alias("max_loaded_at"), age.alias("age_days")).withColumn(
+        "status", F.when(F.col("age_days").isNull() | (F.col("age_days") > error_days), "error")
+        .when(F.col("age_days") > warn_days, "warn").otherwise("pass"))
+
+
 def volume_anomalies(series: DataFrame, time_col: str, value_col: str, training: int = 14,
-                     sensitivity: float = 3.0) -> DataFrame:
+                     sensitivity: float = 3.0, by: Sequence[str] = ()) -> DataFrame:
     """Points further than ``sensitivity`` standard deviations from the mean of the
-    previous ``training`` points; passes until that many points exist.
+    previous ``training`` points (of the same table, with ``by``); passes until that many
+    points exist. ``operators/history`` does this over the recorded metrics of runs.
 
     ``series`` is one row per period (already aggregated), so the ordered window
     runs over a small frame.
     """
-    w = Window.orderBy(time_col).rowsBetween(-training, -1)
-    s = series.select(time_col, F.col(value_col).cast("double").alias("value")).select(
-        time_col, "value", F.avg("value").over(w).alias("baseline"),
-        F.stddev_samp("value").over(w).alias("spread"), F.count("value").over(w).alias("trained_on"))
-    return s.filter((F.col("trained_on") >= training) & (F.col("spread") > 0)
-                    & (F.abs(F.col("value") - F.col("baseline")) > sensitivity * F.col("spread")))
+    w = Window.partitionBy(*by).orderBy(time_col).rowsBetween(-training, -1)
+    value = F.col(value_col).cast("double")
+    s = series.select(*by, time_col, value.alias("value"), F.avg(value).over(w).alias("baseline"),
+                      F.stddev_samp(value).over(w).alias("spread"), F.count(value).over(w).alias("_n"),
+                      F.sum(value).over(w).alias("_s"), F.sum(value * value).over(w).alias("_q"))
+    # |value - baseline| > sensitivity x spread without roots or quotients: exact for counts
+    off = F.pow(F.col("_n") * F.col("value") - F.col("_s"), F.lit(2)) * (F.col("_n") - 1)
+    spread = F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")
+    return (s.filter((F.col("_n") >= training) & (spread > 0) & (off > sensitivity ** 2 * F.col("_n") * spread))
+            .withColumnRenamed("_n", "trained_on").drop("_s", "_q"))
 
 
 def freshness_anomalies(dates: DataFrame, date_col: str, training: int = 14,
-                        sensitivity: float = 3.0) -> DataFrame:
+                        sensitivity: float = 3.0, by: Sequence[str] = ()) -> DataFrame:
     """Gaps between consecutive distinct dates that are anomalous against history."""
-    d = dates.select(F.col(date_col).alias("d")).distinct()
-    gaps = d.select("d", F.datediff("d", F.lag("d").over(Window.orderBy("d"))).alias("gap_days")) \
-        .filter(F.col("gap_days").isNotNull())
-    return volume_anomalies(gaps, "d", "gap_days", training, sensitivity).withColumnRenamed("d", date_col)
+    d = dates.select(*by, F.col(date_col).alias("d")).distinct()
+    before = F.lag("d").over(Window.partitionBy(*by).orderBy("d"))
+    gaps = d.select(*by, "d", F.datediff("d", before).alias("gap_days")).filter(F.col("gap_days").isNotNull())
+    return volume_anomalies(gaps, "d", "gap_days", training, sensitivity, by).withColumnRenamed("d", date_col)
 
 
 def schema_changes(df: DataFrame, expected: DataFrame) -> DataFrame:

@@ -49,12 +49,11 @@ def merge_stats(target: DataFrame, source: DataFrame, keys: Sequence[str], null_
 
 
 def file_manifest(spark, paths: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """(path, size, sha256) per file; each file is hashed inside one task."""
-    r = spark.read.format("binaryFile")
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
-    df = r.load(paths if isinstance(paths, str) else list(paths))
-    return df.select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    """(path, size, sha256) per file, hashed in blocks inside the task that reads it."""
+    from urbanlens.operators.ledger import hashed
+    from urbanlens.sources.headers import listing
+
+    return hashed(listing(spark, paths, recursive))
 
 
 def manifest_changes(previous: DataFrame, current: DataFrame) -> DataFrame:

@@ -12,8 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanlens.operators.history import MetricHistory
 from urbanlens.plans import analytics as R
 from urbanlens.plans import params as P
+from urbanlens.plans import testbed as T
 from urbanlens.plans.publish import current_version, publish_marts
 from urbanlens.plans.warehouse import MART_NAMES, Warehouse
 from urbanlens.session import shared_dir
@@ -211,12 +213,42 @@ def _first_match(wh: Warehouse):
 def _longest_contained(wh: Warehouse):
     """Longest registry name contained in each distinct raw name (rule 5 alone)."""
     names = wh.raw_subway.select(F.col("station").alias("name")).filter(F.col("name").isNotNull()).distinct()
-    lookup = wh.subway_registry.select(F.col("canonical_station_name").alias("core_name"),
-                                       "station_key", "line_code", "ordinal")
-    return E._longest_contained(names, lookup, 5).select(
+    return E._longest_contained(names, T.station_lookup(wh.subway_registry), 5).select(
         F.col("name").alias("raw_station_name"), "station_key")
 
 
+def _fact_dates(wh: Warehouse):
+    """(table_name, date_key) of every row of the facts that has a date."""
+    parts = [getattr(wh, f).select(F.lit(f).alias("table_name"), "date_key") for f in ("fct_transit_delays", "fct_bike_trips")]
+    return parts[0].unionByName(parts[1]).filter(F.col("date_key").isNotNull())
+
+
+def _load_freshness(wh: Warehouse):
+    """Age of the landed tables of every source, by the time they were written."""
+    tables = {"trips": wh.raw_trips, "weather": wh.raw_weather} | {
+        m: wh.raw_incidents.filter(F.col("transit_mode") == m) for m in ("subway", "bus", "streetcar")}
+    out = None
+    for source, df in tables.items():
+        part = Q.load_freshness(df, F.current_date()).select(F.lit(source).alias("source"), (F.col("age_days") <= 1).alias("recent"), "status")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _run_history(wh: Warehouse):
+    """D08/D09 against recorded runs: each month's load of each fact is a run; the last three
+    runs compared with the fourteen before them."""
+    history = MetricHistory(wh.spark, shared_dir(wh.spark, f"runs/metrics-{uuid.uuid4().hex[:12]}"))
+    month, day = F.expr("date_key div 100").alias("run"), F.expr("date_key % 100")
+    counted = _fact_dates(wh).groupBy("table_name", month).agg(F.count(F.lit(1)).alias("rows"), F.max(day).alias("last_day"))
+    history.append(counted.unpivot(["table_name", "run"], ["rows", "last_day"], "metric", "value"))
+    runs = [r["run"] for r in history.read().select("run").distinct().orderBy(F.desc("run")).limit(3).collect()]
+    out = None
+    for run in runs:
+        part = history.check(run, 14, 1.5)
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("baseline", F.round("baseline", 4)).withColumn("spread", F.round("spread", 4))
+
+
 def _haversine(wh: Warehouse):
     """Distance from the chosen subway station to every station with coordinates."""
     st = wh.dim_station
@@ -251,12 +283,14 @@ for _key, _fn in {
                                                     *C.TRIP_SECONDS_RANGE, keep=["trip_sk"]),
     "d06_row_count": lambda wh: Q.row_count_between(wh.fct_daily_mobility, 1, 20_000),
     "d07_freshness": lambda wh: Q.freshness(wh.fct_transit_delays, "incident_timestamp", P.FRESHNESS_AS_OF),
+    "d07b_load_freshness": _load_freshness,
     "d08_volume_anomaly": lambda wh: Q.volume_anomalies(
-        wh.fct_daily_mobility.filter(F.col("total_delay_incidents").isNotNull()),
-        "date_key", "total_delay_incidents", 14, 2.0).select(
-        "date_key", "value", F.round("baseline", 4).alias("baseline"), F.round("spread", 4).alias("spread")),
-    "d09_freshness_anomaly": lambda wh: Q.freshness_anomalies(wh.stg_subway, "delay_date", 14, 3.0).select(
-        "delay_date", "value", F.round("baseline", 4).alias("baseline"), F.round("spread", 4).alias("spread")),
+        _fact_dates(wh).groupBy("table_name", "date_key").agg(F.count(F.lit(1)).alias("n")), "date_key", "n", 14, 2.0, ["table_name"]).select(
+        "table_name", "date_key", "value", F.round("baseline", 4).alias("baseline"), F.round("spread", 4).alias("spread")),
+    "d08b_run_history": _run_history,
+    "d09_freshness_anomaly": lambda wh: Q.freshness_anomalies(
+        _fact_dates(wh).withColumn("day", X.date_from_key("date_key")), "day", 14, 3.0, ["table_name"]).select(
+        "table_name", "day", "value", F.round("baseline", 4).alias("baseline"), F.round("spread", 4).alias("spread")),
     "d10_schema_change": _schema_check,
     "d11_negative_delays": lambda wh: Q.negative_delays(wh.fct_transit_delays),
     "d12_long_trips": lambda wh: Q.long_trips(wh.fct_bike_trips, 3600),
@@ -361,5 +395,7 @@ for _key, _fn in {
 _wh_query("j13_nearest_many", lambda wh: G.nearest_many(wh.dim_station, list(P.COMPARE_SUBWAY_KEYS), 5)
           .select("origin_key", "rank", "station_key", "distance_km"))
 
+_wh_query("j13b_nearest_all", lambda wh: G.nearest_all(wh.dim_station, 3))
+
 _wh_query("e10_description", lambda wh: wh.delay_codes.select("delay_code", "delay_description"))
 _wh_query("e11_neighbourhood", lambda wh: wh.bike_station_ref.select("station_id", "neighborhood"))

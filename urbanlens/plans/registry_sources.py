@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from urbanlens import config as C
 from urbanlens.operators import upsert as U
 from urbanlens.operators.keyed import KeyedTable
+from urbanlens.operators.ledger import FileLedger
 from urbanlens.plans import publish as PUB
 from urbanlens.plans import testbed as T
 from urbanlens.plans.warehouse import Warehouse
@@ -181,10 +182,38 @@ def s08_zip(spark, sf_dir):
     return B.parse_csv_lines(lines, raw.columns).drop("path", "member")
 
 
+FILE_ORDERS = 10_000  # orders whose trips share a file
+
+
+def write_id_files(spark, sf_dir, path):
+    """The trips' ids in order, a file for each ten thousand orders: the files' contents follow from the rows."""
+    ids = T.raw_trips(spark, sf_dir).select((F.split("trip_id", "-")[0].cast("long") / FILE_ORDERS).cast("long").alias("file"), "trip_id")
+    ids.repartition("file").sortWithinPartitions("file", "trip_id").write.partitionBy("file").text(path)
+
+
+def _named(entries):
+    return entries.select(F.regexp_extract("path", "/file=([0-9]+)/", 1).cast("long").alias("file"), "size_bytes", "sha256")
+
+
 def s12_manifest(spark, sf_dir):
+    """Sizes and hashes of files whose contents follow from the rows."""
     path = _scratch(spark, "s12")
-    T.raw_trips(spark, sf_dir).write.option("header", True).csv(path)
-    return U.file_manifest(spark, path)
+    write_id_files(spark, sf_dir, path)
+    return _named(U.file_manifest(spark, path))
+
+
+def s13b_ledger(spark, sf_dir):
+    """A ledger after three updates: of all files, of two thirds (the others are pruned), and of
+    the same once more, which hashes nothing."""
+    path = _scratch(spark, "s13b")
+    write_id_files(spark, sf_dir, f"{path}/files")
+    ledger = FileLedger(spark, f"{path}/ledger")
+    ledger.update(f"{path}/files")
+    rest = [r["path"] for r in ledger.read().select("path").collect() if int(r["path"].split("/file=")[1].split("/")[0]) % 3]
+    if rest:
+        ledger.update(rest)
+    last = ledger.update(rest) if rest else ledger.update(f"{path}/files")
+    return _named(ledger.read()).filter(F.col("file") % 3 != 0).withColumn("version", F.lit(last.version if rest else 3))
 
 
 def s07_station_feed(spark, sf_dir):
@@ -215,6 +244,7 @@ SOURCE_QUERIES = {
     "s08_zip": s08_zip,
     "s10_path_year": s10_path_year,
     "s12_manifest": s12_manifest,
+    "s13b_ledger": s13b_ledger,
     "s15_drift": s15_drift,
     "s14_copy_counts": s14_copy_counts,
     "s18_merge": s18_merge,

@@ -45,6 +45,9 @@ SUFFIX_DESCRIPTIONS = (
     ("WEA", "Weather"),
 )
 DESCRIPTION_OVERRIDES = (("PUO", "Passenger Other"),)
+# other core names of stations, in their own order; one name stands for two stations
+STATION_ALIASES = (("LEVEL 3", "ST_004"), ("TRACK LEVEL 5", "ST_007"), ("LEVEL 5", "ST_009"), ("LEVEL 8", "ST_016"), ("LEVEL 8", "ST_015"))
+ALIAS_ORDINAL = 1000
 STATION_OVERRIDES = (("NATION_3 YARD", "ST_010", "BD"),)
 REDELIVERY_EVERY = 50
 
@@ -236,6 +239,16 @@ def subway_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def station_lookup(registry: DataFrame) -> DataFrame:
+    """The core names of the stations: their canonical names and, behind them in order, aliases."""
+    spark = registry.sparkSession
+    aliases = spark.createDataFrame([(a, k, i) for i, (a, k) in enumerate(STATION_ALIASES, ALIAS_ORDINAL)],
+                                    "core_name string, station_key string, ordinal int")
+    aliases = aliases.join(registry.select("station_key", "line_code"), "station_key")
+    return registry.select(F.col("canonical_station_name").alias("core_name"), "station_key", "line_code", "ordinal").unionByName(
+        aliases.select("core_name", "station_key", "line_code", "ordinal"))
+
+
 def station_overrides(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(STATION_OVERRIDES),
                                  "raw_station_name string, station_key string, line_code string")

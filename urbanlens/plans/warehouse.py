@@ -120,8 +120,7 @@ class Warehouse:
         # once; every resolution rule then reads that small table, not the raw feed
         names = self._ref(E.primary_lines(self.raw_subway), "subway_name_vocabulary")
         reg = self.subway_registry
-        lookup = reg.select(F.col("canonical_station_name").alias("core_name"), "station_key", "line_code", "ordinal")
-        return self._ref(E.resolve_names(names, lookup, reg, T.station_overrides(self.spark)),
+        return self._ref(E.resolve_names(names, T.station_lookup(reg), reg, T.station_overrides(self.spark)),
                          "station_mapping")
 
     @cached_property

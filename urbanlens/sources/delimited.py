@@ -142,7 +142,8 @@ def copy_positional(spark: SparkSession, paths: str | Sequence[str], columns: Se
     # with the sentinel, a well-formed row is one field short of the read schema and
     # is flagged by the parser; count its top-level (quote-aware) fields to tell it
     # from a genuinely short row
-    fields = F.size(F.split(F.col("_corrupt_record"), r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    plain = F.regexp_replace("_corrupt_record", '"[^"]*"', "")  # commas outside quotes, in one pass over the row
+    fields = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
     text = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns], F.col("_extra_field"))
     bad = (F.when(F.col("_extra_field").isNotNull(), text)
            .when(F.col("_corrupt_record").isNotNull() & (fields != len(columns)), F.col("_corrupt_record")))

@@ -36,8 +36,8 @@ def listing(spark: SparkSession, paths: str | Sequence[str], recursive: bool = F
     return spark.createDataFrame(files, "path string").repartition(max(1, -(-len(files) // FILES_PER_TASK)))
 
 
-def _open(path: str):
-    """A stream of the file's bytes, decompressed by its extension."""
+def open_file(path: str, compression: str | None = "detect", seekable: bool = False):
+    """A stream of the file's bytes, decompressed by its extension unless ``compression`` is None."""
     from pyarrow import fs
 
     scheme, _, rest = path.partition(":")
@@ -47,7 +47,7 @@ def _open(path: str):
         system, name = fs.LocalFileSystem(), path
     else:
         system, name = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe=":/@"))
-    return system.open_input_stream(name, compression="detect")
+    return system.open_input_file(name) if seekable else system.open_input_stream(name, compression=compression)
 
 
 def first_line(chunks: Iterator[bytes], encoding: str) -> str | None:
@@ -66,7 +66,7 @@ def first_line(chunks: Iterator[bytes], encoding: str) -> str | None:
 
 def _first_records(encoding: str):
     def chunks(path: str) -> Iterator[bytes]:
-        with _open(path) as f:
+        with open_file(path) as f:
             while chunk := f.read(_CHUNK):
                 yield chunk
 
