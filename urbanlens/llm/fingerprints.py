@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 from urbanlens.llm.common import n_partitions, texts
 
 K, W = 4, 8
-_ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
-_IN_WORD = rf"[^\s{_ALONE}]"
+_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
+#: ASCII is decided by a range, before the scripts are looked up (most of the pattern's time).
+_ALONE = rf"[\x{{80}}-\x{{10FFFF}}&&[{_SCRIPTS}]]"
+_IN_WORD = rf"[!-~[^\s{_SCRIPTS}]]"
 #: Group 1 is the piece; the match goes on by one character, or over the last four of a word.
-PIECE = rf"(?=([{_ALONE}]|{_IN_WORD}{{1,4}}))(?:{_IN_WORD}(?={_IN_WORD}{{4}})|[{_ALONE}]|{_IN_WORD}{{1,4}})"
+PIECE = rf"(?=({_IN_WORD}{{1,4}}|{_ALONE}))(?:{_IN_WORD}(?={_IN_WORD}{{4}})|{_IN_WORD}{{1,4}}|{_ALONE})"
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
 _LOW = (1 << 32) - 1
@@ -80,8 +82,8 @@ def _hashes(fingerprint: str) -> Column:
 def shown(fingerprint: str) -> Column:
     """``hash:position`` in hexadecimal and decimal, comma-joined, in order of position."""
     one = F.transform(fingerprint, lambda k: F.concat_ws(
-        ":", F.lower(F.hex(F.shiftright(k, 32))), (F.lit(_LOW) - k.bitwiseAND(F.lit(_LOW))).cast("string")))
-    return F.array_join(one, ",")
+        ":", F.hex(F.shiftright(k, 32)), (F.lit(_LOW) - k.bitwiseAND(F.lit(_LOW))).cast("string")))
+    return F.lower(F.array_join(one, ","))
 
 
 def _likeness(a: str, b: str) -> Column:
