@@ -81,6 +81,79 @@ def test_edit_report_against_plain_python(docs, pdocs):
     assert (both.groupby("text").fingerprint.nunique() == 1).all()
 
 
+def _pieces(text):
+    """Pieces by walking the characters, without the library's pattern."""
+    def alone(c):
+        return any(lo <= ord(c) <= hi for lo, hi in ((0x3041, 0x3096), (0x30A1, 0x30FA), (0x0E01, 0x0E3A), (0x0E40, 0x0E5B), (0x4E00, 0x9FFF)))
+
+    out, word = [], ""
+    for c in text + " ":
+        if c in " \t\n\x0b\x0c\r" or alone(c):
+            out += [word[i:i + 4] for i in range(max(1, len(word) - 3))] if word else []
+            out += [c] if alone(c) else []
+            word = ""
+        else:
+            word += c
+    return out
+
+
+def _winnowed(text):
+    """(hash, position) pairs of a text, in order of position, in plain Python."""
+    import xxhash
+
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    codes = [signed(xxhash.xxh64_intdigest(p.encode(), seed=42)) % fingerprints.PRIME for p in _pieces(text)]
+    value = lambda part: sum(c * pow(fingerprints.BASE, len(part) - 1 - i, fingerprints.PRIME)
+                             for i, c in enumerate(part)) % fingerprints.PRIME
+    grams = [value(codes[i:i + fingerprints.K]) for i in range(len(codes) - fingerprints.K + 1)] or ([value(codes)] if codes else [])
+    mixed = [xxhash.xxh64_intdigest(g.to_bytes(8, "little"), seed=42) >> 32 & fingerprints.PRIME for g in grams]
+    chosen = []
+    for s in range(max(1, len(mixed) - fingerprints.W + 1) if mixed else 0):
+        window = mixed[s:s + fingerprints.W]
+        at = s + max(i for i, m in enumerate(window) if m == min(window))
+        if (mixed[at], at) not in chosen[-fingerprints.W:]:
+            chosen.append((mixed[at], at))
+    return chosen
+
+
+def test_edit_report_equals_plain_python(docs, pdocs):
+    """Fingerprints of the texts and of the edited texts, and both likenesses, recomputed."""
+    odd = [(10_000, ""), (10_001, "one"), (10_002, "日本語 かな ab ไทย 🎉🎉🎉🎉🎉 é"), (10_003, "x" * 300), (10_004, "a b c"), (10_005, " ")]
+    spark = docs.sparkSession
+    out = fingerprints.edit_report(docs.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))).collect()
+    rows = sorted([*zip(pdocs.doc_id, pdocs.text), *odd], reverse=True)
+    texts = dict(rows)
+    after = {i: rows[(n + 1) % len(rows)][1] for n, (i, _) in enumerate(rows)}
+    prints = {t: _winnowed(t) for t in texts.values()}
+    shown = lambda pairs: ",".join(f"{h:x}:{at}" for h, at in pairs)
+
+    def likeness(a, b):
+        a, b = {h for h, _ in a}, {h for h, _ in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    assert len(out) == len(rows)
+    for r in out:
+        text, following = texts[r["doc_id"]], after[r["doc_id"]]
+        h = len(text) // 2
+        own, edited = prints[text], _winnowed(text[:len(text) - h] + following[:h])
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (shown(own), shown(edited))
+        assert (r["near_edited"], r["near_next"]) == (likeness(own, edited), likeness(own, prints[following]))
+
+
+def test_rows_of_one_id_are_spread(spark):
+    """Half the ids null and a tenth equal: ranges stay even, every row keeps its neighbour."""
+    rows = [(None if i % 2 else 7 if i % 10 == 0 else i, f"text {i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.select(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("o"), F.xxhash64("text").alias("h"), "text")
+    ranges = keyed.select("o", "h", "text", fingerprints._ranges(keyed, 32).alias("range"))
+    sizes = ranges.groupBy("range").count().toPandas()["count"]
+    assert len(sizes) >= 24 and sizes.max() <= 3 * sizes.median()
+
+    expected = [r["text"] for r in keyed.orderBy(F.desc("o"), F.desc("h")).collect()]
+    out = {r["text"]: r["next_text"] for r in fingerprints.with_next(df, ["text"]).collect()}
+    assert out == dict(zip(expected, expected[1:] + expected[:1]))
+
+
 # --- 2 packing -------------------------------------------------------------------------
 
 def test_packing_round_trip(docs, pdocs):

@@ -17,13 +17,15 @@ the smallest hash with the rightmost position; :func:`shown` gives ``hash:positi
 Defined cases: a null or empty text, or one of white space, has an empty fingerprint; a
 text of fewer than K pieces has one hash of all of them; one of fewer than W hashes is
 one window. Two empty fingerprints have likeness 1, an empty and another one 0. Texts of
-any length are read whole; rows with a null id come last in descending order; repeated
-rows are neighbours of each other; an empty table gives an empty result; other columns
-are ignored.
+any length are read whole; rows with a null id come last in descending order, those of
+one id stand in descending order of a hash of the text, so repeated rows are neighbours;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,43 +94,55 @@ def _likeness(a: str, b: str) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
+def _longs(values: list[int]) -> Column:
+    """An array of fixed values as one literal of the plan, however many they are."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
 def _ranges(ids: DataFrame, count: int) -> Column:
-    """The number of the range of ``o`` an id lies in, of about ``count`` ranges of nearly
-    equally many rows: a search in two levels over approximate quantiles, whose number
-    depends on the cluster's partitions, not on the data."""
-    steps = [i / count for i in range(1, count)]
+    """The number of the range a row lies in by (``o``, ``h``), of about ``count`` ranges of
+    nearly equally many rows. Cuts are approximate quantiles of ``o``, whose number depends
+    on the cluster's partitions, not on the data; an id that several of them fall on is cut
+    further, into as many equal parts of its hashes ``h``. Numbers rise with (``o``, ``h``)."""
+    steps = F.split(F.lit(",".join(str(i / count) for i in range(1, count))), ",").cast("array<double>")
     found = ids.agg(F.percentile_approx("o", steps, 10 * count)).first()[0] or []
     cuts = sorted(set(found))
-    width = max(1, int(len(cuts) ** 0.5))
-    blocks = [cuts[i:i + width] for i in range(0, len(cuts), width)]
-    if not blocks:
+    if not cuts:
         return F.lit(0).cast("long")
-    inner = F.array(*[F.array(*[F.lit(c).cast("long") for c in b]) for b in blocks])
-    tops = F.array(*[F.lit(b[0]).cast("long") for b in blocks])
-    block = F.size(F.filter(tops, lambda c: c <= F.col("o")))
-    within = F.size(F.filter(F.coalesce(F.get(inner, block - 1), F.array().cast("array<long>")), lambda c: c <= F.col("o")))
-    return (block * (width + 1) + within).cast("long")
+    times = Counter(found)
+    width = max(1, int(len(cuts) ** 0.5))  # a search in two levels
+    o = F.col("o")
+    block = F.size(F.filter(_longs(cuts[::width]), lambda c: c <= o))
+    within = F.filter(F.slice(_longs(cuts), F.greatest(block - 1, F.lit(0)) * width + 1, F.lit(width)), lambda c: c <= o)
+    below = F.when(block == 0, F.lit(0)).otherwise((block - 1) * width + F.size(within))  # cuts up to o
+    cut = F.get(_longs(cuts), below - 1)
+    parts = F.coalesce(F.get(_longs([times[c] for c in cuts]), below - 1), F.lit(1))
+    of_hash = F.floor((F.col("h") / F.lit(2.0 ** 64) + 0.5) * parts)
+    part = F.when(parts == 1, F.lit(0)).when(o == cut, F.least(of_hash, parts - 1)).otherwise(parts)
+    return below.cast("long") * (max(times.values()) + 1) + part.cast("long")
 
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``next_<c>`` for each column: its value in the next row in descending order of
-    ``doc_id`` (after the last: the first).
+    ``doc_id`` (after the last: the first), rows of one id by a hash of their text.
 
-    Rows are cut into ranges of ids, so one exchange and a window inside each range do;
-    the first row of each range is also sent, as a phantom, to the range before it."""
-    rows = rows.withColumn("o", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    Rows are cut into ranges of ids and hashes, so one exchange and a window inside each
+    range do; the first row of each range is also sent, as a phantom, to the range before
+    it. Many rows of one id, or of none, fall into many ranges; rows alike in id and text
+    share one."""
+    rows = rows.withColumn("o", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))).withColumn("h", F.xxhash64("text"))
     spark = rows.sparkSession
     number = _ranges(rows.select("o"), 4 * n_partitions(spark))
     rows = rows.withColumn("range", number)
-    firsts = rows.select("o", number.alias("range")).groupBy("range").agg(F.max("o").alias("o"))
+    firsts = rows.groupBy("range").agg(F.max(F.struct("o", "h")).alias("first"))
     order = Window.orderBy(F.col("range").desc())  # over one row for each range
-    phantoms = firsts.select("o", F.coalesce(
+    phantoms = firsts.select("first.o", "first.h", F.coalesce(
         F.lag("range").over(order), F.min("range").over(Window.partitionBy(F.lit(0)))).alias("before"))
-    rows = rows.join(F.broadcast(phantoms), "o", "left")  # one row for each range: bounded
+    rows = rows.join(F.broadcast(phantoms), ["o", "h"], "left")  # one row for each range: bounded
     places = F.array_compact(F.array(F.struct("range", F.lit(False).alias("phantom")),
                                      F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(True).alias("phantom")))))
-    rows = rows.withColumn("place", F.explode(places)).select("doc_id", "o", *columns, "place.*")
-    within = Window.partitionBy("range").orderBy("phantom", F.col("o").desc(), "text")
+    rows = rows.withColumn("place", F.explode(places)).select("doc_id", "o", "h", *columns, "place.*")
+    within = Window.partitionBy("range").orderBy("phantom", F.col("o").desc(), F.col("h").desc(), "text")
     out = rows.select("doc_id", *columns, "phantom", *[F.lead(c).over(within).alias(f"next_{c}") for c in columns])
     return out.filter(~F.col("phantom")).drop("phantom")
 
