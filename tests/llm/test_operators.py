@@ -266,6 +266,38 @@ def test_hierarchical_decoding_drops_descendants():
     assert html.decode(page, scores) == "a\n\nc"
 
 
+_PARAGRAPH = ("The old harbour of the town was rebuilt after the great storm, and since then the fishing boats have returned "
+              "every spring. Nobody knows how long this will go on, but the people are hopeful.")
+_BODY = f"<h1>Title here</h1><p>{_PARAGRAPH}</p><p>Second. {_PARAGRAPH}</p>"
+_BLOCKS = ["Title here", _PARAGRAPH, f"Second. {_PARAGRAPH}"]
+
+
+def test_html_text_directly_beside_the_article(spark):
+    """Runs of text beside an article go, runs inside it stay, so do its header's title and pages of bare text."""
+    cases = [
+        (f"<body>Skip to content <a>Login</a> Subscribe now<article>{_BODY}</article>Copyright 2024 Example Corp</body>", _BLOCKS),
+        (f"<body><div>Home | News | Sport<div class=content>{_BODY}</div></div></body>", _BLOCKS),
+        (f"<body><article><header><h1>Title here</h1></header><p>{_PARAGRAPH}</p></article></body>", _BLOCKS[:2]),
+        (f"<header><h1>Site</h1></header><article><header class=entry-header><h1>Title here</h1></header><p>{_PARAGRAPH}</p></article>",
+         _BLOCKS[:2]),
+        (f"<article>{_PARAGRAPH}<p>b {_PARAGRAPH}</p>c {_PARAGRAPH}</article>", [_PARAGRAPH, f"b {_PARAGRAPH}", f"c {_PARAGRAPH}"]),
+        (_PARAGRAPH, [_PARAGRAPH]), (f"<body>{_PARAGRAPH}</body>", [_PARAGRAPH]), (f"<div>{_PARAGRAPH}<br>{_PARAGRAPH}</div>", [f"{_PARAGRAPH} {_PARAGRAPH}"]),
+        ("", []), (None, []),
+    ]
+    given = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    own = spark.createDataFrame([(10**9 + i, "u", source) for i, (source, _) in enumerate(cases)], "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in html.extract(given.union(own)).collect()}
+    assert [out[10**9 + i] for i in range(len(cases))] == ["\n\n".join(blocks) for _, blocks in cases]
+
+
+def test_runs_beside_blocks_are_leaves():
+    page = html.parse("<div>a<p>b</p>c</div><p>d<br>e</p>")
+    assert page.tags == ["#page", "div", "#text", "p", "#text", "p"] and page.parents == [-1, 0, 1, 1, 1, 0]
+    assert [(e, t) for e, t, _ in page.blocks] == [(2, "a"), (3, "b"), (4, "c"), (5, "d e")]
+    scores = np.array([0, 1.0, -1, 1, -1, 1])
+    assert html.decode(page, scores) == "b\n\nd e"
+
+
 # --- 5 repeated substrings -------------------------------------------------------------
 
 @pytest.mark.parametrize("big", [2000, 1])

@@ -1,7 +1,8 @@
 """Main-text extraction with boosted trees over DOM nodes (operator 4).
 
 A page is parsed into its block elements (inline elements only add to the text and to
-the link length of the block they are in). Every element has features: text and link
+the link length of the block they are in). A run of text beside block elements of the same
+parent is a leaf of its own, so it can be rejected where its parent is kept. Every node has features: text and link
 density of its subtree, attribute tokens, tag, depth and statistics of its siblings,
 and the same of its ancestors. Gradient-boosted trees (``pyspark.ml``), trained on a
 bounded sample of pages, score how likely an element belongs to the article.
@@ -11,7 +12,8 @@ is the one of the highest total score among those closed under parents (one pass
 the leaves up, one down). No ancestor and descendant can contradict each other.
 
 Training labels come from pages that mark their article (``article``, ``main``): what
-stands inside, outside of marked boilerplate, is article, the rest isn't. Copies with
+stands inside, outside of marked boilerplate, is article, the rest isn't. A ``header`` with
+a heading inside an ``article`` is the article's title, not boilerplate. Copies with
 boilerplate of further kinds put in, and with their telling tags or attributes hidden,
 teach the trees to use text density and structure where a page marks nothing.
 
@@ -72,7 +74,7 @@ _SCOPES = frozenset("ul ol dl table article section div nav aside main body".spl
 GROUPS = {
     "article": {"article", "main"}, "nav": {"nav"}, "ends": {"header", "footer"}, "aside": {"aside"}, "form": {"form", "fieldset"},
     "heading": {"h1", "h2", "h3", "h4", "h5", "h6"}, "paragraph": {"p", "blockquote", "pre"}, "list": {"ul", "ol", "dl"},
-    "item": {"li", "dt", "dd"}, "table": {"table", "thead", "tbody", "tr", "td", "th"}, "box": {"div", "section", "figure"},
+    "run": {"#text"}, "item": {"li", "dt", "dd"}, "table": {"table", "thead", "tbody", "tr", "td", "th"}, "box": {"div", "section", "figure"},
 }
 ATTRIBUTES = {
     "content": {"article", "content", "post", "entry", "story", "main", "body", "articlebody", "text"},
@@ -93,7 +95,7 @@ _OUT_AT = [_GROUPS.index(g) for g in sorted(_OUT)]
 
 @dataclass
 class Page:
-    """Block elements in page order (parents first) and the text blocks between them."""
+    """Block elements and runs of text (``#text``) in page order, parents first, and the blocks of text."""
 
     tags: list[str] = field(default_factory=lambda: ["#page"])
     parents: list[int] = field(default_factory=lambda: [-1])
@@ -135,7 +137,10 @@ def parse(source: str | None) -> Page:
         if text:
             block = " ".join("".join(text).split())
             if block:
-                page.blocks.append((stack[-1], block, min(links, len(block))))
+                page.blocks.append((len(page.tags), block, min(links, len(block))))
+                page.tags.append("#text")
+                page.parents.append(stack[-1])
+                page.attrs.append(frozenset())
             text.clear()
         links = 0
 
@@ -204,7 +209,41 @@ def parse(source: str | None) -> Page:
     if at < len(source) and not unclosed:
         add(source[at:])
     flush()
-    return page
+    return _with_own_text(page)
+
+
+def _with_own_text(page: Page) -> Page:
+    """The page where an element without block elements below has its runs as its own blocks."""
+    mixed = [False] * len(page.tags)
+    for tag, parent in zip(page.tags[1:], page.parents[1:]):
+        mixed[parent] |= tag != "#text"
+    out, number = Page([], [], [], []), []
+    for e, (tag, parent) in enumerate(zip(page.tags, page.parents)):
+        if tag == "#text" and not mixed[parent]:
+            number.append(number[parent])
+            continue
+        number.append(len(out.tags))
+        out.tags.append(tag)
+        out.parents.append(number[parent] if e else -1)
+        out.attrs.append(page.attrs[e])
+    out.blocks = [(number[e], text, links) for e, text, links in page.blocks]
+    return out
+
+
+def _kinds(page: Page) -> tuple[list[str | None], list[frozenset]]:
+    """Group and attribute groups of every node; a ``header`` with a heading inside an
+    ``article`` is a heading, without the attributes of an edge."""
+    groups, attrs = [_GROUP_OF.get(t) for t in page.tags], page.attrs
+    if "header" in page.tags and "article" in page.tags:
+        attrs, within, heading = list(attrs), [t == "article" for t in page.tags], [g == "heading" for g in groups]
+        for e in range(1, len(groups)):
+            within[e] = within[e] or within[page.parents[e]]
+        for e in range(len(groups) - 1, 0, -1):
+            heading[page.parents[e]] |= heading[e]
+        for e, tag in enumerate(page.tags):
+            if tag == "header" and within[e] and heading[e]:
+                groups[e], attrs[e] = "heading", attrs[e] - {"edge"}
+    return groups, attrs
 
 
 _MARKS = re.compile(r"[.,;:!?]")
@@ -237,11 +276,12 @@ def features(page: Page) -> np.ndarray:
         kids[p] += 1
         if first[e] >= 0 and (first[p] < 0 or first[e] < first[p]):
             first[p] = first[e]
-    group = np.array([_GROUPS.index(_GROUP_OF[t]) if t in _GROUP_OF else -1 for t in page.tags])
+    groups, attrs = _kinds(page)
+    group = np.array([_GROUPS.index(g) if g else -1 for g in groups])
     tag = np.zeros((n, len(_GROUPS)))
     tag[group >= 0, group[group >= 0]] = 1
     attr = np.zeros((n, len(_ATTRS)))
-    for e, a in enumerate(page.attrs):
+    for e, a in enumerate(attrs):
         for name in a:
             attr[e, _ATTRS.index(name)] = 1
     tag_above, attr_above = tag.copy(), attr.copy()
@@ -259,22 +299,33 @@ def features(page: Page) -> np.ndarray:
     for e in range(1, n):
         same[e] = count[page.parents[e], page.tags[e]]
     up = np.maximum(parents, 0)
+    most, second = np.zeros(n), np.zeros(n)  # characters of the largest children
+    for e in range(1, n):
+        p = page.parents[e]
+        if chars[e] > most[p]:
+            most[p], second[p] = chars[e], most[p]
+        elif chars[e] > second[p]:
+            second[p] = chars[e]
+    beside = np.where(chars < most[up], most[up], second[up])  # the largest of the other children
+    article = _GROUPS.index("article")
     link_share, density = inside / np.maximum(chars, 1), np.log1p(chars / below)
     siblings = np.maximum(kids[up], 1)
     return np.column_stack([
         depth, np.log1p(chars), link_share, np.log1p(below), density, np.log1p(own), 100 * marks / np.maximum(chars, 20),
         np.log1p(chars / np.maximum(blocks, 1)), chars / max(seen, 1), siblings, same, order / siblings,
         np.log1p(chars[up] / siblings), chars / np.maximum(chars[up], 1), first / max(seen, 1), link_share[up], density[up],
-        np.full(n, tag[:, _GROUPS.index("article")].max()), np.maximum(tag_above[:, _OUT_AT].max(1), attr_above[:, 1:].max(1)), tag, tag_above, attr, attr_above])
+        beside / max(seen, 1), tag[:, article].max() * (1 - tag_above[:, article]),
+        np.full(n, tag[:, article].max()), np.maximum(tag_above[:, _OUT_AT].max(1), attr_above[:, 1:].max(1)), tag, tag_above, attr, attr_above])
 
 
 def marked(page: Page) -> list[int] | None:
     """Labels by the page's own marks: 1 for elements of the article and those around it;
     None if the page marks no article."""
     inside, out, labels = [False], [False], [1]
+    groups, attrs = _kinds(page)
     for e in range(1, len(page.tags)):
-        p, group = page.parents[e], _GROUP_OF.get(page.tags[e])
-        out.append(out[p] or group in _OUT or bool(page.attrs[e] & _OUT_ATTRIBUTES))
+        p, group = page.parents[e], groups[e]
+        out.append(out[p] or group in _OUT or bool(attrs[e] & _OUT_ATTRIBUTES))
         inside.append((inside[p] or group in _ARTICLE) and not out[e])
         labels.append(int(inside[e]))
     if not any(labels[1:]):
@@ -325,6 +376,76 @@ def _with_extras(page: Page, pick: random.Random) -> Page:
     return out
 
 
+def _end(page: Page, node: int) -> int:
+    """The first node after ``node``'s subtree."""
+    return next((e for e in range(node + 1, len(page.tags)) if page.parents[e] < node), len(page.tags))
+
+
+def _wrapped(page: Page) -> Page:
+    """A copy with a ``div`` around the article."""
+    at = next((e for e, t in enumerate(page.tags) if t in ("article", "main")), None)
+    if at is None:
+        return page
+    moved = lambda e: e + (e >= at)
+    parents = [moved(p) for p in page.parents]
+    parents[at] = at
+    return Page([*page.tags[:at], "div", *page.tags[at:]], [*parents[:at], page.parents[at], *parents[at:]],
+                [*page.attrs[:at], frozenset(), *page.attrs[at:]], [(moved(e), text, links) for e, text, links in page.blocks])
+
+
+def _with_runs(page: Page, pick: random.Random) -> Page:
+    """A copy with runs of text beside the article and inside it, and a header with its title,
+    in their places of the page, made of the page's own words."""
+    spare = [b[1] for b in page.blocks] or ["more"]
+    article = next((e for e, t in enumerate(page.tags) if t in ("article", "main")), None)
+    if article is None:
+        return page
+    around = page.parents[article]
+    end = _end(page, article)
+    short = lambda: " ".join(pick.choice(spare).split()[:pick.randint(1, 8)])
+    whole = lambda: pick.choice([t for t in spare if len(t) > 80] or spare)
+    new: dict[int, list] = {}  # node before which it stands -> (tag, parent, text)
+    first = next((e for e in range(1, article) if page.parents[e] == around), article)
+    for at in {first, article, end, _end(page, around)}:
+        new.setdefault(at, []).append(("#text", around, short()))
+    if pick.random() < 0.5:
+        new.setdefault(article + 1, []).append(("header", article, short()))
+    if end > article + 1:
+        at = pick.randint(article + 1, end)
+        at = next((e for e in range(at, end) if page.parents[e] == article), end)
+        new.setdefault(at, []).append(("#text", article, whole()))
+    out, number, blocks, own = Page([], [], [], []), [], [], {}
+    for block in page.blocks:
+        own.setdefault(block[0], []).append(block)
+
+    def add(tag, parent, attrs, texts):
+        out.tags.append(tag)
+        out.parents.append(parent)
+        out.attrs.append(attrs)
+        blocks.extend((len(out.tags) - 1, text, links) for text, links in texts)
+        return len(out.tags) - 1
+
+    for e in range(len(page.tags) + 1):
+        for tag, parent, text in new.get(e, ()):
+            if tag == "header":
+                title = add(tag, number[parent], frozenset({"edge"} if pick.random() < 0.5 else ()), ())
+                add("h1", title, frozenset(), [(text, 0)])
+            else:
+                add(tag, number[parent], frozenset(), [(text, pick.choice((0, 0, len(text) // 2)) if parent == around else 0)])
+        if e < len(page.tags):
+            parent = number[page.parents[e]] if e else -1
+            number.append(add(page.tags[e], parent, page.attrs[e], [b[1:] for b in own.get(e, ())]))
+    out.blocks = blocks
+    return out
+
+
+def _alone(page: Page) -> Page:
+    """Only the texts of the marked article, in one unmarked element."""
+    labels = marked(page) or []
+    blocks = [(1, text, links) for e, text, links in page.blocks if labels and labels[e]]
+    return Page(["#page", "div"], [-1, 0], [frozenset()] * 2, blocks)
+
+
 def _hidden(page: Page) -> Page:
     """A copy whose telling tags and attributes are hidden."""
     tags = ["div" if _GROUP_OF.get(t) in {"article", *_OUT} else t for t in page.tags]
@@ -336,8 +457,10 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels = [], []
         for page_id, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page, pick = parse(source), random.Random(page_id)
-            extra = _with_extras(page, pick)
-            for shown, own in ((page, marked(page)), (extra, marked(extra)), (_hidden(page), marked(page))):
+            extra, runs, wrapped = _with_extras(page, pick), _with_runs(page, pick), _with_runs(_wrapped(page), pick)
+            for shown, own in ((page, marked(page)), (extra, marked(extra)), (_hidden(page), marked(page)),
+                               (runs, marked(runs)), (_hidden(runs), marked(runs)),
+                               (_hidden(wrapped), marked(wrapped)), (_alone(page), marked(page) and [1, 1])):
                 if own:
                     rows += features(shown)[1:].tolist()
                     labels += own[1:]
