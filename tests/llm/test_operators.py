@@ -453,6 +453,41 @@ def test_licenses_against_python(docs, pdocs, spark):
         assert labels <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
 
 
+def test_license_labels_against_all_positions():
+    """Labels, score and base places equal a scan of every template at every position."""
+    pick = random.Random(8)
+    spare = sorted({w for t in licenses.TEMPLATES for w in t.text.split()} | {"cc", "by", "all", "rights", "reserved", "x", "y"})
+    idf = {w.encode(): pick.choice([0.0, 0.5, 1.0, 1.0, 3.0, 6.0]) for w in spare if w != "x"}  # with ties
+    index = licenses.Index(licenses.TEMPLATES, licenses.PHRASES, idf)
+    some = lambda: " ".join(pick.choices(spare, k=pick.randint(0, 12)))
+    hits = 0
+    for _ in range(3000):
+        own = pick.choice(licenses.TEMPLATES).text.split()
+        own = [w if pick.random() < 0.9 else pick.choice(spare) for w in own][pick.choice((0, 0, 0, 2)):]
+        text = " ".join([some(), *own, some(), pick.choice(["", "cc by", "all rights reserved"]), some()])
+        found, out = licenses.words(text), index.scan(text)
+        shares = [(e, p, e.share(found, p)) for e in index.entries for p in range(-len(e.words), len(found))]
+        kept = [(e, p, x) for e, p, x in shares if x >= licenses.MIN_SHARE]
+        places = sorted(p for e, p, x in kept if e.phrase)
+        assert out["labels"] == ",".join(sorted({e.label for e, _, _ in kept}))
+        assert out["score"] == max((x for _, _, x in kept), default=0.0)
+        assert (out["n_base"], out["first_word"]) == (len(places), min(places, default=None))
+        hits += bool(kept)
+    assert hits > 1000
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "gpl,lgpl"),
+    ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "gpl,gpl-2"),
+    ("Redistributions of source code must retain the above copyright notice, this list", "bsd"),
+    ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED", "mit"),
+    ("# SPDX-License-Identifier: Apache-2.0", "apache-2.0"), ("SPDX-License-Identifier: MIT", "mit"),
+    ("the apache of the license, version of a lesser public", "")])
+def test_license_labels(text, labels):
+    idf = {w: 1.0 for t in licenses.TEMPLATES for w in licenses.words(t.text)}
+    assert licenses.Index(licenses.TEMPLATES, licenses.PHRASES, idf).scan(text)["labels"] == labels
+
+
 # --- 9 near duplicates -----------------------------------------------------------------
 
 def _sets(rows):
