@@ -11,9 +11,13 @@ probability (1 - s^8)^64, 2e-9 at 0.85 and 8e-6 at 0.8.
    components of these candidate edges are clusters.
 3. Star edges are confirmed on the full sets; confirmed ones form groups.
 4. Inside a cluster of several groups every document outside its largest group is
-   compared with the whole cluster, in blocks of hashed documents: a task gets two
-   blocks with their sets, counts the intersections as a matrix product and emits a
-   spanning forest of the links it finds, never the pairs.
+   compared with the documents of other groups that share a band with it. Only buckets
+   that hold several groups take part. Their documents are dealt into blocks, by the
+   smallest of their buckets; two blocks meet if a bucket spans them, and bring only the
+   documents of such buckets. A task gets the two sides with their sets, counts the
+   intersections as a matrix product and emits a spanning forest of the links it finds,
+   never the pairs. Work follows the shared buckets: a long chain of documents that
+   resemble their neighbours only is compared in proportion to its length.
 5. The components of all confirmed links, joined back through the classes.
 
 Sets are compared as 64-bit shingle hashes.
@@ -158,26 +162,41 @@ def _compare(percent: int):
     return run
 
 
-def _rest_links(sets: DataFrame, clusters: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Links of the documents outside their cluster's largest group (step 4)."""
+def _units(reps: DataFrame, clusters: DataFrame, groups: DataFrame) -> DataFrame:
+    """``cluster, i, j, node, rest``: which documents meet in which comparison (step 4).
+    Block ``i`` brings the documents outside their cluster's largest group that share a
+    bucket with block ``j``, which brings those that share one with them."""
     joined = clusters.join(groups, clusters["node"] == groups["node"], "left").select(
         clusters["node"], clusters["component"].alias("cluster"),
         F.coalesce(groups["component"], clusters["node"]).alias("grp"))
     joined = shared_table(joined, "near-groups")
     by_group = joined.groupBy("cluster", "grp").agg(F.count("*").alias("n"))
-    shape = (by_group.groupBy("cluster").agg(F.max_by("grp", F.struct("n", "grp")).alias("largest"), F.max("n").alias("most"),
-                                             F.sum("n").alias("size")).filter("most < size"))
-    blocks = shape.select("cluster", "largest", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int").alias("rests"),
-                          F.ceil(F.col("size") / BLOCK).cast("int").alias("alls"))
-    placed = joined.join(blocks, "cluster").withColumn("h", F.xxhash64("node"))
-    def side(rest: bool):
-        mine, theirs = ("rests", "alls") if rest else ("alls", "rests")
-        own, other = F.pmod("h", F.col(mine)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(theirs) - 1))
-        rows = placed.filter(F.col("grp") != F.col("largest")) if rest else placed
-        x, y = ("i", "j") if rest else ("j", "i")
-        return rows.select("cluster", "node", F.lit(rest).alias("rest"), own.alias(x), other.alias(y))
-
-    units = side(True).unionByName(side(False))
+    split = (by_group.groupBy("cluster").agg(F.max_by("grp", F.struct("n", "grp")).alias("largest"), F.max("n").alias("most"),
+                                             F.sum("n").alias("size")).filter("most < size").select("cluster", "largest"))
+    mixed = joined.join(split, "cluster").select("cluster", "node", "grp", (F.col("grp") != F.col("largest")).alias("rest"))
+    banded = reps.join(mixed, reps["doc_id"] == mixed["node"]).select(
+        "cluster", "node", "grp", "rest", F.explode("bands").alias("bucket"))
+    several = banded.groupBy("bucket").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high")
+    members = shared_table(banded.join(several.select("bucket"), "bucket").select("cluster", "node", "rest", "bucket"), "near-open")
+
+    # documents that share many buckets often share the smallest one, and with it a block
+    homes = members.groupBy("cluster", "node").agg(F.min("bucket").alias("home"))
+    slots = homes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("slots"))
+    dealt = homes.join(slots, "cluster").select("cluster", "node", F.expr("pmod(xxhash64(home), slots)").alias("slot"))
+    parts = dealt.groupBy("cluster", "slot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    blocks = dealt.join(parts, ["cluster", "slot"]).select(
+        "node", F.expr("shiftleft(slot, 32) + pmod(xxhash64(node), parts)").alias("block"))
+    placed = shared_table(members.join(blocks, "node"), "near-blocks")
+
+    outside = placed.filter("rest")
+    left = outside.withColumnRenamed("block", "i").join(placed.select("bucket", F.col("block").alias("j")).distinct(), "bucket")
+    right = (placed.withColumnRenamed("block", "j").withColumn("rest", F.lit(False))
+             .join(outside.select("bucket", F.col("block").alias("i")).distinct(), "bucket"))
+    columns = ["cluster", "i", "j", "node", "rest"]
+    return left.select(columns).unionByName(right.select(columns)).distinct()
+
+
+def _rest_links(sets: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     rows = units.join(sets, units["node"] == sets["doc_id"]).select("cluster", "i", "j", "rest", "doc_id", "shingles")
     return rows.groupBy("cluster", "i", "j").applyInPandas(_compare(percent), "a long, b long")
 
@@ -193,8 +212,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     known = signed.filter("digest is not null and doc_id is not null")
     classes = shared_table(known.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "near-classes")
 
-    banded = (known.join(classes, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-              .select("doc_id", F.explode("bands").alias("bucket")))
+    reps = known.join(classes, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
+    banded = reps.select("doc_id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     star = shared_table(banded.join(shared, "bucket").filter("doc_id != first").select("first", "doc_id").distinct(), "near-star")
     clusters = shared_table(components(star, "first", "doc_id"), "near-clusters")
@@ -208,7 +227,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     confirmed = shared_table(pairs.mapInArrow(_confirm(percent), "first long, doc_id long")
                              .select(F.col("first").alias("a"), F.col("doc_id").alias("b")), "near-confirmed")
     groups = shared_table(components(confirmed, "a", "b"), "near-linked")
-    more = shared_table(_rest_links(sets, clusters, groups, percent), "near-more")
+    more = shared_table(_rest_links(sets, _units(reps, clusters, groups), percent), "near-more")
     found = components(confirmed.unionByName(more), "a", "b")
 
     of_class = classes.join(found, classes["doc_id"] == found["node"], "left").select(
