@@ -12,9 +12,9 @@ probability (1 - s^8)^64, 2e-9 at 0.85 and 8e-6 at 0.8.
 3. Star edges are confirmed on the full sets; confirmed ones form groups.
 4. Inside a cluster of several groups every document outside its largest group is
    compared with the documents of other groups that share a band with it. Only buckets
-   that hold several groups take part. Their documents are dealt into blocks, by the
-   smallest of their buckets; two blocks meet if a bucket spans them, and bring only the
-   documents of such buckets. A task gets the two sides with their sets, counts the
+   that hold several groups take part. The documents outside, and all, are dealt into
+   blocks by the smallest of their buckets; a block of each meet if they share a bucket,
+   and bring only the documents of such buckets. A task gets the two sides with their sets, counts the
    intersections as a matrix product and emits a spanning forest of the links it finds,
    never the pairs. Work follows the shared buckets: a long chain of documents that
    resemble their neighbours only is compared in proportion to its length.
@@ -162,6 +162,18 @@ def _compare(percent: int):
     return run
 
 
+def _dealt(members: DataFrame, block: str, name: str) -> DataFrame:
+    """``cluster, node, bucket`` and the document's block, of ``BLOCK`` documents on average.
+    Documents that share many buckets often share the smallest one, and with it a block."""
+    homes = members.groupBy("cluster", "node").agg(F.min("bucket").alias("home"))
+    slots = homes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("slots"))
+    dealt = homes.join(slots, "cluster").select("cluster", "node", F.expr("pmod(xxhash64(home), slots)").alias("slot"))
+    parts = dealt.groupBy("cluster", "slot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    blocks = dealt.join(parts, ["cluster", "slot"]).select(
+        "node", F.expr("shiftleft(slot, 32) + pmod(xxhash64(node), parts)").alias(block))
+    return shared_table(members.select("cluster", "node", "bucket").join(blocks, "node"), name)
+
+
 def _units(reps: DataFrame, clusters: DataFrame, groups: DataFrame) -> DataFrame:
     """``cluster, i, j, node, rest``: which documents meet in which comparison (step 4).
     Block ``i`` brings the documents outside their cluster's largest group that share a
@@ -179,19 +191,10 @@ def _units(reps: DataFrame, clusters: DataFrame, groups: DataFrame) -> DataFrame
     several = banded.groupBy("bucket").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high")
     members = shared_table(banded.join(several.select("bucket"), "bucket").select("cluster", "node", "rest", "bucket"), "near-open")
 
-    # documents that share many buckets often share the smallest one, and with it a block
-    homes = members.groupBy("cluster", "node").agg(F.min("bucket").alias("home"))
-    slots = homes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("slots"))
-    dealt = homes.join(slots, "cluster").select("cluster", "node", F.expr("pmod(xxhash64(home), slots)").alias("slot"))
-    parts = dealt.groupBy("cluster", "slot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    blocks = dealt.join(parts, ["cluster", "slot"]).select(
-        "node", F.expr("shiftleft(slot, 32) + pmod(xxhash64(node), parts)").alias("block"))
-    placed = shared_table(members.join(blocks, "node"), "near-blocks")
-
-    outside = placed.filter("rest")
-    left = outside.withColumnRenamed("block", "i").join(placed.select("bucket", F.col("block").alias("j")).distinct(), "bucket")
-    right = (placed.withColumnRenamed("block", "j").withColumn("rest", F.lit(False))
-             .join(outside.select("bucket", F.col("block").alias("i")).distinct(), "bucket"))
+    outside = _dealt(members.filter("rest"), "i", "near-outside")
+    inside = _dealt(members, "j", "near-inside")
+    left = outside.withColumn("rest", F.lit(True)).join(inside.select("bucket", "j").distinct(), "bucket")
+    right = inside.withColumn("rest", F.lit(False)).join(outside.select("bucket", "i").distinct(), "bucket")
     columns = ["cluster", "i", "j", "node", "rest"]
     return left.select(columns).unionByName(right.select(columns)).distinct()
 
