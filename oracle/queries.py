@@ -694,14 +694,14 @@ SELECT origin_key, rank, station_key, round(d, 2) AS distance_km FROM (
   WHERE o.latitude IS NOT NULL AND s.latitude IS NOT NULL) WHERE rank <= 3""", "dim_station")
 
 _nparts = []
-for _c in CONTRACTS["subway_delays"].columns:
-    _src = _raw_col[_c.name]
-    _nparts.append(f"SELECT '{_c.name}' AS column_name, {str(_c.nullable).upper()} AS nullable, "
-                   f"sum(CASE WHEN {_src} IS NULL OR upper(trim({_src})) IN ('', 'NULL') THEN 1 ELSE 0 END)::BIGINT "
-                   f"AS null_rows FROM raw_subway")
+for _set, (_table, _sources) in _delivered.items():
+    for _c, _src in zip(CONTRACTS[_set].columns, _sources):
+        _nparts.append(f"SELECT '{_set}' AS dataset, '{_c.name}' AS column_name, {str(_c.nullable).upper()} AS nullable, "
+                       f"count(*) FILTER (WHERE {_src} IS NULL OR upper(trim({_src})) IN ('', 'NULL'))::BIGINT "
+                       f"AS null_rows FROM {_table}")
 q("v05_nulls", f"""
 SELECT *, CASE WHEN null_rows > 0 AND NOT nullable THEN 'error' ELSE 'pass' END AS status
-FROM ({" UNION ALL ".join(_nparts)})""", "raw_subway")
+FROM ({" UNION ALL ".join(_nparts)})""", "raw_subway", "raw_bus", "raw_streetcar", "raw_trips", "raw_weather")
 q("e10_description", "SELECT delay_code, delay_description FROM delay_codes", "delay_codes")
 q("e11_neighbourhood", "SELECT station_id, neighborhood FROM bike_station_ref", "bike_station_ref")
 

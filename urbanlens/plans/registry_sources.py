@@ -136,11 +136,14 @@ def v04_types(spark, sf_dir):
 
 
 def v05_nulls(spark, sf_dir):
-    raw = T.raw_subway(spark, sf_dir).toDF(*SUBWAY_FILE_HEADER)
-    path = _scratch(spark, "v05")
-    raw.write.option("header", True).csv(path)
-    df = D.read_delimited(spark, path, with_path=True, null_tokens=())
-    return V.null_profile(df, V.CONTRACTS["subway_delays"])
+    """Null values of each contract column of the five datasets, over all their files."""
+    base, out = _scratch(spark, "v05"), None
+    for name, raw in delivered(Warehouse(spark, sf_dir)).items():
+        raw.write.option("header", True).csv(f"{base}/{name}")
+        df = D.read_delimited(spark, f"{base}/{name}", with_path=True, null_tokens=())
+        part = V.null_profile(df, V.CONTRACTS[name]).withColumn("dataset", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def v10_reconcile(spark, sf_dir):
