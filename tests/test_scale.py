@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from urbanlens.functions import columns as X
 from urbanlens.operators.keyed import KeyedTable
-from urbanlens.plans import registry, registry_loads
+from urbanlens.operators.dedup import duplicate_keys
+from urbanlens.plans import registry, registry_loads, warehouse
+from urbanlens.plans.staging import SUBWAY_KEY
 from urbanlens.sources import contracts as V
 from urbanlens.streaming import incremental as ST
 
@@ -52,6 +54,20 @@ def test_only_the_marts_a_query_reads_are_published(spark, tables):
     assert _published(spark, tables) == {"dim_station", "dim_date", "dim_weather", "fct_daily_mobility", "fct_bike_trips"}
 
 
+def test_a_feed_read_in_one_pass_is_not_landed(spark, tables):
+    at = f"{tables}/"  # the same rows, with nothing landed under this name
+
+    def landed():
+        return {name for _, folder, name in warehouse._SEED_PATHS if folder == at}
+
+    once = E.queries()["a26_duplicates"](spark, at).collect()
+    assert once and "raw_incidents" not in landed()
+    assert sorted(once, key=str) == sorted(duplicate_keys(warehouse.Warehouse(spark, at).raw_subway, SUBWAY_KEY).collect(), key=str)
+    again = E.queries()["a26_duplicates"](spark, at)
+    assert "raw_incidents" in landed() and all("raw_incidents" in f for f in again.inputFiles())  # what is landed is read
+    assert sorted(again.collect(), key=str) == sorted(once, key=str)
+
+
 def test_days_are_the_same_from_raw_feeds_and_from_facts(spark, tables):
     from urbanlens.plans.publish import daily_from_facts
     from urbanlens.plans.warehouse import Warehouse
