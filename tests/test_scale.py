@@ -68,6 +68,21 @@ def test_a_feed_read_in_one_pass_is_not_landed(spark, tables):
     assert sorted(again.collect(), key=str) == sorted(once, key=str)
 
 
+def test_trips_read_in_one_pass_are_not_landed(spark, tables):
+    at = f"{tables}//"
+    once = E.queries()["u07_user_filter"](spark, at)
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") and "l_linenumber#" not in plan.split("Relation")[0]  # no trip id, no end is rendered
+    assert plan.count("AS start_time") == 2  # rendered once, read once
+    once = sorted(once.collect(), key=str)
+    assert once and (spark.sparkContext.applicationId, at, "raw_trips") not in warehouse._SEED_PATHS
+    wh = warehouse.Warehouse(spark, at)
+    assert set(wh.raw_trips.columns) == set(wh.trips_feed.columns)
+    assert (spark.sparkContext.applicationId, at, "raw_trips") in warehouse._SEED_PATHS
+    assert all("raw_trips" in f for f in warehouse.Warehouse(spark, at).trips_feed.inputFiles())
+    assert sorted(E.queries()["u07_user_filter"](spark, at).collect(), key=str) == once
+
+
 def test_days_are_the_same_from_raw_feeds_and_from_facts(spark, tables):
     from urbanlens.plans.publish import daily_from_facts
     from urbanlens.plans.warehouse import Warehouse
