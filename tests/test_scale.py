@@ -83,6 +83,17 @@ def test_trips_read_in_one_pass_are_not_landed(spark, tables):
     assert sorted(E.queries()["u07_user_filter"](spark, at).collect(), key=str) == once
 
 
+def test_weekdays_are_named_by_lookup(spark, tables):
+    from urbanlens.plans import testbed
+
+    inc = testbed.raw_incidents(spark, tables)
+    assert "EEEE" not in inc._jdf.queryExecution().optimizedPlan().toString()  # a formatter for each row
+    assert inc.filter(~F.col("day").eqNullSafe(F.date_format(F.to_date(F.substring("date", 1, 10)), "EEEE"))).isEmpty()
+    assert inc.select("day").distinct().count() == 7
+    none = spark.createDataFrame([(None,)], "ts timestamp_ntz").select(testbed._pick(testbed.WEEKDAYS, F.weekday("ts")).alias("day"))
+    assert none.first()["day"] is None
+
+
 def test_days_are_the_same_from_raw_feeds_and_from_facts(spark, tables):
     from urbanlens.plans.publish import daily_from_facts
     from urbanlens.plans.warehouse import Warehouse
