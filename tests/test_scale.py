@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from urbanlens.functions import columns as X
+from urbanlens.operators import keyed
 from urbanlens.operators.keyed import KeyedTable
 from urbanlens.operators.dedup import duplicate_keys
 from urbanlens.plans import registry, registry_loads, warehouse
@@ -136,6 +137,39 @@ def test_a_bucket_is_the_work_of_several_tasks(spark, tmp_dir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
 
 
+@pytest.mark.parametrize("order", [None, ["w"], ["W", "v"]])
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_source_is_landed_as_it_comes_and_shuffles_once(spark, tmp_dir, monkeypatch, hot, order):
+    """Only one with a hot key is reduced, and shuffled, before it is dealt; the landed rows don't stay."""
+    landed, land = [], keyed.land
+
+    def watched(df, *args, **kwargs):
+        path = land(df, *args, **kwargs)
+        landed.append((path, "Exchange" in df._jdf.queryExecution().executedPlan().toString(), spark.read.parquet(path).count()))
+        return path
+
+    monkeypatch.setattr(keyed, "land", watched)
+    if hot:
+        monkeypatch.setattr(keyed, "HOT_ROWS", 50)
+    old = [("a", 1, 1), ("a", 2, 2), ("b", 3, 3), ("b", 3, 3), (None, 4, 4), ("z", None, 5)]
+    new = [("a", 9, 7), ("a", 8, 8), ("c", None, 3), ("c", 1, None), (None, 6, 6), (None, None, 7), ("d", 1, 1)]
+    new += [("hot", i * 7 % 1000, i) for i in range(1, 1001)]
+    schema = "k string, v int, w int"
+    table = KeyedTable.create(spark.createDataFrame(old, schema), f"{tmp_dir}/t", ["k"], 4)
+    result = table.merge(spark.createDataFrame(new, schema), order)
+
+    def rank(r):  # nulls first, the given columns before the others
+        return [(r[i] is not None, r[i] or 0) for i in ((1, 2) if order is None else (2, 1))]
+
+    taken = {r[0]: r for r in sorted(new, key=rank, reverse=True)}
+    expected = [r for r in old if r[0] not in taken] + list(taken.values())
+    assert sorted(map(tuple, table.read().collect()), key=str) == sorted(expected, key=str)
+    assert (result.inserted, result.updated) == (3, 2)
+    assert [(shuffled, n) for _, shuffled, n in landed] == ([(False, 1007), (True, 5)] if hot else [(False, 1007)])
+    assert not any(os.path.exists(path.removeprefix("file:")) for path, _, _ in landed)
+    assert all(f.endswith(".zstd.parquet") for f in table.read().inputFiles())
+
+
 def test_columns_that_cannot_violate_are_not_taken_apart(spark):
     df = spark.createDataFrame([("f", "1", None), ("f", "x", "NULL"), ("g", "y", "t")], "file_path string, a string, b string")
     loose = V.Contract("d", (V.ColumnSpec("a", "STRING"), V.ColumnSpec("b", "STRING")), 0)
