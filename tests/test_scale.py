@@ -170,6 +170,17 @@ def test_a_source_is_landed_as_it_comes_and_shuffles_once(spark, tmp_dir, monkey
     assert all(f.endswith(".zstd.parquet") for f in table.read().inputFiles())
 
 
+def test_merge_counts_leave_no_landed_source(spark, tables):
+    from urbanlens.session import shared_dir
+
+    folder = shared_dir(spark, "tables").removeprefix("file:")
+    found = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    early = (F.col("start_time") < F.lit("1998-01-01").cast("timestamp_ntz")).cast("int")
+    rows, old = warehouse.Warehouse(spark, tables).stg_trips.agg(F.count(F.lit(1)), F.sum(early)).first()
+    assert tuple(E.queries()["s18b_merge_stats"](spark, tables).first()) == (rows - old, old) and 0 < old < rows
+    assert not [d for d in set(os.listdir(folder)) - found if d.startswith("merge-source")]
+
+
 def test_columns_that_cannot_violate_are_not_taken_apart(spark):
     df = spark.createDataFrame([("f", "1", None), ("f", "x", "NULL"), ("g", "y", "t")], "file_path string, a string, b string")
     loose = V.Contract("d", (V.ColumnSpec("a", "STRING"), V.ColumnSpec("b", "STRING")), 0)
